@@ -1,0 +1,6 @@
+"""Streaming surface: none.
+
+The reference has no streams, watermarks, windows over event time or state (SURVEY §2.13). Its
+history features need the full per-key history in date order, so they run as batch windows in
+``hourloom.operators.history``. This package is kept empty on purpose.
+"""
