@@ -64,6 +64,27 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], skew_rows: int) -> tuple[D
     return hot, int(stats["n"] or 0), int(stats["r"] or 0)
 
 
+def hot_key_sets(df: DataFrame, key_sets: Sequence[Sequence[str]], skew_rows: int
+                 ) -> set[tuple[str, ...]]:
+    """Which of several key sets have at least one key above ``skew_rows`` rows — one
+    grouping-sets aggregation (one scan, partial aggregation before the shuffle) for all sets."""
+    cols = sorted({c for ks in key_sets for c in ks})
+    g = df.groupingSets([[F.col(c) for c in ks] for ks in key_sets], *[F.col(c) for c in cols])\
+        .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
+    flags = g.agg(*[F.max(F.when(_set_cond(ks, cols, skew_rows), 1).otherwise(0)).alias(f"f{i}")
+                    for i, ks in enumerate(key_sets)]).first()
+    return {tuple(ks) for i, ks in enumerate(key_sets) if flags[f"f{i}"]}
+
+
+def _set_cond(ks, cols, skew_rows) -> Column:
+    # grouping_id bit i is 1 when cols[i] is aggregated away (not in the set)
+    gid = sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in ks)
+    cond = (F.col("__gid") == gid) & (F.col("__n") > skew_rows)
+    for k in ks:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
 def _direct(df: DataFrame, keys, order, value, names: dict) -> DataFrame:
     salt = "__salt"
     d = df.withColumn(salt, _null_salt(keys, order))
@@ -228,19 +249,27 @@ def history_features(df: DataFrame, tenant: str, employee: str, client: str, tas
 
     order = [date, uid]
     emp = [tenant, employee]
-    sk = skew_rows
+    sets = [emp, [tenant, task], [*emp, task], [*emp, client]]
+    if task_speed_keys:
+        sets.append(list(task_speed_keys))
+    hot = hot_key_sets(df, sets, skew_rows) if skew_rows else set()
+
+    def sk(keys):  # hot-key path only for key sets that have a hot key
+        return skew_rows if tuple(keys) in hot else None
+
     out = prior_stats(df, emp, order, hours, mean="med_gem_tijd", std="med_std_tijd",
                       count="med_aantal_opdrachten", cumcount="med_totaal_opdrachten",
-                      skew_rows=sk)
-    out = prior_stats(out, [tenant, task], order, hours, mean="taak_gem", skew_rows=sk)
+                      skew_rows=sk(emp))
+    out = prior_stats(out, [tenant, task], order, hours, mean="taak_gem",
+                      skew_rows=sk([tenant, task]))
     out = prior_stats(out, [*emp, task], order, hours, mean="med_bewerking_gem_tijd",
-                      cumcount="med_ervaring_bewerking", skew_rows=sk)
+                      cumcount="med_ervaring_bewerking", skew_rows=sk([*emp, task]))
     if task_speed_keys:
         out = prior_stats(out, list(task_speed_keys), order, hours, mean="__speed_mean",
-                          skew_rows=sk)
+                          skew_rows=sk(task_speed_keys))
         out = out.withColumn("med_bewerking_gem_tijd", F.col("__speed_mean")).drop("__speed_mean")
     out = prior_stats(out, [*emp, client], order, hours, mean="med_klant_gem_tijd",
-                      cumcount="med_klant_bezoeken", skew_rows=sk)
+                      cumcount="med_klant_bezoeken", skew_rows=sk([*emp, client]))
     return out.withColumns({
         "med_klant_ratio": prior_ratio("med_klant_bezoeken", "med_totaal_opdrachten"),
         "med_klant_snelheid": safe_ratio("med_klant_gem_tijd", "med_gem_tijd"),
