@@ -207,9 +207,14 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
 
 
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Deterministic uniform sample of ``n`` rows without replacement: the ``n`` smallest
-    seeded hashes of the unique key (top-n, independent of partitioning)."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    """Deterministic uniform sample of ``n`` rows without replacement — the ``n`` smallest
+    multiplicative hashes ``((key mod 2^31)·2654435761 + seed) mod 2^32`` of the unique key.
+
+    Independent of partitioning (unlike ``randomSplit``/``sample``); the sort is a top-n
+    (TakeOrderedAndProject), so only ``n`` rows per task move. The hash is plain integer arithmetic,
+    so other engines reproduce the same sample."""
+    h = F.pmod(F.pmod(F.col(key).cast("long"), F.lit(2 ** 31)) * F.lit(2654435761)
+               + F.lit(seed), F.lit(2 ** 32))
     return df.withColumn("__h", h).orderBy("__h", key).limit(n).drop("__h")
 
 

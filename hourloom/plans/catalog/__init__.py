@@ -1,3 +1,3 @@
 """Registered queries, grouped by SURVEY §2 section. Importing this package registers them all."""
 
-from hourloom.plans.catalog import history  # noqa: F401
+from hourloom.plans.catalog import history, relational  # noqa: F401
