@@ -37,7 +37,9 @@ def with_cyclic_calendar(df: DataFrame, date_col: str, prefix_day: str = "dag",
 
 
 def with_quantity_buckets(df: DataFrame, unit_col: str, amount_col: str,
-                          normalise: bool = True, with_hectare: bool = False) -> DataFrame:
+                          normalise: bool = True, with_hectare: bool = False,
+                          volume=VOLUME_UNITS, weight=WEIGHT_UNITS, pieces=PIECE_UNITS,
+                          hectare=HECTARE_UNITS) -> DataFrame:
     """Split an amount into volume / weight / pieces (+ hectare) by unit text, plus a 0/1
     presence flag. When the unit or amount column is missing, buckets are NULL and the flag 0.
     """
@@ -50,11 +52,11 @@ def with_quantity_buckets(df: DataFrame, unit_col: str, amount_col: str,
     u: Column = lower_trim(unit_col) if normalise else F.col(unit_col)
     amt = F.col(amount_col).cast("double")
     out = {
-        "hoeveelheid_volume": keep_if(u.isin(VOLUME_UNITS), amt),
-        "hoeveelheid_gewicht": keep_if(u.isin(WEIGHT_UNITS), amt),
-        "hoeveelheid_stuks": keep_if(u.isin(PIECE_UNITS), amt),
+        "hoeveelheid_volume": keep_if(u.isin(list(volume)), amt),
+        "hoeveelheid_gewicht": keep_if(u.isin(list(weight)), amt),
+        "hoeveelheid_stuks": keep_if(u.isin(list(pieces)), amt),
     }
     if with_hectare:
-        out["hoeveelheid_hectare"] = keep_if(u.isin(HECTARE_UNITS), amt)
+        out["hoeveelheid_hectare"] = keep_if(u.isin(list(hectare)), amt)
     out["hoeveelheid_aanwezig"] = any_present(*out.values())
     return df.withColumns(out)

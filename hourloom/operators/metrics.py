@@ -27,13 +27,18 @@ def row_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "is_train
     return df.withColumn(out, split_bucket(F.col(key)) < train_pct)
 
 
+def group_bucket(group_cols: Sequence[str]) -> Column:
+    """0..99 bucket of a composite group key: the first 16 bits of the MD5 of ``a__b`` mod 100
+    (a fixed public hash, so other engines reproduce the same split)."""
+    key = F.concat_ws("__", *[F.col(c).cast("string") for c in group_cols])
+    return F.pmod(F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int"), F.lit(100))
+
+
 def group_split(df: DataFrame, group_cols: Sequence[str], train_pct: int = 80,
                 out: str = "is_train") -> DataFrame:
-    """M2: 80/20 split on group keys — every row of a group lands on the same side. The bucket is
-    a hash of the composite key string, so no group list is collected."""
-    key = F.pmod(F.xxhash64(F.concat_ws("__", *[F.col(c).cast("string") for c in group_cols])),
-                 F.lit(100))
-    return df.withColumn(out, key < train_pct)
+    """M2: 80/20 split on group keys — every row of a group lands on the same side, decided per
+    row from the key alone, so no group list is collected or joined."""
+    return df.withColumn(out, group_bucket(group_cols) < train_pct)
 
 
 def relevance_label(score: str, out: str = "rank_label") -> Column:
@@ -93,14 +98,15 @@ def ndcg_at_k(df: DataFrame, group: Sequence[str], gain: str, pred: str, k: int,
 
 def hit_rate_candidates(sampled: DataFrame, people: DataFrame, tenant: str, task_id: str,
                         actual: str, person: str, score: Column, k: int = 3) -> DataFrame:
-    """Top-k hit rate. For each sampled task, every person of its tenant is a candidate
+    """Top-k hit rate. ``people`` has one row per (tenant, person) with any person
+    features the score needs. For each sampled task, every person of its tenant is a candidate
     (J15, tenants with < 2 people skipped), candidates are scored with ``score`` (a Column over
     the task and person columns), the top-k (ties by person id) are kept, and a hit is the
     actual person being among them. Returns (tasks, hits, hit_rate).
 
     ``sampled`` is the bounded request set (e.g. 500 tasks); it is broadcast, the person side
     stays partitioned."""
-    ppl = people.select(tenant, person).distinct()
+    ppl = people
     n_ppl = ppl.groupBy(tenant).agg(F.count(F.lit(1)).alias("__np"))
     tasks = sampled.join(bounded_broadcast(n_ppl), tenant).where(F.col("__np") >= 2)
     cand = expand_candidates(tasks, ppl, tenant).withColumn("__s", score)
@@ -157,3 +163,8 @@ def champion_gate(history: DataFrame, candidate: DataFrame, model_col: str = "mo
     j = candidate.join(best, model_col, "left")
     return j.withColumn("register", F.col("best_before").isNull()
                         | (F.col(metric) < F.col("best_before")))
+
+
+def duration_band_of(x: Column) -> Column:
+    """Right-closed band index of an expression over ``DURATION_BANDS``."""
+    return right_closed_bin(x, DURATION_BANDS)

@@ -1,3 +1,3 @@
 """Registered queries, grouped by SURVEY §2 section. Importing this package registers them all."""
 
-from hourloom.plans.catalog import aggregates, geo, history, quality, relational  # noqa: F401
+from hourloom.plans.catalog import aggregates, geo, history, quality, relational, scoring  # noqa: F401,E501
