@@ -26,6 +26,16 @@ N_COMPONENTS = 10
 VEC_PREFIX = "oms_vec_"
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Tokenising and counting are CPU-heavy per document. When the scan yields fewer partitions
+    than the cluster has task slots (a few large files), hash-spread the documents over 4× the
+    slots first; with a normal split count (large inputs) nothing is shuffled."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(4 * slots, key)
+    return df
+
+
 def terms(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> DataFrame:
     """Per document the array of its terms: unigrams followed by bigrams (``a b``).
 
@@ -41,7 +51,7 @@ def terms(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> Dat
 
 
 def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, term, tf) — raw counts; the explode is followed by a partial aggregate per task.
+    """(doc, term, tf) — raw counts of every term of every document.
     ``explode_outer`` + a NULL filter stops Spark from inferring a size filter that would
     evaluate the tokenizer again."""
     t = terms(df, doc, text)
@@ -49,12 +59,24 @@ def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
         .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(tc: DataFrame, doc: str, n_docs: int, min_df: int = MIN_DF,
+def corpus_stats(t: DataFrame) -> DataFrame:
+    """(term, df, total_tf) from per-document term arrays in ONE aggregation keyed by the term:
+    each document contributes its terms tagged 0 (occurrences) and its distinct terms tagged 1
+    (document frequency); partial aggregation per task, one shuffle, no join."""
+    tagged = F.concat(F.transform("terms", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"))),
+                      F.transform(F.array_distinct("terms"),
+                                  lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"))))
+    e = t.select(F.explode_outer(tagged).alias("e")).where(F.col("e").isNotNull())\
+        .select("e.term", "e.d")
+    return e.groupBy("term").agg(F.sum(F.lit(1) - F.col("d")).alias("total_tf"),
+                                 F.sum("d").alias("df"))
+
+
+def vocabulary(st: DataFrame, n_docs: int, min_df: int = MIN_DF,
                max_features: int = MAX_FEATURES) -> DataFrame:
     """Terms with df ≥ ``min_df``, the ``max_features`` most frequent over the corpus (ties by
     term), with their column index (alphabetical, as the vectorizer orders features) and the
     smoothed idf ``ln((1+n)/(1+df)) + 1``."""
-    st = tc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
     top = st.where(F.col("df") >= min_df).orderBy(F.col("total_tf").desc(), F.col("term"))\
         .limit(max_features)
     from pyspark.sql import Window
@@ -68,16 +90,20 @@ def tfidf(df: DataFrame, doc: str, text: str, min_df: int = MIN_DF,
           max_features: int = MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
     """L2-normalised TF-IDF in long form ``(doc, term, idx, tfidf)`` plus the vocabulary.
 
-    The vocabulary (≤ ``max_features`` rows) is broadcast into the join with the term counts; the
-    per-document norm is a grouped aggregate joined back on the document key."""
+    Only vocabulary hits are counted per document: the exploded terms meet the broadcast
+    vocabulary (≤ ``max_features`` rows), then ``(doc, idx)`` integer keys are counted and the
+    per-document norm is a window over the same document clustering (no extra exchange)."""
+    from pyspark.sql import Window
     n_docs = df.count()
-    tc = term_counts(df, doc, text)
-    voc = vocabulary(tc, doc, n_docs, min_df, max_features)
-    w = tc.join(F.broadcast(voc.select("term", "idx", "idf")), "term")\
-        .withColumn("__w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy(doc).agg(F.sqrt(F.sum(F.col("__w") * F.col("__w"))).alias("__norm"))
-    out = w.join(norm, doc).select(doc, "term", "idx",
-                                   (F.col("__w") / F.col("__norm")).alias("tfidf"))
+    t = terms(spread(df, doc), doc, text)
+    voc = vocabulary(corpus_stats(t), n_docs, min_df, max_features)
+    hits = t.select(doc, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())\
+        .join(F.broadcast(voc.select("term", "idx", "idf")), "term")
+    tf = hits.groupBy(doc, "idx").agg(F.count(F.lit(1)).alias("tf"), F.first("term").alias("term"),
+                                      F.first("idf").alias("idf"))
+    w = tf.withColumn("__w", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(doc)))
+    out = w.select(doc, "term", "idx", (F.col("__w") / norm).alias("tfidf"))
     return out, voc
 
 
