@@ -8,6 +8,7 @@ splitting on) re-plans at runtime.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -59,15 +60,87 @@ def keep_matching(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return df.where(matches(col, pattern))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
-    """G9/F6 scalar: exact linear-interpolated quantiles (``percentile``, R10).
+SMALL_DISTINCT = 200_000
+
+
+def _kth_smallest(x: DataFrame, ranks: Sequence[int], lo: float, hi: float, below: int,
+                  max_collect: int | None = None, bins: int = 4096) -> dict[int, float]:
+    """Exact order statistics (0-based ``ranks``, adjacent: one quantile's floor/ceil) of column
+    ``v`` of ``x``, knowing they lie in [lo, hi] and that ``below`` values are < lo.
+
+    Each pass is one scan with a partial aggregate. When the bracket holds few distinct values
+    they are collected as (value, count) pairs (bounded by ``max_collect``). Otherwise an
+    equal-width histogram with exact per-bucket min/max narrows the bracket to the buckets that
+    hold the ranks; the bucket function is monotone, so [min of the first bucket, max of the last]
+    contains exactly those buckets."""
+    max_collect = max_collect or SMALL_DISTINCT
+    todo = sorted(set(ranks))
+    while True:
+        inb = x.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
+        nd = inb.agg(F.approx_count_distinct("v").alias("d")).first()["d"]
+        if nd <= max_collect or lo == hi:
+            vals = inb.groupBy("v").agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect()
+            out, acc = {}, below
+            for r in vals:
+                for k in todo:
+                    if acc <= k < acc + r["c"]:
+                        out[k] = float(r["v"])
+                acc += r["c"]
+            return out
+        width = (hi - lo) / bins
+        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+        hist = sorted((r["b"], r["c"], r["mn"], r["mx"]) for r in inb.groupBy(b.alias("b")).agg(
+            F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
+            .collect())                                          # ≤ bins rows
+        acc, first, last = below, None, None
+        for bi, c, mn, mx in hist:
+            if first is None and todo[0] < acc + c:
+                first = (mn, acc)
+            if todo[-1] < acc + c:
+                last = mx
+                break
+            acc += c
+        (lo, below), hi = first, last
 
-    Spark's ``percentile`` keeps a map of distinct values per partition and merges them; it is
-    exact (not ``approx_percentile``). The result is a bounded list of scalars.
-    """
-    row = df.agg(F.percentile(F.col(col).cast("double"), [float(p) for p in probs]).alias("q"))\
-        .first()
-    return list(row["q"]) if row and row["q"] is not None else [None] * len(probs)
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    """G9/F6 scalar: exact linear-interpolated quantiles (``percentile`` semantics, R10).
+
+    Small distinct counts use ``percentile`` directly (its buffer holds one entry per distinct
+    value). Otherwise the needed order statistics are bracketed with ``percentile_approx``,
+    the bracket is verified by counting, and narrowed exactly by :func:`_kth_smallest` — a few
+    scans with partial aggregates, never all values in one task or on the driver."""
+    x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()
+                                                              & ~F.isnan("v"))
+    st = x.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("d"),
+               F.min("v").alias("mn"), F.max("v").alias("mx")).first()
+    n = int(st["n"])
+    if n == 0:
+        return [None] * len(probs)
+    if st["d"] <= SMALL_DISTINCT:
+        row = x.agg(F.percentile("v", [float(p) for p in probs]).alias("q")).first()
+        return list(row["q"])
+    pos = [float(p) * (n - 1) for p in probs]
+    pairs = [(int(math.floor(q)), int(math.ceil(q))) for q in pos]
+    eps = 4.0 / 10000
+    pr = []
+    for a, b in pairs:
+        pr += [min(1.0, max(0.0, a / max(n - 1, 1) - eps)), min(1.0, max(0.0, b / max(n - 1, 1) + eps))]
+    approx = x.agg(F.percentile_approx("v", pr, 10000).alias("a")).first()["a"]
+    brackets = [(float(approx[2 * i]), float(approx[2 * i + 1])) for i in range(len(pairs))]
+    cnt = x.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{i}")
+                  for i, (lo, _) in enumerate(brackets)],
+                *[F.count_if(F.col("v") <= F.lit(hi)).alias(f"le{i}")
+                  for i, (_, hi) in enumerate(brackets)]).first()
+    out = []
+    for i, ((a, b), q) in enumerate(zip(pairs, pos)):
+        lo, hi = brackets[i]
+        below = int(cnt[f"b{i}"])
+        if not (below <= a and b < cnt[f"le{i}"]):     # approximate bracket missed: full range
+            lo, hi, below = float(st["mn"]), float(st["mx"]), 0
+        ks = _kth_smallest(x, [a, b], lo, hi, below)
+        out.append(ks[a] + (q - a) * (ks[b] - ks[a]))
+    return out
 
 
 def quantile_cut(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:

@@ -119,3 +119,15 @@ def test_pivot_sum_fixed_units_g6_r17(spark):
     p = {r.k: r for r in G.pivot_sum(df, ["k"], "u", ["Big Bag", "Uur", "Ton"], "a").collect()}
     assert p[1].hoeveelheid_big_bag == 2.0 and p[1].hoeveelheid_uur == 3.0
     assert p[2].hoeveelheid_ton == 0.0 and p[2].hoeveelheid_big_bag == 0.0
+
+
+def test_exact_quantiles_large_distinct_path(spark, monkeypatch):
+    import numpy as np
+    rnd = np.random.default_rng(11)
+    vals = np.concatenate([rnd.lognormal(3, 2, 5000), np.full(700, 42.0), rnd.normal(0, 1, 300)])
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
+    monkeypatch.setattr(Rel, "SMALL_DISTINCT", 50)          # force the bracketing path
+    got = Rel.exact_quantiles(df, "x", probs)
+    exp = np.quantile(vals, probs)                           # linear interpolation
+    assert got == pytest.approx(list(exp), rel=1e-12)
