@@ -199,38 +199,103 @@ def occurrence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     return prior_stats(df, keys, order, None, cumcount=out, skew_rows=skew_rows)
 
 
+def _range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], n_chunks: int
+                  ) -> DataFrame:
+    """Contiguous, balanced chunks of the ``(keys, order)`` sequence: the range-partition id,
+    materialised so every later step sees the same chunk boundaries."""
+    return materialize(df.repartitionByRange(n_chunks, *[F.col(k) for k in keys],
+                                             *_order_cols(order))
+                       .withColumn("__chunk", F.spark_partition_id()))
+
+
+def _split_hot(df: DataFrame, keys: Sequence[str], skew_rows: int | None):
+    """(cold rows, hot rows, number of chunks for the hot rows) — hot part None when no key holds
+    more than ``skew_rows`` rows."""
+    if not skew_rows:
+        return df, None, 0
+    hot, n_hot, hot_rows = find_hot_keys(df, keys, skew_rows)
+    if n_hot == 0:
+        return df, None, 0
+    hk = hot.select(*keys)
+    return (df.join(F.broadcast(hk), on=list(keys), how="left_anti"),
+            df.join(F.broadcast(hk), on=list(keys), how="left_semi"),
+            max(2, math.ceil(hot_rows / skew_rows) * 2))
+
+
 def overlap_flags(df: DataFrame, key: str, start: str, end: str, uid: str,
-                  out: str = "overlaps_prev") -> DataFrame:
+                  out: str = "overlaps_prev", skew_rows: int | None = DEFAULT_SKEW_ROWS
+                  ) -> DataFrame:
     """Flag a registration that starts before the previous one (by start, id) of the same
-    key ends. Rows with NULL key/start/end are not compared (flag NULL)."""
-    salt = "__salt"
-    d = df.withColumn(salt, _null_salt([key, start, end], [uid]))
-    w = Window.partitionBy(key, salt).orderBy(F.col(start), F.col(uid))
-    valid = F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
-    prev_end = F.lag(F.when(valid, F.col(end))).over(w)
-    return d.withColumn(out, F.when(valid, F.coalesce(F.col(start) < prev_end, F.lit(False))))\
-            .drop(salt)
-
+    key ends. Rows with NULL key/start/end are not compared (flag NULL).
 
-def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str) -> DataFrame:
+    Hot keys: within a range chunk the previous row is a ``lag``; the first row of a chunk takes
+    the last end of the key's previous chunk from the (small) chunk table."""
+    valid = F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
+    vend = F.when(valid, F.col(end))
+    cold, hot, n_chunks = _split_hot(df, [key], skew_rows)
+    salt = "__salt"
+    d = cold.withColumn(salt, _null_salt([key, start, end], [uid]))
+    w = Window.partitionBy(key, salt).orderBy(F.col(start).asc_nulls_first(), F.col(uid))
+    res = d.withColumn("__prev", F.lag(vend).over(w)).drop(salt)
+    if hot is not None:
+        r = _range_chunks(hot, [key], [start, uid], n_chunks)
+        wl = Window.partitionBy(key, "__chunk").orderBy(F.col(start).asc_nulls_first(), F.col(uid))
+        loc = r.withColumns({"__lag": F.lag(vend).over(wl), "__rn": F.row_number().over(wl)})
+        last = r.groupBy(key, "__chunk").agg(
+            F.max_by(vend, F.struct(F.col(start), F.col(uid))).alias("__last"))
+        wc = Window.partitionBy(key).orderBy("__chunk")
+        last = last.withColumn("__prev_last", F.lag("__last").over(wc)).drop("__last")
+        h = loc.join(F.broadcast(last), [key, "__chunk"], "left").withColumn(
+            "__prev", F.when(F.col("__rn") == 1, F.col("__prev_last")).otherwise(F.col("__lag")))
+        h = h.drop("__lag", "__rn", "__prev_last", "__chunk")
+        res = res.unionByName(h.select(*res.columns))
+    return res.withColumn(out, F.when(valid, F.coalesce(F.col(start) < F.col("__prev"),
+                                                        F.lit(False)))).drop("__prev")
+
+
+def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str,
+                    skew_rows: int | None = DEFAULT_SKEW_ROWS) -> DataFrame:
     """Keep one registration per overlapping island of a key — the longest (ties: lowest id).
 
     Islands: running max of earlier ends; a row opens a new island when its start is at or after
     that max (touching intervals do not overlap). Rows with end <= start or NULL bounds are
-    excluded as invalid.
-    """
+    excluded as invalid. The pick per island is a ``max_by`` aggregate (partial, skew-safe).
+    Hot keys: prefix max and island numbering continue across range chunks through the chunk
+    table."""
     v = df.where(F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
                  & (F.col(end) > F.col(start)))
+    cold, hot, n_chunks = _split_hot(v, [key], skew_rows)
     w = Window.partitionBy(key).orderBy(F.col(start), F.col(uid))
     prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    v = v.withColumn("__maxend", F.max(end).over(prior))
-    v = v.withColumn("__new", F.when(F.col("__maxend").isNull() | (F.col(start) >= F.col("__maxend")),
-                                     1).otherwise(0))
-    v = v.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+
+    def new_flag(maxend):
+        return F.when(maxend.isNull() | (F.col(start) >= maxend), 1).otherwise(0)
+
+    c = cold.withColumn("__new", new_flag(F.max(end).over(prior)))
+    c = c.withColumn("__island", F.sum("__new").over(upto)).drop("__new")
+    parts = [c]
+    if hot is not None:
+        r = _range_chunks(hot, [key], [start, uid], n_chunks)
+        wl = Window.partitionBy(key, "__chunk").orderBy(F.col(start), F.col(uid))
+        wc = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+        cmax = r.groupBy(key, "__chunk").agg(F.max(end).alias("__cmax"))\
+            .withColumn("__pmax", F.max("__cmax").over(wc)).drop("__cmax")
+        h = r.join(F.broadcast(cmax), [key, "__chunk"], "left")
+        local = F.max(end).over(wl.rowsBetween(Window.unboundedPreceding, -1))
+        h = h.withColumn("__new", new_flag(F.greatest(local, F.col("__pmax")))).drop("__pmax")
+        cnew = h.groupBy(key, "__chunk").agg(F.sum("__new").alias("__cn"))\
+            .withColumn("__pn", F.coalesce(F.sum("__cn").over(wc), F.lit(0))).drop("__cn")
+        h = h.join(F.broadcast(cnew), [key, "__chunk"], "left").withColumn(
+            "__island", F.col("__pn") + F.sum("__new").over(
+                wl.rowsBetween(Window.unboundedPreceding, 0)))
+        parts.append(h.drop("__new", "__pn", "__chunk").select(*c.columns))
+    allr = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     dur = F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))
-    wi = Window.partitionBy(key, "__island").orderBy(dur.desc(), F.col(uid))
-    return (v.withColumn("__rk", F.row_number().over(wi)).where(F.col("__rk") == 1)
-            .drop("__maxend", "__new", "__rk"))
+    cols = [x for x in allr.columns if x not in (key, "__island")]
+    best = allr.groupBy(key, "__island").agg(
+        F.max_by(F.struct(*[F.col(x) for x in cols]), F.struct(dur, -F.col(uid))).alias("__r"))
+    return best.select(key, *[F.col(f"__r.{x}").alias(x) for x in cols], "__island")
 
 
 def history_features(df: DataFrame, tenant: str, employee: str, client: str, task: str,

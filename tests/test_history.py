@@ -109,3 +109,18 @@ def test_history_features_hot_path_matches(spark):
                 assert b[k][c] == pytest.approx(v, rel=1e-6, abs=1e-3), (k, c)
             else:
                 assert b[k][c] == v, (k, c)
+
+
+def test_overlaps_hot_path_matches(spark):
+    from hourloom.plans.standins import intervals
+    iv = intervals(spark, SF01)
+    a = {r.reg_id: r.ov for r in H.overlap_flags(iv, "employee", "start_ts", "end_ts", "reg_id",
+                                                 "ov", skew_rows=None).collect()}
+    b = {r.reg_id: r.ov for r in H.overlap_flags(iv, "employee", "start_ts", "end_ts", "reg_id",
+                                                 "ov", skew_rows=20).collect()}
+    assert a == b and sum(1 for v in a.values() if v) > 0
+    x = sorted((r.reg_id, r["__island"]) for r in H.remove_overlaps(
+        iv, "employee", "start_ts", "end_ts", "reg_id", skew_rows=None).collect())
+    y = sorted((r.reg_id, r["__island"]) for r in H.remove_overlaps(
+        iv, "employee", "start_ts", "end_ts", "reg_id", skew_rows=20).collect())
+    assert x == y
