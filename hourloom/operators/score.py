@@ -84,11 +84,18 @@ def canonical_merge(source_a: DataFrame, source_b: DataFrame,
     Source A: keep the mapped + A-only columns that exist, rename to canonical names, tag ``bron``.
     Source B: keep the canonical names that exist, tag ``bron``. Union by name; a column present in
     one source only is NULL for the other."""
+    from hourloom.operators.encode import CATEGORICAL
+
+    def as_categories(df: DataFrame) -> DataFrame:
+        # ids are categories; typing them as strings keeps the union free of lossy casts
+        return df.withColumns({c: F.col(c).cast("string") for c in CATEGORICAL
+                               if c in df.columns})
+
     a, _ = select_available(source_a, list(mapping) + list(a_only))
-    a = with_provenance(rename_columns(a, mapping), "bron", a_tag)
+    a = as_categories(with_provenance(rename_columns(a, mapping), "bron", a_tag))
     b_cols = list(dict.fromkeys(mapping.values()))
     b, _ = select_available(source_b, b_cols)
-    b = with_provenance(b, "bron", b_tag)
+    b = as_categories(with_provenance(b, "bron", b_tag))
     return union_all_by_name(b, a)
 
 
