@@ -182,13 +182,13 @@ def x9_serving_vector(spark, sf):
 # ── X10-X12 ──────────────────────────────────────────────────────────────────
 
 @register("x10_canonical_merge", """
-SELECT o_custkey % 50 AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
-       o_custkey AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
+SELECT CAST(o_custkey % 50 AS VARCHAR) AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
+       CAST(o_custkey AS VARCHAR) AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
        'tenant_b' AS con, o_totalprice AS REAL_WORKED_TIME, 'werkxpert' AS bron
 FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL BY NAME
-SELECT o_custkey % 50 AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
-       o_custkey AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
+SELECT CAST(o_custkey % 50 AS VARCHAR) AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
+       CAST(o_custkey AS VARCHAR) AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
        'tenant_a' AS con, o_totalprice AS REAL_WORKED_TIME, o_orderstatus AS EquipmentGroupTypes,
        'rister' AS bron
 FROM orders WHERE o_orderstatus = 'F'
