@@ -93,3 +93,9 @@ def test_scan_table_renames(spark):
     df = spark.createDataFrame([(1, "a", 2)], "Id long, Name string, Other int")
     out = tables.scan_table(lambda: df, "Units")
     assert out.columns == ["units_id", "unitsname", "Other"]
+
+
+def test_list_tables(spark):
+    spark.read.parquet(f"{SF001}/region.parquet").createOrReplaceTempView("region_view")
+    names = {r.tableName for r in tables.list_tables(spark).collect()}
+    assert "region_view" in names
