@@ -55,6 +55,8 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
     """Replace each categorical value by its code; values absent from the dictionary get
     ``unknown_code`` (−1 for the forest, 0 for serving; ``None`` keeps NULL). ``fill`` maps NULL
     inputs to the unknown category first (MLP policy)."""
+    from hourloom.session import materialize
+    dictionary = materialize(dictionary.where(F.col("column_name").isin(list(cols))))
     out = df
     for c in cols:
         d = dictionary.where(F.col("column_name") == c).select(

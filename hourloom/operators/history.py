@@ -85,9 +85,12 @@ def _set_cond(ks, cols, skew_rows) -> Column:
     return cond
 
 
-def _direct(df: DataFrame, keys, order, value, names: dict) -> DataFrame:
-    salt = "__salt"
-    d = df.withColumn(salt, _null_salt(keys, order))
+def _direct(df: DataFrame, keys, order, value, names: dict, salt_col: str | None = None
+            ) -> DataFrame:
+    """Plain windows. ``salt_col`` reuses an existing salt column (built on a key prefix), so
+    nested key sets (employee ⊂ employee+task) share one hash partitioning and one exchange."""
+    salt = salt_col or "__salt"
+    d = df if salt_col else df.withColumn(salt, _null_salt(keys, order))
     base = Window.partitionBy(*keys, salt).orderBy(*_order_cols(order))
     prior = base.rowsBetween(Window.unboundedPreceding, -1)
     valid = ~_any_null(keys)
@@ -101,7 +104,8 @@ def _direct(df: DataFrame, keys, order, value, names: dict) -> DataFrame:
         exprs[names["count"]] = F.when(valid, F.count(v).over(prior))
     if "cumcount" in names:
         exprs[names["cumcount"]] = F.when(valid, F.row_number().over(base) - F.lit(1))
-    return d.withColumns(exprs).drop(salt)
+    out = d.withColumns(exprs)
+    return out if salt_col else out.drop(salt)
 
 
 def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> DataFrame:
@@ -167,8 +171,8 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
 
 def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None,
                 mean: str | None = None, std: str | None = None, count: str | None = None,
-                cumcount: str | None = None, skew_rows: int | None = DEFAULT_SKEW_ROWS
-                ) -> DataFrame:
+                cumcount: str | None = None, skew_rows: int | None = DEFAULT_SKEW_ROWS,
+                salt_col: str | None = None) -> DataFrame:
     """Per row, statistics of ``value`` over the earlier rows of the same key.
 
     ``mean``/``std``/``count`` name the prior expanding mean, sample std (NULL for < 2 values, R11)
@@ -179,17 +183,19 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
                                ("cumcount", cumcount)) if v}
     keys, order = list(keys), list(order)
     if not skew_rows:
-        return _direct(df, keys, order, value, names)
+        return _direct(df, keys, order, value, names, salt_col)
     hot, n_hot, hot_rows = find_hot_keys(df, keys, skew_rows)
     if n_hot == 0:
-        return _direct(df, keys, order, value, names)
+        return _direct(df, keys, order, value, names, salt_col)
     hot_keys = hot.select(*keys)
     # NULL-key rows never match, so they stay on the cold side (and get NULL outputs there)
     cold_part = df.join(F.broadcast(hot_keys), on=keys, how="left_anti")
     hot_part = df.join(F.broadcast(hot_keys), on=keys, how="left_semi")
     n_chunks = max(2, math.ceil(hot_rows / skew_rows) * 2)
-    out_cold = _direct(cold_part, keys, order, value, names)
+    out_cold = _direct(cold_part, keys, order, value, names, salt_col)
     out_hot = _chunked(hot_part, keys, order, value, names, n_chunks)
+    if salt_col:
+        out_hot = out_hot.withColumn(salt_col, F.lit(0))
     return out_cold.unionByName(out_hot.select(*out_cold.columns))
 
 
@@ -322,19 +328,25 @@ def history_features(df: DataFrame, tenant: str, employee: str, client: str, tas
     def sk(keys):  # hot-key path only for key sets that have a hot key
         return skew_rows if tuple(keys) in hot else None
 
-    out = prior_stats(df, emp, order, hours, mean="med_gem_tijd", std="med_std_tijd",
-                      count="med_aantal_opdrachten", cumcount="med_totaal_opdrachten",
-                      skew_rows=sk(emp))
-    out = prior_stats(out, [tenant, task], order, hours, mean="taak_gem",
+    # W4 (tenant, task) first; then the three employee key sets share one salt column, so one
+    # hash partitioning on (tenant, employee, salt) serves all of them (a subset of each key set)
+    out = prior_stats(df, [tenant, task], order, hours, mean="taak_gem",
                       skew_rows=sk([tenant, task]))
+    salt = "__emp_salt"
+    out = out.withColumn(salt, _null_salt(emp, order))
+    out = prior_stats(out, emp, order, hours, mean="med_gem_tijd", std="med_std_tijd",
+                      count="med_aantal_opdrachten", cumcount="med_totaal_opdrachten",
+                      skew_rows=sk(emp), salt_col=salt)
     out = prior_stats(out, [*emp, task], order, hours, mean="med_bewerking_gem_tijd",
-                      cumcount="med_ervaring_bewerking", skew_rows=sk([*emp, task]))
+                      cumcount="med_ervaring_bewerking", skew_rows=sk([*emp, task]),
+                      salt_col=salt)
     if task_speed_keys:
         out = prior_stats(out, list(task_speed_keys), order, hours, mean="__speed_mean",
                           skew_rows=sk(task_speed_keys))
         out = out.withColumn("med_bewerking_gem_tijd", F.col("__speed_mean")).drop("__speed_mean")
     out = prior_stats(out, [*emp, client], order, hours, mean="med_klant_gem_tijd",
-                      cumcount="med_klant_bezoeken", skew_rows=sk([*emp, client]))
+                      cumcount="med_klant_bezoeken", skew_rows=sk([*emp, client]), salt_col=salt)
+    out = out.drop(salt)
     return out.withColumns({
         "med_klant_ratio": prior_ratio("med_klant_bezoeken", "med_totaal_opdrachten"),
         "med_klant_snelheid": safe_ratio("med_klant_gem_tijd", "med_gem_tijd"),

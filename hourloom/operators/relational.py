@@ -23,12 +23,31 @@ BROADCAST_MAX_ROWS = 2_000_000
 # ── helpers ──────────────────────────────────────────────────────────────────
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side provably has at most ``max_rows`` rows.
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM plan access (e.g. Connect): fall back to counting
+        return None
+
 
-    The check is ``limit(max_rows + 1).count()`` — it stops reading once the bound is passed.
-    Above the bound the frame is returned unchanged (shuffle join, AQE decides at runtime).
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a join side only when its size is bounded.
+
+    * If the optimizer's size estimate (from file sizes) is already below Spark's own broadcast
+      threshold, the frame is returned as is: the planner broadcasts it without a hint or job.
+    * Otherwise (typically an aggregate whose estimate is its input size) the rows are counted
+      with ``limit(max_rows + 1).count()`` — it stops once the bound is passed — and the hint is
+      set only when the count is within ``max_rows``.
+    Above the bound the join stays a shuffle join and AQE re-plans at runtime (skew splitting on).
     """
+    thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        thr_b = int(str(thr).lower().rstrip("b"))
+    except ValueError:
+        thr_b = 10 * 1024 * 1024
+    est = _estimated_bytes(df)
+    if est is not None and 0 < thr_b and est <= thr_b:
+        return df
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
@@ -120,6 +139,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[flo
     if st["d"] <= SMALL_DISTINCT:
         row = x.agg(F.percentile("v", [float(p) for p in probs]).alias("q")).first()
         return list(row["q"])
+    if "Exchange" in x._jdf.queryExecution().executedPlan().toString():
+        # a derived column (aggregate/join output): write it once instead of recomputing the
+        # input plan in every narrowing pass
+        from hourloom.session import materialize
+        x = materialize(x)
     pos = [float(p) * (n - 1) for p in probs]
     pairs = [(int(math.floor(q)), int(math.ceil(q))) for q in pos]
     eps = 4.0 / 10000
