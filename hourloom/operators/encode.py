@@ -29,19 +29,35 @@ SERVING_DEFAULT_DATE = "2020-01-01"
 CYCLIC_FEATURES = ["dag_sin", "dag_cos", "maand_sin", "maand_cos", "week_sin", "week_cos"]
 
 
-def category_dictionary(df: DataFrame, cols: Sequence[str], unknown: str | None = None
-                        ) -> DataFrame:
+def category_dictionary(df: DataFrame, cols: Sequence[str], unknown: str | None = None,
+                        ranges: int | None = None) -> DataFrame:
     """Per column, the sorted distinct values coded 0..n-1 → (column_name, value, code).
 
-    Values are compared as strings (after the optional NULL fill ``unknown``). One ``stack`` to
-    long form, one distinct, one ranking window per column over the *distinct values only*."""
+    Values are compared as strings (after the optional NULL fill ``unknown``). The distinct
+    (column, value) pairs are range-partitioned into balanced, contiguous ranges (materialised so
+    the ranges are stable), ranked inside each range, and shifted by the number of values of the
+    same column in earlier ranges (a small per-range count table) — a high-cardinality column is
+    never ranked in a single task."""
+    from hourloom.session import materialize
+
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)")
     if unknown is not None:
         long = long.withColumn("value", F.coalesce("value", F.lit(unknown)))
     long = long.where(F.col("value").isNotNull()).distinct()
-    w = Window.partitionBy("column_name").orderBy("value")
-    return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    r = materialize(long.repartitionByRange(n, "column_name", "value")
+                    .withColumn("__p", F.spark_partition_id()))
+    local = r.withColumn("__i", F.row_number().over(
+        Window.partitionBy("__p", "column_name").orderBy("value")) - 1)
+    cnt = r.groupBy("column_name", "__p").agg(F.count(F.lit(1)).alias("__n"))
+    off = cnt.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.partitionBy("column_name").orderBy("__p")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # one row per (column, range): bounded by #columns × ranges → broadcast
+    j = local.join(F.broadcast(off.select("column_name", "__p", "__off")), ["column_name", "__p"])
+    return j.select("column_name", "value", (F.col("__i") + F.col("__off")).cast("int")
+                    .alias("code"))
 
 
 def cardinality(dictionary: DataFrame) -> DataFrame:

@@ -146,3 +146,18 @@ def test_group_quantiles_hot_groups(spark):
         assert got[g] == pytest.approx(tuple(np.quantile(vals, [0.25, 0.5, 0.99])), rel=1e-12)
     f = {r.g: r for r in G.five_numbers(df, ["g"], "x", hot_rows=500).collect()}
     assert f["hot"].n == 3000 and f["hot"].median == pytest.approx(got["hot"][1])
+
+
+def test_category_dictionary_ranges(spark):
+    from hourloom.operators.encode import apply_dictionary, category_dictionary
+    rows = [(i, f"v{i % 37}", None if i % 11 == 0 else f"w{i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, a string, b string")
+    d = {(r.column_name, r.value): r.code for r in
+         category_dictionary(df, ["a", "b"], unknown="ONBEKEND", ranges=7).collect()}
+    for col, vals in (("a", {f"v{i}" for i in range(37)}),
+                      ("b", {f"w{i}" for i in range(5)} | {"ONBEKEND"})):
+        assert [d[(col, v)] for v in sorted(vals)] == list(range(len(vals)))
+    small = category_dictionary(df.where("id < 20"), ["a"])     # values v0..v19 only
+    coded = {r.id: r.a_code for r in apply_dictionary(df, small, ["a"], unknown_code=-1,
+                                                      suffix="_code").collect()}
+    assert coded[399] == -1 and coded[0] == 0          # v0 is the first sorted value
