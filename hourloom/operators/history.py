@@ -56,7 +56,10 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], skew_rows: int) -> tuple[D
     """Keys holding more than ``skew_rows`` rows, materialised, plus their count and row total.
 
     The result has at most ``rows / skew_rows`` entries, so it is safe to broadcast.
+    When the whole input has at most ``skew_rows`` rows no key can be hot and only that count runs.
     """
+    if df.count() <= skew_rows:
+        return df.sparkSession.createDataFrame([], df.select(*keys).schema.add("__rows", "long")), 0, 0
     counts = (df.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
               .where(F.col("__rows") > F.lit(skew_rows)))
     hot = materialize(counts)
@@ -68,6 +71,8 @@ def hot_key_sets(df: DataFrame, key_sets: Sequence[Sequence[str]], skew_rows: in
                  ) -> set[tuple[str, ...]]:
     """Which of several key sets have at least one key above ``skew_rows`` rows — one
     grouping-sets aggregation (one scan, partial aggregation before the shuffle) for all sets."""
+    if df.count() <= skew_rows:            # no key can exceed the bound
+        return set()
     cols = sorted({c for ks in key_sets for c in ks})
     g = df.groupingSets([[F.col(c) for c in ks] for ks in key_sets], *[F.col(c) for c in cols])\
         .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
