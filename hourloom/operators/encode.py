@@ -29,22 +29,29 @@ SERVING_DEFAULT_DATE = "2020-01-01"
 CYCLIC_FEATURES = ["dag_sin", "dag_cos", "maand_sin", "maand_cos", "week_sin", "week_cos"]
 
 
+SMALL_DICTIONARY = 1_000_000
+
+
 def category_dictionary(df: DataFrame, cols: Sequence[str], unknown: str | None = None,
                         ranges: int | None = None) -> DataFrame:
     """Per column, the sorted distinct values coded 0..n-1 → (column_name, value, code).
 
     Values are compared as strings (after the optional NULL fill ``unknown``). The distinct
-    (column, value) pairs are range-partitioned into balanced, contiguous ranges (materialised so
-    the ranges are stable), ranked inside each range, and shifted by the number of values of the
-    same column in earlier ranges (a small per-range count table) — a high-cardinality column is
-    never ranked in a single task."""
+    (column, value) pairs are materialised once. Up to ``SMALL_DICTIONARY`` pairs they are ranked
+    with one window per column (bounded input). Above that they are range-partitioned into
+    balanced, contiguous ranges, ranked inside each range and shifted by the number of values of
+    the same column in earlier ranges (a small per-range count table) — a high-cardinality
+    column is never ranked in a single task."""
     from hourloom.session import materialize
 
     pairs = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, value)")
     if unknown is not None:
         long = long.withColumn("value", F.coalesce("value", F.lit(unknown)))
-    long = long.where(F.col("value").isNotNull()).distinct()
+    long = materialize(long.where(F.col("value").isNotNull()).distinct())
+    if ranges is None and long.count() <= SMALL_DICTIONARY:
+        w = Window.partitionBy("column_name").orderBy("value")
+        return long.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
     n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
     r = materialize(long.repartitionByRange(n, "column_name", "value")
                     .withColumn("__p", F.spark_partition_id()))
@@ -71,8 +78,6 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
     """Replace each categorical value by its code; values absent from the dictionary get
     ``unknown_code`` (−1 for the forest, 0 for serving; ``None`` keeps NULL). ``fill`` maps NULL
     inputs to the unknown category first (MLP policy)."""
-    from hourloom.session import materialize
-    dictionary = materialize(dictionary.where(F.col("column_name").isin(list(cols))))
     out = df
     for c in cols:
         d = dictionary.where(F.col("column_name") == c).select(
@@ -91,13 +96,17 @@ def apply_dictionary(df: DataFrame, dictionary: DataFrame, cols: Sequence[str],
 
 def serving_vector(df: DataFrame, codes: Mapping[str, str], date_col: str,
                    categorical: Sequence[str] = CATEGORICAL, numerical: Sequence[str] = NUMERICAL,
-                   out: str = "features") -> DataFrame:
-    """The fixed ``float[36]`` serving vector.
+                   out: str = "features", model_input: str | None = None) -> DataFrame:
+    """The fixed 36-slot serving vector.
 
     Slots: the 11 category codes (unknown → 0; ``codes`` maps feature → code column), lat/lon,
     the six cyclic values recomputed from the date with **Sunday = 0** (train/serve skew R16,
     kept on purpose), then the remaining numeric features with NULL → 0. An unparsable date
-    falls back to 2020-01-01. Values are rounded to 6 decimals like the parity export."""
+    falls back to 2020-01-01. ``out`` holds the values rounded half-even to 6 decimals as doubles
+    (the parity record); ``model_input`` optionally adds the unrounded ``float32`` copy that a
+    model consumes. (Rounding works on the shortest decimal form of the double; Python's round
+    uses the exact binary value — they differ only on a 7th-decimal 5 that is inexact in
+    binary.)"""
     d = F.coalesce(F.try_to_timestamp(F.col(date_col).cast("string")).cast("date"),
                    F.lit(SERVING_DEFAULT_DATE).cast("date"))
     ds, dc = cyclic(weekday_sun0(d), 7)
@@ -116,4 +125,7 @@ def serving_vector(df: DataFrame, codes: Mapping[str, str], date_col: str,
                                     F.lit(0.0)))
         else:
             slots.append(F.lit(0.0))
-    return df.withColumn(out, F.array(*[F.bround(s, 6).cast("float") for s in slots]))
+    res = df.withColumn(out, F.array(*[F.bround(s, 6) for s in slots]))
+    if model_input:
+        res = res.withColumn(model_input, F.array(*[s.cast("float") for s in slots]))
+    return res

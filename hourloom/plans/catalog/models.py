@@ -157,5 +157,5 @@ def m20_batch_scoring(spark, sf):
     tm = ML.boosted_trees(FEATURES, "REAL_WORKED_TIME", max_iter=20).fit(tr)
     sm = ML.random_forest(FEATURES, "suitability_score", num_trees=20, max_depth=6).fit(tr)
     v = va.withColumn("row_index", F.col("__k")).withColumn(
-        "vec", F.array(*[F.bround(F.col(c).cast("double"), 6).cast("float") for c in FEATURES]))
+        "vec", F.array(*[F.col(c).cast("double") for c in FEATURES]))
     return ML.batch_score(v, "row_index", "vec", tm, sm)

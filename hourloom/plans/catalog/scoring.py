@@ -139,16 +139,16 @@ def _x9_sql() -> str:
     slots = []
     for c in E.CATEGORICAL:
         slots.append(f"coalesce(CAST(k_{_CODE_MAP[c]}.code AS DOUBLE), 0.0)" if c in _CODE_MAP
-                     else "0.0")
+                     else "CAST(0.0 AS DOUBLE)")
     for c in E.NUMERICAL:
         if c in cyc:
             slots.append(cyc[c])
         elif c in _HIST_AS:
             slots.append(f"coalesce(CAST(h.{c} AS DOUBLE), 0.0)")
         else:
-            slots.append("0.0")
+            slots.append("CAST(0.0 AS DOUBLE)")
     cols = ",\n  ".join(
-        f"CAST(CAST(round_even({s}, 6) AS FLOAT) AS DOUBLE) + 0.0 AS f{i:02d}"
+        f"round_even({s}, 6) + 0.0 AS f{i:02d}"
         for i, s in enumerate(slots))
     joins = "\n".join(
         f"LEFT JOIN (SELECT value, row_number() OVER (ORDER BY value) - 1 AS code FROM "
@@ -165,8 +165,8 @@ FROM r0 r JOIN h ON r.reg_id = h.reg_id
 
 @register("x9_serving_vector", _x9_sql())
 def x9_serving_vector(spark, sf):
-    """The 36-slot float serving vector (codes, Sunday-first cyclic values recomputed from the
-    date, NULL numerics → 0), one column per slot."""
+    """The 36-slot serving vector (codes, Sunday-first cyclic values recomputed from the
+    date, NULL numerics → 0, rounded to 6 decimals), one column per slot."""
     r = registrations(spark, sf)
     h = history_block(spark, sf).drop("con", "employee")
     d = E.category_dictionary(r, ["employee", "task", "client", "con"])
@@ -175,7 +175,7 @@ def x9_serving_vector(spark, sf):
     j = a.join(h, "reg_id")
     codes = {k: f"{v}_code" for k, v in _CODE_MAP.items()}
     v = E.serving_vector(j, codes, "work_date")
-    return v.select("reg_id", *[(F.col("features")[i].cast("double") + 0.0).alias(f"f{i:02d}")
+    return v.select("reg_id", *[(F.col("features")[i] + 0.0).alias(f"f{i:02d}")
                                 for i in range(len(E.FEATURES))])
 
 
