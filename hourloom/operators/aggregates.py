@@ -256,9 +256,10 @@ def range_report(df: DataFrame, ts: str, as_of: str) -> DataFrame:
     """Min, max, NULL count and count after ``as_of`` (D4: the reference compares to the
     current time; a parameter keeps runs deterministic)."""
     t = F.col(ts)
+    as_of_lit = F.lit(as_of).cast(df.schema[ts].dataType)   # same type: no zone conversion
     return df.agg(F.min(t).alias("min_ts"), F.max(t).alias("max_ts"),
                   F.count_if(t.isNull()).cast("long").alias("null_ts"),
-                  F.count_if(t > F.lit(as_of).cast("timestamp")).cast("long").alias("future_ts"))
+                  F.count_if(t > as_of_lit).cast("long").alias("future_ts"))
 
 
 def agg_map(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Column]) -> DataFrame:

@@ -302,7 +302,8 @@ def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str,
                 wl.rowsBetween(Window.unboundedPreceding, 0)))
         parts.append(h.drop("__new", "__pn", "__chunk").select(*c.columns))
     allr = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    dur = F.unix_micros(F.col(end).cast("timestamp")) - F.unix_micros(F.col(start).cast("timestamp"))
+    # time-zone free (no DST shifts whatever the session zone is)
+    dur = F.timestamp_diff("MICROSECOND", F.col(start), F.col(end))
     cols = [x for x in allr.columns if x not in (key, "__island")]
     best = allr.groupBy(key, "__island").agg(
         F.max_by(F.struct(*[F.col(x) for x in cols]), F.struct(dur, -F.col(uid))).alias("__r"))

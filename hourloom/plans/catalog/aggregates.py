@@ -286,8 +286,7 @@ FROM orders
 """)
 def g25_range_report(spark, sf):
     """min/max, NULL count and count after an as-of date."""
-    o = read_table(spark, sf, "orders").withColumn("o_orderdate",
-                                                   F.col("o_orderdate").cast("timestamp"))
+    o = read_table(spark, sf, "orders")
     r = G.range_report(o, "o_orderdate", "2001-01-01")
-    return r.select(F.col("min_ts").cast("timestamp_ntz").alias("min_ts"),
-                    F.col("max_ts").cast("timestamp_ntz").alias("max_ts"), "null_ts", "future_ts")
+    return r.select(F.col("min_ts").alias("min_ts"),
+                    F.col("max_ts").alias("max_ts"), "null_ts", "future_ts")
