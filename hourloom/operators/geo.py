@@ -97,8 +97,18 @@ def _inside(px: Column, py: Column, ring: Column) -> Column:
     return F.pmod(cnt, F.lit(2)) == 1
 
 
+def auto_cell(polygons: DataFrame, ring: str) -> float:
+    """Grid cell size: the median bounding-box extent of the polygons (approximate median over
+    the polygon table), so a typical polygon touches about four cells."""
+    xs = F.transform(F.col(ring), lambda p: p["x"])
+    ys = F.transform(F.col(ring), lambda p: p["y"])
+    ext = F.greatest(F.array_max(xs) - F.array_min(xs), F.array_max(ys) - F.array_min(ys))
+    v = polygons.agg(F.percentile_approx(ext, 0.5).alias("m")).first()["m"]
+    return float(v) if v and v > 0 else 1.0
+
+
 def point_in_polygon(points: DataFrame, x: str, y: str, polygons: DataFrame, ring: str,
-                     cell: float) -> DataFrame:
+                     cell: float | None = None) -> DataFrame:
     """Left join every point to each polygon that contains it (fan-out when polygons
     overlap; points inside none, or with NULL coordinates, keep NULL polygon columns).
 
@@ -107,6 +117,8 @@ def point_in_polygon(points: DataFrame, x: str, y: str, polygons: DataFrame, rin
     test as extra join condition. The polygon side is broadcast behind a size check; otherwise
     it is a shuffle join on the cell (AQE splits a dense cell).
     """
+    if cell is None:
+        cell = auto_cell(polygons, ring)
     xs = F.transform(F.col(ring), lambda p: p["x"])
     ys = F.transform(F.col(ring), lambda p: p["y"])
     c = F.lit(float(cell))

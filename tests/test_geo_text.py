@@ -22,10 +22,15 @@ def test_point_in_polygon_edges(spark):
     pts = spark.createDataFrame(
         [(1, 2.0, 2.0), (2, 20.0, 20.0), (3, 0.0, 5.0), (4, 10.0, 5.0), (5, 0.0, 0.0),
          (6, 7.0, 7.0), (7, None, 1.0)], "id int, x double, y double")
-    out = point_in_polygon(pts, "x", "y", polys, "ring", cell=4.0)
-    got = {}
-    for r in out.collect():
-        got.setdefault(r.id, set()).add(r.pid)
+    for cell in (4.0, None):                  # explicit and automatic grid
+        out = point_in_polygon(pts, "x", "y", polys, "ring", cell=cell)
+        got = {}
+        for r in out.collect():
+            got.setdefault(r.id, set()).add(r.pid)
+        _check_pip(got)
+
+
+def _check_pip(got):
     assert got[1] == {1}               # inside
     assert got[2] == {None}            # outside → kept with NULL
     assert got[3] == {1}               # on the left edge: in (half-open rule)
