@@ -266,5 +266,3 @@ def agg_map(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Column]) -> D
     """Named multi-aggregate helper (G5 style): ``{out_name: aggregate expression}``."""
     return df.groupBy(*keys).agg(*[e.alias(n) for n, e in spec.items()])
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["exact_quantiles"]
