@@ -30,10 +30,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Tokenising and counting are CPU-heavy per document. When the scan yields fewer partitions
     than the cluster has task slots (a few large files), hash-spread the documents over 4× the
     slots first; with a normal split count (large inputs) nothing is shuffled."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(4 * slots, key)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < slots
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan layout
+        return df
+    return df.repartition(4 * slots, key) if few else df
 
 
 def terms(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> DataFrame:

@@ -31,7 +31,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.driver.memory", os.environ.get("HOURLOOM_DRIVER_MEMORY", "16g")))
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - remote sessions have no local context
+        pass
     checkpoint_dir(spark)
     return spark
 
@@ -43,7 +46,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Only when it is unset — local runs and tests — a fresh folder under the system temp dir is
     created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the checkpoint folder
+        return spark.conf.get("spark.checkpoint.dir", "") or ""
     current = sc.getCheckpointDir()
     if current:
         return current
