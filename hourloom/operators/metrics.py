@@ -60,7 +60,7 @@ def regression_metrics(df: DataFrame, label: str, pred: str, keys: Sequence[str]
                                               F.lit(0.0))).alias("r2"))
 
 
-def ndcg_at_k(df: DataFrame, group: Sequence[str], gain: str, pred: str, k: int,
+def ndcg_at_k(df: DataFrame, group: Sequence[str], gain: str, pred: str, k: int | Sequence[int],
               per_group: bool = False) -> DataFrame:
     """NDCG@k per group with tie-averaged DCG, mean/std over groups of ≥ 2 rows.
 
@@ -68,32 +68,46 @@ def ndcg_at_k(df: DataFrame, group: Sequence[str], gain: str, pred: str, k: int,
     ``avg(gain) · Σ_{p=st+1}^{min(st+n,k)} 1/log2(p+1)``. IDCG sorts by gain. IDCG 0 → 0.
     Only the first ``k`` blocks and the first ``k`` gains of a group matter, so both sides are
     top-k windows (Spark plans a WindowGroupLimit before the shuffle: a huge group sends at most
-    k rows per task), never a full sort of a group.
+    k rows per task), never a full sort of a group. Several cut-offs (``k`` a list) share one
+    block aggregation and one ideal ranking, computed for the largest k.
     """
+    ks = [k] if isinstance(k, int) else list(k)
+    kmax = max(ks)
     g = list(group)
     sizes = df.groupBy(*g).agg(F.count(F.lit(1)).alias("__size"))
     blocks = df.groupBy(*g, pred).agg(F.count(F.lit(1)).alias("__n"),
                                       F.avg(F.col(gain).cast("double")).alias("__g"))
     wb = Window.partitionBy(*g).orderBy(F.col(pred).desc())
-    blocks = blocks.withColumn("__bi", F.row_number().over(wb)).where(F.col("__bi") <= k)
+    blocks = blocks.withColumn("__bi", F.row_number().over(wb)).where(F.col("__bi") <= kmax)
     blocks = blocks.withColumn("__st", F.coalesce(F.sum("__n").over(
         wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    disc = F.aggregate(F.sequence(F.col("__st") + 1, F.least(F.col("__st") + F.col("__n"),
-                                                               F.lit(k))),
-                       F.lit(0.0), lambda a, p: a + F.lit(1.0) / F.log2(p + F.lit(1.0)))
-    dcg = blocks.where(F.col("__st") < k).groupBy(*g).agg(
-        F.sum(F.col("__g") * disc).alias("dcg"))
+
+    def disc(kk):
+        return F.aggregate(F.sequence(F.col("__st") + 1, F.least(F.col("__st") + F.col("__n"),
+                                                                  F.lit(kk))),
+                           F.lit(0.0), lambda a, p: a + F.lit(1.0) / F.log2(p + F.lit(1.0)))
+
+    dcg = blocks.groupBy(*g).agg(*[
+        F.sum(F.when(F.col("__st") < kk, F.col("__g") * disc(kk)).otherwise(F.lit(0.0)))
+        .alias(f"__dcg{kk}") for kk in ks])
     wi = Window.partitionBy(*g).orderBy(F.col(gain).desc())
-    ideal = df.select(*g, gain).withColumn("__r", F.row_number().over(wi)).where(F.col("__r") <= k)
-    idcg = ideal.groupBy(*g).agg(F.sum(F.col(gain).cast("double")
-                                       / F.log2(F.col("__r") + F.lit(1.0))).alias("idcg"))
+    ideal = df.select(*g, gain).withColumn("__r", F.row_number().over(wi))\
+        .where(F.col("__r") <= kmax)
+    ig = F.col(gain).cast("double") / F.log2(F.col("__r") + F.lit(1.0))
+    idcg = ideal.groupBy(*g).agg(*[F.sum(F.when(F.col("__r") <= kk, ig).otherwise(F.lit(0.0)))
+                                   .alias(f"__idcg{kk}") for kk in ks])
     per = sizes.where(F.col("__size") >= 2).join(dcg, g, "left").join(idcg, g, "left")
-    per = per.withColumn("ndcg", F.when(F.col("idcg") > 0, F.col("dcg") / F.col("idcg"))
-                         .otherwise(F.lit(0.0)))
+    per = per.withColumns({f"ndcg_{kk}": F.when(F.col(f"__idcg{kk}") > 0,
+                                                 F.col(f"__dcg{kk}") / F.col(f"__idcg{kk}"))
+                           .otherwise(F.lit(0.0)) for kk in ks})
     if per_group:
-        return per.select(*g, "ndcg")
-    return per.agg(F.count(F.lit(1)).cast("long").alias("groups"),
-                   F.avg("ndcg").alias(f"ndcg_at_{k}"), F.stddev_pop("ndcg").alias(f"ndcg_std_{k}"))
+        out = per.select(*g, *[f"ndcg_{kk}" for kk in ks])
+        return out.withColumnRenamed(f"ndcg_{ks[0]}", "ndcg") if isinstance(k, int) else out
+    aggs = [F.count(F.lit(1)).cast("long").alias("groups")]
+    for kk in ks:
+        aggs += [F.avg(f"ndcg_{kk}").alias(f"ndcg_at_{kk}"),
+                 F.stddev_pop(f"ndcg_{kk}").alias(f"ndcg_std_{kk}")]
+    return per.agg(*aggs)
 
 
 def hit_rate_candidates(sampled: DataFrame, people: DataFrame, tenant: str, task_id: str,

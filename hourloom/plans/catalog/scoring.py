@@ -9,7 +9,6 @@ from hourloom.functions.features import with_cyclic_calendar, with_quantity_buck
 from hourloom.operators import encode as E
 from hourloom.operators import metrics as M
 from hourloom.operators import score as S
-from hourloom.operators.quality import side_by_side
 from hourloom.operators.relational import hash_sample, union_all_by_name
 from hourloom.plans.catalog.history import HISTORY_SQL, history_block
 from hourloom.plans.registry import register
@@ -423,9 +422,7 @@ def m11_ndcg(spark, sf):
     r = registrations(spark, sf).select(
         "con", "task", F.round(F.col("hours") / 100000.0).cast("double").alias("gain"),
         F.pmod(F.col("reg_id") * 37, F.lit(11)).cast("long").alias("pred"))
-    n3 = M.ndcg_at_k(r, ["con", "task"], "gain", "pred", 3)
-    n5 = M.ndcg_at_k(r, ["con", "task"], "gain", "pred", 5).drop("groups")
-    out = side_by_side(n3, n5)
+    out = M.ndcg_at_k(r, ["con", "task"], "gain", "pred", [3, 5])
     return out.select("groups", *[F.round(c, 6).alias(c) for c in
                                   ("ndcg_at_3", "ndcg_std_3", "ndcg_at_5", "ndcg_std_5")])
 

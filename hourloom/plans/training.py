@@ -15,7 +15,7 @@ from hourloom.functions.columns import composite_key, fill_unknown, lenient_doub
 from hourloom.operators import encode as E
 from hourloom.operators import metrics as M
 from hourloom.operators import models as ML
-from hourloom.operators.relational import hash_sample
+from hourloom.operators.relational import expand_candidates, hash_sample
 from hourloom.operators.score import canonical_merge, suitability_score
 
 TARGET_TIME = "REAL_WORKED_TIME"
@@ -72,15 +72,14 @@ def train(spark: SparkSession, merged: DataFrame, uid: str, min_tenant_rows: int
     rank_pipe = ML.random_forest(feats, TARGET_RANK, num_trees=50)
     ranker = ML.fit_per_tenant(rank_pipe, g.where("group_train"), "con", min_tenant_rows)
     gv = ranker.transform(g.where(~F.col("group_train")))
-    nd3 = M.ndcg_at_k(gv, ["_group_key"], TARGET_RANK, "prediction", 3)
-    nd5 = M.ndcg_at_k(gv, ["_group_key"], TARGET_RANK, "prediction", 5)
+    nd = M.ndcg_at_k(gv, ["_group_key"], TARGET_RANK, "prediction", [3, 5])
 
     # hit rate: 500 validation rows, every employee of the tenant, the row's other features
     emp = "URENVERANTW_MEDID_code"
     sampled = hash_sample(g.where(~F.col("group_train")), uid, 500)\
         .withColumnRenamed(emp, "actual").drop("features", "prediction")
     people = g.select("con", emp).distinct()
-    cand = sampled.join(people, "con")
+    cand = expand_candidates(sampled, people, "con")      # J15: bounded request broadcast
     scored = ranker.transform(cand).drop("features")
     top = ML.rank_candidates(scored, uid, "prediction", emp, k=3)
     hits = top.where(F.col(emp) == F.col("actual")).select(uid).distinct()
@@ -93,5 +92,5 @@ def train(spark: SparkSession, merged: DataFrame, uid: str, min_tenant_rows: int
         F.col("mae").alias("time_mae"), F.col("rmse").alias("time_rmse"),
         F.col("r2").alias("time_r2"), F.col("n").alias("dataset_rows"))
     from hourloom.operators.quality import side_by_side
-    metrics = side_by_side(rows, nd3.select("ndcg_at_3"), nd5.select("ndcg_at_5"), hr)
+    metrics = side_by_side(rows, nd.select("ndcg_at_3", "ndcg_at_5"), hr)
     return TrainResult(reg, ranker, dic, metrics, feats)
