@@ -111,7 +111,7 @@ def to_float32(x: ColLike) -> Column:
 
 
 def composite_key(*cols: ColLike, sep: str = "__") -> Column:
-    """``a__b`` string key. Callers fill NULLs first (B10); ``concat_ws`` skips NULLs."""
+    """``a__b`` string key. Callers fill NULLs first (B10); ``concat_ws`` skips NULLs."""
     return F.concat_ws(sep, *[_c(c).cast("string") for c in cols])
 
 

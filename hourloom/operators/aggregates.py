@@ -60,7 +60,7 @@ def net_work_time(df: DataFrame, keys: Sequence[str], kind: str, hours: str, bre
 
 
 def snake(v: str) -> str:
-    """Column-name form of a value: lower case, spaces → underscores (reference naming)."""
+    """C4: column-name form of a value — lower case, spaces → underscores (reference naming)."""
     return re.sub(r"\s", "_", str(v).lower())
 
 
