@@ -204,8 +204,8 @@ def having_count(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], min
 
 def lookup(df: DataFrame, dim: DataFrame, left_on: Sequence[str], right_on: Sequence[str],
            how: str = "left", broadcast: bool = True) -> DataFrame:
-    """Equi join with differing key names (composite keys allowed); the right-hand key
-    columns are dropped after the join so no ambiguous names survive (J5)."""
+    """Equi join with differing key names (composite keys allowed). One copy of each key
+    survives — the preserved side's — so no ambiguous names remain (J5)."""
     cond = reduce(lambda a, b: a & b,
                   [df[lk] == dim[rk] for lk, rk in zip(left_on, right_on, strict=True)])
     d = bounded_broadcast(dim) if broadcast and how in ("left", "inner", "left_semi",
@@ -213,9 +213,9 @@ def lookup(df: DataFrame, dim: DataFrame, left_on: Sequence[str], right_on: Sequ
     out = df.join(d, cond, how)
     if how in ("left_semi", "left_anti"):
         return out
-    drop = [dim[rk] for lk, rk in zip(left_on, right_on) if lk != rk or how == "right"]
-    for c in drop:
-        out = out.drop(c)
+    # keep one copy of each key: the preserved side's (the right side's for a right join)
+    for lk, rk in zip(left_on, right_on):
+        out = out.drop(df[lk]) if how == "right" else out.drop(dim[rk])
     return out
 
 

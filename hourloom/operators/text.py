@@ -93,8 +93,8 @@ def tfidf(df: DataFrame, doc: str, text: str, min_df: int = MIN_DF,
     """L2-normalised TF-IDF in long form ``(doc, term, idx, tfidf)`` plus the vocabulary.
 
     Only vocabulary hits are counted per document: the exploded terms meet the broadcast
-    vocabulary (≤ ``max_features`` rows), then ``(doc, idx)`` integer keys are counted and the
-    per-document norm is a window over the same document clustering (no extra exchange)."""
+    vocabulary (≤ ``max_features`` rows), then ``(doc, idx)`` integer keys are counted (partial
+    aggregation first) and the per-document norm is a window partitioned by document."""
     from pyspark.sql import Window
     n_docs = df.count()
     t = terms(spread(df, doc), doc, text)

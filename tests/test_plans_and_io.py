@@ -99,3 +99,14 @@ def test_list_tables(spark):
     spark.read.parquet(f"{SF001}/region.parquet").createOrReplaceTempView("region_view")
     names = {r.tableName for r in tables.list_tables(spark).collect()}
     assert "region_view" in names
+
+
+def test_lookup_keeps_one_key_copy(spark):
+    from hourloom.operators.relational import lookup
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "one")], "k int, name string")
+    left = lookup(a, b, ["k"], ["k"])
+    assert left.columns == ["k", "v", "name"]
+    assert sorted((r.k, r.name) for r in left.collect()) == [(1, "one"), (2, None)]
+    right = lookup(b, a, ["k"], ["k"], how="right")
+    assert sorted(r.k for r in right.collect()) == [1, 2]
