@@ -29,6 +29,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+          # checkpoints written by `materialize` are removed once their DataFrame is unreachable
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.driver.memory", os.environ.get("HOURLOOM_DRIVER_MEMORY", "16g")))
     spark = b.getOrCreate()
     try:
