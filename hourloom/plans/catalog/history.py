@@ -62,11 +62,12 @@ _INTS = ["med_aantal_opdrachten", "med_ervaring_bewerking", "med_klant_bezoeken"
          "med_totaal_opdrachten"]
 
 
-def history_block(spark, sf_dir, skew_rows=H.DEFAULT_SKEW_ROWS):
+def history_block(spark, sf_dir, skew_rows=H.DEFAULT_SKEW_ROWS, keep=()):
+    """The W1-W9 block on the stand-in registrations (``keep``: extra input columns to carry)."""
     reg = registrations(spark, sf_dir)
     f = H.history_features(reg, tenant="con", employee="employee", client="client", task="task",
                            date="work_date", uid="reg_id", hours="hours", skew_rows=skew_rows)
-    return f.select("reg_id", "con", "employee", *[_r(c) for c in _FLOATS],
+    return f.select("reg_id", "con", "employee", *keep, *[_r(c) for c in _FLOATS],
                     *[F.col(c).cast("long").alias(c) for c in _INTS])
 
 

@@ -167,11 +167,11 @@ def x9_serving_vector(spark, sf):
     """The 36-slot serving vector (codes, Sunday-first cyclic values recomputed from the
     date, NULL numerics → 0, rounded to 6 decimals), one column per slot."""
     r = registrations(spark, sf)
-    h = history_block(spark, sf).drop("con", "employee")
     d = E.category_dictionary(r, ["employee", "task", "client", "con"])
-    a = E.apply_dictionary(r, d, ["employee", "task", "client", "con"], unknown_code=0,
+    # the history block carries the columns the codes and the date need: no join back on reg_id
+    h = history_block(spark, sf, keep=["task", "client", "work_date"])
+    j = E.apply_dictionary(h, d, ["employee", "task", "client", "con"], unknown_code=0,
                            suffix="_code")
-    j = a.join(h, "reg_id")
     codes = {k: f"{v}_code" for k, v in _CODE_MAP.items()}
     v = E.serving_vector(j, codes, "work_date")
     return v.select("reg_id", *[(F.col("features")[i] + 0.0).alias(f"f{i:02d}")
