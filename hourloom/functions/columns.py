@@ -125,9 +125,17 @@ def right_closed_bin(x: ColLike, edges: Sequence[float]) -> Column:
     return e
 
 
+def numpy_round(x: ColLike, digits: int) -> Column:
+    """numpy's rounding — multiply by 10^digits, round half to even on the double
+    (``rint``), divide. Same IEEE operations as ``ndarray.round``, so results match it exactly
+    (e.g. 107.94999999999999 → 108.0, where ``bround`` gives 107.9)."""
+    scale = F.lit(float(10 ** digits))
+    return F.rint(_c(x).cast("double") * scale) / scale
+
+
 def clamp_round(p: ColLike, digits: int = 2) -> Column:
-    """Non-negative clamp then half-even rounding (numpy rounding, R13)."""
-    return F.bround(F.greatest(_c(p).cast("double"), F.lit(0.0)), digits)
+    """Non-negative clamp then numpy half-even rounding."""
+    return numpy_round(F.greatest(_c(p).cast("double"), F.lit(0.0)), digits)
 
 
 # ── C1-C4: strings ───────────────────────────────────────────────────────────

@@ -141,8 +141,9 @@ SELECT event_id,
        WHEN value / 500.0 > 0.4 AND value / 500.0 <= 0.6 THEN 2
        WHEN value / 500.0 > 0.6 AND value / 500.0 <= 0.8 THEN 3
        WHEN value / 500.0 > 0.8 AND value / 500.0 <= 1.001 THEN 4 END AS label,
-  round_even(greatest(value - 100.0, 0.0), 1) AS clamped
-FROM events
+  (CASE WHEN r - floor(r) > 0.5 THEN floor(r) + 1 WHEN r - floor(r) < 0.5 THEN floor(r)
+        WHEN floor(r) % 2 = 0 THEN floor(r) ELSE floor(r) + 1 END) / 10.0 AS clamped
+FROM (SELECT *, greatest(value - 100.0, 0.0) * 10.0 AS r FROM events)
 """)
 def b10_b14_fill_cast_key_bin_round(spark, sf):
     """Unknown fill, lenient and float32 casts, composite key, right-closed bins,

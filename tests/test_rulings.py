@@ -161,3 +161,13 @@ def test_category_dictionary_ranges(spark):
     coded = {r.id: r.a_code for r in apply_dictionary(df, small, ["a"], unknown_code=-1,
                                                       suffix="_code").collect()}
     assert coded[399] == -1 and coded[0] == 0          # v0 is the first sorted value
+
+
+def test_numpy_rounding_r13(spark):
+    import numpy as np
+    vals = [207.95 - 100.0, 2.675, 0.125, 1.005, -0.5, 0.5, 1.5, 2.5, 123.456789]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r.y for r in df.select(C.numpy_round("x", 2).alias("y")).collect()]
+    assert got == [float(v) for v in np.round(np.array(vals), 2)]
+    got1 = [r.y for r in df.select(C.clamp_round("x", 1).alias("y")).collect()]
+    assert got1 == [float(v) for v in np.round(np.clip(np.array(vals), 0, None), 1)]
