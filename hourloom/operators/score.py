@@ -13,7 +13,7 @@ from hourloom.operators.aggregates import concentration
 from hourloom.operators.relational import bounded_broadcast, union_all_by_name
 
 # Source-A column → canonical (system B) column names, the source-A-only columns,
-# and the score weights.
+# the provenance tags of the two sources (values of the `bron` category) and the score weights.
 COLUMN_MAPPING = {
     "EmployeeId": "URENVERANTW_MEDID",
     "ServiceLineId_x": "DIENST_ART_ID",
@@ -51,6 +51,8 @@ COLUMN_MAPPING = {
     "hoeveelheid_uur": "REAL_WORKED_TIME",
 }
 SOURCE_A_ONLY = ["EquipmentGroupTypes", "planninggroupsname", "hoeveelheid_baal"]
+SOURCE_A_TAG = "rister"
+SOURCE_B_TAG = "werkxpert"
 EXPERIENCE_WEIGHT = 0.6
 VISITS_WEIGHT = 0.4
 
@@ -78,7 +80,7 @@ def suitability_score(df: DataFrame, tenant: str = "con",
 def canonical_merge(source_a: DataFrame, source_b: DataFrame,
                     mapping: Mapping[str, str] = COLUMN_MAPPING,
                     a_only: Sequence[str] = SOURCE_A_ONLY,
-                    a_tag: str = "rister", b_tag: str = "werkxpert") -> DataFrame:
+                    a_tag: str = SOURCE_A_TAG, b_tag: str = SOURCE_B_TAG) -> DataFrame:
     """Bring both sources to one schema and union them (system B rows first).
 
     Source A: keep the mapped + A-only columns that exist, rename to canonical names, tag ``bron``.

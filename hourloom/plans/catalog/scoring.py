@@ -180,16 +180,16 @@ def x9_serving_vector(spark, sf):
 
 # ── X10-X12 ──────────────────────────────────────────────────────────────────
 
-@register("x10_canonical_merge", """
+@register("x10_canonical_merge", f"""
 SELECT CAST(o_custkey % 50 AS VARCHAR) AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
        CAST(o_custkey AS VARCHAR) AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
-       'tenant_b' AS con, o_totalprice AS REAL_WORKED_TIME, 'werkxpert' AS bron
+       'tenant_b' AS con, o_totalprice AS REAL_WORKED_TIME, '{S.SOURCE_B_TAG}' AS bron
 FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL BY NAME
 SELECT CAST(o_custkey % 50 AS VARCHAR) AS URENVERANTW_MEDID, o_orderpriority AS BEWERKING_ID,
        CAST(o_custkey AS VARCHAR) AS RELATIE_ID, CAST(o_orderdate AS DATE) AS URENVERANTW_DATUM,
        'tenant_a' AS con, o_totalprice AS REAL_WORKED_TIME, o_orderstatus AS EquipmentGroupTypes,
-       'rister' AS bron
+       '{S.SOURCE_A_TAG}' AS bron
 FROM orders WHERE o_orderstatus = 'F'
 """)
 def x10_canonical_merge(spark, sf):

@@ -161,7 +161,9 @@ def test_merge_and_train(spark):
     merged = TR.merge(a, b)
     cols = set(merged.columns)
     assert {"bron", "suitability_score", "REAL_WORKED_TIME", "con", "URENVERANTW_MEDID"} <= cols
-    assert {r.bron for r in merged.select("bron").distinct().collect()} == {"rister", "werkxpert"}
+    from hourloom.operators.score import SOURCE_A_TAG, SOURCE_B_TAG
+    assert {r.bron for r in merged.select("bron").distinct().collect()} == {SOURCE_A_TAG,
+                                                                             SOURCE_B_TAG}
     m = merged.withColumn("row_id", F.monotonically_increasing_id())
     res = TR.train(spark, m.checkpoint(), "row_id", min_tenant_rows=20, reg_iter=5)
     rec = res.metrics.first()
