@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 ColLike = Column | str
 
+# Fixed value: the category that stands for a missing categorical value.
+UNKNOWN = "ONBEKEND"
+
 
 def _c(c: ColLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -85,7 +88,7 @@ def any_positive_sum(*cols: ColLike) -> Column:
 
 
 def fill_unknown(df: DataFrame, categorical: Sequence[str] = (), numeric: Sequence[str] = (),
-                 unknown: str = "ONBEKEND") -> DataFrame:
+                 unknown: str = UNKNOWN) -> DataFrame:
     """Categorical NULL → ``unknown`` (as string), numeric NULL (and NaN) → 0."""
     cols = set(df.columns)
     exprs = {}
