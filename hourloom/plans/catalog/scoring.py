@@ -398,7 +398,8 @@ d{k} AS (SELECT con, task, sum(g * list_sum(list_transform(range(st + 1, least(s
 i{k} AS (SELECT con, task, sum(gain / log2(r + 1.0)) AS idcg FROM (
         SELECT con, task, gain, row_number() OVER (PARTITION BY con, task ORDER BY gain DESC) AS r
         FROM t) WHERE r <= {k} GROUP BY con, task),
-n{k} AS (SELECT CASE WHEN i{k}.idcg > 0 THEN d{k}.dcg / i{k}.idcg ELSE 0.0 END AS ndcg
+n{k} AS (SELECT sz.con, sz.task,
+        CASE WHEN i{k}.idcg > 0 THEN d{k}.dcg / i{k}.idcg ELSE 0.0 END AS ndcg
       FROM sz JOIN d{k} ON sz.con = d{k}.con AND sz.task = d{k}.task
       JOIN i{k} ON sz.con = i{k}.con AND sz.task = i{k}.task WHERE sz.size >= 2)"""
 
@@ -475,3 +476,27 @@ def m12b_hit_rate_in_group(spark, sf):
     sampled = hash_sample(r, "reg_id", 500)
     h = M.hit_rate_in_group(r, sampled, ["con", "task"], "reg_id", "employee", "hours", k=3)
     return h.select("tasks", "hits", F.round("hit_rate", 6).alias("hit_rate"))
+
+
+_NDCG_BASE = f"""
+WITH r AS ({REG_SQL}),
+t AS (SELECT con, task, CAST(round(hours / 100000.0) AS DOUBLE) AS gain,
+             CAST((reg_id * 37) % 11 AS BIGINT) AS pred FROM r),
+sz AS (SELECT con, task, count(*) AS size FROM t GROUP BY con, task),
+{_ndcg_sql(3)},
+{_ndcg_sql(5)}
+"""
+
+
+@register("m11_ndcg_per_group", _NDCG_BASE + """
+SELECT n3.con, n3.task, round(n3.ndcg, 6) AS ndcg_3, round(n5.ndcg, 6) AS ndcg_5
+FROM n3 JOIN n5 ON n3.con = n5.con AND n3.task = n5.task
+""")
+def m11_ndcg_per_group(spark, sf):
+    """The per-group NDCG@3/@5 distribution (groups of ≥ 2 rows) behind the mean."""
+    r = registrations(spark, sf).select(
+        "con", "task", F.round(F.col("hours") / 100000.0).cast("double").alias("gain"),
+        F.pmod(F.col("reg_id") * 37, F.lit(11)).cast("long").alias("pred"))
+    per = M.ndcg_at_k(r, ["con", "task"], "gain", "pred", [3, 5], per_group=True)
+    return per.select("con", "task", F.round("ndcg_3", 6).alias("ndcg_3"),
+                      F.round("ndcg_5", 6).alias("ndcg_5"))
