@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -50,6 +51,16 @@ def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that are done and staged.
+
+    Spark deletes them when the driver's JVM collects the DataFrames that made them, which an idle
+    driver seldom does by itself.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fan_out(df: DataFrame, rows: int, rows_per_task: int) -> int:
     """Partitions for ``rows`` rows: grows with the rows, at least the session's setting."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import bpe_codec, quality_ranking, quality_rules, token_counts
+from hourloom.llm import bpe_codec, quality_ranking, quality_rules, simhash, substring_dedup, token_counts
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,12 +25,27 @@ def remainder(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+@register
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in 20-word windows that also start earlier, removed; a digest of what is kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 @register
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens per document of the byte-level vocabulary, by heap-and-linked-list merging."""
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@register
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 4-word shingles, at most 4 differing bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, distance=4).select(
+        "doc_id", "fingerprint", "component_id")
+
+
 @register
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode each document by tree reduction, decode the ids again, digest both."""
