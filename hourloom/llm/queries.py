@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import bpe_codec, quality_ranking, quality_rules, simhash, substring_dedup, token_counts
+from hourloom.llm import bpe_codec, quality_ranking, quality_rules, simhash, substring_dedup, token_counts, warc
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         "failed_rules")
+
+
+@register
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records, equal payloads once, and read back by byte ranges."""
+    return warc.archive_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op10_warc"] = """
+WITH p AS (SELECT page_id, coalesce(encode(html), ''::BLOB) AS b FROM pages),
+d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
+m AS (SELECT payload_digest, payload_bytes, max(page_id) AS last FROM d GROUP BY ALL)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN d.payload_bytes >= 1000 AND d.page_id < m.last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN d.payload_bytes >= 1000 AND d.page_id < m.last THEN m.last END AS refers_to
+FROM d JOIN m USING (payload_digest, payload_bytes)
+"""
