@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import bpe_codec, quality_ranking, quality_rules, simhash, substring_dedup, token_counts, warc
+from hourloom.llm import (bpe_codec, decontamination, quality_ranking, quality_rules, simhash, substring_dedup,
+                          token_counts, warc)
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +26,13 @@ def remainder(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+@register
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verified overlaps of all documents with all benchmark items, by spaced seeds."""
+    found = decontamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("k")
+
+
 @register
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 20-word windows that also start earlier, removed; a digest of what is kept."""
