@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import (bpe_codec, decontamination, quality_ranking, quality_rules, simhash, substring_dedup,
-                          token_counts, warc)
+from hourloom.llm import (bpe_codec, decontamination, licenses, quality_ranking, quality_rules, simhash,
+                          substring_dedup, token_counts, warc)
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("k")
 
 
+@register
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and template spans in all documents, by diagonal voting."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 20-word windows that also start earlier, removed; a digest of what is kept."""
