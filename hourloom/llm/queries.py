@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import (bpe_codec, decontamination, licenses, quality_ranking, quality_rules, simhash,
+from hourloom.llm import (bpe_codec, decontamination, licenses, lm_scoring, quality_ranking, quality_rules, simhash,
                           substring_dedup, token_counts, warc)
 from hourloom.llm.common import table
 
@@ -26,6 +26,17 @@ def remainder(column: str, divisor: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+@register
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deleted-interpolation bigram scores of all documents; remainder 2 of 7 is never learned from,
+    remainder 5 is the deleted part."""
+    docs = table(spark, sf_dir, "documents")
+    rest = remainder("doc_id", 7)
+    scored = lm_scoring.score(docs, F.coalesce(rest != 2, F.lit(True)), rest == 5, order=2)
+    return scored.select("doc_id", F.coalesce(rest == 2, F.lit(False)).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
+
+
 @register
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verified overlaps of all documents with all benchmark items, by spaced seeds."""
