@@ -24,6 +24,16 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def pinned(df: DataFrame, keep: list[str], columns: list[Column]) -> DataFrame:
+    """``keep`` and the aliased ``columns``, computed here and nowhere else.
+
+    The optimizer moves a filter on a computed column below the projection and repeats the whole
+    expression in it, once per use; it does not do so through a generator, so the columns come out
+    of one that gives a single row.
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
     """A new path in the folder that the cluster names in ``spark.checkpoint.dir``.
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import SPACE_CLASS, text_of
+from hourloom.llm.common import SPACE_CLASS, pinned, text_of
 
 #: Common function words of English, German, French and Spanish.
 STOP_WORDS = (
@@ -82,8 +82,8 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "p", F.struct(F.lit(0).alias("n"), F.lit(-3).alias("last")),
         lambda acc, x: F.struct((acc["n"] + F.least(F.lit(3), x - acc["last"])).alias("n"), x.alias("last")),
         lambda acc: acc["n"])
-    counted = base.select(
-        id_col, F.size("w").cast("long").alias("n_words"),
+    counted = pinned(base, [id_col], [
+        F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
@@ -91,7 +91,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.size(F.filter("w", lambda x: F.lower(x).isin(*STOP_WORDS))).cast("long").alias("n_stop_words"),
         F.size("l").cast("long").alias("n_lines"),
         F.size(F.filter("l", lambda x: x.rlike(r"^\s*(?:[-*•]\s|\d+[.)]\s)"))).cast("long").alias("n_bullet_lines"),
-        F.size(F.filter("l", lambda x: x.rlike(r"(?:\.\.\.|…)\s*$"))).cast("long").alias("n_ellipsis_lines"))
+        F.size(F.filter("l", lambda x: x.rlike(r"(?:\.\.\.|…)\s*$"))).cast("long").alias("n_ellipsis_lines")])
 
     def ratio(a: str, b: str) -> Column:
         return F.when(F.col(b) > 0, F.col(a) / F.col(b)).otherwise(0.0)
