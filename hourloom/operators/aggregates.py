@@ -43,7 +43,7 @@ def net_work_time(df: DataFrame, keys: Sequence[str], kind: str, hours: str, bre
         d = d.where((F.col(activity) != 0) | F.col(activity).isNull())
     d = d.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     is_work = F.coalesce(F.col(kind).isin(list(work_kinds)), F.lit(False))
-    is_break = ~is_work & F.col(kind).isNotNull() & F.coalesce(F.col(break_flag), F.lit(False))
+    is_break = ~is_work & F.coalesce(F.col(break_flag), F.lit(False))  # a NULL kind is no work kind (R9)
     g = d.groupBy(*keys).agg(
         F.sum(F.when(is_work, F.col(hours))).alias("WERK_TIME"),
         F.coalesce(F.sum(F.when(is_break, F.col(hours))), F.lit(0.0)).alias("PAUSE_TIME"),

@@ -43,7 +43,8 @@ def lookup_cascade(left: DataFrame, levels: Sequence[LookupLevel], keys: Sequenc
                    row_order: Sequence[str], out_values: Sequence[str], keep_misses: bool = False
                    ) -> DataFrame:
     """The first level that hits wins; one output row per ``keys`` (first by level, then
-    ``row_order``).
+    ``row_order``). A level hits when its key's first row has all values; a row without them (an
+    address without coordinates) sends the client on to the next level.
 
     Each level is a left join of the (deduplicated, size-checked broadcast) lookup; the winner is
     the ``coalesce`` of the level structs in priority order — the same result as trying level 2
@@ -53,6 +54,7 @@ def lookup_cascade(left: DataFrame, levels: Sequence[LookupLevel], keys: Sequenc
     vals = []
     for i, lv in enumerate(levels):
         lk = first_per_key(lv.lookup, lv.lookup_key, lv.values, lv.order)\
+            .where(" AND ".join(f"__v.`{v}` IS NOT NULL" for v in lv.values))\
             .withColumnsRenamed({"__k": f"__k{i}", "__v": f"__v{i}"})
         df = df.withColumn(f"__lk{i}", lv.left_key)
         cond = df[f"__lk{i}"] == lk[f"__k{i}"]

@@ -237,31 +237,30 @@ def overlap_flags(df: DataFrame, key: str, start: str, end: str, uid: str,
                   out: str = "overlaps_prev", skew_rows: int | None = DEFAULT_SKEW_ROWS
                   ) -> DataFrame:
     """Flag a registration that starts before the previous one (by start, id) of the same
-    key ends. Rows with NULL key/start/end are not compared (flag NULL).
+    key ends. Rows with a NULL key, start or end, or that end at or before their start, are put
+    aside before neighbours are compared: they hide no overlap, and their own flag is NULL.
 
     Hot keys: within a range chunk the previous row is a ``lag``; the first row of a chunk takes
     the last end of the key's previous chunk from the (small) chunk table."""
-    valid = F.col(key).isNotNull() & F.col(start).isNotNull() & F.col(end).isNotNull()
-    vend = F.when(valid, F.col(end))
-    cold, hot, n_chunks = _split_hot(df, [key], skew_rows)
-    salt = "__salt"
-    d = cold.withColumn(salt, _null_salt([key, start, end], [uid]))
-    w = Window.partitionBy(key, salt).orderBy(F.col(start).asc_nulls_first(), F.col(uid))
-    res = d.withColumn("__prev", F.lag(vend).over(w)).drop(salt)
+    valid = F.coalesce(F.col(key).isNotNull() & (F.col(end) > F.col(start)), F.lit(False))
+    aside = df.where(~valid).withColumn(out, F.lit(None).cast("boolean"))
+    cold, hot, n_chunks = _split_hot(df.where(valid), [key], skew_rows)
+    w = Window.partitionBy(key).orderBy(F.col(start), F.col(uid))
+    res = cold.withColumn("__prev", F.lag(end).over(w))
     if hot is not None:
         r = _range_chunks(hot, [key], [start, uid], n_chunks)
-        wl = Window.partitionBy(key, "__chunk").orderBy(F.col(start).asc_nulls_first(), F.col(uid))
-        loc = r.withColumns({"__lag": F.lag(vend).over(wl), "__rn": F.row_number().over(wl)})
+        wl = Window.partitionBy(key, "__chunk").orderBy(F.col(start), F.col(uid))
+        loc = r.withColumns({"__lag": F.lag(end).over(wl), "__rn": F.row_number().over(wl)})
         last = r.groupBy(key, "__chunk").agg(
-            F.max_by(vend, F.struct(F.col(start), F.col(uid))).alias("__last"))
+            F.max_by(F.col(end), F.struct(F.col(start), F.col(uid))).alias("__last"))
         wc = Window.partitionBy(key).orderBy("__chunk")
         last = last.withColumn("__prev_last", F.lag("__last").over(wc)).drop("__last")
         h = loc.join(F.broadcast(last), [key, "__chunk"], "left").withColumn(
             "__prev", F.when(F.col("__rn") == 1, F.col("__prev_last")).otherwise(F.col("__lag")))
         h = h.drop("__lag", "__rn", "__prev_last", "__chunk")
         res = res.unionByName(h.select(*res.columns))
-    return res.withColumn(out, F.when(valid, F.coalesce(F.col(start) < F.col("__prev"),
-                                                        F.lit(False)))).drop("__prev")
+    flagged = res.withColumn(out, F.coalesce(F.col(start) < F.col("__prev"), F.lit(False)))
+    return flagged.drop("__prev").unionByName(aside)
 
 
 def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str,

@@ -13,7 +13,7 @@ from hourloom.operators.relational import bounded_broadcast, expand_candidates
 # Relevance label edges for the 0..1 suitability score (5 right-closed bins) and
 # duration bands (hours) of the error breakdown.
 RANK_LABEL_EDGES = [-0.001, 0.2, 0.4, 0.6, 0.8, 1.001]
-DURATION_BANDS = [0, 1, 2, 4, 8, 24]
+DURATION_BANDS = [0, 1, 3, 8, float("inf")]
 
 
 def split_bucket(key: Column, seed: int = 7919) -> Column:
@@ -155,11 +155,13 @@ def hit_rate_in_group(df: DataFrame, sampled: DataFrame, group: Sequence[str], r
 
 def error_breakdown(df: DataFrame, label: str, pred: str, by: str, min_rows: int = 1
                     ) -> DataFrame:
-    """MAE, RMSE, row count and mean label per group, groups with ≥ ``min_rows``."""
+    """MAE, RMSE, mean residual (prediction − label), row count and mean label per group,
+    groups with ≥ ``min_rows``."""
     e = F.col(pred) - F.col(label)
     return df.groupBy(by).agg(
         F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.count(F.lit(1)).cast("long").alias("n"), F.avg(label).alias("mean_label"))\
+        F.avg(e).alias("mean_residual"), F.count(F.lit(1)).cast("long").alias("n"),
+        F.avg(label).alias("mean_label"))\
         .where(F.col("n") >= min_rows)
 
 

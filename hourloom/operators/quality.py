@@ -5,13 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.operators.aggregates import fill_rates, histogram
 from hourloom.operators.history import overlap_flags
-from hourloom.operators.relational import bounded_broadcast, exact_quantiles, union_all_by_name
+from hourloom.operators.relational import exact_quantiles, union_all_by_name
 
 
 def _pct(num: Column, den: Column) -> Column:
@@ -66,7 +67,7 @@ def date_health(df: DataFrame, start: str, end: str, status: str, done: Sequence
 
 def overlap_summary(df: DataFrame, key: str, start: str, end: str, uid: str) -> DataFrame:
     """Q9: overlapping registrations, employees with an overlap and employees checked."""
-    f = overlap_flags(df, key, start, end, uid, "__ov")
+    f = overlap_flags(df, key, start, end, uid, "__ov").where(F.col("__ov").isNotNull())
     per = f.groupBy(key).agg(F.count_if(F.col("__ov")).alias("__n"))
     return per.agg(F.sum("__n").cast("long").alias("overlapping"),
                    F.count_if(F.col("__n") > 0).cast("long").alias("employees_with_overlap"),
@@ -133,50 +134,68 @@ def status_distribution(df: DataFrame, status: str, usable: Sequence) -> DataFra
 
 @dataclass
 class FunnelStep:
-    """One join of a funnel: inner-join ``dim`` on ``left_key == right_key`` (after the optional
-    ``where`` on the dim) and carry ``carry`` columns for later steps."""
+    """One join: ``left_keys`` of the rows so far equal ``right_keys`` of ``dim``; ``carry`` are its
+    columns that later steps join on. ``how`` is ``inner`` or ``left``; a left step keeps all rows
+    and reports those that found a match."""
+
     name: str
     dim: DataFrame
-    left_key: str
-    right_key: str
+    left_keys: str | Sequence[str]
+    right_keys: str | Sequence[str]
     carry: Sequence[str] = ()
+    how: str = "inner"
+
+
+def _names(keys: str | Sequence[str]) -> list[str]:
+    return [keys] if isinstance(keys, str) else list(keys)
 
 
 def join_funnel(base: DataFrame, base_name: str, steps: Sequence[FunnelStep]) -> DataFrame:
-    """Q18: rows surviving each step of an inner-join chain, % of the start, step loss and a
-    traffic light (green < 1 %, orange < 5 %, red ≥ 5 % loss).
-
-    Single pass, no per-prefix re-joins: every dim is reduced to one row per key carrying its
-    match multiplicity ``m`` (how many dim rows the key has) and the first row's carried columns;
-    the chain is then a sequence of N:1 left joins, and the prefix count after step k is
-    ``Σ_rows Π_{j≤k} m_j`` (0 once a step misses), which equals the inner-join row count — fan-out
-    included — as long as carried columns come from steps whose keys are unique (as for
-    dimension lookups)."""
-    df = base
-    mults = []
+    """Q18: rows surviving each step of a join chain, % of the start, step loss and a traffic light
+    (green < 1 %, orange < 5 %, red ≥ 5 % loss).
+
+    The chain is never joined row by row: before each step the rows are summed up to one per
+    combination of the keys that later steps need, with the number of rows it stands for; a
+    dimension likewise to one row per key and carried columns. A step multiplies the two numbers,
+    so a key with several rows fans out into each of its carried values, in the middle of the
+    chain as at its end. NULL keys match nothing."""
+    from hourloom.session import materialize
+
+    def needed(after: int) -> list[str]:
+        later = [k for st in steps[after:] for k in _names(st.left_keys)]
+        return list(dict.fromkeys(later))
+
+    def summed(df: DataFrame, after: int) -> DataFrame:
+        made = {c for st in steps[after:] for c in st.carry}
+        keys = [k for k in needed(after) if k in df.columns or k not in made]
+        return df.groupBy(*keys).agg(F.sum("__n").cast("long").alias("__n"))
+
+    start = base.select(*[c for c in needed(0) if c in base.columns]).withColumn("__n", F.lit(1).cast("long"))
+    df = materialize(summed(start, 0))
+    totals = [df.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("s"))]
     for i, st in enumerate(steps):
-        agg = [F.count(F.lit(1)).alias(f"__m{i}")]
-        if st.carry:
-            agg.append(F.min_by(F.struct(*[F.col(c) for c in st.carry]),
-                                F.struct(*[F.col(c) for c in st.carry])).alias(f"__c{i}"))
-        d = st.dim.where(F.col(st.right_key).isNotNull()).groupBy(
-            F.col(st.right_key).alias(f"__k{i}")).agg(*agg)
-        df = df.join(bounded_broadcast(d), df[st.left_key] == d[f"__k{i}"], "left").drop(f"__k{i}")
-        if st.carry:
-            df = df.withColumns({c: F.col(f"__c{i}.{c}") for c in st.carry}).drop(f"__c{i}")
-        mults.append(F.coalesce(F.col(f"__m{i}"), F.lit(0)).cast("long"))
-    aggs = [F.count(F.lit(1)).cast("long").alias("s0")]
-    prod = F.lit(1).cast("long")
-    for i, m in enumerate(mults):
-        prod = prod * m
-        aggs.append(F.sum(prod).cast("long").alias(f"s{i + 1}"))
-    counts = df.agg(*aggs)
-    names = [base_name] + [s.name for s in steps]
-    stack = ", ".join(f"{i}, '{n}', s{i}" for i, n in enumerate(names))
-    long = counts.selectExpr(f"stack({len(names)}, {stack}) AS (step, step_name, rows)",
-                             "s0 AS start_rows")
-    from pyspark.sql import Window
-    prev = F.lag("rows").over(Window.orderBy("step"))   # ≤ 14 report rows: single partition is fine
+        left, right = _names(st.left_keys), _names(st.right_keys)
+        d = st.dim.na.drop(subset=right).groupBy(*[F.col(k).alias(f"__k{j}") for j, k in enumerate(right)],
+                                                 *[F.col(c).alias(f"__c{j}") for j, c in enumerate(st.carry)])\
+            .agg(F.count(F.lit(1)).alias("__m"))
+        cond = reduce(lambda x, y: x & y, [F.col(k) == F.col(f"__k{j}") for j, k in enumerate(left)])
+        keep = [F.col(c) for c in df.columns if c != "__n" and c not in st.carry]
+        j = df.join(d, cond, st.how)
+        j = j.select(*keep, *[F.col(f"__c{n}").alias(c) for n, c in enumerate(st.carry)],
+                     (F.col("__n") * F.coalesce("__m", F.lit(1))).alias("__n"),
+                     F.when(F.col("__m").isNotNull(), F.col("__n") * F.col("__m")).alias("__hit"))
+        done = [k for k in needed(i + 1) if k in j.columns]
+        df = materialize(j.groupBy(*done).agg(F.sum("__n").cast("long").alias("__n"),
+                                              F.coalesce(F.sum("__hit"), F.lit(0)).cast("long").alias("__hit")))
+        totals.append(df.agg(F.coalesce(F.sum("__hit"), F.lit(0)).cast("long").alias("s")))
+        df = df.drop("__hit")
+    names = [base_name] + [st.name for st in steps]
+    long = union_all_by_name(*[t.select(F.lit(i).alias("step"), F.lit(n).alias("step_name"),
+                                        F.col("s").alias("rows"))
+                               for i, (t, n) in enumerate(zip(totals, names))])
+    by_step = Window.orderBy("step")   # one report row per step: a single partition is fine
+    long = long.withColumn("start_rows", F.first("rows").over(by_step))
+    prev = F.lag("rows").over(by_step)
     loss = F.coalesce((prev - F.col("rows")) * 100.0 / F.nullif(prev, F.lit(0)), F.lit(0.0))
     return long.select(
         F.col("step").cast("int"), "step_name", F.col("rows").cast("long"),

@@ -12,7 +12,7 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.columns import matches
@@ -248,7 +248,7 @@ def orphan_check(child: DataFrame | None, child_col: str, parent: DataFrame | No
                  parent_col: str, relation: str) -> DataFrame:
     """Distinct non-NULL child ids absent from the parent → (relation, total, violations,
     pct, status). A missing table/column is reported as a row, not raised."""
-    spark = (child or parent).sparkSession
+    spark = SparkSession.active() if child is None and parent is None else (child or parent).sparkSession
     schema = "relation string, total_ids long, violations long, pct double, status string"
     if child is None or parent is None or child_col not in child.columns \
             or parent_col not in parent.columns:

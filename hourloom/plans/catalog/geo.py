@@ -12,12 +12,14 @@ from hourloom.sources.tables import read_table
 # J13 stand-in: customers are the clients to geocode (tenant = market segment). Level 1 looks the
 # client key up in a supplier-keyed table (only well-formed names may try it, like the postcode
 # regex), level 2 looks up the nation (only customers with a positive balance, like a usable
-# street), level 3 falls back to the region. Each lookup keeps its first row per key.
+# street), level 3 falls back to the region. Each lookup keeps its first row per key; level 1 has
+# rows without a coordinate, which send the client on.
 _J13_SQL = """
 WITH c AS (SELECT c.c_custkey, c.c_mktsegment AS con, c.c_name, c.c_nationkey, c.c_acctbal,
                   n.n_regionkey
            FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey),
-l1 AS (SELECT s_suppkey AS k, s_acctbal AS x, CAST(s_nationkey AS DOUBLE) AS y FROM supplier),
+l1 AS (SELECT s_suppkey AS k, CASE WHEN s_acctbal > 0 THEN s_acctbal END AS x,
+         CAST(s_nationkey AS DOUBLE) AS y FROM supplier),
 l2 AS (SELECT k, x, y FROM (SELECT s_nationkey AS k, s_acctbal AS x, CAST(s_suppkey AS DOUBLE) AS y,
          row_number() OVER (PARTITION BY s_nationkey ORDER BY s_acctbal DESC, s_suppkey) AS rn
        FROM supplier) WHERE rn = 1),
@@ -32,11 +34,11 @@ j AS (SELECT c.*, l1.x AS x1, l1.y AS y1, l2.x AS x2, l2.y AS y2, l3.x AS x3, l3
       LEFT JOIN l2 ON c.c_nationkey = l2.k AND coalesce(c.c_acctbal > 0, false)
       LEFT JOIN l3 ON c.n_regionkey = l3.k),
 h AS (SELECT con, c_custkey, c_name,
-        CASE WHEN x1 IS NOT NULL OR y1 IS NOT NULL THEN 1 WHEN x2 IS NOT NULL OR y2 IS NOT NULL
-             THEN 2 WHEN x3 IS NOT NULL OR y3 IS NOT NULL THEN 3 END AS match_level,
-        CASE WHEN x1 IS NOT NULL OR y1 IS NOT NULL THEN x1 WHEN x2 IS NOT NULL OR y2 IS NOT NULL
+        CASE WHEN x1 IS NOT NULL AND y1 IS NOT NULL THEN 1 WHEN x2 IS NOT NULL AND y2 IS NOT NULL
+             THEN 2 WHEN x3 IS NOT NULL AND y3 IS NOT NULL THEN 3 END AS match_level,
+        CASE WHEN x1 IS NOT NULL AND y1 IS NOT NULL THEN x1 WHEN x2 IS NOT NULL AND y2 IS NOT NULL
              THEN x2 ELSE x3 END AS lat,
-        CASE WHEN x1 IS NOT NULL OR y1 IS NOT NULL THEN y1 WHEN x2 IS NOT NULL OR y2 IS NOT NULL
+        CASE WHEN x1 IS NOT NULL AND y1 IS NOT NULL THEN y1 WHEN x2 IS NOT NULL AND y2 IS NOT NULL
              THEN y2 ELSE y3 END AS lon
       FROM j)
 SELECT con, c_custkey, c_name, CAST(match_level AS INTEGER) AS match_level, lat, lon FROM (
@@ -55,7 +57,8 @@ def j13_lookup_cascade(spark, sf):
                   "c_nationkey", "left").select(
         "c_custkey", F.col("c_mktsegment").alias("con"), "c_name", "c_nationkey", "c_acctbal",
         "n_regionkey")
-    l1 = s.select(F.col("s_suppkey").alias("k"), F.col("s_acctbal").alias("x"),
+    l1 = s.select(F.col("s_suppkey").alias("k"),
+                  F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("x"),
                   F.col("s_nationkey").cast("double").alias("y"))
     l2 = s.select(F.col("s_nationkey").alias("k"), F.col("s_acctbal").alias("x"),
                   F.col("s_suppkey").cast("double").alias("y"),

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourloom.operators import history as H
-from hourloom.plans.registry import register
-from hourloom.plans.standins import INTERVAL_SQL, REG_SQL, intervals, registrations
+from hourloom.plans.registry import ORACLE, register
+from hourloom.plans.standins import (INTERVAL_SQL, ODD_INTERVAL_SQL, REG_SQL, intervals, odd_intervals,
+                                     registrations)
 
 R = 4  # decimals kept on float outputs in both engines
 
@@ -78,22 +79,34 @@ def w1_w9_history_features(spark, sf_dir):
 
 
 @register("w10_interval_overlaps", f"""
-WITH i AS ({INTERVAL_SQL}),
-l AS (SELECT employee, reg_id, start_ts,
-        lag(end_ts) OVER (PARTITION BY employee ORDER BY start_ts, reg_id) AS prev_end FROM i)
-SELECT employee, CAST(count(*) AS BIGINT) AS registrations,
-       CAST(count(*) FILTER (WHERE start_ts < prev_end) AS BIGINT) AS overlapping
-FROM l GROUP BY employee
+WITH i AS ({ODD_INTERVAL_SQL}),
+v AS (SELECT * FROM i WHERE end_ts > start_ts AND employee IS NOT NULL),
+l AS (SELECT employee, start_ts,
+        lag(end_ts) OVER (PARTITION BY employee ORDER BY start_ts, reg_id) AS prev_end FROM v),
+o AS (SELECT employee, count(*) AS n FROM l WHERE start_ts < prev_end GROUP BY employee)
+SELECT i.employee, CAST(count(*) AS BIGINT) AS registrations,
+       CAST(coalesce(any_value(o.n), 0) AS BIGINT) AS overlapping
+FROM i LEFT JOIN o ON i.employee = o.employee GROUP BY i.employee
 """)
 def w10_interval_overlaps(spark, sf_dir):
     """Per employee, registrations that start before the previous one ends."""
-    f = H.overlap_flags(intervals(spark, sf_dir), "employee", "start_ts", "end_ts", "reg_id",
+    f = H.overlap_flags(odd_intervals(spark, sf_dir), "employee", "start_ts", "end_ts", "reg_id",
                         out="ov")
     return f.groupBy("employee").agg(
         F.count(F.lit(1)).cast("long").alias("registrations"),
         F.count_if(F.col("ov")).cast("long").alias("overlapping"))
 
 
+@register("w10_interval_overlaps_hot", ORACLE["w10_interval_overlaps"])
+def w10_interval_overlaps_hot(spark, sf_dir):
+    """W10 with keys above 20 rows on the chunked path: the same rows as without it."""
+    f = H.overlap_flags(odd_intervals(spark, sf_dir), "employee", "start_ts", "end_ts", "reg_id",
+                        out="ov", skew_rows=20)
+    return f.groupBy("employee").agg(
+        F.count(F.lit(1)).cast("long").alias("registrations"),
+        F.count_if(F.col("ov")).cast("long").alias("overlapping"))
+
+
 @register("w12_remove_overlaps", f"""
 WITH i AS ({INTERVAL_SQL}),
 v AS (SELECT * FROM i WHERE end_ts > start_ts),

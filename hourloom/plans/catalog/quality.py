@@ -9,7 +9,8 @@ from hourloom.operators.aggregates import five_numbers
 from hourloom.operators.relational import union_all_by_name
 from hourloom.plans.catalog.history import HISTORY_SQL, history_block
 from hourloom.plans.registry import register
-from hourloom.plans.standins import INTERVAL_SQL, REG_SQL, intervals, registrations
+from hourloom.plans.standins import (INTERVAL_SQL, ODD_INTERVAL_SQL, REG_SQL, intervals, odd_intervals,
+                                     registrations)
 from hourloom.sources.tables import read_table
 
 
@@ -89,9 +90,10 @@ def q7_date_health(spark, sf):
 
 
 @register("q9_overlap_summary", f"""
-WITH i AS ({INTERVAL_SQL}),
+WITH i AS ({ODD_INTERVAL_SQL}),
 l AS (SELECT employee, start_ts,
-        lag(end_ts) OVER (PARTITION BY employee ORDER BY start_ts, reg_id) AS prev_end FROM i),
+        lag(end_ts) OVER (PARTITION BY employee ORDER BY start_ts, reg_id) AS prev_end FROM i
+      WHERE end_ts > start_ts AND employee IS NOT NULL),
 p AS (SELECT employee, count(*) FILTER (WHERE start_ts < prev_end) AS n FROM l GROUP BY employee)
 SELECT CAST(sum(n) AS BIGINT) AS overlapping,
        CAST(count(*) FILTER (WHERE n > 0) AS BIGINT) AS employees_with_overlap,
@@ -99,7 +101,7 @@ SELECT CAST(sum(n) AS BIGINT) AS overlapping,
 """)
 def q9_overlap_summary(spark, sf):
     """Q9: overlapping registrations and employees checked."""
-    return Q.overlap_summary(intervals(spark, sf), "employee", "start_ts", "end_ts", "reg_id")
+    return Q.overlap_summary(odd_intervals(spark, sf), "employee", "start_ts", "end_ts", "reg_id")
 
 
 @register("q10_duration_stats", f"""
@@ -212,23 +214,24 @@ def q17_target_by_tenant(spark, sf):
 
 
 _FUNNEL_SQL = """
-WITH s0 AS (SELECT l_orderkey, l_partkey, l_suppkey FROM lineitem),
-s1 AS (SELECT s0.*, o.o_custkey FROM s0 JOIN orders o ON s0.l_orderkey = o.o_orderkey),
-s2 AS (SELECT s1.*, c.c_nationkey FROM s1 JOIN customer c ON s1.o_custkey = c.c_custkey),
+WITH s0 AS (SELECT c_custkey, c_nationkey FROM customer),
+s1 AS (SELECT s0.*, o.o_orderkey FROM s0 JOIN orders o ON s0.c_custkey = o.o_custkey),
+s2 AS (SELECT s1.*, l.l_partkey, l.l_suppkey FROM s1 JOIN lineitem l ON s1.o_orderkey = l.l_orderkey),
 s3 AS (SELECT s2.*, n.n_regionkey FROM s2 JOIN nation n ON s2.c_nationkey = n.n_nationkey),
 s4 AS (SELECT s3.* FROM s3 JOIN (SELECT * FROM region WHERE r_name <> 'AFRICA') r
        ON s3.n_regionkey = r.r_regionkey),
-s5 AS (SELECT s4.* FROM s4 JOIN (SELECT * FROM part WHERE p_size > 10) p
+s5 AS (SELECT s4.*, p.p_partkey AS hit FROM s4 LEFT JOIN (SELECT * FROM part WHERE p_size > 10) p
        ON s4.l_partkey = p.p_partkey),
-s6 AS (SELECT s5.* FROM s5 JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s
-       ON s5.l_suppkey = s.s_suppkey),
-s7 AS (SELECT s6.* FROM s6 JOIN (SELECT DISTINCT l_partkey AS pk, l_suppkey AS sk FROM lineitem) b
-       ON s6.l_partkey = b.pk),
-c AS (SELECT 0 AS step, 'lineitem' AS step_name, count(*) AS rows FROM s0
-  UNION ALL SELECT 1, 'orders', count(*) FROM s1 UNION ALL SELECT 2, 'customer', count(*) FROM s2
+s6 AS (SELECT s5.* FROM s5 JOIN (SELECT DISTINCT l_partkey AS pk, l_suppkey AS sk FROM lineitem
+                                 WHERE l_returnflag = 'N') b
+       ON s5.l_partkey = b.pk AND s5.l_suppkey = b.sk),
+s7 AS (SELECT s6.* FROM s6 JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s
+       ON s6.l_suppkey = s.s_suppkey),
+c AS (SELECT 0 AS step, 'customer' AS step_name, count(*) AS rows FROM s0
+  UNION ALL SELECT 1, 'orders', count(*) FROM s1 UNION ALL SELECT 2, 'lineitem', count(*) FROM s2
   UNION ALL SELECT 3, 'nation', count(*) FROM s3 UNION ALL SELECT 4, 'region', count(*) FROM s4
-  UNION ALL SELECT 5, 'part', count(*) FROM s5 UNION ALL SELECT 6, 'supplier', count(*) FROM s6
-  UNION ALL SELECT 7, 'part_suppliers', count(*) FROM s7),
+  UNION ALL SELECT 5, 'part', count(hit) FROM s5 UNION ALL SELECT 6, 'part_suppliers', count(*) FROM s6
+  UNION ALL SELECT 7, 'supplier', count(*) FROM s7),
 d AS (SELECT step, step_name, rows, lag(rows) OVER (ORDER BY step) AS prev,
         first_value(rows) OVER (ORDER BY step) AS start_rows FROM c)
 SELECT CAST(step AS INTEGER) AS step, step_name, CAST(rows AS BIGINT) AS rows,
@@ -243,24 +246,22 @@ FROM d
 
 @register("q18_join_funnel", _FUNNEL_SQL)
 def q18_join_funnel(spark, sf):
-    """Q18: rows surviving each step of a join chain (incl. a fan-out bridge), % of start, step
-    loss and traffic light — one pass."""
+    """Q18: rows surviving each step of a join chain with 1:N steps in its middle, a left step and
+    a composite key, % of start, step loss and traffic light."""
     rd = lambda t: read_table(spark, sf, t)
-    li = rd("lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     steps = [
-        Q.FunnelStep("orders", rd("orders"), "l_orderkey", "o_orderkey", ["o_custkey"]),
-        Q.FunnelStep("customer", rd("customer"), "o_custkey", "c_custkey", ["c_nationkey"]),
+        Q.FunnelStep("orders", rd("orders"), "c_custkey", "o_custkey", ["o_orderkey"]),
+        Q.FunnelStep("lineitem", rd("lineitem"), "o_orderkey", "l_orderkey", ["l_partkey", "l_suppkey"]),
         Q.FunnelStep("nation", rd("nation"), "c_nationkey", "n_nationkey", ["n_regionkey"]),
         Q.FunnelStep("region", rd("region").where(F.col("r_name") != "AFRICA"), "n_regionkey",
                      "r_regionkey"),
-        Q.FunnelStep("part", rd("part").where(F.col("p_size") > 10), "l_partkey", "p_partkey"),
-        Q.FunnelStep("supplier", rd("supplier").where(F.col("s_acctbal") > 0), "l_suppkey",
-                     "s_suppkey"),
-        Q.FunnelStep("part_suppliers", rd("lineitem").select(
+        Q.FunnelStep("part", rd("part").where(F.col("p_size") > 10), "l_partkey", "p_partkey", how="left"),
+        Q.FunnelStep("part_suppliers", rd("lineitem").where(F.col("l_returnflag") == "N").select(
             F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk")).distinct(),
-            "l_partkey", "pk"),
+            ["l_partkey", "l_suppkey"], ["pk", "sk"]),
+        Q.FunnelStep("supplier", rd("supplier").where(F.col("s_acctbal") > 0), "l_suppkey", "s_suppkey"),
     ]
-    return Q.join_funnel(li, "lineitem", steps)
+    return Q.join_funnel(rd("customer"), "customer", steps)
 
 
 _ENGINEERED = ["med_gem_tijd", "med_std_tijd", "taak_gem", "med_klant_gem_tijd",

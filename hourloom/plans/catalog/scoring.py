@@ -324,21 +324,21 @@ def m10_regression_metrics(spark, sf):
 @register("m14_g5_error_breakdown", f"""
 WITH d AS ({_PRED_SQL}),
 b AS (SELECT *, CASE WHEN l_quantity / 5.0 > 0 AND l_quantity / 5.0 <= 1 THEN 0
-                     WHEN l_quantity / 5.0 > 1 AND l_quantity / 5.0 <= 2 THEN 1
-                     WHEN l_quantity / 5.0 > 2 AND l_quantity / 5.0 <= 4 THEN 2
-                     WHEN l_quantity / 5.0 > 4 AND l_quantity / 5.0 <= 8 THEN 3
-                     WHEN l_quantity / 5.0 > 8 AND l_quantity / 5.0 <= 24 THEN 4 END AS band FROM d)
+                     WHEN l_quantity / 5.0 > 1 AND l_quantity / 5.0 <= 3 THEN 1
+                     WHEN l_quantity / 5.0 > 3 AND l_quantity / 5.0 <= 8 THEN 2
+                     WHEN l_quantity / 5.0 > 8 THEN 3 END AS band FROM d)
 SELECT 'service' AS dimension, CAST(p_brand AS VARCHAR) AS group_value,
   round(avg(abs(pred - label)), 4) AS mae, round(sqrt(avg((pred - label) * (pred - label))), 4) AS rmse,
+  round(avg(pred - label), 4) + 0.0 AS mean_residual,
   CAST(count(*) AS BIGINT) AS n, round(avg(label), 4) AS mean_label
 FROM b GROUP BY p_brand HAVING count(*) >= 20
 UNION ALL
 SELECT 'tenant', CAST(l_returnflag AS VARCHAR), round(avg(abs(pred - label)), 4),
-  round(sqrt(avg((pred - label) * (pred - label))), 4), CAST(count(*) AS BIGINT), round(avg(label), 4)
+  round(sqrt(avg((pred - label) * (pred - label))), 4), round(avg(pred - label), 4) + 0.0, CAST(count(*) AS BIGINT), round(avg(label), 4)
 FROM b GROUP BY l_returnflag
 UNION ALL
 SELECT 'band', CAST(band AS VARCHAR), round(avg(abs(pred - label)), 4),
-  round(sqrt(avg((pred - label) * (pred - label))), 4), CAST(count(*) AS BIGINT), round(avg(label), 4)
+  round(sqrt(avg((pred - label) * (pred - label))), 4), round(avg(pred - label), 4) + 0.0, CAST(count(*) AS BIGINT), round(avg(label), 4)
 FROM b GROUP BY band
 """)
 def m14_g5_error_breakdown(spark, sf):
@@ -351,7 +351,7 @@ def m14_g5_error_breakdown(spark, sf):
         parts.append(e.select(F.lit(dim).alias("dimension"),
                               F.col(col).cast("string").alias("group_value"),
                               F.round("mae", 4).alias("mae"), F.round("rmse", 4).alias("rmse"),
-                              "n", F.round("mean_label", 4).alias("mean_label")))
+                              (F.round("mean_residual", 4) + 0.0).alias("mean_residual"), "n", F.round("mean_label", 4).alias("mean_label")))
     return union_all_by_name(*parts)
 
 

@@ -46,6 +46,24 @@ FROM events
 """
 
 
+# the same with the rows that interval checks must put aside: some events have no end, some no
+# length
+ODD_INTERVAL_SQL = """
+SELECT event_id AS reg_id, user_id AS employee, ts AS start_ts,
+       CASE WHEN event_type = 'signup' THEN NULL WHEN event_type = 'error' THEN ts
+            ELSE ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) END AS end_ts
+FROM events
+"""
+
+
+def odd_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("kind")
+    return intervals(spark, sf_dir).select(
+        "reg_id", "employee", "start_ts",
+        F.when(kind == "signup", F.lit(None)).when(kind == "error", F.col("start_ts"))
+        .otherwise(F.col("end_ts")).alias("end_ts"))
+
+
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
     micros = F.round(F.col("value") * F.lit(60_000_000)).cast("long")

@@ -86,10 +86,12 @@ def geocode(relatie: DataFrame, bag: DataFrame) -> DataFrame:
 def prepare(t: Mapping[str, DataFrame], bag: DataFrame, min_tenant_rows: int = MIN_TENANT_ROWS,
             skew_rows: int | None = DEFAULT_SKEW_ROWS) -> DataFrame:
     """System B end to end: net work time → dimensions → geocoded clients → history, calendar
-    and quantity features → tenants with enough rows → rows with coordinates."""
+    and quantity features → tenants with enough rows → rows with coordinates. Registrations at
+    clients without coordinates count in the history and in the tenant's rows; they leave last."""
     df = merge_dimensions(work_time(t), t)
-    df = df.join(geocode(t["TB_RELATIE"], bag), ["con", "RELATIE_ID"], "inner")
-    uid = F.struct("URENVERANTW_ORDDAID", "ORDRG_ID")
+    df = df.join(geocode(t["TB_RELATIE"], bag), ["con", "RELATIE_ID"], "left")
+    uid = F.struct("URENVERANTW_ORDDAID", "ORDRG_ID", "con", "URENVERANTW_MEDID", "URENVERANTW_DATUM",
+                   "MACH_OMS")
     df = history_features(df.withColumn("__row", uid), tenant="con",
                           employee="URENVERANTW_MEDID", client="RELATIE_ID",
                           task="DIENST_ART_ID", date="URENVERANTW_DATUM", uid="__row",

@@ -70,7 +70,7 @@ def train(spark: SparkSession, merged: DataFrame, uid: str, min_tenant_rows: int
         .withColumn("_rank_label", M.relevance_label(TARGET_RANK))
     g = M.group_split(g, ["_group_key"], out="group_train")
     rank_pipe = ML.random_forest(feats, TARGET_RANK, num_trees=50)
-    ranker = ML.fit_per_tenant(rank_pipe, g.where("group_train"), "con", min_tenant_rows)
+    ranker = ML.fit_per_tenant(rank_pipe, g.where("group_train"), "con", min_tenant_rows, "_group_key")
     gv = ranker.transform(g.where(~F.col("group_train")))
     nd = M.ndcg_at_k(gv, ["_group_key"], TARGET_RANK, "prediction", [3, 5])
 
@@ -79,6 +79,9 @@ def train(spark: SparkSession, merged: DataFrame, uid: str, min_tenant_rows: int
     sampled = hash_sample(g.where(~F.col("group_train")), uid, 500)\
         .withColumnRenamed(emp, "actual").drop("features", "prediction")
     people = g.select("con", emp).distinct()
+    # a tenant with one employee is a sure hit: skipped
+    several = people.groupBy("con").count().where("count > 1").select("con")
+    sampled = sampled.join(several, "con", "left_semi")
     cand = expand_candidates(sampled, people, "con")      # J15: bounded request broadcast
     scored = ranker.transform(cand).drop("features")
     top = ML.rank_candidates(scored, uid, "prediction", emp, k=3)

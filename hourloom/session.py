@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,18 +21,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
     b = (b.config("spark.sql.session.timeZone", "UTC")
           .config("spark.ui.enabled", "false")
           .config("spark.ui.showConsoleProgress", "false")
           .config("spark.sql.adaptive.enabled", "true")
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
-          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-          # checkpoints written by `materialize` are removed once their DataFrame is unreachable
-          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.driver.memory", os.environ.get("HOURLOOM_DRIVER_MEMORY", "16g")))
+    if shuffle_partitions or (master or "").startswith("local"):
+        # on a cluster the number stays the cluster's: it must follow the data
+        cpus = int(os.environ.get("BENCH_CPUS", "8"))
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     spark = b.getOrCreate()
     try:
         spark.sparkContext.setLogLevel("ERROR")
@@ -42,32 +43,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts.
+    """The shared folder for staged tables.
 
     Read from ``spark.checkpoint.dir`` (the cluster names a shared, fault-tolerant folder there).
-    Only when it is unset — local runs and tests — a fresh folder under the system temp dir is
+    Only a local master may go without it: there a fresh folder under the system temp dir is
     created and registered.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: the server owns the checkpoint folder
         return spark.conf.get("spark.checkpoint.dir", "") or ""
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hourloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    return d
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint into the shared checkpoint folder.
+    """Write ``df`` as Parquet into the shared folder and read it back.
 
     Used where later steps must see exactly the same rows twice (e.g. sampled range chunks) and
-    where a recomputation after executor loss must not re-run a long lineage.
+    where a recomputation after executor loss must not re-run a long lineage. Readers prune columns
+    and push filters; types Parquet cannot hold are the caller's to cast.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
