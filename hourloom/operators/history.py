@@ -309,10 +309,11 @@ def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str,
     return best.select(key, *[F.col(f"__r.{x}").alias(x) for x in cols], "__island")
 
 
-def history_features(df: DataFrame, tenant: str, employee: str, client: str, task: str,
+def history_features(df: DataFrame, tenant: str | None, employee: str, client: str, task: str,
                      date: str, uid: str, hours: str, skew_rows: int | None = DEFAULT_SKEW_ROWS,
                      task_speed_keys: Sequence[str] | None = None) -> DataFrame:
-    """The employee history feature block of the reference, leak-free.
+    """The employee history feature block of the reference, leak-free. With ``tenant`` None
+    the ids of employees and tasks are taken to be unique across tenants.
 
     Output columns (reference names): med_gem_tijd, med_std_tijd, med_aantal_opdrachten (W1-W3 per
     tenant+employee), taak_gem (W4 per tenant+task), med_ervaring_bewerking (W7 per
@@ -324,8 +325,9 @@ def history_features(df: DataFrame, tenant: str, employee: str, client: str, tas
     from hourloom.functions.columns import prior_ratio, safe_ratio
 
     order = [date, uid]
-    emp = [tenant, employee]
-    sets = [emp, [tenant, task], [*emp, task], [*emp, client]]
+    of = [tenant] if tenant else []
+    emp = [*of, employee]
+    sets = [emp, [*of, task], [*emp, task], [*emp, client]]
     if task_speed_keys:
         sets.append(list(task_speed_keys))
     hot = hot_key_sets(df, sets, skew_rows) if skew_rows else set()
@@ -335,8 +337,8 @@ def history_features(df: DataFrame, tenant: str, employee: str, client: str, tas
 
     # W4 (tenant, task) first; then the three employee key sets share one salt column, so one
     # hash partitioning on (tenant, employee, salt) serves all of them (a subset of each key set)
-    out = prior_stats(df, [tenant, task], order, hours, mean="taak_gem",
-                      skew_rows=sk([tenant, task]))
+    out = prior_stats(df, [*of, task], order, hours, mean="taak_gem",
+                      skew_rows=sk([*of, task]))
     salt = "__emp_salt"
     out = out.withColumn(salt, _null_salt(emp, order))
     out = prior_stats(out, emp, order, hours, mean="med_gem_tijd", std="med_std_tijd",

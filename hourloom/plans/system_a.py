@@ -113,13 +113,14 @@ def apply_filters(df: DataFrame) -> DataFrame:
 
 
 def add_features(df: DataFrame, skew_rows: int | None = DEFAULT_SKEW_ROWS) -> DataFrame:
-    """W1-W9 per (tenant, employee) on the registration date, then X1. Rows are at the joined
+    """W1-W9 per employee and per service on the registration date (their ids hold across tenants),
+    then X1. Rows are at the joined
     grain (R18: one registration counts once per unit/equipment row, as in the reference); the
     tie-break is the full row identity."""
     uid = F.struct("timeregistration_id", "orderserviceline_id", "UnitId", "EquipmentId",
-                   "EquipmentGroupId")
+                   "EquipmentGroupId", "Amount")
     d = df.withColumn("__row", uid)
-    f = history_features(d, tenant="TenantId_x", employee="EmployeeId", client="ClientId",
+    f = history_features(d, tenant=None, employee="EmployeeId", client="ClientId",
                          task="ServiceId_x", date="Datum", uid="__row", hours="ManHourDuration",
                          skew_rows=skew_rows)
     return with_cyclic_calendar(f.drop("__row"), "Datum")

@@ -169,3 +169,15 @@ def test_merge_and_train(spark):
     rec = res.metrics.first()
     assert rec.time_mae is not None and rec.time_mae >= 0
     assert 0.0 <= (rec.ndcg_at_3 or 0.0) <= 1.0
+
+
+def test_system_b_history_counts_registrations_without_coordinates(spark):
+    """Client 901 cannot be geocoded: its registrations leave last, after the history is counted."""
+    t, bag = _b_tables(spark)
+    whole = B.prepare(t, bag, min_tenant_rows=1, skew_rows=None)
+    cut = B.prepare(t, bag.where("straat != 'Other Road'"), min_tenant_rows=1, skew_rows=None)
+    keys = ["con", "URENVERANTW_MEDID", "URENVERANTW_ORDDAID", "URENVERANTW_DATUM", "ORDRG_ID"]
+    was = {tuple(r[k] for k in keys): r.med_totaal_opdrachten for r in whole.collect()}
+    now = {tuple(r[k] for k in keys): r.med_totaal_opdrachten for r in cut.collect()}
+    assert now and len(now) < len(was)
+    assert all(was[k] == n for k, n in now.items())

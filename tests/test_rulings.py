@@ -171,3 +171,54 @@ def test_numpy_rounding_r13(spark):
     assert got == [float(v) for v in np.round(np.array(vals), 2)]
     got1 = [r.y for r in df.select(C.clamp_round("x", 1).alias("y")).collect()]
     assert got1 == [float(v) for v in np.round(np.clip(np.array(vals), 0, None), 1)]
+
+
+def test_overlaps_put_invalid_rows_aside_on_both_paths(spark):
+    from hourloom.operators.history import overlap_flags
+    rows = [(1, 0, 10, 1), (1, 1, None, 2), (1, 2, 5, 3), (2, 0, 10, 4), (2, 1, 1, 5), (2, 2, 5, 6), (None, 0, 9, 7)]
+    df = spark.createDataFrame(rows, "k long, a long, b long, id long")
+    want = {1: False, 2: None, 3: True, 4: False, 5: None, 6: True, 7: None}
+    for skew in (None, 1):
+        got = {r.id: r.f for r in overlap_flags(df, "k", "a", "b", "id", "f", skew_rows=skew).collect()}
+        assert got == want
+
+
+def test_breaks_of_unknown_kind_count(spark):
+    import datetime as dt
+
+    from hourloom.operators.aggregates import net_work_time
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([(1, day, 1, 8.0, False), (1, day, None, 2.0, True), (1, day, 7, 1.0, True)],
+                               "e long, d date, kind int, h double, brk boolean")
+    (r,) = net_work_time(df, ["e", "d"], "kind", "h", "brk", work_kinds=[1, 3]).collect()
+    assert (r.WERK_TIME, r.PAUSE_TIME) == (8.0, 3.0)
+
+
+def test_lookup_without_values_falls_through(spark):
+    from pyspark.sql import functions as F
+
+    from hourloom.operators.geo import LookupLevel, lookup_cascade
+    left = spark.createDataFrame([("t", 1, "p", "s")], "con string, c long, pc string, street string")
+    exact = spark.createDataFrame([("p", None, 1.0)], "pc string, lat double, lon double")
+    street = spark.createDataFrame([("s", 52.0, 5.0)], "street string, lat double, lon double")
+    levels = [LookupLevel("pc", F.col("pc"), exact, "pc", ["lat", "lon"]),
+              LookupLevel("street", F.col("street"), street, "street", ["lat", "lon"])]
+    (r,) = lookup_cascade(left, levels, ["con", "c"], ["pc"], ["lat", "lon"]).collect()
+    assert (r.match_level, r.lat) == (2, 52.0)
+
+
+def test_funnel_fans_out_in_the_middle(spark):
+    from hourloom.operators.quality import FunnelStep, join_funnel
+    base = spark.createDataFrame([(1,)], "o long")
+    services = spark.createDataFrame([(1, 10), (1, 20)], "so long, s long")
+    lines = spark.createDataFrame([(10, 1), (20, 2), (20, 3), (20, 4)], "ls long, l long")
+    extra = spark.createDataFrame([(2, 20)], "xl long, xs long")
+    steps = [FunnelStep("services", services, "o", "so", ["s"]), FunnelStep("lines", lines, "s", "ls", ["l"]),
+             FunnelStep("extra", extra, ["l", "s"], ["xl", "xs"], how="left"), FunnelStep("again", lines, "s", "ls")]
+    got = [(r.step_name, r.rows) for r in join_funnel(base, "orders", steps).orderBy("step").collect()]
+    assert got == [("orders", 1), ("services", 2), ("lines", 4), ("extra", 1), ("again", 10)]
+
+
+def test_orphans_of_two_absent_tables_are_a_report_row(spark):
+    from hourloom.operators.relational import orphan_check
+    assert orphan_check(None, "a", None, "b", "x").first().status == "missing column"
