@@ -65,19 +65,24 @@ def snake(v: str) -> str:
 
 
 def pivot_sum(df: DataFrame, keys: Sequence[str], pivot_col: str, values: Sequence[str],
-              amount: str, prefix: str = "hoeveelheid_") -> DataFrame:
+              amount: str, prefix: str = "hoeveelheid_", other: str = "overig") -> DataFrame:
     """Pivot-sum with a fixed value list (stable schema, R17), NULL → 0 and snake-case names.
+    Amounts of any other value (NULL too) go to the column ``other``, so none is lost.
 
     Written as conditional sums in one aggregate — what ``pivot`` expands to — so values absent
     from the data still produce a 0 column."""
     aggs = [F.coalesce(F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(amount))), F.lit(0.0))
             .alias(f"{prefix}{snake(v)}") for v in values]
+    rest = ~F.coalesce(F.col(pivot_col).isin(list(values)), F.lit(False))
+    aggs.append(F.coalesce(F.sum(F.when(rest, F.col(amount))), F.lit(0.0)).alias(f"{prefix}{other}"))
     return df.groupBy(*keys).agg(*aggs)
 
 
-def pivot_count(df: DataFrame, row: str, col: str, values: Sequence) -> DataFrame:
-    """Counts of ``row`` × ``col`` for a fixed list of column values (0 when absent)."""
+def pivot_count(df: DataFrame, row: str, col: str, values: Sequence, other: str = "other") -> DataFrame:
+    """Counts of ``row`` × ``col`` for a fixed list of column values (0 when absent); rows with
+    any other value (NULL too) count in the column ``other``."""
     aggs = [F.count_if(F.col(col) == F.lit(v)).cast("long").alias(str(v)) for v in values]
+    aggs.append(F.count_if(~F.coalesce(F.col(col).isin(list(values)), F.lit(False))).cast("long").alias(other))
     return df.groupBy(row).agg(*aggs)
 
 
@@ -197,11 +202,14 @@ def apply_zscore(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFr
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:
-    """Equal-width histogram on [lo, hi] after clipping values into the range."""
+    """Equal-width histogram on [lo, hi] after clipping values into the range; a bin without
+    values has a count of 0."""
     x = F.least(F.greatest(F.col(col).cast("double"), F.lit(lo)), F.lit(hi))
     b = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1)).cast("int")
-    return df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
-        F.count(F.lit(1)).cast("long").alias("n")).select(
+    found = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
+        F.count(F.lit(1)).cast("long").alias("found"))
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return every.join(found, "bin", "left").select("bin", F.coalesce("found", F.lit(0)).cast("long").alias("n")).select(
         "bin", (F.lit(lo) + F.col("bin") * F.lit((hi - lo) / bins)).alias("bin_start"), "n")
 
 

@@ -231,6 +231,16 @@ def activity_coverage(df: DataFrame, employee: str, activity: str) -> DataFrame:
         "pct_single_employee", _pct(F.col("single_employee_activities"), F.col("activities")))
 
 
+def people_per_tenant(df: DataFrame, tenant: str, employee: str) -> DataFrame:
+    """Q20: distinct employees per tenant, and over all tenants as the row of tenant NULL. Rows
+    without a tenant count in the total only."""
+    pairs = df.where(F.col(employee).isNotNull()).select(tenant, employee).distinct()
+    per = pairs.where(F.col(tenant).isNotNull()).groupBy(tenant).agg(F.count(F.lit(1)).cast("long").alias("employees"))
+    total = pairs.agg(F.countDistinct(employee).cast("long").alias("employees")).select(
+        F.lit(None).cast(df.schema[tenant].dataType).alias(tenant), "employees")
+    return per.unionByName(total)
+
+
 def completeness(tables: dict[str, DataFrame]) -> DataFrame:
     """Q1/Q12: fill rates of every column of several tables."""
     return union_all_by_name(*[fill_rates(df, t) for t, df in tables.items()])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from hourloom.functions.columns import matches
 
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 
 # ── helpers ──────────────────────────────────────────────────────────────────
@@ -35,9 +36,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
 
     * If the optimizer's size estimate (from file sizes) is already below Spark's own broadcast
       threshold, the frame is returned as is: the planner broadcasts it without a hint or job.
-    * Otherwise (typically an aggregate whose estimate is its input size) the rows are counted
-      with ``limit(max_rows + 1).count()`` — it stops once the bound is passed — and the hint is
-      set only when the count is within ``max_rows``.
+    * Otherwise (typically an aggregate whose estimate is its input size) at most ``max_rows + 1``
+      rows are read for their number and their width (as text, which follows strings, arrays and
+      structs); the hint is set only when the rows are within ``max_rows`` and their bytes within
+      ``BROADCAST_MAX_BYTES``.
     Above the bound the join stays a shuffle join and AQE re-plans at runtime (skew splitting on).
     """
     thr = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
@@ -48,8 +50,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     est = _estimated_bytes(df)
     if est is not None and 0 < thr_b and est <= thr_b:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = F.sum(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(width, F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and size <= BROADCAST_MAX_BYTES else df
 
 
 def _all_not_null(cols: Sequence[str]) -> Column:

@@ -56,12 +56,15 @@ def g2_net_work_time(spark, sf):
                            activity="l_linenumber")
 
 
-_EVENT_TYPES = ["view", "click", "purchase", "signup", "error", "big bag"]
+_EVENT_TYPES = ["view", "click", "purchase", "signup", "big bag"]  # "error" goes to the rest
 
 
 @register("g6_pivot_sum", "SELECT user_id, " + ", ".join(
     f"round(coalesce(sum(CASE WHEN event_type = '{v}' THEN value END), 0.0), 4) AS "
-    f"hoeveelheid_{v.replace(' ', '_')}" for v in _EVENT_TYPES) + " FROM events GROUP BY user_id")
+    f"hoeveelheid_{v.replace(' ', '_')}" for v in _EVENT_TYPES)
+    + ", round(coalesce(sum(CASE WHEN event_type IS NULL OR event_type NOT IN ("
+    + ", ".join(f"'{v}'" for v in _EVENT_TYPES)
+    + ") THEN value END), 0.0), 4) AS hoeveelheid_overig FROM events GROUP BY user_id")
 def g6_pivot_sum(spark, sf):
     """Pivot-sum of amounts per unit (fixed unit list, absent unit → 0 column)."""
     e = read_table(spark, sf, "events")
@@ -69,12 +72,13 @@ def g6_pivot_sum(spark, sf):
     return p.select("user_id", *[F.round(c, 4).alias(c) for c in p.columns if c != "user_id"])
 
 
-_YEARS = list(range(1995, 2003))
+_YEARS = list(range(1996, 2001))  # the rest counts as other
 
 
 @register("g7_q8_pivot_tenant_year", f"WITH r AS ({REG_SQL}) SELECT con, " + ", ".join(
     f"CAST(count(*) FILTER (WHERE year(work_date) = {y}) AS BIGINT) AS \"{y}\"" for y in _YEARS)
-    + " FROM r GROUP BY con")
+    + f", CAST(count(*) FILTER (WHERE year(work_date) IS NULL OR year(work_date) NOT IN {tuple(_YEARS)})"
+    " AS BIGINT) AS other FROM r GROUP BY con")
 def g7_q8_pivot_tenant_year(spark, sf):
     """Registrations per tenant × year."""
     r = registrations(spark, sf).withColumn("year", F.year("work_date"))
@@ -214,12 +218,14 @@ def g19_x8_zscore(spark, sf):
 
 
 @register("g20_histogram", """
-SELECT CAST(least(floor((least(greatest(o_totalprice, 0.0), 500000.0) - 0.0) / 25000.0), 19)
+WITH h AS (SELECT CAST(least(floor((least(greatest(o_totalprice, 0.0), 500000.0) - 0.0) / 25000.0), 19)
        AS INTEGER) AS bin,
        0.0 + least(floor((least(greatest(o_totalprice, 0.0), 500000.0)) / 25000.0), 19) * 25000.0
        AS bin_start,
        CAST(count(*) AS BIGINT) AS n
-FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2
+FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2)
+SELECT CAST(r.b AS INTEGER) AS bin, r.b * 25000.0 AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
+FROM range(20) r(b) LEFT JOIN h ON h.bin = r.b
 """)
 def g20_histogram(spark, sf):
     """Clipped equal-width histogram (20 bins on [0, 500000])."""

@@ -121,11 +121,13 @@ def q10_duration_stats(spark, sf):
 
 
 @register("q10_duration_histogram", f"""
-WITH r AS ({REG_SQL})
-SELECT CAST(least(floor(least(greatest(hours, 0.0), 400000.0) / 40000.0), 9) AS INTEGER) AS bin,
+WITH r AS ({REG_SQL}),
+h AS (SELECT CAST(least(floor(least(greatest(hours, 0.0), 400000.0) / 40000.0), 9) AS INTEGER) AS bin,
        0.0 + least(floor(least(greatest(hours, 0.0), 400000.0) / 40000.0), 9) * 40000.0
        AS bin_start, CAST(count(*) AS BIGINT) AS n
-FROM r WHERE hours IS NOT NULL GROUP BY 1, 2
+FROM r WHERE hours IS NOT NULL GROUP BY 1, 2)
+SELECT CAST(b.b AS INTEGER) AS bin, b.b * 40000.0 AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
+FROM range(10) b(b) LEFT JOIN h ON h.bin = b.b
 """)
 def q10_duration_histogram(spark, sf):
     """Q10: histogram of durations clipped at the upper edge."""
@@ -264,6 +266,16 @@ def q18_join_funnel(spark, sf):
     return Q.join_funnel(rd("customer"), "customer", steps)
 
 
+@register("q20_people_per_tenant", f"""
+WITH r AS ({REG_SQL})
+SELECT con, CAST(count(DISTINCT employee) AS BIGINT) AS employees FROM r GROUP BY con
+UNION ALL SELECT NULL, CAST(count(DISTINCT employee) AS BIGINT) FROM r
+""")
+def q20_people_per_tenant(spark, sf):
+    """Q20: distinct employees per tenant, and in total (tenant NULL)."""
+    return Q.people_per_tenant(registrations(spark, sf), "con", "employee")
+
+
 _ENGINEERED = ["med_gem_tijd", "med_std_tijd", "taak_gem", "med_klant_gem_tijd",
                "med_bewerking_gem_tijd", "med_snelheid_ratio"]
 

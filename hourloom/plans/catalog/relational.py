@@ -3,14 +3,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from hourloom.functions import columns as C
 from hourloom.operators import relational as Rel
 from hourloom.plans.registry import register
 from hourloom.plans.standins import REG_SQL, registrations
+from hourloom.session import checkpoint_dir
+from hourloom.sources import sinks
 from hourloom.sources import tables as T
-from hourloom.sources.sinks import column_listing
 
 # ── A: sources ───────────────────────────────────────────────────────────────
 
@@ -73,14 +76,38 @@ def a5_scan_by_suffix(spark, sf):
     return T.read_by_suffix(spark, f"{sf}/nation.parquet")
 
 
-@register("a9_column_listing", """
-SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name
-FROM information_schema.columns WHERE table_name = 'lineitem'
-""")
-def a9_column_listing(spark, sf):
-    """The column names of a table as a DataFrame."""
-    return column_listing(spark, T.read_table(spark, sf, "lineitem")).select("position",
-                                                                            "column_name")
+_SINK_SQL = "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"
+_SINK_SCHEMA = "o_orderkey long, o_orderpriority string, o_totalprice double"
+
+
+def _sink_input(spark, sf, kind):
+    path = f"{checkpoint_dir(spark).rstrip('/')}/sinks/{uuid.uuid4().hex}{kind}"
+    return T.read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), path
+
+
+@register("a4_a5_a6_csv_round_trip", _SINK_SQL)
+def a4_a5_a6_csv_round_trip(spark, sf):
+    """The orders written as CSV and read back by suffix with a declared schema."""
+    o, path = _sink_input(spark, sf, ".csv")
+    sinks.write_csv(o, path)
+    return T.read_by_suffix(spark, path, _SINK_SCHEMA)
+
+
+@register("a7_parquet_round_trip", _SINK_SQL)
+def a7_parquet_round_trip(spark, sf):
+    """The orders written as Parquet partitioned by priority and read back."""
+    o, path = _sink_input(spark, sf, ".parquet")
+    sinks.write_parquet(o, path, ["o_orderpriority"])
+    back = spark.read.schema(_SINK_SCHEMA).parquet(path)
+    return back.select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+@register("a8_json_round_trip", _SINK_SQL)
+def a8_json_round_trip(spark, sf):
+    """The orders written as JSON lines and read back."""
+    o, path = _sink_input(spark, sf, ".json")
+    sinks.write_json(o, path)
+    return spark.read.schema(_SINK_SCHEMA).json(path)
 
 
 # ── B: projections ───────────────────────────────────────────────────────────
@@ -265,7 +292,7 @@ def f6_p99_cut_mean_by_priority(spark, sf):
     o = T.read_table(spark, sf, "orders")
     cut = Rel.quantile_cut(o, "o_totalprice", 0.99)
     return cut.groupBy("o_orderpriority").agg(F.count(F.lit(1)).cast("long").alias("n"),
-                                              F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
+                                              F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
 
 
 @register("f7_f9_group_size_filters", f"""
@@ -282,8 +309,60 @@ def f7_f9_group_size_filters(spark, sf):
                                 F.countDistinct("employee").cast("long").alias("employees_kept"))
 
 
+@register("f9_having_count", """
+SELECT o_custkey, round(avg(o_totalprice), 2) AS mean_price, CAST(count(*) AS BIGINT) AS n
+FROM orders GROUP BY o_custkey HAVING count(*) >= 12
+""")
+def f9_having_count(spark, sf):
+    """grouped aggregate with a minimum of rows."""
+    o = T.read_table(spark, sf, "orders")
+    return Rel.having_count(o, ["o_custkey"], [F.round(F.avg("o_totalprice"), 2).alias("mean_price")], 12)
+
+
 # ── J: joins ─────────────────────────────────────────────────────────────────
 
+@register("j3_inner_lookup", """
+SELECT s.s_suppkey, s.s_nationkey, n.n_name FROM supplier s
+JOIN nation n ON s.s_nationkey = n.n_nationkey WHERE n.n_regionkey <> 0
+""")
+def j3_inner_lookup(spark, sf):
+    """Inner equi join through ``lookup``."""
+    n = T.read_table(spark, sf, "nation").where("n_regionkey <> 0").select("n_nationkey", "n_name")
+    s = T.read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+    return Rel.lookup(s, n, ["s_nationkey"], ["n_nationkey"], how="inner")
+
+
+@register("j4_j17_tenant_keyed_chain", """
+WITH o AS (SELECT o_orderpriority AS con, o_orderkey, o_custkey FROM orders),
+l AS (SELECT o.con, l.l_orderkey, l.l_partkey, l.l_suppkey FROM lineitem l JOIN o ON l.l_orderkey = o.o_orderkey)
+SELECT l.con, CAST(count(*) AS BIGINT) AS rows, CAST(count(p.p_partkey) AS BIGINT) AS with_part,
+       CAST(count(s.s_suppkey) AS BIGINT) AS with_supplier, CAST(count(o.o_custkey) AS BIGINT) AS with_client
+FROM l LEFT JOIN o ON l.con = o.con AND l.l_orderkey = o.o_orderkey
+LEFT JOIN (SELECT * FROM part WHERE p_size > 25) p ON l.l_partkey = p.p_partkey
+LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) s ON l.l_suppkey = s.s_suppkey
+GROUP BY l.con
+""")
+def j4_j17_tenant_keyed_chain(spark, sf):
+    """Activity lines joined left, step by step, to order, article and machine on
+    (tenant, id). Stand-in: tenant = order priority; a tenant has the parts and suppliers that its lines name."""
+    o = T.read_table(spark, sf, "orders").select(F.col("o_orderpriority").alias("con"), "o_orderkey", "o_custkey")
+    line = T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
+    line = line.join(o.select("con", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    part = line.select("con", F.col("l_partkey").alias("p_partkey")).distinct().join(
+        T.read_table(spark, sf, "part").where("p_size > 25").select("p_partkey"), "p_partkey")
+    supp = line.select("con", F.col("l_suppkey").alias("s_suppkey")).distinct().join(
+        T.read_table(spark, sf, "supplier").where("s_acctbal > 0").select("s_suppkey"), "s_suppkey")
+    df = Rel.lookup(line, o.withColumnRenamed("con", "oc"), ["con", "l_orderkey"], ["oc", "o_orderkey"])
+    df = Rel.lookup(df, part.select(F.col("con").alias("pc"), "p_partkey", F.lit(1).alias("has_part")),
+                    ["con", "l_partkey"], ["pc", "p_partkey"])
+    df = Rel.lookup(df, supp.select(F.col("con").alias("sc"), "s_suppkey", F.lit(1).alias("has_supplier")),
+                    ["con", "l_suppkey"], ["sc", "s_suppkey"])
+    return df.groupBy("con").agg(
+        F.count(F.lit(1)).cast("long").alias("rows"), F.count("has_part").cast("long").alias("with_part"),
+        F.count("has_supplier").cast("long").alias("with_supplier"),
+        F.count("o_custkey").cast("long").alias("with_client"))
+
+
 @register("j1_j7_j16_snowflake", """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_quantity,
        l.l_extendedprice, c.c_name, cn.n_name AS cust_nation, cr.r_name AS cust_region,
