@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.operators.relational import bounded_broadcast, exact_quantiles
+from hourloom.operators.relational import bounded_broadcast, exact_quantiles, group_quantile_values
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
@@ -92,67 +92,28 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
         .orderBy(F.col("n").desc(), F.col(col))
 
 
-HOT_GROUP_ROWS = 5_000_000
-
-
-def _quantiles_per_group(df: DataFrame, keys: Sequence[str], value: str,
-                         probs: Sequence[float], hot_rows: int | None = None) -> DataFrame:
-    """Exact per-group quantiles as keys + array column ``__q``.
-
-    Groups up to ``hot_rows`` rows use ``percentile`` (its buffer then holds at most that many
-    values). Larger groups — few by construction, at most rows / ``hot_rows`` — are handled one by
-    one with the distributed bracket-and-narrow :func:`exact_quantiles`, so no group's values are
-    ever held in a single task."""
-    from hourloom.operators.history import find_hot_keys
-    from hourloom.operators.relational import _all_not_null
-
-    hot_rows = hot_rows or HOT_GROUP_ROWS
-    x = df.where(_all_not_null(keys)).select(*keys, F.col(value).cast("double").alias("__v"))
-    hot, n_hot, _ = find_hot_keys(x, keys, hot_rows)
-    q = F.percentile(F.col("__v"), [float(p) for p in probs]).alias("__q")
-    if n_hot == 0:
-        return x.groupBy(*keys).agg(q)
-    hk = hot.select(*keys)
-    cold = x.join(F.broadcast(hk), list(keys), "left_anti").groupBy(*keys).agg(q)
-    rows = []
-    for r in hk.collect():                       # ≤ rows / hot_rows groups
-        cond = _all_not_null([])
-        for k in keys:
-            cond = cond & (F.col(k) == F.lit(r[k]))
-        rows.append((*[r[k] for k in keys], exact_quantiles(x.where(cond), "__v", probs)))
-    schema = cold.schema
-    hot_df = df.sparkSession.createDataFrame(rows, schema)
-    return cold.unionByName(hot_df)
-
-
 def group_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                    probs: Sequence[float] = (0.25, 0.5, 0.75, 0.99),
-                    hot_rows: int | None = None) -> DataFrame:
+                    probs: Sequence[float] = (0.25, 0.5, 0.75, 0.99)) -> DataFrame:
     """Exact quantiles per group, one column per probability (``q25``, ``q50``, ...)."""
-    g = _quantiles_per_group(df, keys, value, probs, hot_rows)
+    g = group_quantile_values(df, keys, value, probs)
     return g.select(*keys, *[F.col("__q")[i].alias(f"q{round(p * 100):02d}")
                              for i, p in enumerate(probs)])
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, std, min, 25/50/75 %, max per column — exact quantiles (``summary``
-    uses approximate ones). Moments in one aggregate; quartiles per column via the scalable
-    :func:`exact_quantiles`; one report row per column."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).cast("double").alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    m = df.agg(*aggs).first()
-    rows = []
-    for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        rows.append((c, m[f"{c}__count"], m[f"{c}__mean"], m[f"{c}__std"], m[f"{c}__min"],
-                     *q, m[f"{c}__max"]))
-    schema = ("column_name string, count double, mean double, std double, min double, "
-              "`25%` double, `50%` double, `75%` double, max double")
-    return df.sparkSession.createDataFrame(rows, schema)
+    uses approximate ones); one report row per column. The columns are unpivoted and handled
+    together: one scan for the moments, and for the quartiles as many as the narrowing takes,
+    however many columns there are."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
+                                                 F.col(c).cast("double").alias("x")) for c in cols])))
+    m = long.groupBy("column_name").agg(
+        F.count("x").cast("double").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+        F.min("x").alias("min"), F.max("x").alias("max"))
+    q = group_quantile_values(long, ["column_name"], "x", [0.25, 0.5, 0.75])
+    return m.join(q, "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min", F.col("__q")[0].alias("25%"), F.col("__q")[1].alias("50%"),
+        F.col("__q")[2].alias("75%"), "max")
 
 
 def group_max_normalise(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
@@ -213,17 +174,13 @@ def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataF
         "bin", (F.lit(lo) + F.col("bin") * F.lit((hi - lo) / bins)).alias("bin_start"), "n")
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str,
-                 hot_rows: int | None = None) -> DataFrame:
-    """Min, q1, median, q3, max and n per group (box-plot data); exact quartiles with the
-    same hot-group handling as :func:`group_quantiles`."""
-    d = df.where(F.col(value).isNotNull())
-    mm = d.groupBy(*keys).agg(F.min(value).alias("min"), F.max(value).alias("max"),
-                              F.count(F.lit(1)).cast("long").alias("n"))
-    q = _quantiles_per_group(d, keys, value, [0.25, 0.5, 0.75], hot_rows)
-    return mm.join(q, list(keys)).select(
-        *keys, "min", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-        F.col("__q")[2].alias("q3"), "max", "n")
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Min, q1, median, q3, max and n per group (box-plot data), as exact quantiles of 0, 1/4,
+    1/2, 3/4 and 1."""
+    q = group_quantile_values(df, keys, value, [0.0, 0.25, 0.5, 0.75, 1.0])
+    return q.select(*keys, F.col("__q")[0].cast(df.schema[value].dataType).alias("min"),
+                    F.col("__q")[1].alias("q1"), F.col("__q")[2].alias("median"), F.col("__q")[3].alias("q3"),
+                    F.col("__q")[4].cast(df.schema[value].dataType).alias("max"), F.col("n").cast("long").alias("n"))
 
 
 def merge_duplicates(df: DataFrame, keys: Sequence[str], uid: str, hours: str,

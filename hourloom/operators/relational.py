@@ -8,7 +8,6 @@ splitting on) re-plans at runtime.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -82,96 +81,73 @@ def keep_matching(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return df.where(matches(col, pattern))
 
 
-SMALL_DISTINCT = 200_000
-
-
-def _kth_smallest(x: DataFrame, ranks: Sequence[int], lo: float, hi: float, below: int,
-                  max_collect: int | None = None, bins: int = 4096) -> dict[int, float]:
-    """Exact order statistics (0-based ``ranks``, adjacent: one quantile's floor/ceil) of column
-    ``v`` of ``x``, knowing they lie in [lo, hi] and that ``below`` values are < lo.
-
-    Each pass is one scan with a partial aggregate. When the bracket holds few distinct values
-    they are collected as (value, count) pairs (bounded by ``max_collect``). Otherwise an
-    equal-width histogram with exact per-bucket min/max narrows the bracket to the buckets that
-    hold the ranks; the bucket function is monotone, so [min of the first bucket, max of the last]
-    contains exactly those buckets."""
-    max_collect = max_collect or SMALL_DISTINCT
-    todo = sorted(set(ranks))
-    while True:
-        inb = x.where((F.col("v") >= F.lit(lo)) & (F.col("v") <= F.lit(hi)))
-        nd = inb.agg(F.approx_count_distinct("v").alias("d")).first()["d"]
-        if nd <= max_collect or lo == hi:
-            vals = inb.groupBy("v").agg(F.count(F.lit(1)).alias("c")).orderBy("v").collect()
-            out, acc = {}, below
-            for r in vals:
-                for k in todo:
-                    if acc <= k < acc + r["c"]:
-                        out[k] = float(r["v"])
-                acc += r["c"]
-            return out
-        width = (hi - lo) / bins
-        b = F.least(F.floor((F.col("v") - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-        hist = sorted((r["b"], r["c"], r["mn"], r["mx"]) for r in inb.groupBy(b.alias("b")).agg(
-            F.count(F.lit(1)).alias("c"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-            .collect())                                          # ≤ bins rows
-        acc, first, last = below, None, None
-        for bi, c, mn, mx in hist:
-            if first is None and todo[0] < acc + c:
-                first = (mn, acc)
-            if todo[-1] < acc + c:
-                last = mx
-                break
-            acc += c
-        (lo, below), hi = first, last
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
-    """G9/F6 scalar: exact linear-interpolated quantiles (``percentile`` semantics, R10).
-
-    Small distinct counts use ``percentile`` directly (its buffer holds one entry per distinct
-    value). Otherwise the needed order statistics are bracketed with ``percentile_approx``,
-    the bracket is verified by counting, and narrowed exactly by :func:`_kth_smallest` — a few
-    scans with partial aggregates, never all values in one task or on the driver."""
-    x = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull()
-                                                              & ~F.isnan("v"))
-    st = x.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("d"),
-               F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    n = int(st["n"])
-    if n == 0:
-        return [None] * len(probs)
-    if st["d"] <= SMALL_DISTINCT:
-        row = x.agg(F.percentile("v", [float(p) for p in probs]).alias("q")).first()
-        return list(row["q"])
+def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
+                          bins: int = 4096) -> DataFrame:
+    """Exact linear-interpolated quantiles (``percentile`` semantics, R10) of every group: ``keys``,
+    n and the array ``__q`` in the order of ``probs``.
+
+    All groups are narrowed together and alike, whatever their size. Each needed order statistic
+    lies in a bracket [least, greatest] that starts as its group's range; a pass cuts each bracket
+    into ``bins`` equal widths, keeps for every bin that holds a wanted rank its exact least and
+    greatest value, and ends when they meet. A pass is one scan joined to the brackets (a few rows
+    per group) and one aggregate with partial sums: no group's values meet in one task. Values that
+    are NULL or not a number are left out; so are groups without a value."""
+    from hourloom.session import materialize
+
+    keys = list(keys)
+    v = F.col(value).cast("double")
+    x = x.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], v.alias("__v")).where(
+        F.col("__v").isNotNull() & ~F.isnan("__v") & _all_not_null([f"__k{i}" for i in range(len(keys))]))
+    if not keys:
+        x = x.withColumn("__k0", F.lit(0))
+    ks = [f"__k{i}" for i in range(max(len(keys), 1))]
     try:
         derived = "Exchange" in x._jdf.queryExecution().executedPlan().toString()
     except Exception:  # noqa: BLE001 - no JVM plan access: assume derived
         derived = True
-    if derived:
-        # a derived column (aggregate/join output): write it once instead of recomputing the
-        # input plan in every narrowing pass
-        from hourloom.session import materialize
+    if derived:  # the output of an aggregate or join is written once, not made again in each pass
         x = materialize(x)
-    pos = [float(p) * (n - 1) for p in probs]
-    pairs = [(int(math.floor(q)), int(math.ceil(q))) for q in pos]
-    eps = 4.0 / 10000
-    pr = []
-    for a, b in pairs:
-        pr += [min(1.0, max(0.0, a / max(n - 1, 1) - eps)), min(1.0, max(0.0, b / max(n - 1, 1) + eps))]
-    approx = x.agg(F.percentile_approx("v", pr, 10000).alias("a")).first()["a"]
-    brackets = [(float(approx[2 * i]), float(approx[2 * i + 1])) for i in range(len(pairs))]
-    cnt = x.agg(*[F.count_if(F.col("v") < F.lit(lo)).alias(f"b{i}")
-                  for i, (lo, _) in enumerate(brackets)],
-                *[F.count_if(F.col("v") <= F.lit(hi)).alias(f"le{i}")
-                  for i, (_, hi) in enumerate(brackets)]).first()
-    out = []
-    for i, ((a, b), q) in enumerate(zip(pairs, pos)):
-        lo, hi = brackets[i]
-        below = int(cnt[f"b{i}"])
-        if not (below <= a and b < cnt[f"le{i}"]):     # approximate bracket missed: full range
-            lo, hi, below = float(st["mn"]), float(st["mx"]), 0
-        ks = _kth_smallest(x, [a, b], lo, hi, below)
-        out.append(ks[a] + (q - a) * (ks[b] - ks[a]))
-    return out
+    asked = F.array(*[F.lit(float(p)) for p in probs])
+    start = x.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    at = F.transform(asked, lambda p: p * (F.col("__n") - 1))
+    ranks = F.array_distinct(F.concat(F.transform(at, lambda p: F.floor(p)), F.transform(at, lambda p: F.ceil(p))))
+    brackets = materialize(start.select(*ks, "__n", "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
+                                        ranks.cast("array<bigint>").alias("__r")))
+    sizes = brackets.select(*ks, "__n")
+    met = [brackets.where("__lo = __hi")]
+    wide = brackets.where("__lo < __hi")
+    while not wide.isEmpty():
+        inside = x.join(wide.select(*ks, "__lo", "__hi"), ks).where("__v between __lo and __hi")
+        # half widths: the whole width of a bracket may not be a double
+        share = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
+        b = F.least(F.floor(share * F.lit(bins)), F.lit(bins - 1))
+        held = inside.groupBy(*ks, "__lo", "__hi", b.alias("__b")).agg(
+            F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx"))
+        w = Window.partitionBy(*ks, "__lo", "__hi").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        cut = held.withColumn("__acc", F.coalesce(F.sum("__c").over(w), F.lit(0)))  # at most ``bins`` rows
+        cut = cut.join(wide.select(*ks, "__lo", "__hi", "__n", "__below", "__r"), [*ks, "__lo", "__hi"])
+        cut = cut.withColumn("__acc", F.col("__acc") + F.col("__below"))
+        here = F.filter("__r", lambda r: (r >= F.col("__acc")) & (r < F.col("__acc") + F.col("__c")))
+        step = materialize(cut.withColumn("__r", here).where(F.size("__r") > 0).select(
+            *ks, "__n", F.col("__mn").alias("__lo"), F.col("__mx").alias("__hi"), F.col("__acc").alias("__below"), "__r"))
+        met.append(step.where("__lo = __hi"))
+        wide = step.where("__lo < __hi")
+    found = reduce(lambda p, q: p.unionByName(q), met).select(*ks, F.explode("__r").alias("__rank"), "__lo")
+    values = found.groupBy(*ks).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__m"))
+
+    def between(p):
+        q = p * (F.col("__n") - 1)
+        low = F.try_element_at("__m", F.floor(q).cast("long"))
+        return low + (q - F.floor(q)) * (F.try_element_at("__m", F.ceil(q).cast("long")) - low)
+
+    out = values.join(sizes, ks).select(*ks, "__n", F.transform(asked, between).alias("__q"))
+    return out.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], F.col("__n").alias("n"), "__q")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    """G9/F6 scalar: exact quantiles of a column, as :func:`group_quantile_values` of one group."""
+    row = group_quantile_values(df, [], col, probs).first()
+    return list(row["__q"]) if row else [None] * len(probs)
 
 
 def quantile_cut(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:

@@ -292,7 +292,7 @@ def f6_p99_cut_mean_by_priority(spark, sf):
     o = T.read_table(spark, sf, "orders")
     cut = Rel.quantile_cut(o, "o_totalprice", 0.99)
     return cut.groupBy("o_orderpriority").agg(F.count(F.lit(1)).cast("long").alias("n"),
-                                              F.round(F.avg("o_totalprice"), 2).alias("mean_price"))
+                                              F.round(F.avg("o_totalprice"), 4).alias("mean_price"))
 
 
 @register("f7_f9_group_size_filters", f"""
@@ -310,13 +310,13 @@ def f7_f9_group_size_filters(spark, sf):
 
 
 @register("f9_having_count", """
-SELECT o_custkey, round(avg(o_totalprice), 2) AS mean_price, CAST(count(*) AS BIGINT) AS n
+SELECT o_custkey, round(avg(o_totalprice), 6) AS mean_price, CAST(count(*) AS BIGINT) AS n
 FROM orders GROUP BY o_custkey HAVING count(*) >= 12
 """)
 def f9_having_count(spark, sf):
     """grouped aggregate with a minimum of rows."""
     o = T.read_table(spark, sf, "orders")
-    return Rel.having_count(o, ["o_custkey"], [F.round(F.avg("o_totalprice"), 2).alias("mean_price")], 12)
+    return Rel.having_count(o, ["o_custkey"], [F.round(F.avg("o_totalprice"), 6).alias("mean_price")], 12)
 
 
 # ── J: joins ─────────────────────────────────────────────────────────────────

@@ -127,7 +127,6 @@ def test_exact_quantiles_large_distinct_path(spark, monkeypatch):
     vals = np.concatenate([rnd.lognormal(3, 2, 5000), np.full(700, 42.0), rnd.normal(0, 1, 300)])
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     probs = [0.0, 0.01, 0.25, 0.5, 0.99, 1.0]
-    monkeypatch.setattr(Rel, "SMALL_DISTINCT", 50)          # force the bracketing path
     got = Rel.exact_quantiles(df, "x", probs)
     exp = np.quantile(vals, probs)                           # linear interpolation
     assert got == pytest.approx(list(exp), rel=1e-12)
@@ -140,11 +139,11 @@ def test_group_quantiles_hot_groups(spark):
            [("cold", float(v)) for v in rnd.normal(0, 1, 50)]
     df = spark.createDataFrame(rows, "g string, x double")
     got = {r.g: (r.q25, r.q50, r.q99) for r in
-           G.group_quantiles(df, ["g"], "x", [0.25, 0.5, 0.99], hot_rows=500).collect()}
+           G.group_quantiles(df, ["g"], "x", [0.25, 0.5, 0.99]).collect()}
     for g in ("hot", "cold"):
         vals = np.array([v for k, v in rows if k == g])
         assert got[g] == pytest.approx(tuple(np.quantile(vals, [0.25, 0.5, 0.99])), rel=1e-12)
-    f = {r.g: r for r in G.five_numbers(df, ["g"], "x", hot_rows=500).collect()}
+    f = {r.g: r for r in G.five_numbers(df, ["g"], "x").collect()}
     assert f["hot"].n == 3000 and f["hot"].median == pytest.approx(got["hot"][1])
 
 
