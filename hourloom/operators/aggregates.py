@@ -225,9 +225,3 @@ def range_report(df: DataFrame, ts: str, as_of: str) -> DataFrame:
     return df.agg(F.min(t).alias("min_ts"), F.max(t).alias("max_ts"),
                   F.count_if(t.isNull()).cast("long").alias("null_ts"),
                   F.count_if(t > as_of_lit).cast("long").alias("future_ts"))
-
-
-def agg_map(df: DataFrame, keys: Sequence[str], spec: Mapping[str, Column]) -> DataFrame:
-    """Named multi-aggregate helper (G5 style): ``{out_name: aggregate expression}``."""
-    return df.groupBy(*keys).agg(*[e.alias(n) for n, e in spec.items()])
-

@@ -314,7 +314,3 @@ def duplicate_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 def between(df: DataFrame, col: str, lo, hi) -> DataFrame:
     """F8: inclusive range."""
     return df.where(F.col(col).between(lo, hi))
-
-
-def all_not_null(cols: Sequence[str]) -> Column:
-    return _all_not_null(cols)

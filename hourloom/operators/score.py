@@ -64,7 +64,10 @@ def suitability_score(df: DataFrame, tenant: str = "con",
     """``clip(0.6·exp/max_tenant(exp) + 0.4·visits/max_tenant(visits), 0, 1)`` as float32,
     each normalisation 0 when the tenant max is ≤ 0 (G11).
 
-    Both maxima come from one aggregate (one row per tenant), joined back after a size check."""
+    The input is written once (it usually ends in a chain of windows); both maxima come from one
+    aggregate over it (one row per tenant), joined back after a size check."""
+    from hourloom.session import materialize
+    df = materialize(df)
     mx = df.groupBy(tenant).agg(F.max(experience).alias("__mx_e"), F.max(visits).alias("__mx_v"))
     j = df.join(bounded_broadcast(mx), on=tenant, how="left")
 

@@ -52,15 +52,6 @@ def terms(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> Dat
     return d.select(doc, F.concat(F.col("__t"), bigrams).alias("terms"))
 
 
-def term_counts(df: DataFrame, doc: str, text: str) -> DataFrame:
-    """(doc, term, tf) — raw counts of every term of every document.
-    ``explode_outer`` + a NULL filter stops Spark from inferring a size filter that would
-    evaluate the tokenizer again."""
-    t = terms(df, doc, text)
-    return t.select(doc, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())\
-        .groupBy(doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-
-
 def corpus_stats(t: DataFrame) -> DataFrame:
     """(term, df, total_tf) from per-document term arrays in ONE aggregation keyed by the term:
     each document contributes its terms tagged 0 (occurrences) and its distinct terms tagged 1
@@ -96,9 +87,10 @@ def tfidf(df: DataFrame, doc: str, text: str, min_df: int = MIN_DF,
     vocabulary (≤ ``max_features`` rows), then ``(doc, idx)`` integer keys are counted (partial
     aggregation first) and the per-document norm is a window partitioned by document."""
     from pyspark.sql import Window
-    n_docs = df.count()
-    t = terms(spread(df, doc), doc, text)
-    voc = vocabulary(corpus_stats(t), n_docs, min_df, max_features)
+    from hourloom.session import materialize
+    t = materialize(terms(spread(df, doc), doc, text))   # texts are read and tokenised once
+    n_docs = t.count()
+    voc = materialize(vocabulary(corpus_stats(t), n_docs, min_df, max_features))
     hits = t.select(doc, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())\
         .join(F.broadcast(voc.select("term", "idx", "idf")), "term")
     tf = hits.groupBy(doc, "idx").agg(F.count(F.lit(1)).alias("tf"), F.first("term").alias("term"),
@@ -122,8 +114,8 @@ def _gram_partials(dim: int):
             x = np.zeros((len(pdf), dim))
             x[rows, cols] = vals
             g += x.T @ x
-        iu = np.triu_indices(dim)
-        yield pd.DataFrame({"i": iu[0].astype("int32"), "j": iu[1].astype("int32"), "g": g[iu]})
+        i, j = np.nonzero(np.triu(g))      # only pairs of terms that met in a document
+        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "g": g[i, j]})
     return run
 
 
@@ -137,7 +129,9 @@ def svd_components(vectors: DataFrame, doc: str, dim: int, k: int = N_COMPONENTS
     eigen-decomposes the bounded matrix; component signs are fixed so the largest-magnitude
     loading is positive. Scores ``X·V`` are a join of the long-form vectors with the broadcast
     loadings and a grouped sum — no documents pass through the driver."""
+    from hourloom.session import materialize
     spark = vectors.sparkSession
+    vectors = materialize(vectors)         # at most ``dim`` rows per document, read twice
     per_doc = vectors.groupBy(doc).agg(F.collect_list("idx").alias("idx"),
                                        F.collect_list("tfidf").alias("w"))
     parts = per_doc.select("idx", "w").mapInPandas(_gram_partials(dim), "i int, j int, g double")
