@@ -68,17 +68,19 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], skew_rows: int) -> tuple[D
 
 
 def hot_key_sets(df: DataFrame, key_sets: Sequence[Sequence[str]], skew_rows: int
-                 ) -> set[tuple[str, ...]]:
-    """Which of several key sets have at least one key above ``skew_rows`` rows — one
-    grouping-sets aggregation (one scan, partial aggregation before the shuffle) for all sets."""
+                 ) -> dict[tuple[str, ...], DataFrame]:
+    """The keys above ``skew_rows`` rows (with ``__rows``) of each key set that has any — one
+    grouping-sets aggregation (one scan, partial aggregation before the shuffle) for all sets, its
+    at most rows / ``skew_rows`` rows per set written once."""
     if df.count() <= skew_rows:            # no key can exceed the bound
-        return set()
+        return {}
     cols = sorted({c for ks in key_sets for c in ks})
     g = df.groupingSets([[F.col(c) for c in ks] for ks in key_sets], *[F.col(c) for c in cols])\
         .agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__gid"))
-    flags = g.agg(*[F.max(F.when(_set_cond(ks, cols, skew_rows), 1).otherwise(0)).alias(f"f{i}")
-                    for i, ks in enumerate(key_sets)]).first()
-    return {tuple(ks) for i, ks in enumerate(key_sets) if flags[f"f{i}"]}
+    g = materialize(g.where(F.col("__n") > F.lit(skew_rows)))
+    found = {tuple(ks): g.where(_set_cond(ks, cols, skew_rows)).select(*ks, F.col("__n").alias("__rows"))
+             for ks in key_sets}
+    return {ks: hot for ks, hot in found.items() if not hot.isEmpty()}
 
 
 def _set_cond(ks, cols, skew_rows) -> Column:
@@ -177,21 +179,26 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
 def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None,
                 mean: str | None = None, std: str | None = None, count: str | None = None,
                 cumcount: str | None = None, skew_rows: int | None = DEFAULT_SKEW_ROWS,
-                salt_col: str | None = None) -> DataFrame:
+                salt_col: str | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Per row, statistics of ``value`` over the earlier rows of the same key.
 
     ``mean``/``std``/``count`` name the prior expanding mean, sample std (NULL for < 2 values, R11)
     and non-null count (W1-W6); ``cumcount`` names the zero-based occurrence number (W7, W8).
-    ``order`` must end in a unique column (R4). ``skew_rows=None`` disables the hot-key path.
+    ``order`` must end in a unique column (R4). ``skew_rows=None`` disables the hot-key path; ``hot``
+    gives keys (with ``__rows``) already found to be above ``skew_rows``.
     """
     names = {k: v for k, v in (("mean", mean), ("std", std), ("count", count),
                                ("cumcount", cumcount)) if v}
     keys, order = list(keys), list(order)
     if not skew_rows:
         return _direct(df, keys, order, value, names, salt_col)
-    hot, n_hot, hot_rows = find_hot_keys(df, keys, skew_rows)
-    if n_hot == 0:
-        return _direct(df, keys, order, value, names, salt_col)
+    if hot is None:
+        hot, n_hot, hot_rows = find_hot_keys(df, keys, skew_rows)
+        if n_hot == 0:
+            return _direct(df, keys, order, value, names, salt_col)
+    else:
+        hot_rows = hot.agg(F.sum("__rows")).first()[0]
+        df = materialize(df)               # the two parts are read apart
     hot_keys = hot.select(*keys)
     # NULL-key rows never match, so they stay on the cold side (and get NULL outputs there)
     cold_part = df.join(F.broadcast(hot_keys), on=keys, how="left_anti")
@@ -330,29 +337,30 @@ def history_features(df: DataFrame, tenant: str | None, employee: str, client: s
     sets = [emp, [*of, task], [*emp, task], [*emp, client]]
     if task_speed_keys:
         sets.append(list(task_speed_keys))
-    hot = hot_key_sets(df, sets, skew_rows) if skew_rows else set()
+    hot = hot_key_sets(df, sets, skew_rows) if skew_rows else {}
 
     def sk(keys):  # hot-key path only for key sets that have a hot key
-        return skew_rows if tuple(keys) in hot else None
+        found = hot.get(tuple(keys))
+        return {"skew_rows": skew_rows if found is not None else None, "hot": found}
 
     # W4 (tenant, task) first; then the three employee key sets share one salt column, so one
     # hash partitioning on (tenant, employee, salt) serves all of them (a subset of each key set)
     out = prior_stats(df, [*of, task], order, hours, mean="taak_gem",
-                      skew_rows=sk([*of, task]))
+                      **sk([*of, task]))
     salt = "__emp_salt"
     out = out.withColumn(salt, _null_salt(emp, order))
     out = prior_stats(out, emp, order, hours, mean="med_gem_tijd", std="med_std_tijd",
                       count="med_aantal_opdrachten", cumcount="med_totaal_opdrachten",
-                      skew_rows=sk(emp), salt_col=salt)
+                      **sk(emp), salt_col=salt)
     out = prior_stats(out, [*emp, task], order, hours, mean="med_bewerking_gem_tijd",
-                      cumcount="med_ervaring_bewerking", skew_rows=sk([*emp, task]),
+                      cumcount="med_ervaring_bewerking", **sk([*emp, task]),
                       salt_col=salt)
     if task_speed_keys:
         out = prior_stats(out, list(task_speed_keys), order, hours, mean="__speed_mean",
-                          skew_rows=sk(task_speed_keys))
+                          **sk(task_speed_keys))
         out = out.withColumn("med_bewerking_gem_tijd", F.col("__speed_mean")).drop("__speed_mean")
     out = prior_stats(out, [*emp, client], order, hours, mean="med_klant_gem_tijd",
-                      cumcount="med_klant_bezoeken", skew_rows=sk([*emp, client]), salt_col=salt)
+                      cumcount="med_klant_bezoeken", **sk([*emp, client]), salt_col=salt)
     out = out.drop(salt)
     return out.withColumns({
         "med_klant_ratio": prior_ratio("med_klant_bezoeken", "med_totaal_opdrachten"),

@@ -78,6 +78,12 @@ def w1_w9_history_features(spark, sf_dir):
     return history_block(spark, sf_dir)
 
 
+@register("w1_w9_history_features_hot", HISTORY_SQL)
+def w1_w9_history_features_hot(spark, sf_dir):
+    """W1-W9 with keys above 300 rows on the chunked path: the same rows as without it."""
+    return history_block(spark, sf_dir, skew_rows=300)
+
+
 @register("w10_interval_overlaps", f"""
 WITH i AS ({ODD_INTERVAL_SQL}),
 v AS (SELECT * FROM i WHERE end_ts > start_ts AND employee IS NOT NULL),
