@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,11 +67,14 @@ def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> Dat
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of steps that are done and staged.
 
-    Spark deletes them when the driver's JVM collects the DataFrames that made them, which an idle
-    driver seldom does by itself.
+    Spark deletes them once the driver's JVM has collected the DataFrames that made them, which an
+    idle driver seldom does by itself. The listeners may hold a finished query a moment longer, so
+    it is asked twice.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.7)
 
 
 def fan_out(df: DataFrame, rows: int, rows_per_task: int) -> int:
@@ -77,6 +83,22 @@ def fan_out(df: DataFrame, rows: int, rows_per_task: int) -> int:
     return max(least, -(-rows // rows_per_task))
 
 
+def portions(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of record batches with about ``most`` bytes of text each (one row at least), so that a
+    task's memory does not follow the batch; Arrow's free memory goes back after each batch."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
+        a = 0
+        while a < batch.num_rows:
+            done = sizes[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(sizes, done + most, side="right")))
+            yield batch.slice(a, b - a)
+            a = b
+        pa.default_memory_pool().release_unused()
+
+
 def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets (one more than rows) of a string column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import (fan_out, mix64, release, staged, text_of, utf8_buffer, word_hashes, word_spans)
+from hourloom.llm.common import (fan_out, mix64, portions, release, staged, text_of, utf8_buffer, word_hashes, word_spans)
 
 #: Anchors that occur more often are split: each of their windows goes to a shard of its own.
 HOT_ANCHOR = 2_000
@@ -33,6 +33,8 @@ HOT_ANCHOR = 2_000
 CHUNK = 6_000
 #: Stretches per shard task.
 SHARD_ROWS = 40_000
+#: Bytes of text that a task holds at once.
+PORTION = 8 << 20
 #: Stands for a null id in comparisons: such documents come last.
 LAST = (1 << 63) - 1
 
@@ -66,7 +68,7 @@ def recurring_anchors(rows: DataFrame, window: int, gram: int, tasks: int) -> Da
     with more than HOT_ANCHOR occurrences."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 2, PORTION):
             raw, offsets = utf8_buffer(batch.column(2))
             _, _, first, at, anchor, h = anchors(raw, offsets, window, gram)
             if not len(at):
@@ -123,7 +125,7 @@ def recurring_anchors(rows: DataFrame, window: int, gram: int, tasks: int) -> Da
     seen = rows.mapInArrow(scan, "k long, pos int, h long, n int")
     # further occurrences need no meeting: they are spread evenly
     route = F.when(F.col("n") > 0, F.col("h")).otherwise(F.xxhash64("k", "pos"))
-    dealt = seen.withColumn("r", route).repartition(tasks, "r").drop("r").sortWithinPartitions("h")
+    dealt = seen.repartition(tasks, route).sortWithinPartitions("h")
     return dealt.mapInArrow(pick, "k long, pos int, h long")
 
 
@@ -131,7 +133,7 @@ def stretches(joined: DataFrame, window: int, gram: int) -> DataFrame:
     """(route, k, id, pos, words): stretches for the shards, and (null route, k, null, pos, null, end)
     for spans that repeat an earlier stretch of the same task."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 2, PORTION):
             raw, offsets = utf8_buffer(batch.column(2))
             starts, ends, first, at, anchor, h = anchors(raw, offsets, window, gram)
             if not len(at):
@@ -193,51 +195,74 @@ def stretches(joined: DataFrame, window: int, gram: int) -> DataFrame:
     return joined.mapInArrow(cut, "route long, k long, id long, pos int, words binary, stop int")
 
 
-def as_symbols(texts: list[list[bytes]]) -> list[str]:
-    """Each stretch as a string with one character per word, equal for equal words."""
-    symbol: dict[bytes, str] = {}
-    lines = []
-    for words in texts:
-        line = []
-        for w in words:
-            c = symbol.get(w)
-            if c is None:
-                n = len(symbol) + 1
-                c = symbol[w] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
-            line.append(c)
-        lines.append("".join(line))
-    return lines
-
-
-def repeats(texts: list[list[bytes]], ids: list[int], positions: list[int], window: int) -> list[tuple[int, int, int]]:
-    """(stretch, from word, to word) of windows that also start earlier, located by an automaton
-    compiled from the windows that two or more places share."""
-    lines = as_symbols(texts)
-    earliest: dict[str, tuple[int, int]] = {}
-    shared: set[str] = set()
-    for line, i, p in zip(lines, ids, positions):
-        for j in range(len(line) - window + 1):
-            w = line[j:j + window]
-            here = (i, p + j)
-            was = earliest.setdefault(w, here)
-            if was != here:
+class Symbols(dict):
+    """Words of a chunk -> one character each."""
+
+    def __missing__(self, word: bytes) -> str:
+        n = len(self) + 1
+        c = self[word] = chr(n if n < 0xD800 else n + 0x800)  # no surrogates
+        return c
+
+
+def repeats(routes: list[int], ids: list[int], positions: list[int], texts: list[bytes],
+            window: int) -> list[tuple[int, int, int]]:
+    """(stretch, from word, to word) of windows that also start earlier.
+
+    Confirmed phrases are compiled into one automaton: where all stretches of an anchor read alike
+    that text as a whole, else each window that two places share. Then every stretch that shares
+    its anchor is streamed through; a phrase's occurrences other than its earliest are reported.
+    """
+    groups: dict[int, dict[bytes, tuple[int, int]]] = {}
+    times: dict[int, int] = {}
+    for r, i, p, t in zip(routes, ids, positions, texts):
+        g = groups.setdefault(r, {})
+        was = g.get(t)
+        if was is None or (i, p) < was:
+            g[t] = (i, p)
+        times[r] = times.get(r, 0) + 1
+    symbols = Symbols()
+    lines: dict[bytes, str] = {}
+    phrases: dict[str, tuple[int, int, int]] = {}
+    for r, g in groups.items():
+        if times[r] < 2:  # its windows occur once
+            continue
+        for t in g:
+            lines[t] = "".join(map(symbols.__getitem__, t.split(b" ")))
+        if len(g) == 1:
+            (t, (i, p)), = g.items()
+            phrases[lines[t]] = (i, p, len(lines[t]))
+            continue
+        alike = times[r] > len(g)
+        earliest: dict[str, tuple[int, int, int]] = {}
+        shared = set()
+        for t, (i, p) in g.items():
+            line = lines[t]
+            for j in range(len(line) - window + 1):
+                w = line[j:j + window]
+                was = earliest.get(w)
+                if was is None:
+                    earliest[w] = (i, p + j, window)
+                    continue
                 shared.add(w)
-                if here < was:
-                    earliest[w] = here
-    if not shared:
+                if (i, p + j) < was[:2]:
+                    earliest[w] = (i, p + j, window)
+        # with equal stretches among them every window may occur twice
+        phrases.update(earliest if alike else {w: earliest[w] for w in shared})
+    if not phrases:
         return []
     automaton = ahocorasick.Automaton()
-    for w in shared:
-        automaton.add_word(w, earliest[w])
-    earliest.clear()
+    for w, first in phrases.items():
+        automaton.add_word(w, first)
+    phrases.clear()
     automaton.make_automaton()
     found = []
-    for s, line in enumerate(lines):
-        i, p = ids[s], positions[s]
+    for s, (r, i, p, t) in enumerate(zip(routes, ids, positions, texts)):
+        if times[r] < 2:
+            continue
         lo = hi = None
-        for end, first in automaton.iter(line):
-            j = end - window + 1
-            if first == (i, p + j):
+        for end, (first, start, size) in automaton.iter(lines[t]):
+            j = end + 1 - size
+            if first == i and start == p + j:
                 continue
             if lo is not None and j <= hi:
                 hi = end + 1
@@ -253,7 +278,7 @@ def repeats(texts: list[list[bytes]], ids: list[int], positions: list[int], wind
 def repeated_spans(rows: DataFrame, window: int, tasks: int) -> DataFrame:
     """(k, pos, stop): word spans covered by windows that also start earlier."""
     route = F.coalesce(F.col("route"), F.xxhash64("k", "pos"))
-    dealt = rows.withColumn("r", route).repartition(tasks, "r").drop("r").sortWithinPartitions("route")
+    dealt = rows.repartition(tasks, route).sortWithinPartitions("route")
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(k, pos, stop):
@@ -261,8 +286,8 @@ def repeated_spans(rows: DataFrame, window: int, tasks: int) -> DataFrame:
                 [pa.array(k, pa.int64()), pa.array(pos, pa.int32()), pa.array(stop, pa.int32())], ["k", "pos", "stop"])
 
         def run(held):
-            ks, ids, pos, words = ([x for part in held for x in part[c]] for c in range(4))
-            spans = repeats([w.split(b" ") for w in words], ids, pos, window)
+            routes, ks, ids, pos, words = ([x for part in held for x in part[c]] for c in range(5))
+            spans = repeats(routes, ids, pos, words, window)
             if spans:
                 yield out([ks[s] for s, _, _ in spans], [pos[s] + a for s, a, _ in spans],
                           [pos[s] + b for s, _, b in spans])
@@ -284,10 +309,10 @@ def repeated_spans(rows: DataFrame, window: int, tasks: int) -> DataFrame:
                 # [a, c) waits; a chunk is closed where a new anchor starts
                 if size + c - a >= CHUNK and r[c] != (r[c - 1] if c else last):
                     if c > a:
-                        held.append([batch.column(i).slice(a, c - a).to_pylist() for i in (1, 2, 3, 4)])
+                        held.append([batch.column(i).slice(a, c - a).to_pylist() for i in range(5)])
                     yield from run(held)
                     held, size, a = [], 0, c
-            held.append([batch.column(i).slice(a).to_pylist() for i in (1, 2, 3, 4)])
+            held.append([batch.column(i).slice(a).to_pylist() for i in range(5)])
             size += len(r) - a
             last = r[-1]
         if held:
