@@ -19,10 +19,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import text_of
+from hourloom.llm.common import portions, text_of
 
 #: Pieces that one Python worker remembers before it starts anew, and the longest one remembered.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 REMEMBER_CHARS = 64
 #: Bytes up to which a string is merged directly, as a leaf of the tree.
 LEAF = 24
@@ -154,7 +154,7 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str, id_col: str = "d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
-        for batch in batches:
+        for batch in portions(batches, 1):
             packed = [c.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary())],
@@ -170,7 +170,7 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
-        for batch in batches:
+        for batch in portions(batches, 2):
             out = [c.decode(np.frombuffer(x or b"", "<u4")) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              ["id", "n_tokens", "ids", "decoded"])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import mix64, release, staged, text_of, utf8_buffer, word_hashes, word_spans
+from hourloom.llm.common import mix64, portions, release, staged, text_of, utf8_buffer, word_hashes, word_spans
 
 #: Kept (1) and ignored (0) word positions. Any single substitution within eleven words is ignored
 #: by at least one of them, and most pairs of substitutions are.
@@ -107,7 +107,7 @@ def candidates(docs: DataFrame, masks: tuple[str, ...], test: DataFrame) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = np.unpackbits(np.frombuffer(zlib.decompress(sent.value), np.uint8)).reshape(2, -1).astype(bool)
-        for batch in batches:
+        for batch in portions(batches, 2):
             _, _, _, first, h = folded(batch.column(2))
             rows, places, hashes = [], [], []
             for mask in masks:

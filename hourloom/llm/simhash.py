@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import staged, text_of
+from hourloom.llm.common import portions, staged, text_of
 from hourloom.llm.components import components
 
 #: Fingerprints under one key that a task compares at once; larger keys are cut into finer ones.
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     rows = docs.select(F.col(id_col).cast("long").alias("id"), row_key(id_col, text_col).alias("k"), text.alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, 2):
             fp = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["id", "k", "fp"])
 

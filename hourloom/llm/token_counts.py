@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import text_of
+from hourloom.llm.common import portions, text_of
 
 #: Split pattern of the byte-level pre-tokenizer (fixed value of the vocabulary format); white
 #: space is the Unicode property.
@@ -26,7 +26,7 @@ SPLIT = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{
          r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 #: Counted pre-tokens that one Python worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Longer pre-tokens are counted each time: they seldom come again and would fill the memory.
 REMEMBER_CHARS = 64
 
@@ -135,7 +135,7 @@ def token_counts(docs: DataFrame, vocabulary: str, limit: int = 512, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(vocabulary).count
-        for batch in batches:
+        for batch in portions(batches, 1):
             texts = batch.column(1).to_pylist()
             n = pa.array([count(t) for t in texts], pa.int64())
             size = pc.cast(pc.binary_length(batch.column(1)), pa.int64())
