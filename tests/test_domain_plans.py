@@ -169,6 +169,24 @@ def test_merge_and_train(spark):
     rec = res.metrics.first()
     assert rec.time_mae is not None and rec.time_mae >= 0
     assert 0.0 <= (rec.ndcg_at_3 or 0.0) <= 1.0
+    assert res.registered                                     # nothing stored to beat
+    # tuned, gated and saved: a better stored run keeps this one out, a worse one lets it in
+    import json
+    import os
+    import tempfile
+
+    stored = res.metrics.withColumn("time_mae", F.lit(-1.0))
+    kept = TR.train(spark, m.checkpoint(), "row_id", min_tenant_rows=20, reg_iter=3, stored=stored)
+    assert not kept.registered
+    to = tempfile.mkdtemp()
+    other = res.metrics.withColumns({"model": F.lit("another"), "time_mae": F.lit(-1.0)})
+    saved = TR.train(spark, m.checkpoint(), "row_id", min_tenant_rows=20, reg_iter=3, stored=other,
+                     duration_grid={"maxDepth": [2, 3]}, ranker_depths=[2, 3], save_to=to)
+    assert saved.registered and {"duration", "ranker", "dictionary", "metrics"} <= set(os.listdir(to))
+    params = json.loads(saved.metrics.first().params)
+    assert params["maxDepth"] in (2, 3)
+    again = TR.best_duration_params(m, [], spark.read.parquet(f"{to}/metrics"), "gbt", {"maxDepth": [9]})
+    assert again["maxDepth"] == params["maxDepth"]             # reused, not tuned anew
 
 
 def test_system_b_history_counts_registrations_without_coordinates(spark):
