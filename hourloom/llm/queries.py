@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import (bpe_codec, decontamination, licenses, lm_scoring, quality_ranking, quality_rules, simhash,
-                          substring_dedup, token_counts, warc)
+from hourloom.llm import (bpe_codec, decontamination, licenses, lm_scoring, oracles, quality_ranking,
+                          quality_rules, simhash, substring_dedup, token_counts, warc)
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,7 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
        CASE WHEN d.payload_bytes >= 1000 AND d.page_id < m.last THEN m.last END AS refers_to
 FROM d JOIN m USING (payload_digest, payload_bytes)
 """
+
+ORACLE["op3_license_scan"] = oracles.license_scan_sql()
+ORACLE["op4_substring_dedup"] = oracles.SUBSTRING_DEDUP
+ORACLE["op9_quality_rules"] = oracles.quality_rules_sql()
