@@ -19,11 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import lower_ascii, mix64, release, staged, text_of, utf8_buffer, word_hashes, word_spans
+from hourloom.llm.common import lower_ascii, mix64, portions, release, staged, text_of, utf8_buffer, word_hashes, word_spans
 
 #: Tokens of a block (a longer document is a block of its own).
 BLOCK_TOKENS = 1 << 20
@@ -54,11 +55,20 @@ def unpack(data: bytes) -> np.ndarray:
 
 def to_blocks(docs: DataFrame) -> DataFrame:
     """Blocks of (id, part, t): ids, parts and token counts of their documents; the words' hashes,
-    most frequent first; the tokens as places in that list."""
+    most frequent first; the tokens as places in that list. Deleted documents have blocks of their
+    own, with odd numbers, so that fitting the weights moves no others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 24
-        for batch in batches:
+
+        def by_kind():
+            for batch in portions(batches, 2, 2 * BLOCK_TOKENS * 4):
+                deleted = pc.equal(batch.column(1), DELETED)
+                for odd, some in ((0, batch.filter(pc.invert(deleted))), (1, batch.filter(deleted))):
+                    if some.num_rows:
+                        yield odd, some
+
+        for odd, batch in by_kind():
             raw, offsets = utf8_buffer(batch.column(2))
             raw = lower_ascii(raw)
             starts, ends, first = word_spans(raw, offsets)
@@ -75,13 +85,13 @@ def to_blocks(docs: DataFrame) -> DataFrame:
                 place = np.empty(len(order), np.int64)
                 place[order] = np.arange(len(order))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([number], pa.int64()), pa.array([int(sizes[a:b].sum())], pa.int64()),
+                    [pa.array([number + odd], pa.int64()), pa.array([int(sizes[a:b].sum())], pa.int64()),
                      pa.array([batch.column(0).slice(a, b - a).to_pylist()], pa.list_(pa.int64())),
                      pa.array([batch.column(1).slice(a, b - a).to_pylist()], pa.list_(pa.int8())),
                      pa.array([sizes[a:b].tolist()], pa.list_(pa.int32())),
                      pa.array([known[order].tobytes()], pa.binary()), pa.array([pack(place[local])], pa.binary())],
                     ["block", "n", "ids", "parts", "sizes", "words", "tokens"])
-                number += 1
+                number += 2
                 a = b
 
     return docs.mapInArrow(run, "block long, n long, ids array<long>, parts array<tinyint>, sizes array<int>, "
@@ -307,17 +317,14 @@ def score(docs: DataFrame, learn: Column, deleted: Column, order: int = 2, id_co
         times = np.diff(np.append(np.flatnonzero(new), table.shape[1]))
         return pa.table([pa.array(c[new]) for c in table] + [pa.array(times)], names=["bucket", *names, "n"])
 
-    with_deleted = blocks.where(F.array_contains("parts", F.lit(DELETED).cast("tinyint")))
     columns = ("block", "ids", "parts", "sizes", "words", "tokens")
 
-    def meet(these: DataFrame):
-        return these.select(*columns).groupBy("block").cogroup(
-            back.select("block", "n", "shard", "seen", "gone").groupBy("block"))
+    def meet(which: Column):
+        return blocks.where(which).select(*columns).groupBy("block").cogroup(
+            back.where(which).select("block", "n", "shard", "seen", "gone").groupBy("block"))
 
-    held_out_schema = pa.schema([(c, pa.int64()) for c in ("bucket", *names, "n")])
-    events = staged(meet(with_deleted).applyInArrow(
-        lambda _, a, b: held_out(a, b) if a.num_rows else held_out_schema.empty_table(),
-        ", ".join(f"{c} long" for c in ("bucket", *names, "n"))), "events")
+    events = staged(meet(F.col("block") % 2 == 1).applyInArrow(
+        lambda _, a, b: held_out(a, b), ", ".join(f"{c} long" for c in ("bucket", *names, "n"))), "events")
     release(spark)
     mix = fit(events, order, kept_tokens, kept_types)
 
@@ -335,4 +342,4 @@ def score(docs: DataFrame, learn: Column, deleted: Column, order: int = 2, id_co
                          "base_score": pa.array(base), "score": pa.array(text)})
 
     out_schema = "id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return meet(blocks).applyInArrow(lambda _, a, b: scored(a, b), out_schema).withColumnRenamed("id", id_col)
+    return meet(F.lit(True)).applyInArrow(lambda _, a, b: scored(a, b), out_schema).withColumnRenamed("id", id_col)
