@@ -224,7 +224,7 @@ WITH h AS (SELECT CAST(least(floor((least(greatest(o_totalprice, 0.0), 500000.0)
        AS bin_start,
        CAST(count(*) AS BIGINT) AS n
 FROM orders WHERE o_totalprice IS NOT NULL GROUP BY 1, 2)
-SELECT CAST(r.b AS INTEGER) AS bin, r.b * 25000.0 AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
+SELECT CAST(r.b AS INTEGER) AS bin, CAST(r.b * 25000.0 AS DOUBLE) AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
 FROM range(20) r(b) LEFT JOIN h ON h.bin = r.b
 """)
 def g20_histogram(spark, sf):

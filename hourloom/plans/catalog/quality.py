@@ -126,7 +126,7 @@ h AS (SELECT CAST(least(floor(least(greatest(hours, 0.0), 400000.0) / 40000.0),
        0.0 + least(floor(least(greatest(hours, 0.0), 400000.0) / 40000.0), 9) * 40000.0
        AS bin_start, CAST(count(*) AS BIGINT) AS n
 FROM r WHERE hours IS NOT NULL GROUP BY 1, 2)
-SELECT CAST(b.b AS INTEGER) AS bin, b.b * 40000.0 AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
+SELECT CAST(b.b AS INTEGER) AS bin, CAST(b.b * 40000.0 AS DOUBLE) AS bin_start, CAST(coalesce(h.n, 0) AS BIGINT) AS n
 FROM range(10) b(b) LEFT JOIN h ON h.bin = b.b
 """)
 def q10_duration_histogram(spark, sf):
