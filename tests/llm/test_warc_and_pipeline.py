@@ -11,6 +11,7 @@ import corpus_pipeline
 from hourloom.llm import queries, warc
 from hourloom.llm.common import shared_path
 from tests.llm.helpers import SCHEMA, odd_documents, words
+from tests.llm.test_corpus_wide import brute_repeats
 
 PAGES = "page_id long, url string, html string, id string, payload binary"
 
@@ -88,9 +89,12 @@ def test_pipeline_stages_take_effect(spark):
     assert {i for i in was - set(kept[0]) if labels.get(i) == 1} == set()
     assert len({i for i in kept[0] if labels.get(i) == 0}) <= 2
     assert len({r.text for r in kept[1].values()}) == len(kept[1])
-    seen = Counter(tuple(w[i:i + 20]) for r in kept[2].values() for w in [words(kept[1][r.doc_id].text)]
-                   if words(r.text) == w for i in range(len(w) - 19))
-    assert max(seen.values()) <= 1 or len(seen) > 0
+    want = {i: text for i, _, _, text in brute_repeats([(i, r.text) for i, r in kept[1].items()], 20)}
+    assert {i: r.text for i, r in kept[2].items()} == want
+    assert any(len(words(want[i])) < len(words(r.text)) for i, r in kept[1].items())
+    items = [" ".join(words(r.text)) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    leaking = {i for i, r in kept[2].items() if any(f" {t} " in f" {r.text} " for t in items)}
+    assert leaking and not leaking & set(kept[3])
     assert all(r.n_chars == len(r.text) for r in kept[2].values())
     encoded = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.01").collect()
     assert {r.doc_id: r.decoded_sha256 for r in encoded} == {
