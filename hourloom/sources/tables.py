@@ -47,10 +47,20 @@ def scan_table(reader: Callable[[], DataFrame], table: str, columns: Sequence[st
 
 
 def jdbc_reader(spark: SparkSession, url: str, schema: str, table: str,
-                properties: Mapping[str, str] | None = None) -> Callable[[], DataFrame]:
-    """A1 source for a relational database (``"schema"."table"``), lazily evaluated."""
+                properties: Mapping[str, str] | None = None, partition_column: str | None = None,
+                bounds: tuple[int, int] | None = None, partitions: int = 1) -> Callable[[], DataFrame]:
+    """A1 source for a relational database (``"schema"."table"``), lazily evaluated.
+
+    With ``partition_column`` (numeric, date or timestamp) and its ``bounds`` the table is read in
+    ``partitions`` ranges side by side; rows outside the bounds fall into the first and last range,
+    so none is lost. Without it one task reads the whole table."""
+    if partition_column and bounds is None:
+        raise ValueError("partition_column needs bounds")
+
     def _r() -> DataFrame:
-        return spark.read.jdbc(url, f'"{schema}"."{table}"', properties=dict(properties or {}))
+        ranges = {"column": partition_column, "lowerBound": bounds[0], "upperBound": bounds[1],
+                  "numPartitions": partitions} if partition_column else {}
+        return spark.read.jdbc(url, f'"{schema}"."{table}"', properties=dict(properties or {}), **ranges)
     return _r
 
 

@@ -112,3 +112,8 @@ def test_lookup_keeps_one_key_copy(spark):
     assert sorted((r.k, r.name) for r in left.collect()) == [(1, "one"), (2, None)]
     right = lookup(b, a, ["k"], ["k"], how="right")
     assert sorted(r.k for r in right.collect()) == [1, 2]
+
+
+def test_jdbc_ranges_need_bounds(spark):
+    with pytest.raises(ValueError):
+        tables.jdbc_reader(spark, "jdbc:none", "s", "t", partition_column="id")
