@@ -1,6 +1,7 @@
 """Spark ML model queries (M4-M9, M13, M15, M16, M18-M20). Model outputs depend on the learner's
-randomness and floating point, so these are rows-only checks (no DuckDB twin), plus unit tests
-of their invariants."""
+randomness and floating point, so most are rows-only checks (no DuckDB twin), plus unit tests
+of their invariants; where SQL can tell the result (the saved model scores as before; which
+tenants get a model of their own) it does."""
 
 from __future__ import annotations
 
@@ -18,6 +19,11 @@ from hourloom.sources.tables import read_table
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "brand_code",
             "person_code"]
+# the row's identity as one number that SQL can also make
+_ROW_KEY = "l_orderkey * 1000003 + l_partkey * 8191 + l_suppkey * 131 + l_linenumber"
+_VALIDATION_SQL = f"""
+SELECT * FROM (SELECT l.*, {_ROW_KEY} AS k FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
+WHERE ((k % 2147483648) * 7919) % 100 >= 80"""
 ID_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
@@ -36,7 +42,7 @@ def model_frame(spark, sf):
     j = E.apply_dictionary(j, d, ["p_brand"], unknown_code=-1, suffix="_code")\
         .withColumnRenamed("p_brand_code", "brand_code")
     j = j.withColumn("brand_code", F.col("brand_code").cast("double"))
-    return M.row_split(j.withColumn("__k", F.xxhash64(*[F.col(c) for c in ID_COLS])), "__k")
+    return M.row_split(j.withColumn("__k", F.expr(_ROW_KEY)), "__k")
 
 
 def _train_val(spark, sf):
@@ -108,6 +114,23 @@ def m8_per_tenant_models(spark, sf):
                     F.col("con").isin(list(tm.per_tenant)).alias("specialised"))
 
 
+@register("m8_routing", f"""
+WITH s AS (SELECT l.l_returnflag AS con, l.l_linestatus, {_ROW_KEY} AS k
+           FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+t AS (SELECT con, ((k % 2147483648) * 7919) % 100 < 80 AS is_train FROM s)
+SELECT con, CAST(count(*) FILTER (WHERE NOT is_train) AS BIGINT) AS n,
+       count(*) FILTER (WHERE is_train) >= 16000 AS specialised
+FROM t GROUP BY con HAVING count(*) FILTER (WHERE NOT is_train) > 0
+""")
+def m8_routing(spark, sf):
+    """M8: rows per tenant scored by its own model or, below 16,000 training rows, by the base."""
+    tr, va = _train_val(spark, sf)
+    tm = ML.fit_per_tenant(ML.random_forest(FEATURES, "REAL_WORKED_TIME", num_trees=5, max_depth=4), tr, "con",
+                           min_rows=16_000)
+    return tm.transform(va).groupBy("con").agg(F.count("prediction").cast("long").alias("n")).select(
+        "con", "n", F.col("con").isin(list(tm.per_tenant)).alias("specialised"))
+
+
 @register("m9_tuning")
 def m9_tuning(spark, sf):
     """M9: grid search (tree depth × step) with a train/validation split; best parameters."""
@@ -139,7 +162,10 @@ def m16_permutation_importance(spark, sf):
                       F.round("mae_increase", 4).alias("mae_increase"))
 
 
-@register("m18_m19_persist_and_agree")
+@register("m18_m19_persist_and_agree", f"""
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS DOUBLE) AS max_abs_diff, CAST(0 AS DOUBLE) AS mean_abs_diff
+FROM ({_VALIDATION_SQL}) v
+""")
 def m18_m19_persist_and_agree(spark, sf):
     """Save model + metadata to the shared folder, reload, and compare both scorers."""
     tr, va = _train_val(spark, sf)
