@@ -53,14 +53,11 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    writer = df.write
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
