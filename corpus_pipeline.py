@@ -49,7 +49,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without an overlap that holds four fifths of a benchmark item's words."""
+    """Documents that hold neither four fifths of a benchmark item's words nor a long part of one."""
     leaked = decontamination.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     marked = docs.withColumn("__k", simhash.row_key())
     return marked.join(leaked.select(F.col("k").alias("__k")), "__k", "left_anti").drop("__k")

@@ -27,6 +27,13 @@ MASKS = ("11101100111", "11011011011", "10111110101", "11110011101")
 LEAST_WORDS = 10
 #: A substitution costs as much as so many matches: at least four of five words agree.
 PENALTY = 4
+#: A document with so many agreeing words in one overlap is contaminated, whatever the item's length.
+LONG_WORDS = 25
+#: Beside a hit's alignment, those up to so many words away are read too: inserted or left out words
+#: move the rest of an item, which may be too short for a hit of its own.
+SHIFT = 5
+#: Shorter stretches are not counted toward an item's words.
+RUN = 3
 #: Slots of the filter that test hashes are entered in: its size is fixed, whatever the benchmark's.
 FILTER_BITS = 22
 
@@ -148,18 +155,54 @@ def best_overlap(same: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, in
     return start, end, int(same[start:end].sum())
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, least_words: int = LEAST_WORDS,
-             id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-             item_text_col: str = "text") -> DataFrame:
-    """One row per document, item and alignment whose overlap is verified: ``id_col``, k (hash of
-    the row's id and text), ``item_col``, first_word, last_word (of the document, from 0), n_matched,
-    item_words.
-
-    Words are runs of a-z, 0-9 and non-ASCII bytes after lower-casing A-Z. Null texts have no words
-    and never overlap, nor do empty items; items shorter than the masks are sought whole and
-    exactly. Null ids stay null. Rows that repeat id and text count once; equal items of different
-    id are all reported. Other columns are left out; an empty table on either side gives no rows.
-    """
+def stretches(same: np.ndarray, penalty: int = PENALTY) -> list[tuple[int, int, int]]:
+    """(from, to, matches) of every stretch of ``same`` that begins and ends with a match, has at
+    least ``penalty`` matches per mismatch and is no part of a longer such stretch. They may overlap."""
+    starts = np.flatnonzero(same)
+    if not len(starts):
+        return []
+    gain = np.concatenate([[0], np.cumsum(np.where(same, 1, -penalty))])
+    ends = starts + 1
+    at = gain[starts]
+    # whatever an earlier start with no larger sum before it reaches is longer
+    new = np.concatenate([[True], at[1:] < np.minimum.accumulate(at)[:-1]])
+    starts, at = starts[new], at[new]
+    most_left = np.maximum.accumulate(gain[ends][::-1])  # from the last end on
+    stops = ends[len(ends) - np.searchsorted(most_left, at) - 1]
+    further = np.concatenate([[True], stops[1:] > stops[:-1]])
+    matches = np.concatenate([[0], np.cumsum(same)])
+    return [(a, b, int(matches[b] - matches[a])) for a, b in zip(starts[further].tolist(), stops[further].tolist())]
+
+
+def agreement(words: list[bytes], item: list[bytes], diagonal: int) -> tuple[int, np.ndarray]:
+    """The first word of the alignment, and which words from there on agree."""
+    lo, hi = max(0, diagonal), min(len(words), diagonal + len(item))
+    n = max(0, hi - lo)
+    return lo, np.fromiter((a == b for a, b in zip(words[lo:hi], item[lo - diagonal:hi - diagonal])), bool, n)
+
+
+def holds_item(words: list[bytes], item: list[bytes], diagonals: set[int], share: float, long_words: int) -> bool:
+    """Whether agreeing words on the alignments and those up to ``SHIFT`` words beside them make up
+    ``share`` of the item's words, each counted once, or ``long_words`` in one stretch."""
+    held = np.zeros(len(item), bool)
+    need = share * len(item) - 1e-9
+    for some in (diagonals, {d + x for d in diagonals for x in range(-SHIFT, SHIFT + 1)} - diagonals):
+        for d in some:
+            lo, same = agreement(words, item, d)
+            for a, b, matched in stretches(same):
+                if matched >= long_words:
+                    return True
+                if b - a >= min(RUN, len(item)):
+                    held[lo - d + a:lo - d + b] |= same[a:b]
+        if held.sum() >= need:
+            return len(item) > 0
+    return False
+
+
+def aligned(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], id_col: str, text_col: str, item_col: str,
+            item_text_col: str) -> DataFrame:
+    """(k, id, t, found) of the documents that share a hash with an item; ``found`` has item_id, the
+    item's t and the diagonal of each alignment that a hash fixes."""
     spark = docs.sparkSession
     items = staged(benchmark.select(F.xxhash64(F.col(item_col).cast("long"), text_of(item_text_col)).alias("item"),
                                     text_of(item_text_col).alias("t"), F.col(item_col).cast("long").alias("item_id"))
@@ -173,9 +216,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     release(spark)
     met = (held.select("k", F.inline("hits")).join(test, "h")
            .select("k", "item", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct())
-    aligned = (met.join(items, "item").groupBy("k")
-               .agg(F.collect_list(F.struct("item_id", "t", "diagonal")).alias("found")))
-    both = held.select("k", "id", "t").dropDuplicates(["k"]).join(aligned, "k")
+    found = (met.join(items, "item").groupBy("k")
+             .agg(F.collect_list(F.struct("item_id", "t", "diagonal")).alias("found")))
+    return held.select("k", "id", "t").dropDuplicates(["k"]).join(found, "k").select("k", "id", "t", "found")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, least_words: int = LEAST_WORDS,
+             id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
+             item_text_col: str = "text") -> DataFrame:
+    """One row per document, item and alignment whose overlap is verified: ``id_col``, k (hash of
+    the row's id and text), ``item_col``, first_word, last_word (of the document, from 0), n_matched,
+    item_words.
+
+    Words are runs of a-z, 0-9 and non-ASCII bytes after lower-casing A-Z. Null texts have no words
+    and never overlap, nor do empty items; items shorter than the masks are sought whole and
+    exactly. Null ids stay null. Rows that repeat id and text count once; equal items of different
+    id are all reported. Other columns are left out; an empty table on either side gives no rows.
+    """
+    both = aligned(docs, benchmark, masks, id_col, text_col, item_col, item_text_col)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = []
@@ -185,9 +243,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
                 words = t.encode().translate(table).split()
                 for f in found:
                     item = f["t"].encode().translate(table).split()
-                    d = f["diagonal"]
-                    lo, hi = max(0, d), min(len(words), d + len(item))
-                    same = np.fromiter((a == b for a, b in zip(words[lo:hi], item[lo - d:hi - d])), bool, hi - lo)
+                    lo, same = agreement(words, item, f["diagonal"])
                     a, b, matched = best_overlap(same)
                     if b - a >= min(least_words, len(item)) and b > a:
                         out.append((i, k, f["item_id"], lo + a, lo + b - 1, matched, len(item)))
@@ -197,12 +253,31 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
                 out = []
 
     names = ["id", "k", "item_id", "first_word", "last_word", "n_matched", "item_words"]
-    done = both.select("k", "id", "t", "found").mapInArrow(verify, ", ".join(f"{n} long" for n in names))
+    done = both.mapInArrow(verify, ", ".join(f"{n} long" for n in names))
     return done.select(F.col("id").alias(id_col), "k", F.col("item_id").alias(item_col), *names[3:])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, **columns: str) -> DataFrame:
-    """(id, k) of documents that hold at least ``share`` of an item's words in one overlap."""
-    found = overlaps(docs, benchmark, **columns)
-    return found.where(F.col("n_matched") >= share * F.col("item_words")).select(
-        columns.get("id_col", "doc_id"), "k").distinct()
+def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = 0.8, masks: tuple[str, ...] = MASKS,
+                 long_words: int = LONG_WORDS, id_col: str = "doc_id", text_col: str = "text",
+                 item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """(id, k) of documents that hold at least ``share`` of an item's words, or ``long_words`` of them
+    in one overlap. Words that agree with an item are added up over all its alignments with the
+    document, so substituted, inserted and left out words only cost themselves. Texts and words
+    are as in :func:`overlaps`."""
+    both = aligned(docs, benchmark, masks, id_col, text_col, item_col, item_text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = bytes(_FOLD)
+        for batch in batches:
+            leaked = []
+            for t, found in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                words = t.encode().translate(table).split()
+                by_item: dict[str, set[int]] = {}
+                for f in found:
+                    by_item.setdefault(f["t"], set()).add(f["diagonal"])
+                leaked.append(any(holds_item(words, i.encode().translate(table).split(), d, share, long_words)
+                                  for i, d in by_item.items()))
+            part = batch.filter(pa.array(leaked, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([part.column(1), part.column(0)], ["id", "k"])
+
+    return both.mapInArrow(judge, "id long, k long").select(F.col("id").alias(id_col), "k").distinct()

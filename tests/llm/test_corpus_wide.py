@@ -157,6 +157,42 @@ def test_best_overlap():
     assert decontamination.best_overlap(np.zeros(0, bool)) == (0, 0, 0)
 
 
+def changed(text, places):
+    return " ".join("other" if i in places else w for i, w in enumerate(text.split()))
+
+
+def numbered(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def test_stretches_match_brute_force():
+    rng = np.random.default_rng(5)
+    for n in range(40):
+        for p in (0.3, 0.7, 0.85, 1.0):
+            same = rng.random(n) < p
+            ok = {(a, b) for a in range(n) for b in range(a + 1, n + 1)
+                  if same[a] and same[b - 1] and 5 * same[a:b].sum() >= 4 * (b - a)}
+            want = [(a, b, int(same[a:b].sum())) for a, b in sorted(ok)
+                    if not any((c, d) != (a, b) and c <= a and b <= d for c, d in ok)]
+            assert decontamination.stretches(same) == want
+
+
+def test_contaminated_by_substituted_inserted_and_partial_items(spark):
+    items = {1: numbered("a", 30), 2: numbered("b", 15), 3: numbered("c", 40), 4: numbered("d", 59), 5: numbered("e", 15)}
+    c, d, e = items[3].split(), items[4].split(), items[5].split()
+    leaks = [changed(items[1], {3, 26}), changed(items[2], {3}), changed(items[2], {3, 11}), changed(items[1], {3, 9, 15, 20, 26}),
+             " ".join([*c[:20], "new", *c[20:]]), " ".join([*c[:13], "x", "y", *c[13:26], "z", *c[26:]]),
+             " ".join(c[:20] + ["pad"] * 60 + c[20:]), " ".join(c[:19] + c[21:]), " ".join([*e[:4], "x", *e[4:]]),
+             " ".join(d[10:40])]
+    clean = [changed(items[1], set(range(0, 30, 4))), changed(items[2], {3, 7, 11, 14}), " ".join(c[:24]), " ".join(d[:24]),
+             " ".join(c[:12] + ["pad"] * 30 + c[:12] + ["pad"] * 30 + c[:12])]
+    rows = [(i, f"before it {t} after it") for i, t in enumerate(leaks + clean)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()) + [(6, ""), (7, None)], "item_id long, text string")
+    got = decontamination.contaminated(docs, benchmark).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(leaks)))
+
+
 def test_decontamination_of_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.overlaps(odd_documents(spark), benchmark).collect() == []
