@@ -4,8 +4,8 @@ A mask is a fixed pattern of word positions, some of them ignored. Each position
 of a training document gives one hash per mask of the words at the mask's kept positions, so two
 texts that differ by a substituted word still share hashes under masks that ignore its place.
 Test and training hashes are joined; each hit fixes an alignment of item and document, and along
-it the words are compared: matches score 1, substitutions cost ``PENALTY``, and the best-scoring
-stretch is the overlap.
+it the words are compared: each longest stretch with ``PENALTY`` matches or more per substitution
+is an overlap.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from hourloom.llm.common import mix64, portions, release, staged, text_of, utf8_
 #: Kept (1) and ignored (0) word positions. Any single substitution within eleven words is ignored
 #: by at least one of them, and most pairs of substitutions are.
 MASKS = ("11101100111", "11011011011", "10111110101", "11110011101")
-#: An overlap has at least so many words, or as many as a shorter item.
+#: An overlap has at least so many words, or four fifths of its item's.
 LEAST_WORDS = 10
 #: A substitution costs as much as so many matches: at least four of five words agree.
 PENALTY = 4
@@ -145,13 +145,16 @@ def candidates(docs: DataFrame, masks: tuple[str, ...], test: DataFrame) -> Data
 
 def best_overlap(same: np.ndarray, penalty: int = PENALTY) -> tuple[int, int, int]:
     """(from, to, matches) of the stretch of ``same`` whose matches less ``penalty`` per mismatch
-    are most; the earliest, longest one."""
+    are most; of equal ones the longest, of these the earliest."""
     gain = np.concatenate([[0], np.cumsum(np.where(same, 1, -penalty))])
     low = np.minimum.accumulate(gain)
-    end = int(np.argmax(gain - low))
-    if gain[end] <= low[end]:
+    most = (gain - low).max()
+    if most <= 0:
         return 0, 0, 0
-    start = int(np.argmax(gain[:end + 1] == low[end]))
+    ends = np.flatnonzero(gain - low == most)
+    starts = np.searchsorted(-low, -low[ends])
+    longest = int(np.argmax(ends - starts))
+    start, end = int(starts[longest]), int(ends[longest])
     return start, end, int(same[start:end].sum())
 
 
@@ -224,9 +227,12 @@ def aligned(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], id_co
 def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MASKS, least_words: int = LEAST_WORDS,
              id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
              item_text_col: str = "text") -> DataFrame:
-    """One row per document, item and alignment whose overlap is verified: ``id_col``, k (hash of
-    the row's id and text), ``item_col``, first_word, last_word (of the document, from 0), n_matched,
-    item_words.
+    """One row per verified overlap of a document and an item: ``id_col``, k (hash of the row's id and
+    text), ``item_col``, first_word, last_word (of the document, from 0), n_matched, item_words.
+
+    An overlap begins and ends with an agreeing word, at least four of five of its words agree, it has
+    ``least_words`` words or holds four fifths of the item's, and it is no part of a longer one on its
+    alignment. Each alignment gives all of its overlaps; two of them may share words.
 
     Words are runs of a-z, 0-9 and non-ASCII bytes after lower-casing A-Z. Null texts have no words
     and never overlap, nor do empty items; items shorter than the masks are sought whole and
@@ -244,9 +250,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
                 for f in found:
                     item = f["t"].encode().translate(table).split()
                     lo, same = agreement(words, item, f["diagonal"])
-                    a, b, matched = best_overlap(same)
-                    if b - a >= min(least_words, len(item)) and b > a:
-                        out.append((i, k, f["item_id"], lo + a, lo + b - 1, matched, len(item)))
+                    for a, b, matched in stretches(same):
+                        # an item's own length counts as long where only its rim disagrees
+                        if b - a >= least_words or matched * (PENALTY + 1) >= PENALTY * len(item):
+                            out.append((i, k, f["item_id"], lo + a, lo + b - 1, matched, len(item)))
             if out:
                 types = [pa.int64()] * 7
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)

@@ -193,6 +193,25 @@ def test_contaminated_by_substituted_inserted_and_partial_items(spark):
     assert sorted(r.doc_id for r in got) == list(range(len(leaks)))
 
 
+def test_best_overlap_takes_the_longest_of_equal_ones():
+    same = np.ones(20, bool)
+    same[[4, 15]] = False
+    assert decontamination.best_overlap(same) == (0, 20, 18)
+    assert decontamination.best_overlap(np.array([1, 1, 0, 1, 1, 0, 0, 1, 1], bool)) == (0, 2, 2)
+
+
+def test_overlaps_are_whole_and_all_reported(spark):
+    items = {1: numbered("a", 15), 2: numbered("b", 38), 3: numbered("c", 34), 4: numbered("d", 20), 5: numbered("e", 40)}
+    texts = {1: changed(items[1], {3, 11}), 2: changed(items[2], range(15, 23)), 3: changed(items[3], range(15, 19)),
+             4: changed(items[4], {4, 15}), 5: changed(items[5], {0, 1, 2, *range(15, 40)})}
+    docs = spark.createDataFrame([(i, f"x y {t} z") for i, t in texts.items()], "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.last_word, r.n_matched, r.item_words)
+                 for r in decontamination.overlaps(docs, benchmark).collect())
+    assert got == [(1, 1, 2, 16, 13, 15), (2, 2, 2, 16, 15, 38), (2, 2, 25, 39, 15, 38), (3, 3, 2, 35, 30, 34),
+                   (4, 4, 2, 21, 18, 20), (5, 5, 5, 16, 12, 40)]
+
+
 def test_decontamination_of_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.overlaps(odd_documents(spark), benchmark).collect() == []
