@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from hourloom.llm.common import mix64, portions, release, staged, text_of, utf8_buffer, word_hashes, word_spans
 
-#: Kept (1) and ignored (0) word positions. Any single substitution within eleven words is ignored
-#: by at least one of them, and most pairs of substitutions are.
-MASKS = ("11101100111", "11011011011", "10111110101", "11110011101")
+#: Kept (1) and ignored (0) word positions. The masks of eleven words each keep their first and last
+#: word, and each word between is ignored by at least one. The short ones fit between changes that lie
+#: closer together: with any one of eleven words changed, or any two of fifteen, some mask fits.
+MASKS = ("11101100111", "11011011011", "10111110101", "11110011101", "1101011", "111111")
 #: An overlap has at least so many words, or four fifths of its item's.
 LEAST_WORDS = 10
 #: A substitution costs as much as so many matches: at least four of five words agree.
@@ -65,18 +66,27 @@ def seeds(h: np.ndarray, first: np.ndarray, mask: str) -> tuple[np.ndarray, np.n
     return at, mix64(rolled[at])
 
 
-def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(h, item, tpos) of every test item under every mask; ``items`` has (item, t)."""
+def own_masks(n: int) -> tuple[str, ...]:
+    """Masks of items of ``n`` words: all words, and from five words on, when one of them may differ,
+    some that together ignore each word: one word each of five, up to two of more."""
+    step = n if n < 6 else (n + 1) // 2
+    spaced = ["".join("0" if j % step == i else "1" for j in range(n)) for i in range(step)] if n > 4 else []
+    return ("1" * n, *spaced)
+
+
+def item_seeds(items: DataFrame, masks: tuple[str, ...], own: tuple[str, ...]) -> DataFrame:
+    """(h, item, tpos) of every test item under every mask, those of ``own`` only over whole items;
+    ``items`` has (item, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, _, _, first, h = folded(batch.column(1))
             item = batch.column(0).to_numpy(zero_copy_only=False)
             words = np.diff(first)
-            for mask in masks:
+            for mask in dict.fromkeys((*masks, *own)):
                 at, hashed = seeds(h, first, mask)
                 row = np.searchsorted(first, at, side="right") - 1
-                if not mask.strip("1") and len(mask) < len(MASKS[0]):  # whole short items only
+                if mask not in masks:
                     short = words[row] == len(mask)
                     at, hashed, row = at[short], hashed[short], row[short]
                 if len(at):
@@ -87,17 +97,18 @@ def item_seeds(items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     return items.mapInArrow(run, "h long, item long, tpos int")
 
 
-def short_masks(items: DataFrame) -> tuple[str, ...]:
-    """A full mask for each word count below the masks' span that an item has."""
+def short_masks(items: DataFrame, masks: tuple[str, ...]) -> tuple[str, ...]:
+    """The own masks of each word count below the masks' longest span that an item has."""
+    span = max(map(len, masks))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             _, _, _, first, _ = folded(batch.column(1))
             n = np.unique(np.diff(first))
-            yield pa.RecordBatch.from_arrays([pa.array(n[n < len(MASKS[0])].astype(np.int32))], ["n"])
+            yield pa.RecordBatch.from_arrays([pa.array(n[n < span].astype(np.int32))], ["n"])
 
-    found = items.mapInArrow(run, "n int").where("n > 0").distinct().collect()  # under eleven rows
-    return tuple("1" * r["n"] for r in sorted(found))
+    found = items.mapInArrow(run, "n int").where("n > 0").distinct().collect()  # fewer rows than the span
+    return tuple(m for r in sorted(found) for m in own_masks(r["n"]))
 
 
 def candidates(docs: DataFrame, masks: tuple[str, ...], test: DataFrame) -> DataFrame:
@@ -210,8 +221,9 @@ def aligned(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...], id_co
     items = staged(benchmark.select(F.xxhash64(F.col(item_col).cast("long"), text_of(item_text_col)).alias("item"),
                                     text_of(item_text_col).alias("t"), F.col(item_col).cast("long").alias("item_id"))
                    .dropDuplicates(["item"]), "items")
-    all_masks = (*masks, *short_masks(items.select("item", "t")))
-    test = staged(item_seeds(items.select("item", "t"), all_masks), "seeds")
+    own = short_masks(items.select("item", "t"), masks)
+    all_masks = tuple(dict.fromkeys((*masks, *own)))
+    test = staged(item_seeds(items.select("item", "t"), masks, own), "seeds")
     text = text_of(text_col)
     rows = docs.select(F.xxhash64(F.col(id_col).cast("long"), text).alias("k"), F.col(id_col).cast("long").alias("id"),
                        text.alias("t"))
@@ -235,8 +247,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, masks: tuple[str, ...] = MAS
     alignment. Each alignment gives all of its overlaps; two of them may share words.
 
     Words are runs of a-z, 0-9 and non-ASCII bytes after lower-casing A-Z. Null texts have no words
-    and never overlap, nor do empty items; items shorter than the masks are sought whole and
-    exactly. Null ids stay null. Rows that repeat id and text count once; equal items of different
+    and never overlap, nor do empty items; items shorter than the masks are also sought by masks of
+    their own length, below five words exactly. Null ids stay null. Rows that repeat id and text count once; equal items of different
     id are all reported. Other columns are left out; an empty table on either side gives no rows.
     """
     both = aligned(docs, benchmark, masks, id_col, text_col, item_col, item_text_col)

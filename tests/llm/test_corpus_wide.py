@@ -212,6 +212,28 @@ def test_overlaps_are_whole_and_all_reported(spark):
                    (4, 4, 2, 21, 18, 20), (5, 5, 5, 16, 12, 40)]
 
 
+def test_masks_ignore_what_short_items_may_change(spark):
+    def fits(mask, n, places):
+        return any(all(mask[j] == "0" or a + j not in places for j in range(len(mask))) for a in range(n - len(mask) + 1))
+
+    for n in range(5, 31):
+        masks = decontamination.MASKS + (decontamination.own_masks(n) if n < 11 else ())
+        assert all(any(fits(m, n, {i}) for m in masks) for i in range(n))
+        if n >= 15:
+            assert all(any(fits(m, n, {i, j}) for m in masks) for i in range(n) for j in range(i))
+    items = [numbered(f"s{n}x", n) for n in range(3, 13)]
+    texts = [(n, i, changed(t, {i})) for n, t in enumerate(items) for i in range(len(t.split()))]
+    halves = [" ".join([*t.split()[:7], "new", *t.split()[7:]]) for t in (numbered("h", 15),)]
+    docs = spark.createDataFrame([(r, f"x {t} y") for r, (_, _, t) in enumerate(texts)] + [(900, halves[0])],
+                                 "doc_id long, text string")
+    benchmark = spark.createDataFrame([*enumerate(items), (50, numbered("h", 15))], "item_id long, text string")
+    want = {(r, n) for r, (n, _, _) in enumerate(texts) if len(items[n].split()) > 4}
+    got = decontamination.overlaps(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and all(r.n_matched == r.item_words - 1 for r in got)
+    got = {r.doc_id for r in decontamination.contaminated(docs, benchmark).collect()}
+    assert got == {r for r, _ in want} | {900}
+
+
 def test_decontamination_of_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.overlaps(odd_documents(spark), benchmark).collect() == []
