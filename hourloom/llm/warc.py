@@ -119,14 +119,14 @@ def records_in(read, start: int, end: int, size: int) -> Iterator[tuple[dict[str
 
 
 def revisits(pages: DataFrame, id_col: str, payload: Column, least_bytes: int) -> DataFrame:
-    """(id, refers_to) of the records that revisit another; thin rows only."""
+    """(id, digest, size, refers_to) of the records that revisit another; thin rows only."""
     thin = staged(pages.select(F.col(id_col).cast("long").alias("id"), F.sha1(payload).alias("digest"),
                                F.octet_length(payload).cast("long").alias("size"))
                   .where((F.col("size") >= least_bytes) & F.col("id").isNotNull()), "digests")
     shared = thin.groupBy("digest", "size").agg(F.max("id").alias("last"), F.min("id").alias("least")).where(
         "last > least")
     return (thin.join(shared, ["digest", "size"]).where("id < last")
-            .select("id", F.col("last").alias("refers_to")).distinct())
+            .select("id", "digest", "size", F.col("last").alias("refers_to")).distinct())
 
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, id_col: str = "page_id",
@@ -137,17 +137,19 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 1000, id_col:
     A task writes its rows into one archive of its own name, never overwritten by another attempt;
     the list is committed by Spark, so it names exactly one attempt's archive for each part. Rows
     with a null id are written and never take part in revisits; rows that repeat an id are all
-    written, and the ones with the largest id of their payload are all responses. A null payload is
+    written, each judged by its own payload, and the ones with the largest id of their payload are all
+    responses. A null payload is
     empty, a null URL too.
     """
     spark = pages.sparkSession
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     found = revisits(pages, id_col, payload, least_bytes)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col), F.lit("")).alias("url"),
-                        payload.alias("payload"))
-    marked = rows.join(found, "id", "left").select(
-        "id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"),
-        F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size"), "refers_to")
+                        payload.alias("payload"), F.sha1(payload).alias("digest"),
+                        F.octet_length(payload).cast("long").alias("size"))
+    marked = rows.join(found, ["id", "digest", "size"], "left").select(
+        "id", "url", F.when(F.col("refers_to").isNull(), F.col("payload")).alias("payload"), "digest", "size",
+        "refers_to")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()

@@ -51,6 +51,18 @@ def test_archives_round_trip_at_any_range(spark, range_bytes):
     assert listed.agg(F.sum("records")).first()[0] == len(rows)
 
 
+def test_one_id_over_several_payloads(spark):
+    a, b, c, d = (x * 600 for x in ("aa", "bb", "cc", "dd"))
+    rows = [(1, a), (5, a), (5, b), (7, b), (5, "small"), (5, None), (5, c), (3, c), (2, d), (5, d), (8, d), (None, b)]
+    pages = spark.createDataFrame([(i, "u", h, "id", None) for i, h in rows], PAGES)
+    got = warc.read_archives(warc.write_archives(pages, shared_path(spark, "t")), payloads=True).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to)
+                   for r in got) == brute_archive([(i, "u", h) for i, h in rows])
+    held = {(r.page_id, r.payload_digest): bytes(r.payload) for r in got if r.record_type == "response"}
+    assert set(held.values()) == {(h or "").encode() for _, h in rows}
+    assert all((r.refers_to, r.payload_digest) in held for r in got if r.record_type == "revisit")
+
+
 def test_reader_rejects_false_members():
     """The magic inside stored data, and whole gzip members that hold no WARC header."""
     good = warc.record(1, "u", b"one", hashlib.sha1(b"one").hexdigest(), 3, None)
