@@ -113,3 +113,97 @@ SELECT a.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS
        CAST(least(coalesce(score, 0.0), 1.0) AS DOUBLE) AS score
 FROM a LEFT JOIN f ON a.doc_id = f.doc_id
 """
+
+
+def conversation_repair_sql() -> str:
+    """The repair as a walk over the rows: the least (cost, audit) of each place of ``(s?(ua)+)?``."""
+    def closed(v):
+        """Insertions after a row: places 0 start, 1 system, 2 user, 3 assistant."""
+        one = [f"{v}[1]", f"{v}[2]", f"least({v}[3], {ins(v + '[1]')}, {ins(v + '[2]')}, {ins(v + '[4]')})",
+               f"least({v}[4], {ins(v + '[3]')})"]
+        return "[" + ", ".join(one) + "]"
+
+    def ins(cell):
+        return f"{{'c': {cell}.c + 2, 'a': {cell}.a || 'I'}}"
+
+    def edit(cell, cost, letter):
+        return f"{{'c': v[{cell}].c + {cost}, 'a': v[{cell}].a || '{letter}'}}"
+
+    none = "{'c': 1000000000, 'a': ''}"
+
+    def reach(place, sources, letter):
+        """Ways to ``place``: delete, keep or give the role ``letter`` to the row."""
+        ways = [edit(place, 3, "D")]
+        for p in sources:
+            ways.append(f"CASE WHEN s = 'd' OR lower(s) <> '{letter}' THEN {none} ELSE {edit(p, 'x', 'K')} END")
+            if letter in "ua":
+                ways.append(f"CASE WHEN s = 'd' THEN {none} ELSE {edit(p, '2 + x', 'R')} END")
+        return f"list_min([{', '.join(ways)}])"
+
+    moved = ("[" + edit(1, 3, "D") + ", " + reach(2, [1], "s") + ", " + reach(3, [1, 2, 4], "u") + ", "
+             + reach(4, [3], "a") + "]")
+    start = closed(f"[{{'c': 0, 'a': ''}}, {none}, {none}, {none}]")
+    return f"""
+WITH RECURSIVE raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+                        lambda ch: CAST(ord(ch) AS BIGINT)) AS key
+  FROM conversations),
+hashed AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295, key), lambda crc, b: list_reduce(
+           list_prepend(xor(crc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+           lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 AS kind
+  FROM raw),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM hashed WHERE kind <> 0),
+numbered AS (
+  SELECT *, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+  FROM damaged),
+faults AS (
+  SELECT *, left(role, 1) AS initial,
+         CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+              WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM numbered),
+symbols AS (
+  SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 'd' WHEN initial IN ('s', 'u', 'a') THEN initial ELSE 'o' END AS s,
+         CASE WHEN fault = 'truncated' THEN 1 ELSE 0 END AS x,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM faults),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {start} AS v FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {closed('v')} FROM (
+    SELECT w.conv_id, y.i, {moved.replace('v[', 'w.v[')} AS v
+    FROM walk w JOIN symbols y ON w.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = w.i + 1)),
+counts AS (
+  SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM symbols GROUP BY conv_id),
+least_edits AS (
+  SELECT w.conv_id, least(v[1], v[4]) AS best
+  FROM walk w LEFT JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id WHERE w.i = coalesce(c.n, 0)),
+steps AS (
+  SELECT conv_id, best.a AS audit, unnest(range(1, length(best.a) + 1)) AS k FROM least_edits),
+edits AS (
+  SELECT conv_id, k, substr(audit, k, 1) AS e,
+         length(replace(substr(audit, 1, k), 'I', '')) AS i,
+         length(replace(substr(audit, 1, k - 1), 'D', '')) - length(replace(audit, 'D', '')) % 2 AS place
+  FROM steps),
+lines AS (
+  SELECT e.conv_id, string_agg(CASE WHEN e.e = 'K' THEN y.role WHEN place % 2 = 0 THEN 'user' ELSE 'assistant' END
+           || ':' || CASE WHEN e.e = 'I' THEN '' ELSE y.text END, chr(10) ORDER BY k) AS repaired
+  FROM edits e LEFT JOIN symbols y ON e.conv_id IS NOT DISTINCT FROM y.conv_id AND y.i = e.i
+  WHERE e.e <> 'D' GROUP BY e.conv_id)
+SELECT l.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(best.c AS BIGINT) AS cost, best.a AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM least_edits l LEFT JOIN counts c ON l.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN lines r ON l.conv_id IS NOT DISTINCT FROM r.conv_id
+"""

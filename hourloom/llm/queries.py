@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourloom.llm import (bpe_codec, decontamination, licenses, lm_scoring, oracles, quality_ranking,
-                          quality_rules, simhash, substring_dedup, token_counts, warc)
+from hourloom.llm import (bpe_codec, conversation_repair, decontamination, licenses, lm_scoring, oracles,
+                          quality_ranking, quality_rules, simhash, substring_dedup, token_counts, warc)
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@register
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by the contract's rule and repaired at the least cost."""
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_digests(damaged).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 ORACLE["op10_warc"] = """
 WITH p AS (SELECT page_id, coalesce(encode(html), ''::BLOB) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
@@ -116,3 +124,4 @@ FROM d JOIN m USING (payload_digest, payload_bytes)
 ORACLE["op3_license_scan"] = oracles.license_scan_sql()
 ORACLE["op4_substring_dedup"] = oracles.SUBSTRING_DEDUP
 ORACLE["op9_quality_rules"] = oracles.quality_rules_sql()
+ORACLE["op11_conversation_repair"] = oracles.conversation_repair_sql()
