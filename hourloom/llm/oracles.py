@@ -207,3 +207,29 @@ SELECT l.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
 FROM least_edits l LEFT JOIN counts c ON l.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN lines r ON l.conv_id IS NOT DISTINCT FROM r.conv_id
 """
+
+
+SOURCE_DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+t AS (SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS n FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             CAST(1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (t.n + v.v) AS HUGEINT) AS p,
+             CAST(1 + 1000000000::HUGEINT * (k.n + 1) // (v.n + v.v) AS HUGEINT) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang) JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= 200
+"""

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourloom.llm import (bpe_codec, conversation_repair, decontamination, licenses, lm_scoring, oracles,
-                          quality_ranking, quality_rules, simhash, substring_dedup, token_counts, warc)
+                          quality_ranking, quality_rules, secret_scan, simhash, source_divergence, substring_dedup,
+                          token_counts, warc)
 from hourloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,6 +112,21 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+@register
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern matches and high-entropy spans of all documents."""
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [secret_scan.count_of(k).alias(f"n_{k}") for k in secret_scan.KINDS]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.listed(kinds=secret_scan.KINDS).cast("binary"), 256)
+                        .alias("base_sha256"), secret_scan.listed().alias("spans"))
+
+
+@register
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every (lang, source) group from its language's other sources, and its own terms."""
+    return source_divergence.divergences(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op10_warc"] = """
 WITH p AS (SELECT page_id, coalesce(encode(html), ''::BLOB) AS b FROM pages),
 d AS (SELECT page_id, octet_length(b) AS payload_bytes, sha1(b) AS payload_digest FROM p),
@@ -125,3 +141,4 @@ ORACLE["op3_license_scan"] = oracles.license_scan_sql()
 ORACLE["op4_substring_dedup"] = oracles.SUBSTRING_DEDUP
 ORACLE["op9_quality_rules"] = oracles.quality_rules_sql()
 ORACLE["op11_conversation_repair"] = oracles.conversation_repair_sql()
+ORACLE["op13_source_divergence"] = oracles.SOURCE_DIVERGENCE
