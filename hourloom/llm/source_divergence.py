@@ -22,55 +22,71 @@ ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hourloom.llm.common import fan_out, portions, staged, text_of
+from hourloom.llm.common import portions, staged, text_of
 
-TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
-_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(0x41, 0x5B)})
+#: What stands between terms.
+BETWEEN = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 ONE = 1_000_000_000
 #: Terms of a language need this many documents.
 LEAST_DOCUMENTS = 3
 #: Terms a shard is meant to hold.
 WIDTH = 4096
-#: Entries a task sums up before it hands them on.
-HELD = 400_000
+#: Rows of sums a task keeps (some 50 bytes each) before it hands them on.
+HELD = 1_000_000
 TOP = 200
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(lang, source, term, n, docs), summed within the task up to ``HELD`` entries at a time."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def out():
-        for (lang, source), (n, docs) in held.items():
-            terms = list(n)
-            for a in range(0, len(terms), 20_000):
-                some = terms[a:a + 20_000]
-                yield pa.RecordBatch.from_pydict({
-                    "lang": [lang] * len(some), "source": [source] * len(some), "term": some,
-                    "n": pa.array([n[t] for t in some], pa.int64()),
-                    "docs": pa.array([docs[t] for t in some], pa.int64())})
-        held.clear()
+def _summed(tables: list[pa.Table]) -> pa.Table:
+    return (pa.concat_tables(tables).group_by(["lang", "source", "term"], use_threads=False)
+            .aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(["lang", "source", "term", "n", "docs"]))
+
+
+def _terms_of(part: pa.RecordBatch) -> pa.Table:
+    """(lang, source, term, n, docs) of one batch of (lang, source, text)."""
+    words = pc.split_pattern_regex(pc.ascii_lower(part.column(2)), pattern=BETWEEN)
+    flat, row = words.flatten(), np.asarray(pc.list_parent_indices(words)).astype(np.int64)
+    there = np.asarray(pc.not_equal(flat, ""))
+    coded = flat.dictionary_encode()
+    most = max(1, len(coded.dictionary))
+    each, n = np.unique(row[there] * most + np.asarray(coded.indices)[there], return_counts=True)
+    langs, sources = part.column(0).dictionary_encode(), part.column(1).dictionary_encode()
+    group = np.asarray(langs.indices).astype(np.int64) * len(sources.dictionary) + np.asarray(sources.indices)
+    keys = group[each // most] * most + each % most
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    total = np.add.reduceat(n[order], first) if len(first) else n
+    docs, keys = np.diff(np.append(first, len(keys))), keys[first]
+    group = keys // most
+    return pa.table({"lang": langs.dictionary.take(pa.array(group // len(sources.dictionary))),
+                     "source": sources.dictionary.take(pa.array(group % len(sources.dictionary))),
+                     "term": coded.dictionary.take(pa.array(keys % most)),
+                     "n": pa.array(total, pa.int64()), "docs": pa.array(docs, pa.int64())})
+
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, source, term, n, docs), summed within the task while they are at most ``HELD`` rows."""
+    held, rows = [], 0
     for part in portions(batches, 2):
-        for lang, source, text in zip(*[part.column(i).to_pylist() for i in range(3)]):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            terms = Counter(TERM.findall(text.translate(_LOWER) if not text.islower() else text))
-            n.update(terms)
-            docs.update(terms.keys())
-        if sum(len(n) for n, _ in held.values()) > HELD:
-            yield from out()
-    yield from out()
+        held.append(_terms_of(part))
+        rows += held[-1].num_rows
+        if rows > 2 * HELD:
+            held = [_summed(held)]
+            rows = held[0].num_rows
+            if rows > HELD:
+                yield from held[0].to_batches(max_chunksize=50_000)
+                held, rows = [], 0
+    if held:
+        yield from _summed(held).to_batches(max_chunksize=50_000)
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
@@ -146,38 +162,59 @@ class Forest:
         return out[0], out[1]
 
 
-def _audit(key: tuple, counts: pd.DataFrame, groups: pd.DataFrame) -> pd.DataFrame:
+_AUDIT = pa.schema([("lang", pa.string()), ("source", pa.string()), ("part", pa.string()), ("item", pa.string()),
+                    ("value", pa.int64())])
+
+
+def _audit(key: tuple, counts: pa.Table, groups: pa.Table) -> pa.Table:
     """One shard of one language: prices of all pairs of sources, and each source's own leading terms."""
-    lang, shard = key
-    groups = groups.sort_values("source", kind="stable", key=lambda s: s.map(str.encode))
-    sources = groups["source"].tolist()
-    totals = [int(n) + int(v) for n, v in zip(groups["total"], groups["vocabulary"])]
-    lang_total = int(groups["lang_total"].iloc[0]) + int(groups["vocabulary"].iloc[0])
+    lang, shard = key[0].as_py(), key[1].as_py()
+    groups = groups.sort_by("source")
+    sources = groups["source"].to_pylist()
+    vocabulary = groups["vocabulary"].to_pylist()
+    totals = [n + v for n, v in zip(groups["total"].to_pylist(), vocabulary)]
+    lang_total = groups["lang_total"][0].as_py() + vocabulary[0]
     rows = []
-    if not len(counts):
+    if not counts.num_rows:
         if shard == 0:
-            rows = [(lang, a, "pair", b, 0) for a in sources for b in sources if a != b]
-        return pd.DataFrame(rows, columns=["lang", "source", "part", "item", "value"])
-    whole = counts.groupby("term", sort=False)["n"].sum()
-    terms = sorted(whole.index, key=lambda t: (-int(whole[t]), t))
-    place = {t: i for i, t in enumerate(terms)}
-    table = np.zeros((len(sources), len(terms)), np.int64)
-    at = {s: i for i, s in enumerate(sources)}
-    table[counts["source"].map(at).to_numpy(), counts["term"].map(place).to_numpy()] = counts["n"].to_numpy()
+            rows = [(a, "pair", b, 0) for a in sources for b in sources if a != b]
+        return _rows(lang, rows)
+    coded = counts["term"].combine_chunks().dictionary_encode()
+    at = np.asarray(coded.indices)
+    n = counts["n"].to_numpy()
+    whole = np.zeros(len(coded.dictionary), np.int64)
+    np.add.at(whole, at, n)
+    # most frequent first, ties by the term's bytes
+    by_term = np.asarray(pc.sort_indices(coded.dictionary.cast(pa.binary()))).astype(np.int64)
+    order = by_term[np.argsort(-whole[by_term], kind="stable")]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    table = np.zeros((len(sources), len(order)), np.int64)
+    group = np.asarray(pc.index_in(counts["source"].combine_chunks(), groups["source"].combine_chunks()))
+    table[group, place[at]] = n
     forest = Forest(table)
     for a in range(len(sources)):
         for b in range(a + 1, len(sources)):
             there, back = forest.price(a, b, totals[a], totals[b])
-            rows += [(lang, sources[a], "pair", sources[b], there), (lang, sources[b], "pair", sources[a], back)]
-    q = shares(np.array([int(whole[t]) for t in terms], np.int64), lang_total)
+            rows += [(sources[a], "pair", sources[b], there), (sources[b], "pair", sources[a], back)]
+    rank = np.empty(len(order), np.int64)
+    rank[by_term] = np.arange(len(order))
+    terms, rank = coded.dictionary.take(pa.array(order)), rank[order]
+    q = shares(whole[order], lang_total)
     for i, source in enumerate(sources):
         mine = np.flatnonzero(table[i] > 0)
         p = shares(table[i][mine], totals[i])
         more = p > q[mine]
         mine, values = mine[more], prices(p[more], q[mine[more]])
-        best = sorted(zip((-values).tolist(), [terms[j] for j in mine]))[:TOP]
-        rows += [(lang, source, "term", t, -v) for v, t in best]
-    return pd.DataFrame(rows, columns=["lang", "source", "part", "item", "value"])
+        best = np.lexsort([rank[mine], -values])[:TOP]
+        rows += [(source, "term", t, v) for t, v in zip(terms.take(pa.array(mine[best])).to_pylist(), values[best].tolist())]
+    return _rows(lang, rows)
+
+
+def _rows(lang: str, rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows)) or [()] * 4
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip([[lang] * len(rows), *columns], _AUDIT.types)],
+                                schema=_AUDIT)
 
 
 def divergences(docs: DataFrame) -> DataFrame:
@@ -203,7 +240,7 @@ def divergences(docs: DataFrame) -> DataFrame:
     dealt = kept.withColumn("shard", F.pmod(F.xxhash64("term"), F.lit(shards)).cast("int"))
     everywhere = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     priced = (dealt.groupBy("lang", "shard").cogroup(everywhere.groupBy("lang", "shard"))
-              .applyInPandas(_audit, "lang string, source string, part string, item string, value long"))
+              .applyInArrow(_audit, "lang string, source string, part string, item string, value long"))
     summed = priced.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), "item")
     return summed.withColumn("rank", F.row_number().over(order)).where(
