@@ -211,6 +211,11 @@ def clip(x: ColLike, lo: float | None = None, hi: float | None = None) -> Column
     return v
 
 
+def known(x: ColLike) -> Column:
+    """A number as double, NULL where it is not a number: NaN counts as missing."""
+    return F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
+
+
 def zero_to_null(x: ColLike) -> Column:
     """``replace(0, NaN)``."""
     return F.nullif(_c(x), F.lit(0))

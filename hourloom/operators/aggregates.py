@@ -14,13 +14,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourloom.functions.columns import known
 from hourloom.operators.relational import bounded_broadcast, exact_quantiles, group_quantile_values
 
 
 def group_sum(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
     """G1: group sum; NULL keys dropped (R7), all-NULL sum → 0."""
     return (df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-            .groupBy(*keys).agg(F.coalesce(F.sum(value), F.lit(0.0)).alias(out)))
+            .groupBy(*keys).agg(F.coalesce(F.sum(known(value)), F.lit(0.0)).alias(out)))
 
 
 def net_work_time(df: DataFrame, keys: Sequence[str], kind: str, hours: str, break_flag: str,
@@ -45,8 +46,8 @@ def net_work_time(df: DataFrame, keys: Sequence[str], kind: str, hours: str, bre
     is_work = F.coalesce(F.col(kind).isin(list(work_kinds)), F.lit(False))
     is_break = ~is_work & F.coalesce(F.col(break_flag), F.lit(False))  # a NULL kind is no work kind (R9)
     g = d.groupBy(*keys).agg(
-        F.sum(F.when(is_work, F.col(hours))).alias("WERK_TIME"),
-        F.coalesce(F.sum(F.when(is_break, F.col(hours))), F.lit(0.0)).alias("PAUSE_TIME"),
+        F.sum(F.when(is_work, known(hours))).alias("WERK_TIME"),
+        F.coalesce(F.sum(F.when(is_break, known(hours))), F.lit(0.0)).alias("PAUSE_TIME"),
         F.count_if(is_work).alias("__nwork"),
     ).where(F.col("__nwork") > 0).drop("__nwork")
     g = g.withColumn("REAL_WORKED_TIME", F.col("WERK_TIME") - F.col("PAUSE_TIME"))
@@ -105,8 +106,7 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     uses approximate ones); one report row per column. The columns are unpivoted and handled
     together: one scan for the moments, and for the quartiles as many as the narrowing takes,
     however many columns there are."""
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"),
-                                                 F.col(c).cast("double").alias("x")) for c in cols])))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), known(c).alias("x")) for c in cols])))
     m = long.groupBy("column_name").agg(
         F.count("x").cast("double").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"), F.max("x").alias("max"))
@@ -117,13 +117,14 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def group_max_normalise(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
-    """``value / max(value)`` within the group; 0 when the group max is ≤ 0 or NULL.
+    """``value / max(value)`` within the group; 0 when the group max is ≤ 0 or NULL. Values that are
+    not a number have no part in the maximum, and no result.
 
     The per-group max is a tiny aggregate (one row per group) joined back — broadcast after a
     size check — not a group-wide window, which would put a big tenant into one task."""
-    mx = df.groupBy(group).agg(F.max(value).alias("__mx"))
+    mx = df.groupBy(group).agg(F.max(known(value)).alias("__mx"))
     j = df.join(bounded_broadcast(mx), on=group, how="left")
-    return j.withColumn(out, F.when(F.col("__mx") > 0, F.col(value) / F.col("__mx"))
+    return j.withColumn(out, F.when(F.col("__mx") > 0, known(value) / F.col("__mx"))
                         .otherwise(F.lit(0.0))).drop("__mx")
 
 
@@ -149,8 +150,8 @@ def zscore_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One-row frame of mean and sample std (std 0 or NULL → 1) per column."""
     aggs = []
     for c in cols:
-        aggs += [F.avg(c).alias(f"{c}__mean"),
-                 F.coalesce(F.nullif(F.stddev_samp(c), F.lit(0.0)), F.lit(1.0)).alias(f"{c}__std")]
+        aggs += [F.avg(known(c)).alias(f"{c}__mean"),
+                 F.coalesce(F.nullif(F.stddev_samp(known(c)), F.lit(0.0)), F.lit(1.0)).alias(f"{c}__std")]
     return df.agg(*aggs)
 
 
@@ -164,10 +165,10 @@ def apply_zscore(df: DataFrame, stats: DataFrame, cols: Sequence[str]) -> DataFr
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:
     """Equal-width histogram on [lo, hi] after clipping values into the range; a bin without
-    values has a count of 0."""
-    x = F.least(F.greatest(F.col(col).cast("double"), F.lit(lo)), F.lit(hi))
+    values has a count of 0. NULL and NaN are left out, infinite values are clipped like others."""
+    x = F.least(F.greatest(known(col), F.lit(lo)), F.lit(hi))
     b = F.least(F.floor((x - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1)).cast("int")
-    found = df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(
+    found = df.where(known(col).isNotNull()).groupBy(b.alias("bin")).agg(
         F.count(F.lit(1)).cast("long").alias("found"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return every.join(found, "bin", "left").select("bin", F.coalesce("found", F.lit(0)).cast("long").alias("n")).select(

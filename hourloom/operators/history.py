@@ -4,6 +4,7 @@ Every statistic for a row uses only rows that come *strictly before* it in the p
 ``(date, unique id)`` (R3, R4), so the first row of a group is NULL (R1, the evident intent of the
 reference's ``expanding().mean().shift(1)``; the reference itself leaks the previous group's value
 into that row — documented deviation). Rows with a NULL key get NULL outputs (R7).
+A value that is not a number counts as missing.
 
 Execution
 ---------
@@ -30,6 +31,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourloom.functions.columns import known
 from hourloom.session import materialize
 
 DEFAULT_SKEW_ROWS = 5_000_000
@@ -55,7 +57,8 @@ def _null_salt(keys: Sequence[str], order: Sequence[str]) -> Column:
 def find_hot_keys(df: DataFrame, keys: Sequence[str], skew_rows: int) -> tuple[DataFrame, int, int]:
     """Keys holding more than ``skew_rows`` rows, materialised, plus their count and row total.
 
-    The result has at most ``rows / skew_rows`` entries, so it is safe to broadcast.
+    The result has at most ``rows / skew_rows`` entries and is read from where it is written, so
+    Spark knows its size and broadcasts it below its threshold only.
     When the whole input has at most ``skew_rows`` rows no key can be hot and only that count runs.
     """
     if df.count() <= skew_rows:
@@ -102,7 +105,7 @@ def _direct(df: DataFrame, keys, order, value, names: dict, salt_col: str | None
     prior = base.rowsBetween(Window.unboundedPreceding, -1)
     valid = ~_any_null(keys)
     exprs = {}
-    v = F.col(value).cast("double") if value else None
+    v = known(value) if value else None
     if "mean" in names:
         exprs[names["mean"]] = F.when(valid, F.avg(v).over(prior))
     if "std" in names:
@@ -121,7 +124,7 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
     ranged = materialize(df.repartitionByRange(n_chunks, *[F.col(k) for k in keys],
                                                *_order_cols(order))
                          .withColumn(ch, F.spark_partition_id()))
-    v = F.col(value).cast("double") if value else F.lit(None).cast("double")
+    v = known(value) if value else F.lit(None).cast("double")
     base = Window.partitionBy(*keys, ch).orderBy(*_order_cols(order))
     prior = base.rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumns({
@@ -148,8 +151,8 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
                             .over(wprev), F.lit(0.0)),
         "__r_p": F.coalesce(F.sum("__rows_c").over(wprev), F.lit(0)),
     }).select(*keys, ch, "__pivot", "__n_p", "__s_p", "__q_p", "__r_p")
-    # one row per (hot key, chunk): at most #hot keys + #chunks rows → broadcast is bounded
-    j = local.join(F.broadcast(cs), on=[*keys, ch], how="left")
+    # one row per (hot key, chunk); Spark broadcasts it by its size or joins on both by shuffle
+    j = local.join(cs, on=[*keys, ch], how="left")
     n_p = F.col("__n_p").cast("double")
     n_l = F.col("__n_l").cast("double")
     mean_p = F.col("__pivot") + F.col("__s_p") / F.nullif(n_p, F.lit(0.0))
@@ -201,8 +204,8 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
         df = materialize(df)               # the two parts are read apart
     hot_keys = hot.select(*keys)
     # NULL-key rows never match, so they stay on the cold side (and get NULL outputs there)
-    cold_part = df.join(F.broadcast(hot_keys), on=keys, how="left_anti")
-    hot_part = df.join(F.broadcast(hot_keys), on=keys, how="left_semi")
+    cold_part = df.join(hot_keys, on=keys, how="left_anti")
+    hot_part = df.join(hot_keys, on=keys, how="left_semi")
     n_chunks = max(2, math.ceil(hot_rows / skew_rows) * 2)
     out_cold = _direct(cold_part, keys, order, value, names, salt_col)
     out_hot = _chunked(hot_part, keys, order, value, names, n_chunks)
@@ -235,8 +238,8 @@ def _split_hot(df: DataFrame, keys: Sequence[str], skew_rows: int | None):
     if n_hot == 0:
         return df, None, 0
     hk = hot.select(*keys)
-    return (df.join(F.broadcast(hk), on=list(keys), how="left_anti"),
-            df.join(F.broadcast(hk), on=list(keys), how="left_semi"),
+    return (df.join(hk, on=list(keys), how="left_anti"),
+            df.join(hk, on=list(keys), how="left_semi"),
             max(2, math.ceil(hot_rows / skew_rows) * 2))
 
 
@@ -262,7 +265,7 @@ def overlap_flags(df: DataFrame, key: str, start: str, end: str, uid: str,
             F.max_by(F.col(end), F.struct(F.col(start), F.col(uid))).alias("__last"))
         wc = Window.partitionBy(key).orderBy("__chunk")
         last = last.withColumn("__prev_last", F.lag("__last").over(wc)).drop("__last")
-        h = loc.join(F.broadcast(last), [key, "__chunk"], "left").withColumn(
+        h = loc.join(last, [key, "__chunk"], "left").withColumn(
             "__prev", F.when(F.col("__rn") == 1, F.col("__prev_last")).otherwise(F.col("__lag")))
         h = h.drop("__lag", "__rn", "__prev_last", "__chunk")
         res = res.unionByName(h.select(*res.columns))
@@ -298,12 +301,12 @@ def remove_overlaps(df: DataFrame, key: str, start: str, end: str, uid: str,
         wc = Window.partitionBy(key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
         cmax = r.groupBy(key, "__chunk").agg(F.max(end).alias("__cmax"))\
             .withColumn("__pmax", F.max("__cmax").over(wc)).drop("__cmax")
-        h = r.join(F.broadcast(cmax), [key, "__chunk"], "left")
+        h = r.join(cmax, [key, "__chunk"], "left")
         local = F.max(end).over(wl.rowsBetween(Window.unboundedPreceding, -1))
         h = h.withColumn("__new", new_flag(F.greatest(local, F.col("__pmax")))).drop("__pmax")
         cnew = h.groupBy(key, "__chunk").agg(F.sum("__new").alias("__cn"))\
             .withColumn("__pn", F.coalesce(F.sum("__cn").over(wc), F.lit(0))).drop("__cn")
-        h = h.join(F.broadcast(cnew), [key, "__chunk"], "left").withColumn(
+        h = h.join(cnew, [key, "__chunk"], "left").withColumn(
             "__island", F.col("__pn") + F.sum("__new").over(
                 wl.rowsBetween(Window.unboundedPreceding, 0)))
         parts.append(h.drop("__new", "__pn", "__chunk").select(*c.columns))

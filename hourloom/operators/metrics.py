@@ -16,10 +16,10 @@ RANK_LABEL_EDGES = [-0.001, 0.2, 0.4, 0.6, 0.8, 1.001]
 DURATION_BANDS = [0, 1, 3, 8, float("inf")]
 
 
-def split_bucket(key: Column, seed: int = 7919) -> Column:
-    """Deterministic 0..99 bucket of a key — independent of partitioning (``randomSplit`` is
-    not)."""
-    return F.pmod(F.pmod(key.cast("long"), F.lit(2 ** 31)) * F.lit(seed), F.lit(100))
+def split_bucket(key: Column) -> Column:
+    """Deterministic 0..99 bucket of a key — independent of partitioning (``randomSplit`` is not) and of
+    how ids are dealt out: the first 16 bits of the MD5 of its text, mod 100, as for groups (M2)."""
+    return F.pmod(F.conv(F.substring(F.md5(key.cast("string")), 1, 4), 16, 10).cast("int"), F.lit(100))
 
 
 def row_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "is_train") -> DataFrame:
@@ -30,8 +30,7 @@ def row_split(df: DataFrame, key: str, train_pct: int = 80, out: str = "is_train
 def group_bucket(group_cols: Sequence[str]) -> Column:
     """0..99 bucket of a composite group key: the first 16 bits of the MD5 of ``a__b`` mod 100
     (a fixed public hash, so other engines reproduce the same split)."""
-    key = F.concat_ws("__", *[F.col(c).cast("string") for c in group_cols])
-    return F.pmod(F.conv(F.substring(F.md5(key), 1, 4), 16, 10).cast("int"), F.lit(100))
+    return split_bucket(F.concat_ws("__", *[F.col(c).cast("string") for c in group_cols]))
 
 
 def group_split(df: DataFrame, group_cols: Sequence[str], train_pct: int = 80,

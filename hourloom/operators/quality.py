@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourloom.functions.columns import known
 from hourloom.operators.aggregates import fill_rates, histogram
 from hourloom.operators.history import overlap_flags
 from hourloom.operators.relational import bounded_broadcast, exact_quantiles, union_all_by_name
@@ -77,10 +78,11 @@ def overlap_summary(df: DataFrame, key: str, start: str, end: str, uid: str) ->
 def duration_stats(df: DataFrame, col: str) -> DataFrame:
     """Q10: count, mean, std, median, P99 and rows above P99 (exact quantiles)."""
     med, p99 = exact_quantiles(df, col, [0.5, 0.99])
-    return df.agg(F.count(col).cast("long").alias("n"), F.avg(col).alias("mean"),
-                  F.stddev_samp(col).alias("std"), F.lit(med).alias("median"),
+    v = known(col)
+    return df.agg(F.count(v).cast("long").alias("n"), F.avg(v).alias("mean"),
+                  F.stddev_samp(v).alias("std"), F.lit(med).alias("median"),
                   F.lit(p99).alias("p99"),
-                  F.count_if(F.col(col) > F.lit(p99)).cast("long").alias("above_p99"))
+                  F.count_if(v > F.lit(p99)).cast("long").alias("above_p99"))
 
 
 def duration_histogram(df: DataFrame, col: str, hi: float, bins: int) -> DataFrame:

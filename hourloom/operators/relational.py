@@ -81,17 +81,35 @@ def keep_matching(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return df.where(matches(col, pattern))
 
 
+def order_key(v: Column) -> Column:
+    """A long in the order of doubles, other for every other double (-0.0 counts as 0.0), as their IEEE
+    layout has it: exponent, then fraction, the sign folded over. Every step is exact: products with
+    powers of two, and a logarithm whose error of one is put right."""
+    size = F.abs(v)
+    near = F.when(size < 2.0 ** -800, size * 2.0 ** 200).when(size > 2.0 ** 800, size * 2.0 ** -200).otherwise(size)
+    moved = F.when(size < 2.0 ** -800, F.lit(-200)).when(size > 2.0 ** 800, F.lit(200)).otherwise(F.lit(0))
+    e = F.floor(F.log2(near))
+    m = near * F.pow(F.lit(2.0), -e)  # in [1, 2) but for the logarithm's error
+    e, m = (e + F.when(m < 1, F.lit(-1)).when(m >= 2, F.lit(1)).otherwise(F.lit(0)) + moved,
+            F.when(m < 1, m * 2).when(m >= 2, m / 2).otherwise(m))
+    normal = (e + 1023) * F.lit(1 << 52) + ((m - 1) * 2.0 ** 52).cast("long")
+    key = (F.when(size == float("inf"), F.lit(2047 << 52))
+           .when(size < 2.0 ** -1022, (size * 2.0 ** 537 * 2.0 ** 537).cast("long")).otherwise(normal))
+    return F.when(v < 0, -key).otherwise(key)
+
+
 def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
-                          bins: int = 4096) -> DataFrame:
+                          interpolate: bool = True) -> DataFrame:
     """Exact linear-interpolated quantiles (``percentile`` semantics, R10) of every group: ``keys``,
-    n and the array ``__q`` in the order of ``probs``.
-
-    All groups are narrowed together and alike, whatever their size. Each needed order statistic
-    lies in a bracket [least, greatest] that starts as its group's range; a pass cuts each bracket
-    into ``bins`` equal widths, keeps for every bin that holds a wanted rank its exact least and
-    greatest value, and ends when they meet. A pass is one scan joined to the brackets (a few rows
-    per group) and one aggregate with partial sums: no group's values meet in one task. Values that
-    are NULL or not a number are left out; so are groups without a value."""
+    n and the array ``__q`` in the order of ``probs``; without ``interpolate`` the value at the rank below.
+
+    Radix selection on :func:`order_key`: a pass counts the values of every group by the next 16 bits of
+    their key, keeps the bins that hold a wanted rank, and goes on with these alone; so four passes at
+    most settle any values, infinite ones included, and fewer where a bin holds one value only. A pass is
+    one scan (after the first, joined to the bins wanted, a few rows per group) and one aggregate with
+    partial sums: no group's values meet in one task. Values that are NULL or not a number are left
+    out; so are groups without a value. Between a rank's neighbours the quantile is interpolated, so
+    between a finite and an infinite value it is infinite or not a number."""
     from hourloom.session import materialize
 
     keys = list(keys)
@@ -105,40 +123,43 @@ def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs:
         derived = "Exchange" in x._jdf.queryExecution().executedPlan().toString()
     except Exception:  # noqa: BLE001 - no JVM plan access: assume derived
         derived = True
+    x = x.withColumn("__key", order_key(F.col("__v")))
     if derived:  # the output of an aggregate or join is written once, not made again in each pass
         x = materialize(x)
     asked = F.array(*[F.lit(float(p)) for p in probs])
-    start = x.groupBy(*ks).agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
     at = F.transform(asked, lambda p: p * (F.col("__n") - 1))
     ranks = F.array_distinct(F.concat(F.transform(at, lambda p: F.floor(p)), F.transform(at, lambda p: F.ceil(p))))
-    brackets = materialize(start.select(*ks, "__n", "__lo", "__hi", F.lit(0).cast("long").alias("__below"),
-                                        ranks.cast("array<bigint>").alias("__r")))
-    sizes = brackets.select(*ks, "__n")
-    met = [brackets.where("__lo = __hi")]
-    wide = brackets.where("__lo < __hi")
-    while not wide.isEmpty():
-        inside = x.join(wide.select(*ks, "__lo", "__hi"), ks).where("__v between __lo and __hi")
-        # half widths: the whole width of a bracket may not be a double
-        share = (F.col("__v") / 2 - F.col("__lo") / 2) / (F.col("__hi") / 2 - F.col("__lo") / 2)
-        b = F.least(F.floor(share * F.lit(bins)), F.lit(bins - 1))
-        held = inside.groupBy(*ks, "__lo", "__hi", b.alias("__b")).agg(
+    met: list[DataFrame] = []
+    wide = sizes = None
+    for shift in (48, 32, 16, 0):
+        inside, part = (x, ks) if wide is None else (
+            x.withColumn("__p", F.shiftright("__key", shift + 16)).join(wide.select(*ks, "__p"), [*ks, "__p"]), [*ks, "__p"])
+        held = inside.groupBy(*part, F.shiftright("__key", shift).alias("__b")).agg(
             F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__mn"), F.max("__v").alias("__mx"))
-        w = Window.partitionBy(*ks, "__lo", "__hi").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        cut = held.withColumn("__acc", F.coalesce(F.sum("__c").over(w), F.lit(0)))  # at most ``bins`` rows
-        cut = cut.join(wide.select(*ks, "__lo", "__hi", "__n", "__below", "__r"), [*ks, "__lo", "__hi"])
-        cut = cut.withColumn("__acc", F.col("__acc") + F.col("__below"))
+        before = Window.partitionBy(*part).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # 65,536 bins at most
+        cut = held.withColumn("__acc", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+        if wide is None:
+            cut = cut.withColumn("__n", F.sum("__c").over(Window.partitionBy(*ks)))
+            cut = cut.withColumn("__r", ranks.cast("array<bigint>"))
+        else:
+            cut = cut.join(wide, part).withColumn("__acc", F.col("__acc") + F.col("__below"))
         here = F.filter("__r", lambda r: (r >= F.col("__acc")) & (r < F.col("__acc") + F.col("__c")))
         step = materialize(cut.withColumn("__r", here).where(F.size("__r") > 0).select(
-            *ks, "__n", F.col("__mn").alias("__lo"), F.col("__mx").alias("__hi"), F.col("__acc").alias("__below"), "__r"))
-        met.append(step.where("__lo = __hi"))
-        wide = step.where("__lo < __hi")
-    found = reduce(lambda p, q: p.unionByName(q), met).select(*ks, F.explode("__r").alias("__rank"), "__lo")
-    values = found.groupBy(*ks).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__lo"))).alias("__m"))
+            *ks, "__n", F.col("__b").alias("__p"), F.col("__acc").alias("__below"), "__r", "__mn", "__mx"))
+        sizes = step.select(*ks, "__n").distinct() if sizes is None else sizes
+        met.append(step.where("__mn = __mx"))
+        wide = step.where("__mn < __mx").drop("__mn", "__mx")
+        if shift and wide.isEmpty():
+            break
+    found = reduce(lambda p, q: p.unionByName(q), met).select(*ks, F.explode("__r").alias("__rank"), "__mn")
+    values = found.groupBy(*ks).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__mn"))).alias("__m"))
 
     def between(p):
         q = p * (F.col("__n") - 1)
-        low = F.try_element_at("__m", F.floor(q).cast("long"))
-        return low + (q - F.floor(q)) * (F.try_element_at("__m", F.ceil(q).cast("long")) - low)
+        low, high = F.try_element_at("__m", F.floor(q).cast("long")), F.try_element_at("__m", F.ceil(q).cast("long"))
+        if not interpolate:
+            return low
+        return F.when(low == high, low).otherwise(low + (q - F.floor(q)) * (high - low))
 
     out = values.join(sizes, ks).select(*ks, "__n", F.transform(asked, between).alias("__q"))
     return out.select(*[F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)], F.col("__n").alias("n"), "__q")

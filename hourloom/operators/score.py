@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.functions.columns import rename_columns, select_available, with_provenance
+from hourloom.functions.columns import known, rename_columns, select_available, with_provenance
 from hourloom.operators.aggregates import concentration
 from hourloom.operators.relational import bounded_broadcast, union_all_by_name
 
@@ -68,7 +68,7 @@ def suitability_score(df: DataFrame, tenant: str = "con",
     aggregate over it (one row per tenant), joined back after a size check."""
     from hourloom.session import materialize
     df = materialize(df)
-    mx = df.groupBy(tenant).agg(F.max(experience).alias("__mx_e"), F.max(visits).alias("__mx_v"))
+    mx = df.groupBy(tenant).agg(F.max(known(experience)).alias("__mx_e"), F.max(known(visits)).alias("__mx_v"))
     j = df.join(bounded_broadcast(mx), on=tenant, how="left")
 
     def norm(c, m):

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from hourloom.operators import aggregates as G
 from hourloom.operators import relational as Rel
 from hourloom.plans.registry import register
-from hourloom.plans.standins import REG_SQL, registrations
+from hourloom.plans.standins import (MISSING_HOURS_SQL, ODD_HOURS_SQL, REG_SQL, missing_hours, odd_hours,
+                                     registrations)
 from hourloom.sources.tables import read_table
 
 
@@ -314,3 +315,40 @@ def g25_range_report(spark, sf):
     r = G.range_report(o, "o_orderdate", "2001-01-01")
     return r.select(F.col("min_ts").alias("min_ts"),
                     F.col("max_ts").alias("max_ts"), "null_ts", "future_ts")
+
+
+# ── numbers that are not finite ──────────────────────────────────────────────
+
+@register("g9_g21_odd_numbers", f"""
+WITH r AS (SELECT con, CASE WHEN isnan(hours) THEN NULL ELSE hours END AS hours FROM ({ODD_HOURS_SQL}))
+SELECT con, min(hours) AS min, quantile_disc(hours, 0.5) AS lower_median, max(hours) AS max, CAST(count(hours) AS BIGINT) AS n
+FROM r GROUP BY con
+""")
+def g9_g21_odd_numbers(spark, sf):
+    """Least, lower median and greatest of hours that are partly infinite, tiny, huge or not a number."""
+    q = Rel.group_quantile_values(odd_hours(spark, sf), ["con"], "hours", [0.0, 0.5, 1.0], interpolate=False)
+    return q.select("con", F.col("__q")[0].alias("min"), F.col("__q")[1].alias("lower_median"), F.col("__q")[2].alias("max"),
+                    F.col("n").cast("long").alias("n"))
+
+
+@register("g10_g11_g20_missing_numbers", f"""
+WITH r AS ({MISSING_HOURS_SQL}), m AS (SELECT con, max(hours) AS mx FROM r GROUP BY con),
+b AS (SELECT CAST(least(floor(least(greatest(hours, 0), 500000) / 50000), 9) AS INTEGER) AS bin FROM r WHERE hours IS NOT NULL)
+SELECT 'hours' AS name, CAST(count(hours) AS DOUBLE) AS count, round(avg(hours), 4) AS mean, round(stddev_samp(hours), 4) AS std,
+       round(quantile_cont(hours, 0.5), 4) AS median, max(hours) AS max, 0 AS bin FROM r
+UNION ALL SELECT 'share', count(hours / mx), round(avg(hours / mx), 4), round(stddev_samp(hours / mx), 4),
+       round(quantile_cont(hours / mx, 0.5), 4), max(hours / mx), 0 FROM r JOIN m ON r.con = m.con
+UNION ALL SELECT 'bin', coalesce(n, 0), NULL, NULL, NULL, NULL, CAST(i AS INTEGER)
+FROM range(10) x(i) LEFT JOIN (SELECT bin, count(*) AS n FROM b GROUP BY bin) c ON c.bin = x.i
+""")
+def g10_g11_g20_missing_numbers(spark, sf):
+    """Description, share of the tenant's greatest, and histogram where NaN counts as missing."""
+    r = G.group_max_normalise(missing_hours(spark, sf), "con", "hours", "share")
+    d = G.describe(r, ["hours", "share"]).select(
+        F.col("column_name").alias("name"), "count", *[F.round(c, 4).alias(c) for c in ("mean", "std")],
+        F.round("50%", 4).alias("median"), "max", F.lit(0).alias("bin"))
+    h = G.histogram(r, "hours", 0.0, 500_000.0, 10).select(
+        F.lit("bin").alias("name"), F.col("n").cast("double").alias("count"),
+        *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "median", "max")],
+        F.round(F.col("bin_start") / 50_000).cast("int").alias("bin"))
+    return d.unionByName(h)

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from hourloom.operators import history as H
 from hourloom.plans.registry import ORACLE, register
-from hourloom.plans.standins import (INTERVAL_SQL, ODD_INTERVAL_SQL, REG_SQL, intervals, odd_intervals,
-                                     registrations)
+from hourloom.plans.standins import (INTERVAL_SQL, MISSING_HOURS_SQL, ODD_INTERVAL_SQL, REG_SQL, intervals,
+                                     missing_hours, odd_intervals, registrations)
 
 R = 4  # decimals kept on float outputs in both engines
 
@@ -145,3 +145,13 @@ def w11_top3_per_task(spark, sf_dir):
     t = top_k_per_group(r, ["con", "task"], [F.col("hours").desc(), F.col("reg_id")], 3, "rk")
     return t.select("con", "task", "reg_id", F.round("hours", 2).alias("hours"),
                     F.col("rk").cast("long").alias("rk"))
+
+
+@register("w1_w3_missing_numbers", f"""
+SELECT reg_id, round(avg(hours) OVER w, {R}) AS mean, round(stddev_samp(hours) OVER w, {R}) AS std, count(hours) OVER w AS n
+FROM ({MISSING_HOURS_SQL}) WINDOW w AS (PARTITION BY con, employee ORDER BY work_date, reg_id {_PRIOR})
+""")
+def w1_w3_missing_numbers(spark, sf):
+    """W1-W3 where every third registration's hours are not a number: these rows have statistics, but no part in others'."""
+    out = H.prior_stats(missing_hours(spark, sf), ["con", "employee"], ["work_date", "reg_id"], "hours", "mean", "std", "n")
+    return out.select("reg_id", _r("mean"), _r("std"), "n")

@@ -9,12 +9,14 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from hourloom.operators import boosting as B
 from hourloom.operators import encode as E
 from hourloom.operators import metrics as M
 from hourloom.operators import models as ML
-from hourloom.operators.relational import hash_sample
+from hourloom.operators.relational import exact_quantiles, hash_sample
+from hourloom.plans.catalog.scoring import md5_bucket_sql
 from hourloom.plans.registry import register
-from hourloom.session import checkpoint_dir
+from hourloom.session import checkpoint_dir, materialize
 from hourloom.sources.tables import read_table
 
 FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "brand_code",
@@ -23,7 +25,7 @@ FEATURES = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice", "bra
 _ROW_KEY = "l_orderkey * 1000003 + l_partkey * 8191 + l_suppkey * 131 + l_linenumber"
 _VALIDATION_SQL = f"""
 SELECT * FROM (SELECT l.*, {_ROW_KEY} AS k FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)
-WHERE ((k % 2147483648) * 7919) % 100 >= 80"""
+WHERE {md5_bucket_sql("CAST(k AS VARCHAR)")} >= 80"""
 ID_COLS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
 
 
@@ -117,7 +119,7 @@ def m8_per_tenant_models(spark, sf):
 @register("m8_routing", f"""
 WITH s AS (SELECT l.l_returnflag AS con, l.l_linestatus, {_ROW_KEY} AS k
            FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-t AS (SELECT con, ((k % 2147483648) * 7919) % 100 < 80 AS is_train FROM s)
+t AS (SELECT con, {md5_bucket_sql("CAST(k AS VARCHAR)")} < 80 AS is_train FROM s)
 SELECT con, CAST(count(*) FILTER (WHERE NOT is_train) AS BIGINT) AS n,
        count(*) FILTER (WHERE is_train) >= 16000 AS specialised
 FROM t GROUP BY con HAVING count(*) FILTER (WHERE NOT is_train) > 0
@@ -185,3 +187,135 @@ def m20_batch_scoring(spark, sf):
     v = va.withColumn("row_index", F.col("__k")).withColumn(
         "vec", F.array(*[F.col(c).cast("double") for c in FEATURES]))
     return ML.batch_score(v, "row_index", "vec", tm, sm)
+
+
+# ── trees of our own: Huber, listwise, warm-started (M5-M8, M15) ─────────────
+
+def charge_frame(spark, sf):
+    """Stand-in for durations that features can tell: a line's charge, out of price, discount and tax."""
+    return model_frame(spark, sf).withColumns({
+        "price": F.col("REAL_WORKED_TIME"),
+        "REAL_WORKED_TIME": F.expr("REAL_WORKED_TIME * (1 - l_discount) * (1 + l_tax)")})
+
+
+_NUMERIC, _CODES = ["price", "l_quantity", "l_discount", "l_tax", "p_size"], ["p_brand"]
+_PARAMS = B.Params(trees=5, learning_rate=0.6, max_depth=4, patience=2)
+
+
+def _huber_model(spark, sf, params=_PARAMS):
+    f = materialize(charge_frame(spark, sf))
+    bins = B.fit_bins(f.where("is_train"), _NUMERIC, _CODES)
+    return f, B.fit_huber(f, bins, "REAL_WORKED_TIME", "__k", params, ~F.col("is_train"))
+
+
+_CHARGE_SQL = f"""
+SELECT *, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS y, {md5_bucket_sql("CAST(k AS VARCHAR)")} < 80 AS is_train
+FROM (SELECT l.*, p.p_size, p.p_brand, {_ROW_KEY} AS k FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey)"""
+
+
+@register("m5_m6_huber_trees", f"""
+WITH s AS ({_CHARGE_SQL})
+SELECT CAST(count(*) AS BIGINT) AS n, true AS explains_nine_tenths, true AS below_median_error FROM s WHERE NOT is_train
+""")
+def m5_m6_huber_trees(spark, sf):
+    """M5/M6: boosted trees with Huber loss, stopped early on the held-out rows: their number, and whether
+    the model explains nine tenths of their variance and errs less than the training median."""
+    f, model = _huber_model(spark, sf)
+    held = model.predict(f.where(~F.col("is_train")))
+    m = M.regression_metrics(held, "REAL_WORKED_TIME", "prediction").crossJoin(  # one row each
+        held.agg(F.avg(F.abs(F.col("REAL_WORKED_TIME") - model.init)).alias("plain")))
+    return m.select("n", (F.col("r2") > 0.9).alias("explains_nine_tenths"), (F.col("mae") < F.col("plain")).alias("below_median_error"))
+
+
+@register("m5_m6_huber_tree_table")
+def m5_m6_huber_tree_table(spark, sf):
+    """The trees that are kept, with each split's feature, cut or categories, and gain."""
+    _, model = _huber_model(spark, sf)
+    return model.kept().select("tree", "node", F.get(F.array(*[F.lit(n) for n in model.binning.features]), "feature").alias("feature"),
+                               "cut", "bits", F.round("gain", 6).alias("gain"), F.round("value", 6).alias("value"))
+
+
+@register("m5_root_histogram", f"""
+WITH s AS (SELECT * FROM ({_CHARGE_SQL}) WHERE is_train),
+m AS (SELECT quantile_cont(y, 0.5) AS mid FROM s),
+d AS (SELECT mid, quantile_cont(abs(y - mid), 0.9) AS delta FROM s, m GROUP BY mid),
+g AS (SELECT s.*, CAST(round(greatest(least(y - mid, delta), -delta) / delta * 1048576) AS BIGINT) AS g FROM s, d),
+u AS (SELECT 'l_quantity' AS feature, dense_rank() OVER (ORDER BY l_quantity) AS bin, g FROM g
+      UNION ALL SELECT 'l_discount', dense_rank() OVER (ORDER BY l_discount), g FROM g
+      UNION ALL SELECT 'l_tax', dense_rank() OVER (ORDER BY l_tax), g FROM g)
+SELECT feature, CAST(bin AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n, round(CAST(sum(g) AS DOUBLE) / 1048576, 3) AS g
+FROM u GROUP BY ALL
+""")
+def m5_root_histogram(spark, sf):
+    """M5: the first level's sums of Huber gradients by feature and bin (every value has a bin of its own)."""
+    f = charge_frame(spark, sf).where("is_train")
+    bins = B.fit_bins(f, ["l_quantity", "l_discount", "l_tax"], bins=1000)
+    rows = materialize(B.prepare(f, bins, "REAL_WORKED_TIME", "__k"))
+    (mid,) = exact_quantiles(rows, "y", [0.5])
+    (delta,) = exact_quantiles(rows.select(F.abs(F.col("y") - mid).alias("d")), "d", [0.9])
+    start = B.Huber(delta).gradients(rows.withColumn("margin", F.lit(mid))).withColumn("node", F.lit(1))
+    return B.histogram(start).select(F.get(F.array(*[F.lit(n) for n in bins.features]), "feature").alias("feature"), "bin", "n",
+                                     F.round(F.col("g") / B.UNIT, 3).alias("g"))
+
+
+_GRADE = "CAST(least(floor(l_discount * 50), 4) AS DOUBLE)"
+
+
+@register("m7_lambda_gradients", f"""
+WITH s AS (SELECT l_orderkey AS grp, {_ROW_KEY} AS id, {_GRADE} AS y FROM lineitem JOIN part ON l_partkey = p_partkey),
+p AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY id) AS place,
+             row_number() OVER (PARTITION BY grp ORDER BY y DESC, id) AS best FROM s),
+i AS (SELECT grp, sum(CASE WHEN best <= 3 THEN (pow(2, y) - 1) / log2(best + 1) ELSE 0 END) AS ideal FROM p GROUP BY grp),
+q AS (SELECT a.id, sign(a.y - b.y) AS up,
+             abs(pow(2, a.y) - pow(2, b.y)) * abs(CASE WHEN a.place <= 3 THEN 1 / log2(a.place + 1) ELSE 0 END
+                                                 - CASE WHEN b.place <= 3 THEN 1 / log2(b.place + 1) ELSE 0 END) / i.ideal AS swap
+      FROM p a JOIN p b ON a.grp = b.grp AND a.id <> b.id AND a.y <> b.y AND (a.place <= 3 OR b.place <= 3) JOIN i ON i.grp = a.grp),
+t AS (SELECT id, sum(round(up * swap / 2 * 1073741824)) AS g, sum(round(swap / 4 * 1073741824)) AS h FROM q GROUP BY id)
+SELECT p.grp AS l_orderkey, p.id, CAST(round(coalesce(t.g, 0) / 1024) AS BIGINT) AS g,
+       CAST(round(coalesce(t.h, 0) / 1024) AS BIGINT) AS h FROM p LEFT JOIN t ON p.id = t.id
+""")
+def m7_lambda_gradients(spark, sf):
+    """M7: listwise gradients and curvatures of the first round (all margins 0), NDCG cut at 3; groups are orders."""
+    f = charge_frame(spark, sf).withColumn("grade", F.expr(_GRADE))
+    rows = B.prepare(f, B.Binning({}), "grade", "__k", group="l_orderkey")
+    return B.LambdaRank(3).gradients(rows).select(F.col("grp").cast("long").alias("l_orderkey"), "id", "g", "h")
+
+
+@register("m7_listwise_ranker")
+def m7_listwise_ranker(spark, sf):
+    """A listwise ranker over the lines of orders, split by order; held-out NDCG at 3 and 5."""
+    f = materialize(M.group_split(charge_frame(spark, sf).withColumn("grade", F.expr(_GRADE)), ["l_orderkey"], out="learned"))
+    bins = B.fit_bins(f.where("learned"), ["price", "REAL_WORKED_TIME", "l_quantity", "l_tax"])
+    model = B.fit_ranker(f, bins, "grade", "l_orderkey", "__k", B.Params(trees=4, learning_rate=0.3, max_depth=3, patience=2),
+                         ~F.col("learned"))
+    found = M.ndcg_at_k(model.predict(f.where(~F.col("learned"))), ["l_orderkey"], "grade", "prediction", [3, 5])
+    return found.select("groups", F.round("ndcg_at_3", 4).alias("ndcg_at_3"), F.round("ndcg_at_5", 4).alias("ndcg_at_5"))
+
+
+@register("m8_fine_tuned_tenants", f"""
+WITH s AS (SELECT *, l_suppkey % 40 AS con FROM ({_CHARGE_SQL}))
+SELECT CAST(con AS VARCHAR) AS con, CAST(count(*) FILTER (WHERE NOT is_train) AS BIGINT) AS n, count(*) >= 1500 AS tuned,
+       true AS at_least_as_good
+FROM s GROUP BY con HAVING count(*) FILTER (WHERE NOT is_train) > 0
+""")
+def m8_fine_tuned_tenants(spark, sf):
+    """M8: trees for all tenants with 1,500 rows or more, grown together from the base's margins; per tenant its
+    held-out rows, whether it has trees of its own, and that its held-out error is not above the base's."""
+    f, base = _huber_model(spark, sf, B.Params(trees=3, learning_rate=0.5, max_depth=3))
+    f = materialize(f.withColumn("con", (F.col("l_suppkey") % 40).cast("string")))
+    tuned = B.fine_tune(base, f, "REAL_WORKED_TIME", "__k", "con", B.Params(trees=4, learning_rate=0.3, max_depth=3, patience=2),
+                        ~F.col("is_train"), min_rows=1500)
+    held = f.where(~F.col("is_train"))
+    both = tuned.predict(base.predict(held, "base_hours"), tenant="con")
+    unit = base.objective.delta / B.UNIT  # errors count in the whole-number steps that the growth compares
+    off = {c: F.sum(F.round(F.abs(F.col("REAL_WORKED_TIME") - F.col(c)) / unit).cast("decimal(38,0)")) for c in ("prediction", "base_hours")}
+    per = both.groupBy("con").agg(F.count("*").alias("n"), (off["prediction"] <= off["base_hours"]).alias("at_least_as_good"))
+    own = tuned.best.select(F.col("tenant").alias("con"), F.lit(True).alias("own"))
+    return per.join(own, "con", "left").select("con", "n", F.coalesce("own", F.lit(False)).alias("tuned"), "at_least_as_good")
+
+
+@register("m15_gain_importances")
+def m15_gain_importances(spark, sf):
+    """Share of the Huber trees' total gain by feature."""
+    _, model = _huber_model(spark, sf)
+    return model.importances().select("feature", F.round("importance", 6).alias("importance"))

@@ -263,7 +263,7 @@ def x12_profile_summary(spark, sf):
 _HEX = "'0123456789abcdef'"
 
 
-def _md5_bucket_sql(expr: str) -> str:
+def md5_bucket_sql(expr: str) -> str:
     h = f"md5({expr})"
     digits = [f"(strpos({_HEX}, substr({h}, {i}, 1)) - 1)" for i in range(1, 5)]
     return f"(({digits[0]} * 4096 + {digits[1]} * 256 + {digits[2]} * 16 + {digits[3]}) % 100)"
@@ -271,8 +271,8 @@ def _md5_bucket_sql(expr: str) -> str:
 
 @register("m1_m2_m3_splits_and_labels", f"""
 WITH r AS ({REG_SQL})
-SELECT reg_id, ((reg_id % 2147483648) * 7919) % 100 < 80 AS is_train,
-  {_md5_bucket_sql("con || '__' || task")} < 80 AS group_train,
+SELECT reg_id, {md5_bucket_sql("CAST(reg_id AS VARCHAR)")} < 80 AS is_train,
+  {md5_bucket_sql("con || '__' || task")} < 80 AS group_train,
   CASE WHEN least(hours / 500000.0, 1.0) > -0.001 AND least(hours / 500000.0, 1.0) <= 0.2 THEN 0
        WHEN least(hours / 500000.0, 1.0) > 0.2 AND least(hours / 500000.0, 1.0) <= 0.4 THEN 1
        WHEN least(hours / 500000.0, 1.0) > 0.4 AND least(hours / 500000.0, 1.0) <= 0.6 THEN 2

@@ -36,6 +36,34 @@ def registrations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the same with hours that are not a number, infinite, very small and very large
+ODD_HOURS_SQL = """
+SELECT con, reg_id, employee, client, task, work_date,
+       CASE WHEN reg_id % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN reg_id % 13 = 0 THEN CAST('Infinity' AS DOUBLE)
+            WHEN reg_id % 17 = 0 THEN CAST('-Infinity' AS DOUBLE) WHEN reg_id % 19 = 0 THEN hours * 1e-300
+            WHEN reg_id % 23 = 0 THEN hours * 1e290 WHEN reg_id % 29 = 0 THEN -hours ELSE hours END AS hours
+FROM (""" + REG_SQL + ")"
+
+# not a number as missing, and nothing infinite
+MISSING_HOURS_SQL = """
+SELECT con, reg_id, employee, client, task, work_date,
+       CASE WHEN reg_id % 3 = 0 THEN NULL ELSE hours END AS hours
+FROM (""" + REG_SQL + ")"
+
+
+def odd_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, h = F.col("reg_id"), F.col("hours")
+    return registrations(spark, sf_dir).withColumn("hours", (
+        F.when(i % 11 == 0, float("nan")).when(i % 13 == 0, float("inf")).when(i % 17 == 0, float("-inf"))
+        .when(i % 19 == 0, h * 1e-300).when(i % 23 == 0, h * 1e290).when(i % 29 == 0, -h).otherwise(h)))
+
+
+def missing_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third registration has hours that are not a number; its SQL has NULL there."""
+    return registrations(spark, sf_dir).withColumn(
+        "hours", F.when(F.col("reg_id") % 3 == 0, float("nan")).otherwise(F.col("hours")))
+
+
 # interval registration: event = a time registration of an employee (user) from ts lasting
 # ``value`` minutes.
 INTERVAL_SQL = """

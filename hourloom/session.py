@@ -35,6 +35,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
     spark = b.getOrCreate()
     try:
+        if spark.sparkContext.master.startswith("local"):  # a cluster gets the package by --py-files
+            here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+            spark.sparkContext.environment.setdefault("PYTHONPATH", here)
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # noqa: BLE001 - remote sessions have no local context
         pass
