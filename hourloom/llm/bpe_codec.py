@@ -179,6 +179,24 @@ def decode_documents(encoded: DataFrame, ranks: str, pattern: str, id_col: str =
     return out.withColumnRenamed("id", id_col)
 
 
+def round_trip(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col``, n_tokens, ids and decoded of every row: :func:`encode_documents` and then
+    :func:`decode_documents`, in the same Python worker."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(ranks, pattern)
+        for batch in portions(batches, 1):
+            packed = [c.encode(t) for t in batch.column(1).to_pylist()]
+            decoded = [c.decode(np.frombuffer(x, "<u4")) for x in packed]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(p) // 4 for p in packed], pa.int64()), pa.array(packed, pa.binary()),
+                 pa.array(decoded, pa.binary())], ["id", "n_tokens", "ids", "decoded"])
+
+    out = rows.mapInArrow(run, "id long, n_tokens long, ids binary, decoded binary")
+    return out.withColumnRenamed("id", id_col)
+
+
 def digests(decoded: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """``id_col``, n_tokens, ids_sha256, decoded_sha256 of a decoded table."""
     return decoded.select(id_col, "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),

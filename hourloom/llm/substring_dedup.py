@@ -34,7 +34,9 @@ CHUNK = 6_000
 #: Stretches per shard task.
 SHARD_ROWS = 40_000
 #: Bytes of text that a task holds at once.
-PORTION = 8 << 20
+PORTION = 2 << 20
+#: Windows whose grams are compared at once.
+WINDOWS = 1 << 16
 #: Stands for a null id in comparisons: such documents come last.
 LAST = (1 << 63) - 1
 
@@ -58,8 +60,8 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     if not len(at):
         return starts, ends, first, none, none, none.view(np.uint64)
     view = np.lib.stride_tricks.sliding_window_view(rolled, span)
-    anchor = np.concatenate([at[i:i + 1_000_000] + view[at[i:i + 1_000_000]].argmin(axis=1)
-                             for i in range(0, len(at), 1_000_000)])
+    anchor = np.concatenate([at[i:i + WINDOWS] + view[at[i:i + WINDOWS]].argmin(axis=1)
+                             for i in range(0, len(at), WINDOWS)])
     return starts, ends, first, at, anchor, rolled[anchor]
 
 
@@ -356,7 +358,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 8, id_col: str
     at_text, at_gone = len(names), len(names) + 1
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches, at_text, PORTION):
             kept, n_words, n_removed = [], [], []
             for t, spans_of in zip(batch.column(at_text).to_pylist(), batch.column(at_gone).to_pylist()):
                 words = t.encode().split()
