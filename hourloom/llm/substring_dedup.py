@@ -323,11 +323,39 @@ def repeated_spans(rows: DataFrame, window: int, tasks: int) -> DataFrame:
     return dealt.mapInArrow(locate, "k long, pos int, stop int")
 
 
+def without_spans(text: str | None, spans: list[dict] | None, verbatim: bool) -> tuple[str | None, int, int]:
+    """The text without the words of ``spans``, its number of words, and how many of them went."""
+    raw = (text or "").encode()
+    if verbatim and not spans:
+        return text, len(raw.split()), 0
+    words = raw.split()
+    stays = np.ones(len(words), bool)
+    if spans:
+        change = np.zeros(len(words) + 1, np.int32)
+        np.add.at(change, [s["pos"] for s in spans], 1)
+        np.add.at(change, [s["stop"] for s in spans], -1)
+        stays = np.cumsum(change[:-1]) == 0
+    gone = len(words) - int(stays.sum())
+    if not verbatim:
+        return b" ".join([w for w, s in zip(words, stays.tolist()) if s]).decode(), len(words), gone
+    starts, ends, _ = word_spans(*utf8_buffer(pa.array([text])))
+    begin = np.flatnonzero(~stays & np.concatenate([[True], stays[:-1]]))
+    until = np.flatnonzero(~stays & np.concatenate([stays[1:], [True]])) + 1
+    parts, at = [], 0
+    for a, b in zip(begin.tolist(), until.tolist()):  # a run of words goes with the space that follows it
+        parts.append(raw[at:starts[a]])
+        at = starts[b] if b < len(starts) else ends[-1]
+    return b"".join([*parts, raw[at:]]).decode(), len(words), gone
+
+
 def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 8, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", verbatim: bool = False) -> DataFrame:
     """``docs`` with all its columns, the text replaced by its kept words (joined by one space), and
     n_words, n_removed (they take the place of columns so named).
 
+    With ``verbatim`` what is kept stays byte for byte: only removed words go, with the space after
+    them, and a null text stays null.
+
     Words are runs of anything but space and 0x09-0x0D, unchanged. Windows are judged on the input.
     A null text has no words and becomes empty; a null id comes after all others; rows that repeat
     an id are compared by (id, start) alone, so exact copies of a row leave each other untouched;
@@ -350,32 +378,23 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = 8, id_col: str
     spans = staged(repeated_spans(cut, window, fan_out(docs, n, SHARD_ROWS)), "spans")
     release(spark)
     gone = spans.groupBy("k").agg(F.collect_list(F.struct("pos", "stop")).alias("gone"))
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    rest = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(docs.columns, names)],
-                       key.alias("k"), text.alias("t"))
+    quoted = {c: F.col("`" + c.replace("`", "``") + "`") for c in docs.columns}
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    rest = docs.select(*[quoted[c].alias(n) for c, n in names.items()], key.alias("k"), quoted[text_col].cast("string").alias("t"))
     out = rest.join(gone, "k", "left").drop("k")
     plain = out.drop("t", "gone").schema
-    at_text, at_gone = len(names), len(names) + 1
+    at_text = len(names)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, at_text, PORTION):
-            kept, n_words, n_removed = [], [], []
-            for t, spans_of in zip(batch.column(at_text).to_pylist(), batch.column(at_gone).to_pylist()):
-                words = t.encode().split()
-                n_words.append(len(words))
-                if spans_of:
-                    change = np.zeros(len(words) + 1, np.int32)
-                    np.add.at(change, [s["pos"] for s in spans_of], 1)
-                    np.add.at(change, [s["stop"] for s in spans_of], -1)
-                    stays = np.cumsum(change[:-1]) == 0
-                    words = [w for w, s in zip(words, stays.tolist()) if s]
-                n_removed.append(n_words[-1] - len(words))
-                kept.append(b" ".join(words).decode())
+            found = [without_spans(t, spans_of, verbatim)
+                     for t, spans_of in zip(batch.column(at_text).to_pylist(), batch.column(at_text + 1).to_pylist())]
+            kept, n_words, n_removed = zip(*found)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:at_text], pa.array(kept, pa.string()), pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64())], [*names, "kept", "n_words", "n_removed"])
+                 pa.array(n_removed, pa.int64())], [*names.values(), "kept", "n_words", "n_removed"])
 
     schema = plain.add("kept", "string").add("n_words", "long").add("n_removed", "long")
-    done = out.select(*names, "t", "gone").mapInArrow(keep, schema)
-    own = [(c, n) for c, n in zip(docs.columns, names) if c not in ("n_words", "n_removed")]
-    return done.select(*[F.col("kept" if c == text_col else n).alias(c) for c, n in own], "n_words", "n_removed")
+    done = out.select(*names.values(), "t", "gone").mapInArrow(keep, schema)
+    own = [c for c in docs.columns if c not in ("n_words", "n_removed")]
+    return done.select(*[F.col("kept" if c == text_col else names[c]).alias(c) for c in own], "n_words", "n_removed")

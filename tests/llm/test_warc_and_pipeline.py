@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hourloom.llm import queries, warc
+from hourloom.llm import queries, substring_dedup, warc
 from hourloom.llm.common import shared_path
 from tests.llm.helpers import SCHEMA, odd_documents, words
 from tests.llm.test_corpus_wide import brute_repeats
@@ -102,10 +102,13 @@ def test_pipeline_stages_take_effect(spark):
     assert len({i for i in kept[0] if labels.get(i) == 0}) <= 2
     assert len({r.text for r in kept[1].values()}) == len(kept[1])
     want = {i: text for i, _, _, text in brute_repeats([(i, r.text) for i, r in kept[1].items()], 20)}
-    assert {i: r.text for i, r in kept[2].items()} == want
+    assert {i: " ".join(words(r.text)) for i, r in kept[2].items()} == want
+    for i, r in kept[1].items():  # what stays is as it was
+        assert kept[2][i].text == r.text if len(words(want[i])) == len(words(r.text)) else len(kept[2][i].text) < len(r.text)
+    assert any("\n" in r.text for r in kept[2].values())
     assert any(len(words(want[i])) < len(words(r.text)) for i, r in kept[1].items())
     items = [" ".join(words(r.text)) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
-    leaking = {i for i, r in kept[2].items() if any(f" {t} " in f" {r.text} " for t in items)}
+    leaking = {i for i, r in kept[2].items() if any(f" {t} " in f" {' '.join(words(r.text))} " for t in items)}
     assert leaking and not leaking & set(kept[3])
     assert all(r.n_chars == len(r.text) for r in kept[2].values())
     encoded = corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.01").collect()
@@ -132,13 +135,40 @@ def test_pipeline_stages_take_odd_rows(spark, tmp_path):
     assert left.count() == docs.count() - 1 and left.where("doc_id = 9").count() == 0
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, tmp_path):
+    sf = str(tmp_path)
+    rows = [(i, f"Good text number {i} with several words, and some more of them.\n\tIndented line {i}.", i, "a", 2.5, i) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __k long, `a``b.c` string, k double, `row` long")
+    spark.createDataFrame([(i, 1, 0) for i in range(6)], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([(1, "none of these words")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[1:-1]:
+        out = stage(spark, docs, sf)
+        assert out.columns == docs.columns, name
+        got = {tuple(r) for r in out.collect()}
+        assert got and got <= set(rows), name
+    assert corpus_pipeline.STAGES[0][1](spark, docs, sf).columns == docs.columns
+
+
+def test_cut_texts_keep_the_rest_byte_for_byte():
+    text = "  one two\n\tthree  four five\r\nsix \n"
+    cut = substring_dedup.without_spans
+    assert cut(text, None, True) == (text, 6, 0) and cut(None, None, True) == (None, 0, 0)
+    assert cut(text, [{"pos": 1, "stop": 3}], True) == ("  one four five\r\nsix \n", 6, 2)
+    assert cut(text, [{"pos": 0, "stop": 1}, {"pos": 4, "stop": 6}], True) == ("  two\n\tthree  four  \n", 6, 3)
+    assert cut(text, [{"pos": 1, "stop": 3}], False) == ("one four five six", 6, 2)
+    assert cut("é ü", [{"pos": 0, "stop": 1}], True) == ("ü", 2, 1)
+
+
 def test_registered_queries_run_over_whole_tables(spark):
     sf = "/root/testdata/sf0.001"
     n = {t: spark.read.parquet(f"{sf}/{t}.parquet").count() for t in ("documents", "pages")}
+    conversations = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id").distinct().count()
     for name, query in queries.QUERIES.items():
         rows = query(spark, sf)
-        if name.startswith("op2_"):
+        if name.startswith(("op2_", "op13_")):
             assert rows.count() > 0
+        elif name.startswith("op11_"):
+            assert rows.count() == conversations
         else:
             assert rows.count() == n["pages" if name.startswith("op10_") else "documents"], name
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
