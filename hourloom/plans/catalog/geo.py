@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hourloom.functions.columns import matches
-from hourloom.operators.geo import LookupLevel, lookup_cascade, point_in_polygon
+from hourloom.operators.geo import LookupLevel, lookup_cascade, point_in_polygon, point_in_shapes
 from hourloom.plans.registry import register
 from hourloom.sources.tables import read_table
 
@@ -120,3 +120,41 @@ def j14_point_in_polygon(spark, sf):
         "poly_id int, poly_name string, ring array<struct<x: double, y: double>>")
     out = point_in_polygon(pts, "c_acctbal", "c_nationkey", polys, "ring", cell=1000.0)
     return out.select("c_custkey", "c_acctbal", "c_nationkey", "poly_id", "poly_name")
+
+
+# J14 fixed soil map in the same plane: a field with two holes (one with an island in it), a soil of
+# two parts, a strip much longer than all others, and a small plot within the first hole.
+SOILS = [
+    (1, "sand", [[(0.0, 0.0), (6000.0, 0.0), (6000.0, 20.0), (0.0, 20.0)],
+                 [(1000.0, 4.0), (3000.0, 4.0), (3000.0, 12.0), (1000.0, 12.0)],
+                 [(1500.0, 6.0), (2500.0, 6.0), (2500.0, 10.0), (1500.0, 10.0)],
+                 [(4000.0, 2.5), (5000.0, 9.0), (4200.0, 17.0)]]),
+    (2, "clay", [[(-999.0, 0.0), (-1.0, 0.0), (-500.0, 24.0)], [(7000.0, 1.0), (9999.0, 12.0), (7000.0, 24.0)]]),
+    (3, "peat", [[(-1.0e7, 13.5), (1.0e7, 13.5), (1.0e7, 14.5), (-1.0e7, 14.5)]]),
+    (4, "loam", [[(1600.0, 7.0), (1700.0, 7.0), (1650.0, 9.0)]]),
+]
+
+
+def _soil_sql() -> str:
+    return ", ".join(f"({i}, '{name}', [{', '.join('[' + ', '.join(f'{{{chr(39)}x{chr(39)}: {x}, {chr(39)}y{chr(39)}: {y}}}' for x, y in ring) + ']' for ring in rings)}])"
+                     for i, name, rings in SOILS)
+
+
+@register("j14_soil_map", f"""
+WITH soil AS (SELECT * FROM (VALUES {_soil_sql()}) t(soil_id, soil, rings)),
+r AS (SELECT soil_id, soil, unnest(rings) AS ring FROM soil),
+ix AS (SELECT soil_id, soil, ring, unnest(range(1, len(ring) + 1)) AS i FROM r),
+e AS (SELECT soil_id, soil, ring[i] AS a, ring[(i % len(ring)) + 1] AS b FROM ix),
+p AS (SELECT c_custkey, c_acctbal AS px, CAST(c_nationkey AS DOUBLE) AS py FROM customer),
+cnt AS (SELECT c_custkey, soil_id, soil,
+          sum(CASE WHEN (a.y > py) <> (b.y > py) AND px < (b.x - a.x) * (py - a.y) / (b.y - a.y) + a.x THEN 1 ELSE 0 END) AS k
+        FROM p, e GROUP BY ALL)
+SELECT p.c_custkey, c.soil_id, c.soil FROM p LEFT JOIN (SELECT * FROM cnt WHERE k % 2 = 1) c ON p.c_custkey = c.c_custkey
+""")
+def j14_soil_map(spark, sf):
+    """Left join of customer points to soils with holes, islands and several parts, of very different sizes."""
+    pts = read_table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
+    soils = spark.createDataFrame(
+        [(i, name, [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for i, name, rings in SOILS],
+        "soil_id int, soil string, rings array<array<struct<x: double, y: double>>>")
+    return point_in_shapes(pts, "c_acctbal", "c_nationkey", soils, "rings").select("c_custkey", "soil_id", "soil")
