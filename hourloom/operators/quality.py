@@ -156,11 +156,88 @@ def join_funnel(base: DataFrame, base_name: str, steps: Sequence[FunnelStep]) ->
     """Q18: rows surviving each step of a join chain, % of the start, step loss and a traffic light
     (green < 1 %, orange < 5 %, red ≥ 5 % loss).
 
-    The chain is never joined row by row: before each step the rows are summed up to one per
+    The chain is never joined row by row. Where each step's keys come from one table (the base or one
+    dimension before), the chain is a tree: from its leaves upward every dimension is summed into the
+    number of rows that a key stands for after each later step, and the base, read once, multiplies
+    what its keys stand for; all steps' totals are one aggregate, and nothing is written between. A
+    step whose keys come from several tables takes :func:`_totals_by_step`. NULL keys match nothing."""
+    totals = _totals_by_counts(base, steps) if all(len(o) == 1 for o in _owners(steps)) else _totals_by_step(base, steps)
+    names = [base_name] + [st.name for st in steps]
+    long = totals.select(F.posexplode("totals").alias("step", "rows")).withColumn(
+        "step_name", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("step") + 1))
+    by_step = Window.orderBy("step")   # one report row per step: a single partition is fine
+    long = long.withColumn("start_rows", F.first("rows").over(by_step))
+    prev = F.lag("rows").over(by_step)
+    loss = F.coalesce((prev - F.col("rows")) * 100.0 / F.nullif(prev, F.lit(0)), F.lit(0.0))
+    return long.select(
+        F.col("step").cast("int"), "step_name", F.col("rows").cast("long"),
+        _pct(F.col("rows"), F.col("start_rows")).alias("pct_of_start"),
+        F.round(loss, 2).alias("step_loss_pct")).withColumn(
+        "light", F.when(F.col("step_loss_pct") < 1, "green")
+        .when(F.col("step_loss_pct") < 5, "orange").otherwise("red"))
+
+
+def _owners(steps: Sequence[FunnelStep]) -> list[set[int]]:
+    """For each step the tables its keys come from: the last step before that carries the name, else the base (-1)."""
+    return [{max((e for e in range(i) if k in steps[e].carry), default=-1) for k in _names(st.left_keys)}
+            for i, st in enumerate(steps)]
+
+
+def _totals_by_counts(base: DataFrame, steps: Sequence[FunnelStep]) -> DataFrame:
+    """One row with the array ``totals``: rows at the start and after each step, by counts along the tree."""
+    parent = [next(iter(o)) for o in _owners(steps)]
+    children = {d: [c for c, p in enumerate(parent) if p == d] for d in range(-1, len(steps))}
+
+    def below(d: int) -> list[int]:
+        return [e for c in children[d] for e in [c, *below(c)]]
+
+    def marks(d: int) -> list[int]:
+        """The steps from which on a key of ``d`` stands for another number of rows."""
+        found = {d, *below(d), *(e + 1 for e in below(d) if steps[e].how == "left")}
+        return sorted(i for i in found if i < len(steps))
+
+    def unmatched(c: int, i: int) -> int:
+        """What a row without a match in left step ``c`` stands for after step ``i``."""
+        if steps[c].how != "left" or i == c:
+            return 0
+        return int(all(unmatched(e, i) for e in children[c] if e <= i))
+
+    def stands_for(d: int, i: int) -> Column:
+        """Rows that a row of ``d`` stands for after step ``i``, from its children's counts beside it."""
+        out = F.lit(1).cast("long")
+        for c in children[d]:
+            if c <= i:
+                count = F.col(f"__m{c}_{max(m for m in marks(c) if m <= i)}")
+                out = out * F.coalesce(count, F.lit(unmatched(c, i)).cast("long"))
+        return out
+
+    def with_children(df: DataFrame, d: int) -> DataFrame:
+        for c in children[d]:
+            on = reduce(lambda x, y: x & y, [F.col(f"`{k}`") == F.col(f"__k{c}_{j}") for j, k in enumerate(_names(steps[c].left_keys))])
+            df = df.join(counts(c), on, "left")
+        return df
+
+    def wanted(d: int) -> list[str]:
+        return list(dict.fromkeys(k for c in children[d] for k in _names(steps[c].left_keys)))
+
+    def counts(d: int) -> DataFrame:
+        right = _names(steps[d].right_keys)
+        own = [F.col(f"`{k}`").alias(f"__k{d}_{j}") for j, k in enumerate(right)]
+        rows = steps[d].dim.na.drop(subset=right).select(*own, *wanted(d))
+        keys = [f"__k{d}_{j}" for j in range(len(right))]
+        return with_children(rows, d).groupBy(*keys).agg(*[
+            F.sum(stands_for(d, i)).cast("long").alias(f"__m{d}_{i}") for i in marks(d)])
+
+    rows = with_children(base.select(*wanted(-1)), -1)
+    after = [F.coalesce(F.sum(stands_for(-1, i)), F.lit(0)).cast("long") for i in range(len(steps))]
+    return rows.agg(F.array(F.count(F.lit(1)), *after).alias("totals"))
+
+
+def _totals_by_step(base: DataFrame, steps: Sequence[FunnelStep]) -> DataFrame:
+    """One row with the array ``totals``, for any chain: before each step the rows are summed up to one per
     combination of the keys that later steps need, with the number of rows it stands for; a
     dimension likewise to one row per key and carried columns. A step multiplies the two numbers,
-    so a key with several rows fans out into each of its carried values, in the middle of the
-    chain as at its end. NULL keys match nothing."""
+    so a key with several rows fans out into each of its carried values."""
     from hourloom.session import materialize
 
     def needed(after: int) -> list[str]:
@@ -191,20 +268,8 @@ def join_funnel(base: DataFrame, base_name: str, steps: Sequence[FunnelStep]) ->
                                               F.coalesce(F.sum("__hit"), F.lit(0)).cast("long").alias("__hit")))
         totals.append(df.agg(F.coalesce(F.sum("__hit"), F.lit(0)).cast("long").alias("s")))
         df = df.drop("__hit")
-    names = [base_name] + [st.name for st in steps]
-    long = union_all_by_name(*[t.select(F.lit(i).alias("step"), F.lit(n).alias("step_name"),
-                                        F.col("s").alias("rows"))
-                               for i, (t, n) in enumerate(zip(totals, names))])
-    by_step = Window.orderBy("step")   # one report row per step: a single partition is fine
-    long = long.withColumn("start_rows", F.first("rows").over(by_step))
-    prev = F.lag("rows").over(by_step)
-    loss = F.coalesce((prev - F.col("rows")) * 100.0 / F.nullif(prev, F.lit(0)), F.lit(0.0))
-    return long.select(
-        F.col("step").cast("int"), "step_name", F.col("rows").cast("long"),
-        _pct(F.col("rows"), F.col("start_rows")).alias("pct_of_start"),
-        F.round(loss, 2).alias("step_loss_pct")).withColumn(
-        "light", F.when(F.col("step_loss_pct") < 1, "green")
-        .when(F.col("step_loss_pct") < 5, "orange").otherwise("red"))
+    by_step = union_all_by_name(*[t.select(F.lit(i).alias("i"), "s") for i, t in enumerate(totals)])
+    return by_step.agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda t: t["s"]).alias("totals"))
 
 
 def feature_availability(df: DataFrame, table: str, cols: Sequence[str], good: float = 95.0,

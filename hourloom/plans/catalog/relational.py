@@ -59,6 +59,28 @@ def a2_u1_u2_multi_source_union(spark, sf):
     return out.select("con", "o_orderkey", "o_custkey", "o_totalprice")
 
 
+@register("a2_source_fails_midway", """
+SELECT o_orderstatus AS con, o_orderstatus <> 'P' AS read,
+       CASE WHEN o_orderstatus <> 'P' THEN CAST(count(*) AS BIGINT) ELSE 0 END AS rows,
+       CASE WHEN o_orderstatus <> 'P' THEN round(sum(o_totalprice), 2) END AS total
+FROM orders GROUP BY o_orderstatus
+""")
+def a2_source_fails_midway(spark, sf):
+    """A2: three databases of which one breaks off while it is read: a report, and the sums of the whole ones."""
+    o = T.read_table(spark, sf, "orders")
+
+    def src(status):
+        return lambda: o.where(F.col("o_orderstatus") == status).select("o_orderkey", "o_totalprice")
+
+    def breaking():
+        lost = F.when(F.col("o_orderkey") % 100 == 0, F.raise_error(F.lit("connection lost"))).otherwise(F.col("o_totalprice"))
+        return o.where("o_orderstatus = 'P' OR o_orderkey % 100 = 0").select("o_orderkey", lost.cast("double").alias("o_totalprice"))
+
+    union, report = T.stage_sources(spark, {"F": src("F"), "O": src("O"), "P": breaking}, dedupe=False)
+    sums = union.groupBy("con").agg(F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return report.join(sums, "con", "left").select("con", "read", "rows", "total")
+
+
 _TABLES_SQL = "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows FROM {t}"
     for t in T.TEST_TABLES)

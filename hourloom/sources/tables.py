@@ -9,6 +9,7 @@ relation.
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from pathlib import PurePath
@@ -64,6 +65,36 @@ def jdbc_reader(spark: SparkSession, url: str, schema: str, table: str,
     return _r
 
 
+def stage_sources(spark: SparkSession, readers: Mapping[str, Callable[[], DataFrame]], tenant_col: str = "con",
+                  dedupe: bool = True) -> tuple[DataFrame | None, DataFrame]:
+    """A2 with sources that fail while they are read: (union of the whole ones, report).
+
+    Each source is written on its own to the shared folder, with its tenant; only where Spark committed
+    the write it takes part in the union, so a source that breaks off in the middle leaves none of its rows. The report has a row a source: tenant, ``read``, rows, and the error's first
+    line. Sources are read one after another, each by a distributed job; the union then reads files."""
+    from hourloom.session import checkpoint_dir
+
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/sources-{uuid.uuid4().hex}"
+    parts, report = [], []
+    for i, (con, reader) in enumerate(readers.items()):
+        path = f"{folder}/{i}"
+        try:
+            df = reader()
+            df.write.parquet(path)
+            back = spark.read.schema(df.schema).parquet(path)
+            report.append((con, True, back.count(), None))
+            parts.append(back.withColumn(tenant_col, F.lit(con)))
+        except Exception as exc:  # noqa: BLE001 - a failing source is reported and left out, like the reference
+            line = (str(exc).strip().splitlines() or [type(exc).__name__])[0][:500]
+            log.warning("source %s skipped: %s", con, line)
+            report.append((con, False, 0, line))
+    table = spark.createDataFrame(report, f"`{tenant_col}` string, read boolean, rows long, error string")
+    if not parts:
+        return None, table
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return (out.dropDuplicates() if dedupe else out), table
+
+
 def union_sources(readers: Mapping[str, Callable[[], DataFrame]], tenant_col: str = "con",
                   dedupe: bool = True) -> DataFrame | None:
     """Read the same table from N databases, tag each with its tenant, skip sources that

@@ -117,3 +117,24 @@ def test_lookup_keeps_one_key_copy(spark):
 def test_jdbc_ranges_need_bounds(spark):
     with pytest.raises(ValueError):
         tables.jdbc_reader(spark, "jdbc:none", "s", "t", partition_column="id")
+
+
+def test_a_damaged_source_leaves_the_others(spark, tmp_path):
+    from hourloom.sources.tables import stage_sources
+    for name in "abc":
+        spark.range(100).repartition(4).write.parquet(str(tmp_path / name))
+    damaged = sorted((tmp_path / "b").glob("part-*.parquet"))[2]
+    damaged.write_bytes(damaged.read_bytes()[:-30] + b"x" * 30)
+
+    def refused():
+        raise OSError("connection refused\nmore")
+
+    schema = spark.read.parquet(str(tmp_path / "a")).schema
+    readers = {n: (lambda n=n: spark.read.schema(schema).parquet(str(tmp_path / n))) for n in "abc"} | {"d": refused}
+    union, report = stage_sources(spark, readers)
+    assert {(r.con, r.n) for r in union.groupBy("con").count().withColumnRenamed("count", "n").collect()} == {("a", 100), ("c", 100)}
+    told = {r.con: r for r in report.collect()}
+    assert [(told[n].read, told[n].rows) for n in "abcd"] == [(True, 100), (False, 0), (True, 100), (False, 0)]
+    assert told["d"].error == "connection refused" and told["b"].error and told["a"].error is None
+    nothing, report = stage_sources(spark, {"d": refused})
+    assert nothing is None and report.count() == 1
