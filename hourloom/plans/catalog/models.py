@@ -13,7 +13,8 @@ from hourloom.operators import boosting as B
 from hourloom.operators import encode as E
 from hourloom.operators import metrics as M
 from hourloom.operators import models as ML
-from hourloom.operators.relational import exact_quantiles, hash_sample
+from hourloom.operators.relational import hash_sample
+from hourloom.operators.search import Range, search
 from hourloom.plans.catalog.scoring import md5_bucket_sql
 from hourloom.plans.registry import register
 from hourloom.session import checkpoint_dir, materialize
@@ -251,8 +252,7 @@ def m5_root_histogram(spark, sf):
     f = charge_frame(spark, sf).where("is_train")
     bins = B.fit_bins(f, ["l_quantity", "l_discount", "l_tax"], bins=1000)
     rows = materialize(B.prepare(f, bins, "REAL_WORKED_TIME", "__k"))
-    (mid,) = exact_quantiles(rows, "y", [0.5])
-    (delta,) = exact_quantiles(rows.select(F.abs(F.col("y") - mid).alias("d")), "d", [0.9])
+    mid, delta = B.label_scale(rows, "y")
     start = B.Huber(delta).gradients(rows.withColumn("margin", F.lit(mid))).withColumn("node", F.lit(1))
     return B.histogram(start).select(F.get(F.array(*[F.lit(n) for n in bins.features]), "feature").alias("feature"), "bin", "n",
                                      F.round(F.col("g") / B.UNIT, 3).alias("g"))
@@ -319,3 +319,21 @@ def m15_gain_importances(spark, sf):
     """Share of the Huber trees' total gain by feature."""
     _, model = _huber_model(spark, sf)
     return model.importances().select("feature", F.round("importance", 6).alias("importance"))
+
+
+@register("m9_adaptive_search")
+def m9_adaptive_search(spark, sf):
+    """M9: learning rate, depth and leaf size of the Huber trees by adaptive search; half of each batch ends on
+    half of the trees. The trial table, one row a fit."""
+    f = materialize(charge_frame(spark, sf))
+    bins, scale = B.fit_bins(f.where("is_train"), _NUMERIC), B.label_scale(f.where("is_train"), "REAL_WORKED_TIME")
+
+    def loss(p, budget):
+        params = B.Params(trees=max(1, round(2 * budget)), learning_rate=p["learning_rate"], max_depth=p["max_depth"],
+                          min_child_samples=p["min_child_samples"])
+        model = B.fit_huber(f, bins, "REAL_WORKED_TIME", "__k", params, ~F.col("is_train"), scale=scale)
+        return M.regression_metrics(model.predict(f.where(~F.col("is_train"))), "REAL_WORKED_TIME", "prediction").first()["mae"]
+
+    space = {"learning_rate": Range(0.1, 1.0, log=True), "max_depth": Range(2, 4, step=1), "min_child_samples": Range(10, 100, step=10)}
+    found = search(spark, space, loss, trials=4, batch=2, start=2, rungs=(0.5, 1.0))
+    return found.select("trial", "params", "budget", F.round("loss", 2).alias("loss"), "reused")
