@@ -98,6 +98,10 @@ def order_key(v: Column) -> Column:
     return F.when(v < 0, -key).otherwise(key)
 
 
+#: Values of one group in one bin that are put in order instead of being counted on.
+ORDERED = 50_000
+
+
 def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float],
                           interpolate: bool = True) -> DataFrame:
     """Exact linear-interpolated quantiles (``percentile`` semantics, R10) of every group: ``keys``,
@@ -105,8 +109,8 @@ def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs:
 
     Radix selection on :func:`order_key`: a pass counts the values of every group by the next 16 bits of
     their key, keeps the bins that hold a wanted rank, and goes on with these alone; so four passes at
-    most settle any values, infinite ones included, and fewer where a bin holds one value only. A pass is
-    one scan (after the first, joined to the bins wanted, a few rows per group) and one aggregate with
+    most settle any values, infinite ones included, and fewer where a bin holds one value only, or few
+    enough to be put in order (``ORDERED``, a task's small window). A pass is one scan (after the first, joined to the bins wanted, a few rows per group) and one aggregate with
     partial sums: no group's values meet in one task. Values that are NULL or not a number are left
     out; so are groups without a value. Between a rank's neighbours the quantile is interpolated, so
     between a finite and an infinite value it is infinite or not a number."""
@@ -145,13 +149,18 @@ def group_quantile_values(x: DataFrame, keys: Sequence[str], value: str, probs:
             cut = cut.join(wide, part).withColumn("__acc", F.col("__acc") + F.col("__below"))
         here = F.filter("__r", lambda r: (r >= F.col("__acc")) & (r < F.col("__acc") + F.col("__c")))
         step = materialize(cut.withColumn("__r", here).where(F.size("__r") > 0).select(
-            *ks, "__n", F.col("__b").alias("__p"), F.col("__acc").alias("__below"), "__r", "__mn", "__mx"))
+            *ks, "__n", F.col("__b").alias("__p"), F.col("__acc").alias("__below"), "__r", "__c", "__mn", "__mx"))
         sizes = step.select(*ks, "__n").distinct() if sizes is None else sizes
-        met.append(step.where("__mn = __mx"))
-        wide = step.where("__mn < __mx").drop("__mn", "__mx")
+        met.append(step.where("__mn = __mx").select(*ks, F.explode("__r").alias("__rank"), "__mn"))
+        few = step.where((F.col("__mn") < F.col("__mx")) & (F.col("__c") <= ORDERED)).select(*ks, "__p", "__below", "__r")
+        held_few = x.withColumn("__p", F.shiftright("__key", shift)).join(few, [*ks, "__p"])
+        nth = F.row_number().over(Window.partitionBy(*ks, "__p").orderBy("__v")) - 1 + F.col("__below")
+        met.append(held_few.withColumn("__rank", nth).where(F.array_contains("__r", F.col("__rank").cast("long")))
+                   .select(*ks, F.col("__rank").cast("long").alias("__rank"), F.col("__v").alias("__mn")))
+        wide = step.where((F.col("__mn") < F.col("__mx")) & (F.col("__c") > ORDERED)).drop("__c", "__mn", "__mx")
         if shift and wide.isEmpty():
             break
-    found = reduce(lambda p, q: p.unionByName(q), met).select(*ks, F.explode("__r").alias("__rank"), "__mn")
+    found = reduce(lambda p, q: p.unionByName(q), met)
     values = found.groupBy(*ks).agg(F.map_from_entries(F.collect_list(F.struct("__rank", "__mn"))).alias("__m"))
 
     def between(p):

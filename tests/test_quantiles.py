@@ -34,7 +34,9 @@ def quantile(values, p):
     return low if low == high else low + (at - math.floor(at)) * (high - low)
 
 
-def test_groups_of_all_kinds(spark):
+@pytest.mark.parametrize("ordered", [50_000, 40, 0])
+def test_groups_of_all_kinds(spark, monkeypatch, ordered):
+    monkeypatch.setattr(R, "ORDERED", ordered)
     rng = random.Random(2)
     groups = {"odd": ODD, "inf": [math.inf] * 5 + [1.0], "both": [-math.inf, math.inf], "one": [3.5], "same": [2.0] * 100,
               "log": [math.exp(rng.gauss(0, 40)) for _ in range(3000)], "near": [1 + k * 2.0 ** -52 for k in range(300)],
@@ -51,7 +53,9 @@ def test_groups_of_all_kinds(spark):
             assert q == want or (q != q and want != want) or q == pytest.approx(want, rel=1e-15), (k, p)
 
 
-def test_passes_do_not_follow_the_values(spark, monkeypatch):
+@pytest.mark.parametrize("ordered", [50_000, 0])
+def test_passes_do_not_follow_the_values(spark, monkeypatch, ordered):
+    monkeypatch.setattr(R, "ORDERED", ordered)
     from hourloom import session
     written = []
     real = session.materialize
