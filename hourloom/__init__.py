@@ -9,7 +9,6 @@ Subpackages:
                   history windows, geo, text vectors, encoders, quality reports, metrics, models.
 * ``plans``     — compositions of the operators (system A/B preparation, merge, training) and the
                   registered query catalogue used by ``__spark_entry__``.
-* ``streaming`` — intentionally empty: the reference has no streaming surface.
 """
 
 from hourloom.session import checkpoint_dir, get_spark  # noqa: F401

@@ -285,12 +285,13 @@ def activity_coverage(df: DataFrame, employee: str, activity: str) -> DataFrame:
     and share of activities done by a single employee."""
     pairs = df.where(F.col(employee).isNotNull() & F.col(activity).isNotNull())\
         .select(employee, activity).distinct()
-    per_act = pairs.groupBy(activity).agg(F.count(F.lit(1)).alias("emps"))
+    from hourloom.session import materialize
+    per_act = materialize(pairs.groupBy(activity).agg(F.count(F.lit(1)).alias("emps")))
+    (median,) = exact_quantiles(per_act, "emps", [0.5])
     per_emp = pairs.groupBy(employee).agg(F.count(F.lit(1)).alias("acts"))
     a = per_act.agg(F.count(F.lit(1)).cast("long").alias("activities"),
                     F.avg("emps").alias("mean_employees_per_activity"),
-                    F.percentile(F.col("emps").cast("double"), 0.5)
-                    .alias("median_employees_per_activity"),
+                    F.lit(median).cast("double").alias("median_employees_per_activity"),
                     F.count_if(F.col("emps") == 1).cast("long").alias("single_employee_activities"))
     e = per_emp.agg(F.count(F.lit(1)).cast("long").alias("employees"),
                     F.avg("acts").alias("mean_activities_per_employee"))
