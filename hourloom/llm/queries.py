@@ -86,7 +86,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = quality_ranking.fit(docs, labels, remainder("doc_id", 3) != 1)
     return quality_ranking.classify(docs, model).select(
-        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+        "doc_id", F.coalesce(remainder("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 @register

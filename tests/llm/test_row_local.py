@@ -142,3 +142,12 @@ def test_pairs_follow_logistic_loss():
     scores = x @ np.array(model.weights) - model.threshold
     assert np.mean((scores >= 0) == (y == 1)) > 0.97
     assert model.weights[0] > 0 > model.weights[1]
+
+
+def test_held_out_is_never_null(spark, tmp_path):
+    from hourloom.llm.queries import QUERIES
+    docs = odd_documents(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1), (4, 0), (5, 1), (6, 0), (7, 1), (8, 0)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    rows = QUERIES["op8_quality_classifier"](spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count() and all(r.held_out in (True, False) for r in rows)
