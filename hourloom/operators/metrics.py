@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.columns import right_closed_bin
-from hourloom.operators.relational import bounded_broadcast, expand_candidates
+from hourloom.operators.relational import bounded_broadcast, top_candidates
 
 # Relevance label edges for the 0..1 suitability score (5 right-closed bins) and
 # duration bands (hours) of the error breakdown.
@@ -117,14 +117,11 @@ def hit_rate_candidates(sampled: DataFrame, people: DataFrame, tenant: str, task
     the task and person columns), the top-k (ties by person id) are kept, and a hit is the
     actual person being among them. Returns (tasks, hits, hit_rate).
 
-    ``sampled`` is the bounded request set (e.g. 500 tasks); it is broadcast, the person side
-    stays partitioned."""
+    Both sides may be large: pairs meet in cells of bounded size that keep their own top-k."""
     ppl = people
     n_ppl = ppl.groupBy(tenant).agg(F.count(F.lit(1)).alias("__np"))
     tasks = sampled.join(bounded_broadcast(n_ppl), tenant).where(F.col("__np") >= 2)
-    cand = expand_candidates(tasks, ppl, tenant).withColumn("__s", score)
-    w = Window.partitionBy(task_id).orderBy(F.col("__s").desc(), F.col(person))
-    top = cand.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
+    top = top_candidates(tasks, ppl, tenant, task_id, person, score, k)
     hits = top.where(F.col(person) == F.col(actual)).select(task_id).distinct()\
         .withColumn("__hit", F.lit(1))
     per = tasks.select(task_id).join(hits, task_id, "left")

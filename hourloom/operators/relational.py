@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourloom.functions.columns import matches
+from hourloom.session import materialize
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 128 << 20
+#: Tasks and people that a cell of the candidate grid is sized for.
+CELL_TASKS, CELL_PEOPLE = 1024, 1024
 
 
 # ── helpers ──────────────────────────────────────────────────────────────────
@@ -285,14 +288,53 @@ def missing_months(df: DataFrame, group: str, ts: str) -> DataFrame:
     return expected.join(present, [group, "month"], "left_anti")
 
 
+def candidate_cells(tasks: DataFrame, people: DataFrame, tenant: str, cell_tasks: int = CELL_TASKS,
+                    cell_people: int = CELL_PEOPLE) -> DataFrame:
+    """J15 in cells: each task x every person of its tenant, with the cell (``__row``, ``__col``) of the pair.
+
+    A tenant is a grid of ceil(tasks / ``cell_tasks``) rows and ceil(people / ``cell_people``) columns. A task
+    has one row, by its hash, and is copied to all columns; a person has one column and is copied to all
+    rows. They meet by an equi-join on (tenant, row, column), so each pair meets once, in a cell of about
+    ``cell_tasks`` x ``cell_people`` pairs however large the tenant is: no side needs a broadcast and no key is
+    hot. Rows that repeat another row share its cell. NULL tenants match nothing.
+    """
+    def ceil_div(n: str, size: int) -> Column:
+        return F.ceil(F.col(n) / F.lit(size)).cast("int")
+
+    sizes = tasks.groupBy(tenant).agg(F.count(F.lit(1)).alias("__nt")).join(
+        people.groupBy(tenant).agg(F.count(F.lit(1)).alias("__np")), tenant)
+    grid = bounded_broadcast(materialize(sizes.select(  # a row per tenant
+        tenant, ceil_div("__nt", cell_tasks).alias("__rows"), ceil_div("__np", cell_people).alias("__cols"))))
+
+    def dealt(df: DataFrame, own: str, own_n: str, copied: str, copied_n: str) -> DataFrame:
+        at = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col(own_n)).cast("int")
+        return df.join(grid, tenant).withColumn(own, at).withColumn(
+            copied, F.explode(F.sequence(F.lit(0), F.col(copied_n) - 1))).drop("__rows", "__cols")
+
+    return dealt(people, "__col", "__cols", "__row", "__rows").join(
+        dealt(tasks, "__row", "__rows", "__col", "__cols"), [tenant, "__row", "__col"])
+
+
 def expand_candidates(tasks: DataFrame, people: DataFrame, tenant: str) -> DataFrame:
-    """Each task × every distinct person of its tenant.
+    """Each task x every person of its tenant, through :func:`candidate_cells`. The output size is
+    tasks x people per tenant by definition; where only the best are wanted, take :func:`top_candidates`."""
+    return candidate_cells(tasks, people, tenant).drop("__row", "__col")
+
+
+def top_candidates(tasks: DataFrame, people: DataFrame, tenant: str, task_id: str, person: str, score: Column,
+                   k: int = 3, cell_tasks: int = CELL_TASKS, cell_people: int = CELL_PEOPLE) -> DataFrame:
+    """J15 + W11: per task its ``k`` best people of the tenant by ``score`` (a Column over the columns of both),
+    ties by person, with ``score`` and ``rank`` from 1; NULL scores come last.
 
-    ``tasks`` must be a bounded request set (a sample or a planning request); it is broadcast and
-    the person dimension stays partitioned, so a tenant holding most people does not land in one
-    task. The output size is |tasks| × people per tenant by definition of the operator.
+    Each cell keeps the ``k`` best per task before anything moves (its rows are already together), so at most
+    k rows per task and column are shuffled to be merged. ``task_id`` is unique.
     """
-    return people.join(bounded_broadcast(tasks), on=tenant, how="inner")
+    pairs = candidate_cells(tasks, people, tenant, cell_tasks, cell_people).withColumn("score", score)
+    best = [F.col("score").desc_nulls_last(), F.col(person)]
+    in_cell = Window.partitionBy(tenant, "__row", "__col", task_id).orderBy(*best)
+    few = pairs.withColumn("__in_cell", F.row_number().over(in_cell)).where(F.col("__in_cell") <= k)
+    merged = Window.partitionBy(task_id).orderBy(*best)
+    return few.drop("__row", "__col", "__in_cell").withColumn("rank", F.row_number().over(merged)).where(F.col("rank") <= k)
 
 
 def join_back(detail: DataFrame, agg: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -2,15 +2,16 @@
 
 Everything stays in long form ``(doc, term, weight)`` as DataFrame aggregations: tokenising is a
 JVM regex, n-grams are array expressions, document frequencies and the vocabulary are grouped
-aggregates plus a top-k, and the SVD only needs the vocabulary × vocabulary Gram matrix (bounded
-by ``max_features``), whose per-task partial sums are computed with numpy inside the tasks and
-added up by Spark.
+aggregates plus a top-k. The SVD is a randomised range finder over scans of the documents, with a tree
+of small QR factorisations; the driver holds a basis bounded by the vocabulary.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,13 @@ NULL_TEXT = "onbekend"
 N_COMPONENTS = 10
 VEC_PREFIX = "oms_vec_"
 
+#: Columns of a random block beyond the components asked for, and how often it is multiplied on.
+OVERSAMPLE, KRYLOV_STEPS = 10, 7
+#: Bytes of the largest basis, and values of one slice of products within a task.
+BASIS_BYTES, SLICE_VALUES = 512 << 20, 4 << 20
+#: Nodes of the upper level of the tree of QR factorisations.
+TREE_WIDTH = 64
+
 
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Tokenising and counting are CPU-heavy per document. When the scan yields fewer partitions
@@ -101,56 +109,137 @@ def tfidf(df: DataFrame, doc: str, text: str, min_df: int = MIN_DF,
     return out, voc
 
 
-def _gram_partials(dim: int):
+def _products(batch: pa.RecordBatch, basis: np.ndarray):
+    """(first row, columns, weights, offsets, X·basis) of slices of a batch (idx list, w list) whose
+    products take a few tens of megabytes."""
+    idx, w = batch.column(0), batch.column(1)
+    ends = np.cumsum(pc.list_value_length(idx).to_numpy(zero_copy_only=False).astype(np.int64))
+    most = max(1, SLICE_VALUES // basis.shape[1])
+    a = 0
+    while a < len(ends):
+        done = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, done + most, side="right")))
+        cols = idx.slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+        vals = w.slice(a, b - a).flatten().to_numpy(zero_copy_only=False)
+        begin = np.concatenate([[0], ends[a:b - 1] - done])
+        yield a, cols, vals, begin, np.add.reduceat(vals[:, None] * basis[cols], begin, axis=0)
+        a = b
+
+
+def _times_gram(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """XᵀX·basis: one scan of the documents; a task adds up its share for the terms it meets, Spark the
+    tasks' shares by term. What comes to the driver is as large as ``basis``."""
+    sent = rows.sparkSession.sparkContext.broadcast(basis)  # at most BASIS_BYTES
+    p = basis.shape[1]
+    names = [f"z{c}" for c in range(p)]
+
     def run(batches):
-        g = np.zeros((dim, dim))
-        for pdf in batches:
-            lens = pdf["idx"].map(len).to_numpy()
-            if lens.sum() == 0:
-                continue
-            rows = np.repeat(np.arange(len(pdf)), lens)
-            cols = np.concatenate(pdf["idx"].to_numpy()).astype(int)
-            vals = np.concatenate(pdf["w"].to_numpy()).astype(float)
-            x = np.zeros((len(pdf), dim))
-            x[rows, cols] = vals
-            g += x.T @ x
-        i, j = np.nonzero(np.triu(g))      # only pairs of terms that met in a document
-        yield pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "g": g[i, j]})
-    return run
-
-
-def svd_components(vectors: DataFrame, doc: str, dim: int, k: int = N_COMPONENTS
-                   ) -> tuple[DataFrame, np.ndarray]:
-    """Truncated SVD (uncentred, like the reference's) of the TF-IDF matrix to ``k``
-    components; returns per-document ``oms_vec_0..k-1`` and the singular values.
-
-    Gram matrix ``XᵀX`` (dim × dim, dim ≤ vocabulary size): every task sums the outer products of
-    its documents with numpy and emits one upper triangle; Spark adds the partials. The driver
-    eigen-decomposes the bounded matrix; component signs are fixed so the largest-magnitude
-    loading is positive. Scores ``X·V`` are a join of the long-form vectors with the broadcast
-    loadings and a grouped sum — no documents pass through the driver."""
+        q = sent.value
+        total = np.zeros_like(q)
+        for batch in batches:
+            for _, cols, vals, begin, y in _products(batch, q):
+                row = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(cols))))
+                met, place = np.unique(cols, return_inverse=True)
+                for c in range(p):
+                    total[met, c] += np.bincount(place, weights=vals * y[row, c], minlength=len(met))
+        met = np.flatnonzero(total.any(axis=1))
+        for a in range(0, len(met), 10_000):
+            part = met[a:a + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *[pa.array(total[part, c]) for c in range(p)]],
+                                             ["idx", *names])
+
+    shares = rows.select("idx", "w").mapInArrow(run, "idx int, " + ", ".join(f"{n} double" for n in names))
+    summed = shares.groupBy("idx").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    out = np.zeros_like(basis)
+    out[summed["idx"].to_numpy(np.int64)] = summed[names].to_numpy()
+    sent.unpersist()
+    return out
+
+
+def _triangle(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
+    """The triangular factor of X·basis by a tree of small QR factorisations: of the slices within a
+    task one after another, of the tasks in at most ``TREE_WIDTH`` groups, of the groups at the end."""
+    sent = rows.sparkSession.sparkContext.broadcast(basis)  # at most BASIS_BYTES
+    p = basis.shape[1]
+
+    def leaves(batches):
+        r = np.zeros((0, p))
+        for batch in batches:
+            for *_, y in _products(batch, sent.value):
+                r = np.linalg.qr(np.vstack([r, y]), mode="r")
+        if len(r):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([TaskContext.get().partitionId() % TREE_WIDTH], pa.int32()),
+                 pa.array([r.ravel()], pa.list_(pa.float64()))], ["node", "r"])
+
+    def inner(group: pa.Table) -> pa.Table:
+        r = np.zeros((0, p))
+        for x in group.column("r"):
+            r = np.linalg.qr(np.vstack([r, np.array(x.as_py()).reshape(-1, p)]), mode="r")
+        return pa.table({"node": group.column("node").slice(0, 1), "r": pa.array([r.ravel()], pa.list_(pa.float64()))})
+
+    schema = "node int, r array<double>"
+    tops = rows.select("idx", "w").mapInArrow(leaves, schema).groupBy("node").applyInArrow(inner, schema).collect()
+    sent.unpersist()
+    if not tops:
+        return np.zeros((0, p))
+    return np.linalg.qr(np.vstack([np.array(t["r"]).reshape(-1, p) for t in sorted(tops)]), mode="r")
+
+
+def svd_components(vectors: DataFrame, doc: str, dim: int, k: int = N_COMPONENTS, oversample: int = OVERSAMPLE,
+                   steps: int = KRYLOV_STEPS) -> tuple[DataFrame, np.ndarray]:
+    """Truncated SVD (uncentred, like the reference's) of the TF-IDF matrix X to ``k`` components;
+    returns per-document ``oms_vec_0..k-1`` and the singular values.
+
+    Randomised block Krylov range finder: a seeded random block of ``k + oversample`` columns is multiplied
+    by XᵀX up to ``steps`` times, each product (one scan, no shuffle of documents) made orthogonal to the
+    blocks before it. The triangular factor of X times that basis comes from a tree of small QR
+    factorisations; its SVD gives the singular values and the loadings. The driver holds the basis,
+    dim x (steps + 1) x (k + oversample) numbers and bounded by ``BASIS_BYTES`` (ValueError above), never a
+    Gram matrix of terms and nothing per document. When the basis spans all terms the result is exact.
+
+    Signs: the loading of largest magnitude of each component is positive. Components beyond the rank of X
+    are 0. Documents without a vector have no row; an empty table gives no rows.
+    """
     from hourloom.session import materialize
     spark = vectors.sparkSession
-    vectors = materialize(vectors)         # at most ``dim`` rows per document, read twice
-    per_doc = vectors.groupBy(doc).agg(F.collect_list("idx").alias("idx"),
-                                       F.collect_list("tfidf").alias("w"))
-    parts = per_doc.select("idx", "w").mapInPandas(_gram_partials(dim), "i int, j int, g double")
-    entries = parts.groupBy("i", "j").agg(F.sum("g").alias("g")).collect()
-    g = np.zeros((dim, dim))
-    for r in entries:
-        g[r["i"], r["j"]] = r["g"]
-        g[r["j"], r["i"]] = r["g"]
-    vals, vecs = np.linalg.eigh(g)
-    order = np.argsort(vals)[::-1][:k]
-    v = vecs[:, order]
-    sing = np.sqrt(np.clip(vals[order], 0.0, None))
-    for c in range(v.shape[1]):
+    names = [f"{VEC_PREFIX}{c}" for c in range(k)]
+    pairs = F.sort_array(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), F.col("tfidf").cast("double").alias("w"))))
+    rows = materialize(vectors.groupBy(F.col(doc).alias("doc")).agg(pairs.alias("x"))    # at most ``dim`` pairs a document
+                       .select("doc", F.col("x.idx").alias("idx"), F.col("x.w").alias("w")))
+    block = min(k + oversample, dim)
+    if dim * min(dim, (steps + 1) * block) * 8 > BASIS_BYTES:
+        raise ValueError(f"a basis of {dim} terms takes more than {BASIS_BYTES} bytes: fewer terms or steps")
+    basis = np.linalg.qr(np.random.default_rng(0).standard_normal((dim, block)))[0]
+    last = basis
+    for _ in range(steps):
+        if basis.shape[1] >= dim or not last.shape[1]:
+            break
+        z = _times_gram(rows, last)
+        size = np.linalg.norm(z)
+        for _ in range(2):                       # twice is enough for orthogonality to rounding
+            z -= basis @ (basis.T @ z)
+        u, s, _ = np.linalg.svd(z, full_matrices=False)
+        last = u[:, s > 1e-10 * max(size, 1e-300)][:, :dim - basis.shape[1]]
+        last = np.linalg.qr(last - basis @ (basis.T @ last))[0]
+        basis = np.hstack([basis, last])
+    r = _triangle(rows, basis)
+    _, s, wt = np.linalg.svd(r, full_matrices=False) if r.size else (None, np.zeros(0), np.zeros((0, basis.shape[1])))
+    kept = int(np.sum(s[:k] > 1e-12 * s[0])) if len(s) else 0
+    v, sing = np.zeros((dim, k)), np.zeros(k)
+    v[:, :kept], sing[:kept] = basis @ wt[:kept].T, s[:kept]
+    for c in range(kept):
         if v[np.argmax(np.abs(v[:, c])), c] < 0:
             v[:, c] = -v[:, c]
-    load = spark.createDataFrame(
-        [(int(i), int(c), float(v[i, c])) for i in range(dim) for c in range(v.shape[1])],
-        "idx int, comp int, v double")
-    s = vectors.join(F.broadcast(load), "idx").groupBy(doc).agg(*[
-        F.sum(F.when(F.col("comp") == c, F.col("tfidf") * F.col("v")).otherwise(0.0))
-        .alias(f"{VEC_PREFIX}{c}") for c in range(v.shape[1])])
-    return s, sing
+    loadings = spark.sparkContext.broadcast(v)
+
+    def score(batches):
+        for batch in batches:
+            part = pa.RecordBatch.from_arrays([batch.column(1), batch.column(2)], ["idx", "w"])
+            for a, _, _, begin, y in _products(part, loadings.value):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, len(begin)), *[pa.array(y[:, c]) for c in range(k)]],
+                                                 [batch.schema.names[0], *names])
+
+    kind = rows.schema["doc"].dataType.simpleString()
+    scored = rows.mapInArrow(score, f"doc {kind}, " + ", ".join(f"{n} double" for n in names))
+    return scored.withColumnRenamed("doc", doc), sing

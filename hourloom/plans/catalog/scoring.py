@@ -9,7 +9,7 @@ from hourloom.functions.features import with_cyclic_calendar, with_quantity_buck
 from hourloom.operators import encode as E
 from hourloom.operators import metrics as M
 from hourloom.operators import score as S
-from hourloom.operators.relational import hash_sample, union_all_by_name
+from hourloom.operators.relational import hash_sample, top_candidates, union_all_by_name
 from hourloom.plans.catalog.history import HISTORY_SQL, history_block
 from hourloom.plans.registry import register
 from hourloom.plans.standins import REG_SQL, registrations
@@ -459,6 +459,25 @@ def m12_j15_hit_rate(spark, sf):
     return h.select("tasks", "hits", F.round("hit_rate", 6).alias("hit_rate"))
 
 
+@register("j15_top_candidates", f"""
+WITH r AS ({REG_SQL}),
+ppl AS (SELECT con, employee, round(avg(hours), 2) AS emp_mean FROM r GROUP BY con, employee)
+SELECT reg_id, con, employee, score, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT r.reg_id, r.con, p.employee, round(-abs(p.emp_mean - r.hours), 2) AS score,
+         row_number() OVER (PARTITION BY r.reg_id ORDER BY round(-abs(p.emp_mean - r.hours), 2) DESC, p.employee) AS rank
+  FROM r JOIN ppl p ON r.con = p.con WHERE r.reg_id % 50 = 0) WHERE rank <= 3
+""")
+def j15_top_candidates(spark, sf):
+    """J15 with W11: for the requests, the registrations whose id is divisible by 50, the three of all employees
+    of the tenant whose mean is closest."""
+    r = registrations(spark, sf)
+    people = r.groupBy("con", "employee").agg(F.round(F.avg("hours"), 2).alias("emp_mean"))
+    requests = r.where("reg_id % 50 = 0").select("con", "reg_id", "hours")
+    best = top_candidates(requests, people, "con", "reg_id", "employee",
+                          F.round(-F.abs(F.col("emp_mean") - F.col("hours")), 2), k=3)
+    return best.select("reg_id", "con", "employee", "score", "rank")
+
+
 @register("m12b_hit_rate_in_group", f"""
 WITH r AS ({REG_SQL}),
 s AS ({_SAMPLE_SQL}),

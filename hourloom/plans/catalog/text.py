@@ -57,3 +57,28 @@ def x4_svd_components(spark, sf):
     out = docs.select("doc_id").join(s, "doc_id", "left")
     return out.select("doc_id", *[F.round(F.coalesce(F.col(f"{X.VEC_PREFIX}{c}"), F.lit(0.0)), 6)
                                   .alias(f"{X.VEC_PREFIX}{c}") for c in range(X.N_COMPONENTS)])
+
+
+@register("x4_svd_two_terms", _TERMS_SQL.replace("LIMIT 500", "LIMIT 2") + """,
+m AS (SELECT d.doc_id, coalesce(sum(CASE WHEN w.idx = 0 THEN w.w / n.norm END), 0) AS x,
+        coalesce(sum(CASE WHEN w.idx = 1 THEN w.w / n.norm END), 0) AS y
+      FROM d LEFT JOIN w ON w.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id),
+gm AS (SELECT sum(x * x) AS a, sum(x * y) AS b, sum(y * y) AS c FROM m),
+e AS (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l1,
+        (a + c) / 2 - sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l2 FROM gm),
+v AS (SELECT *, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS p, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS q FROM e)
+SELECT m.doc_id, round(m.x * v.p + m.y * v.q, 6) + 0.0 AS oms_vec_0,
+       round(CASE WHEN v.q >= v.p THEN m.x * v.q - m.y * v.p ELSE m.y * v.p - m.x * v.q END, 6) + 0.0 AS oms_vec_1,
+       round(sqrt(v.l1), 6) AS singular_0, round(sqrt(v.l2), 6) AS singular_1
+FROM m, v
+""")
+def x4_svd_two_terms(spark, sf):
+    """X4 on the two most frequent terms, where SQL can solve the eigenvalue problem: components of every
+    document and the singular values."""
+    docs = read_table(spark, sf, "documents")
+    v, voc = X.tfidf(docs, "doc_id", "text", max_features=2)
+    s, sing = X.svd_components(v, "doc_id", voc.count(), k=2)
+    out = docs.select("doc_id").join(s, "doc_id", "left")
+    return out.select("doc_id", *[(F.round(F.coalesce(F.col(f"{X.VEC_PREFIX}{c}"), F.lit(0.0)), 6) + F.lit(0.0))
+                                  .alias(f"{X.VEC_PREFIX}{c}") for c in range(2)],
+                      *[F.round(F.lit(float(sing[c])), 6).alias(f"singular_{c}") for c in range(2)])

@@ -126,3 +126,46 @@ def test_svd_matches_numpy(spark):
     for c in range(3):   # compare up to sign
         col = np.array([got[i][c] if i in got else 0.0 for i in range(30)])
         assert min(np.abs(col - exp[:, c]).max(), np.abs(col + exp[:, c]).max()) < 1e-9
+
+
+def _long_form(spark, dense):
+    rows = [(i, int(j), float(dense[i, j])) for i in range(len(dense)) for j in np.flatnonzero(dense[i])]
+    return spark.createDataFrame(rows, "doc long, idx int, tfidf double")
+
+
+def test_svd_of_a_thousand_documents_matches_numpy(spark):
+    rnd = np.random.default_rng(5)
+    dense = (rnd.random((1000, 12)) * 2.0 ** -np.arange(12)) @ (rnd.random((12, 300)) - 0.3)
+    dense = (dense + 0.02 * rnd.standard_normal(dense.shape)) * (rnd.random(dense.shape) < 0.3)
+    s, sing = X.svd_components(_long_form(spark, dense), "doc", 300)
+    _, sv, vt = np.linalg.svd(dense, full_matrices=False)
+    assert np.allclose(sing, sv[:10], rtol=1e-6)
+    got = {r.doc: [r[f"oms_vec_{c}"] for c in range(10)] for r in s.collect()}
+    got = np.array([got[i] for i in range(1000)])
+    for c in range(10):
+        v = vt[c] * np.sign(vt[c][np.argmax(np.abs(vt[c]))])
+        assert np.abs(got[:, c] - dense @ v).max() < 1e-3 * sv[c]
+    again, _ = X.svd_components(_long_form(spark, dense).repartition(3), "doc", 300)
+    again = {r.doc: [r[f"oms_vec_{c}"] for c in range(10)] for r in again.collect()}
+    assert np.allclose(np.array([again[i] for i in range(1000)]), got, atol=1e-9)
+
+
+def test_svd_of_a_large_vocabulary_and_of_low_rank(spark):
+    rnd = np.random.default_rng(6)
+    rows = [(d, int(t), 1.0) for d in range(200) for t in {*rnd.integers(0, 100_000, 5).tolist(), d % 3}]
+    s, sing = X.svd_components(spark.createDataFrame(rows, "doc long, idx int, tfidf double"), "doc", 100_000, k=3, steps=4)
+    dense = np.zeros((200, 100_000))
+    for d, t, w in rows:
+        dense[d, t] = w
+    assert np.allclose(sing, np.sqrt(np.linalg.eigvalsh(dense @ dense.T)[::-1][:3]), rtol=1e-6)
+    s, sing = X.svd_components(spark.createDataFrame([(1, 0, 3.0), (2, 0, 4.0)], "doc long, idx int, tfidf double"), "doc", 2, k=2)
+    assert np.allclose(sing, [5, 0]) and sorted((r.doc, round(r.oms_vec_0, 9), r.oms_vec_1) for r in s.collect()) == [(1, 3, 0), (2, 4, 0)]
+
+
+def test_svd_of_nothing_and_beyond_the_bound(spark):
+    none = spark.createDataFrame([], "doc long, idx int, tfidf double")
+    for dim in (0, 4):
+        s, sing = X.svd_components(none, "doc", dim, k=2)
+        assert s.collect() == [] and s.columns == ["doc", "oms_vec_0", "oms_vec_1"] and not sing.any()
+    with pytest.raises(ValueError):
+        X.svd_components(none, "doc", 10 ** 8)
