@@ -212,6 +212,57 @@ def test_overlaps_are_whole_and_all_reported(spark):
                    (4, 4, 2, 21, 18, 20), (5, 5, 5, 16, 12, 40)]
 
 
+def test_overlaps_equal_a_search_of_all_alignments(spark):
+    """Every alignment of every document and item is compared; those that share a hash under some mask count."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(6)]
+    items = [" ".join(rng.choice(words) for _ in range(rng.choice([3, 6, 12, 16, 25]))) for _ in range(12)] + [" ".join(["w1"] * 14)]
+    texts = []
+    for n in range(25):
+        w = [rng.choice(words) for _ in range(rng.randrange(60))]
+        for item in rng.sample(items, 2):
+            some = item.split()
+            for _ in range(rng.randrange(4)):
+                some[rng.randrange(len(some))] = "other"
+            at = rng.randrange(len(w) + 1)
+            w[at:at] = some
+        texts.append(" ".join(w))
+    texts.append(" ".join(["w1"] * 90))
+    want = Counter()
+    for d, t in enumerate(texts):
+        w = t.split()
+        for i, item in enumerate(items):
+            v = item.split()
+            masks = [*decontamination.MASKS, *(decontamination.own_masks(len(v)) if len(v) < 11 else ())]
+            for diagonal in range(1 - len(v), len(w)):
+                same = np.array([0 <= diagonal + j < len(w) and w[diagonal + j] == v[j] for j in range(len(v))])
+                seen = any(0 <= diagonal + a and diagonal + a + len(m) <= len(w)
+                           and all(same[a + x] or m[x] == "0" for x in range(len(m)))
+                           for m in masks for a in range(len(v) - len(m) + 1))
+                whole = [(a, b) for a in range(len(v)) for b in range(a + 1, len(v) + 1) if same[a] and same[b - 1]
+                         and same[a:b].sum() >= 4 * (b - a - same[a:b].sum())]
+                for a, b in whole if seen else ():
+                    n = int(same[a:b].sum())
+                    if not any((x, y) != (a, b) and x <= a and b <= y for x, y in whole) and (b - a >= 10 or 5 * n >= 4 * len(v)):
+                        want[d, i, diagonal + a, diagonal + b - 1, n, len(v)] += 1
+    got = Counter()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = decontamination.overlaps(docs, spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()
+    for r in rows:
+        for j in range(r.n_places):
+            got[r.doc_id, r.item_id, r.first_word + j, r.last_word + j, r.n_matched, r.item_words] += 1
+    assert got == want and len(rows) < sum(want.values())
+
+
+def test_one_word_repeated_gives_classes_of_overlaps(spark):
+    docs = spark.createDataFrame([(1, "same " * 200_000)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(7, "same " * 40)], "item_id long, text string")
+    rows = decontamination.overlaps(docs, benchmark).collect()
+    assert len(rows) < 100 and sum(r.n_places for r in rows) > 199_961
+    assert [(r.first_word, r.last_word, r.n_places) for r in rows if r.n_matched == 40] == [(0, 39, 199_961)]
+    assert [r.doc_id for r in decontamination.contaminated(docs, benchmark).collect()] == [1]
+
+
 def test_masks_ignore_what_short_items_may_change(spark):
     def fits(mask, n, places):
         return any(all(mask[j] == "0" or a + j not in places for j in range(len(mask))) for a in range(n - len(mask) + 1))
