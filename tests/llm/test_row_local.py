@@ -1,13 +1,16 @@
 """Token counts, the BPE codec, quality rules and the ranking classifier."""
 
 import hashlib
+import math
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -74,7 +77,7 @@ def test_joins_stabilise_on_single_long_matches():
     lambda d: token_counts.token_counts(d, JSON),
     lambda d: bpe_codec.decode_documents(bpe_codec.encode_documents(d, RANKS, P.PATTERN), RANKS, P.PATTERN),
     lambda d: quality_rules.apply_rules(d),
-    lambda d: quality_ranking.classify(d, quality_ranking.Ranking(tuple([0.1] * 12), 0.0)),
+    lambda d: quality_ranking.classify(d, quality_ranking.Ranking(tuple([0.1] * quality_ranking.SIZE), 0.0)),
 ])
 def test_empty_tables_give_no_rows(spark, run):
     assert run(no_documents(spark)).collect() == []
@@ -126,6 +129,51 @@ def test_ranking_holds_out_and_separates(spark):
     assert again == model  # the held-out labels play no part
 
 
+def test_ranking_scores_equal_plain_python(spark):
+    """Features and scores recomputed word by word; the buckets of the words are Spark's own hash."""
+    docs = odd_documents(spark, ["Hello WORLD hello\nhello", "a | b # 12 12\n\na | b # 12 12", "été OK! ok! ok ok", "x" * 5000])
+    rng = np.random.default_rng(3)
+    model = quality_ranking.Ranking(tuple(rng.normal(size=quality_ranking.SIZE).tolist()), 0.3)
+    texts = [(r.doc_id, r.text or "") for r in docs.collect()]
+    split = [[w for w in re.split(r"[\x20\x09-\x0D]+", t) if w] for _, t in texts]
+    every = spark.createDataFrame([(w,) for w in sorted({w for ws in split for w in ws})], "w string")
+    place = {r.w: r.b for r in every.select("w", quality_ranking.bucket(F.col("w")).alias("b")).collect()}
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
+    for a in place:
+        for b in place:
+            if a.translate(low) == b.translate(low):
+                assert place[a] == place[b]
+            if a.translate(low)[-3:] == b.translate(low)[-3:]:
+                assert place[a][1] == place[b][1]
+    want = []
+    for (doc, t), w in zip(texts, split):
+        lines = [x for x in t.split("\n") if x]
+        n, chars, m = max(len(w), 1), max(len(t), 1), max(len(lines), 1)
+        caps = [c for c in t if unicodedata.category(c) == "Lu"]
+        f = [min(sum(t.count(c) for c in "#*$%&<>") / n, 2), min(t.count("|") / n, 1), min(t.count("!") / n, 2),
+             sum("0" <= c <= "9" for c in t) / chars, len(caps) / chars,
+             len(regex.findall(r"(?a:\b)\p{Lu}{2,}(?a:\b)", t)) / n, len(set(w)) / n, 1 - len(set(lines)) / m,
+             min(chars / n, 30) / 10, math.log1p(n) / 10, min(n / m, 200) / 100,
+             len(regex.findall(r"(?<![^\s])(\S+)\s(?=\1(?:\s|$))", t)) / n]
+        z = sum(a * b for a, b in zip(f, model.weights))
+        z += sum(model.weights[len(f) + b] for x in w for b in place[x]) / n - model.threshold
+        want.append((doc, round(1 / (1 + math.exp(-min(max(z, -30), 30))), 9)))
+    got = [(r.doc_id, round(r.score, 9)) for r in quality_ranking.classify(docs, model).collect()]
+    assert Counter(got) == Counter(want)
+
+
+def test_ranking_learns_from_the_words(spark):
+    """Texts of the same shape: only what they say tells them apart."""
+    rng = np.random.default_rng(4)
+    fine, poor = [f"fine{c}x" for c in "abcdefgh"], [f"poor{c}y" for c in "abcdefgh"]
+    rows = [(i, " ".join(rng.choice(fine if i % 2 else poor, 12)), i % 2) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    model = quality_ranking.fit(docs, labels, F.col("doc_id") < 200)
+    got = {r.doc_id: r.predicted for r in quality_ranking.classify(docs, model).collect()}
+    assert np.mean([got[i] == y for i, _, y in rows if i >= 200]) > 0.95
+
+
 def test_ranking_without_pairs_calls_everything_good(spark):
     labels = spark.createDataFrame([(5, 1), (9, 1), (None, 0), (4, None)], "doc_id long, quality int")
     docs = odd_documents(spark)
