@@ -10,14 +10,15 @@ rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import SPACE_CLASS, pinned, staged, text_of
+from hourloom.llm.common import SPACE_CLASS, pinned, text_of
 
 #: Labelled rows that the fit reads at most (documented bound of the sample).
 FIT_ROWS = 12_000
@@ -110,9 +111,9 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, partners: int = PARTNERS, ridge: flo
     rare, other = (bad, good) if len(bad) <= len(good) else (good, bad)
     mine, theirs = np.repeat(rare, partners), other[rng.integers(0, len(other), len(rare) * partners)]
     first, second = (theirs, mine) if rare is bad else (mine, theirs)
-    scale = x.std(axis=0)
+    scale = x.std(axis=0, dtype=float)
     scale = np.where(scale > 1e-12, scale, np.inf)  # a constant column has no weight
-    x = x / scale
+    x = x / scale  # as double
 
     def back(pairs: np.ndarray) -> np.ndarray:
         """Sum over pairs of the difference of their rows, times what is given for the pair."""
@@ -144,6 +145,17 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, partners: int = PARTNERS, ridge: flo
     return Ranking(tuple(float(v) for v in w / scale), float((order[k - 1] + order[k]) / 2 if k < len(order) else order[-1]))
 
 
+def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, y, f, v): v has the share of each bucket among a row's words, x being the words' buckets."""
+    for batch in batches:
+        held = []
+        for x in batch.column(3):
+            at = x.values.to_numpy(zero_copy_only=False)
+            n = np.bincount(at, minlength=WORD_BUCKETS + END_BUCKETS) / max(len(at) / 2, 1)
+            held.append(n.astype(np.float32).tobytes())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(held, pa.binary())], ["id", "y", "f", "v"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "quality", rows: int = FIT_ROWS,
         id_col: str = "doc_id", text_col: str = "text") -> Ranking:
     """Learn from the labelled rows for which ``training`` (over ``id_col``) holds.
@@ -160,19 +172,17 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "
     chosen = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("t")).join(
         F.broadcast(picked), id_col)
     measured = features(chosen, id_col, "t", lambda w: F.flatten(F.transform(w, bucket))).join(F.broadcast(picked), id_col)
-    key = F.xxhash64(id_col, "f", "x").alias("key")
-    sample = staged(measured.select(id_col, "y", "f", "x", key).orderBy(F.xxhash64(id_col), id_col, "key").limit(rows), "sample")
-    # at most `rows` rows of FEATURES, and as many times SIZE counts: the bound of the sample
-    head = sorted(sample.select(id_col, "key", "y", "f", (F.size("x") / 2).alias("n")).distinct().collect(), key=lambda r: (r[0], r["key"]))
-    counts = sample.dropDuplicates([id_col, "key"]).select("key", F.explode("x").alias("x")).groupBy("key", "x").count().toPandas()
-    x = np.zeros((len(head), SIZE))
-    if head:
-        x[:, :len(FEATURES)] = [r["f"] for r in head]
-        keys = np.array([r["key"] for r in head], np.int64)
-        order = np.argsort(keys, kind="stable")
-        row = order[np.searchsorted(keys[order], counts["key"].to_numpy(np.int64))]
-        x[row, len(FEATURES) + counts["x"].to_numpy(np.int64)] = counts["count"].to_numpy() / np.array([r["n"] for r in head])[row]
-    return fit_pairs(x, np.array([r["y"] for r in head], int), ridge=RIDGES)
+    rows_of = measured.select(id_col, "y", "f", "x").mapInArrow(shares, "id long, y int, f array<double>, v binary")
+    # at most `rows` rows of SIZE shares, 30 MB: the bound of the sample
+    sample = rows_of.orderBy(F.xxhash64("id"), "id", F.xxhash64("f", "v")).limit(rows).collect()
+    seen = {(r["id"], tuple(r["f"]), bytes(r["v"])): r["y"] for r in sample}
+    del sample
+    x = np.zeros((len(seen), SIZE), np.float32)
+    for row, (_, f, v) in zip(x, seen):
+        row[:len(FEATURES)], row[len(FEATURES):] = f, np.frombuffer(v, np.float32)
+    y = np.array(list(seen.values()), int)
+    seen.clear()
+    return fit_pairs(x, y, ridge=RIDGES)
 
 
 def classify(docs: DataFrame, model: Ranking, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
