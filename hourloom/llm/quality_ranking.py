@@ -1,16 +1,16 @@
 """Quality classifier: Bradley-Terry pairwise ranking with a score-quantile threshold.
 
 Texts are measured by native expressions: ratios of the whole text, and the shares of its words that fall
-into hashed buckets, by the lower-cased word and by its last three characters. Weights come from preference
+into hashed buckets, by the lower-cased word and by its last three bytes. Weights come from preference
 pairs (a document labelled good before one labelled bad) by logistic loss on feature differences; the
 threshold is the score quantile that splits the training rows as their labels do. Only the fit, over a
-bounded sample of labelled rows, runs in numpy; measuring and scoring are one native projection over all
-rows.
+bounded sample of labelled rows, sees the driver; ratios are native expressions, the words' weights are
+looked up in Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourloom.llm.common import SPACE_CLASS, pinned, text_of
+from hourloom.llm.common import SPACE_CLASS, lower_ascii, pinned, portions, text_of, utf8_buffer, word_hashes, word_spans
 
 #: Labelled rows that the fit reads at most (documented bound of the sample).
 FIT_ROWS = 12_000
@@ -35,18 +35,23 @@ SIZE = len(FEATURES) + WORD_BUCKETS + END_BUCKETS
 RIDGES = np.array([1e-3] * len(FEATURES) + [0.1] * (WORD_BUCKETS + END_BUCKETS))
 
 
-def bucket(word: Column) -> Column:
-    """The bucket of a word, and behind the words' that of its last three characters, as an array of two.
+_FOLD = lower_ascii(np.arange(256, dtype=np.uint8))
+_FOLD[0x31:0x3A] = 0x30
 
-    Lower-casing is of A-Z, digits all count as 0."""
-    w = F.translate(word, "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000")
-    return F.array(F.pmod(F.xxhash64(w), F.lit(WORD_BUCKETS)).cast("int"),
-                   F.pmod(F.xxhash64(F.substring(w, -3, 3)), F.lit(END_BUCKETS)).cast("int") + WORD_BUCKETS)
 
+def buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the number of its first word (one entry more than rows); for each word its bucket and that
+    of its last three bytes, behind the words'. A-Z is lower-cased, digits all count as 0."""
+    raw, offsets = utf8_buffer(texts)
+    raw = _FOLD[raw]
+    starts, ends, first = word_spans(raw, offsets)
+    whole = word_hashes(raw, starts, ends) % np.uint64(WORD_BUCKETS)
+    end = word_hashes(raw, np.maximum(starts, ends - 3), ends) % np.uint64(END_BUCKETS)
+    return first, whole.astype(np.int64), end.astype(np.int64) + WORD_BUCKETS
 
-def features(docs: DataFrame, id_col: str, text_col: str, words: Callable[[Column], Column]) -> DataFrame:
-    """``id_col``, the array ``f`` of FEATURES (ratios of the whole text, zeros for an empty one) and ``x``, what
-    ``words`` makes of the array of words."""
+
+def features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id_col``, the text ``t`` and the array ``f`` of FEATURES: ratios of the whole text, zeros for an empty one."""
     base = docs.select(F.col(id_col), text_of(text_col).alias("t")).select(
         id_col, "t", F.array_remove(F.split("t", SPACE_CLASS + "+"), "").alias("w"),
         F.filter(F.split("t", "\n"), lambda x: x != "").alias("l"))
@@ -71,8 +76,7 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: Callable[[Colum
         "word_line": F.least(n / lines, F.lit(200.0)) / 100.0,
         "same_pairs": per_word(r"(?<![^\s])(\S+)\s(?=\1(?:\s|$))"),
     }
-    return pinned(base, [id_col], [F.array(*[values[k].cast("double") for k in FEATURES]).alias("f"),
-                                  words(F.col("w")).alias("x")])
+    return pinned(base, [id_col, "t"], [F.array(*[values[k].cast("double") for k in FEATURES]).alias("f")])
 
 
 @dataclass(frozen=True)
@@ -82,11 +86,20 @@ class Ranking:
     weights: tuple[float, ...]
     threshold: float
 
-    def of_words(self, words: Column) -> Column:
-        """The mean weight of the words' buckets, 0 without words."""
-        table = F.lit([float(w) for w in self.weights[len(FEATURES):]])
-        summed = F.aggregate(words, F.lit(0.0), lambda total, w: total + F.get(table, bucket(w)[0]) + F.get(table, bucket(w)[1]))
-        return summed / F.greatest(F.size(words), F.lit(1))
+    def of_words(self, text: str) -> Column:
+        """The mean weight of the text's words by their buckets, 0 without words."""
+        table = np.array(self.weights[len(FEATURES):])
+
+        def mean(texts: pa.Array) -> pa.Array:
+            out = []
+            for batch in portions(iter([pa.RecordBatch.from_arrays([texts], ["t"])]), 0):
+                first, whole, end = buckets(batch.column(0))
+                row = np.repeat(np.arange(batch.num_rows), np.diff(first))
+                total = np.bincount(row, table[whole] + table[end], batch.num_rows)
+                out.append(total / np.maximum(np.diff(first), 1))
+            return pa.array(np.concatenate(out) if out else np.zeros(0))
+
+        return F.arrow_udf(mean, "double")(F.col(text))
 
     def score(self, f: str, x: str) -> Column:
         z = F.col(x)
@@ -146,12 +159,12 @@ def fit_pairs(x: np.ndarray, y: np.ndarray, partners: int = PARTNERS, ridge: flo
 
 
 def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, y, f, v): v has the share of each bucket among a row's words, x being the words' buckets."""
-    for batch in batches:
+    """Rows (id, y, f, v) of (id, y, f, t): v has the share of each bucket among the words of t."""
+    for batch in portions(batches, 3):
+        first, whole, end = buckets(batch.column(3))
         held = []
-        for x in batch.column(3):
-            at = x.values.to_numpy(zero_copy_only=False)
-            n = np.bincount(at, minlength=WORD_BUCKETS + END_BUCKETS) / max(len(at) / 2, 1)
+        for a, b in zip(first[:-1], first[1:]):
+            n = np.bincount(np.concatenate([whole[a:b], end[a:b]]), minlength=WORD_BUCKETS + END_BUCKETS) / max(b - a, 1)
             held.append(n.astype(np.float32).tobytes())
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(held, pa.binary())], ["id", "y", "f", "v"])
 
@@ -171,8 +184,8 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, label_col: str = "
     # at most `rows` ids and labels: a bounded broadcast
     chosen = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).alias("t")).join(
         F.broadcast(picked), id_col)
-    measured = features(chosen, id_col, "t", lambda w: F.flatten(F.transform(w, bucket))).join(F.broadcast(picked), id_col)
-    rows_of = measured.select(id_col, "y", "f", "x").mapInArrow(shares, "id long, y int, f array<double>, v binary")
+    measured = features(chosen, id_col, "t").join(F.broadcast(picked), id_col)
+    rows_of = measured.select(id_col, "y", "f", "t").mapInArrow(shares, "id long, y int, f array<double>, v binary")
     # at most `rows` rows of SIZE shares, 30 MB: the bound of the sample
     sample = rows_of.orderBy(F.xxhash64("id"), "id", F.xxhash64("f", "v")).limit(rows).collect()
     seen = {(r["id"], tuple(r["f"]), bytes(r["v"])): r["y"] for r in sample}
@@ -189,7 +202,8 @@ def classify(docs: DataFrame, model: Ranking, id_col: str = "doc_id", text_col:
     """``id_col``, score (0 to 1) and predicted (1 if score >= 0.5) per row.
 
     A null text is scored as an empty one; a null id stays null; repeated rows give repeated
-    results; other columns are left out; an empty table gives no rows. Row-local and native.
+    results; other columns are left out; an empty table gives no rows. Row-local.
     """
-    scored = features(docs, id_col, text_col, model.of_words).select(id_col, model.score("f", "x").alias("score"))
+    measured = features(docs, id_col, text_col).select(id_col, "f", model.of_words("t").alias("x"))
+    scored = measured.select(id_col, model.score("f", "x").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
