@@ -36,6 +36,14 @@ from hourloom.session import materialize
 
 DEFAULT_SKEW_ROWS = 5_000_000
 _SALT_BUCKETS = 256
+#: Below ``CHUNKS`` chunks their rows follow ``skew_rows``; above, a chunk has ``CHUNK_ROWS`` rows or more.
+CHUNKS, CHUNK_ROWS = 64, 250_000
+
+
+def _chunk_count(hot_rows: int, skew_rows: int) -> int:
+    """Range chunks for ``hot_rows`` rows of all hot keys together: two for each ``skew_rows`` rows, but not
+    so many that tasks and files of a few rows take the time (many keys just above a low bound)."""
+    return max(2, min(math.ceil(hot_rows / skew_rows) * 2, max(CHUNKS, math.ceil(hot_rows / CHUNK_ROWS))))
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -206,7 +214,7 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     # NULL-key rows never match, so they stay on the cold side (and get NULL outputs there)
     cold_part = df.join(hot_keys, on=keys, how="left_anti")
     hot_part = df.join(hot_keys, on=keys, how="left_semi")
-    n_chunks = max(2, math.ceil(hot_rows / skew_rows) * 2)
+    n_chunks = _chunk_count(hot_rows, skew_rows)
     out_cold = _direct(cold_part, keys, order, value, names, salt_col)
     out_hot = _chunked(hot_part, keys, order, value, names, n_chunks)
     if salt_col:
@@ -240,7 +248,7 @@ def _split_hot(df: DataFrame, keys: Sequence[str], skew_rows: int | None):
     hk = hot.select(*keys)
     return (df.join(hk, on=list(keys), how="left_anti"),
             df.join(hk, on=list(keys), how="left_semi"),
-            max(2, math.ceil(hot_rows / skew_rows) * 2))
+            _chunk_count(hot_rows, skew_rows))
 
 
 def overlap_flags(df: DataFrame, key: str, start: str, end: str, uid: str,
