@@ -124,3 +124,10 @@ def test_overlaps_hot_path_matches(spark):
     y = sorted((r.reg_id, r["__island"]) for r in H.remove_overlaps(
         iv, "employee", "start_ts", "end_ts", "reg_id", skew_rows=20).collect())
     assert x == y
+
+
+def test_chunks_do_not_grow_with_a_low_bound():
+    assert H._chunk_count(9_000_000, 300) <= 64      # 60,000 before
+    assert H._chunk_count(54_000_000, 300) == 216
+    assert H._chunk_count(54_000_000, 5_000_000) == 22
+    assert H._chunk_count(1_200, 500) == 6
