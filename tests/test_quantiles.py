@@ -80,3 +80,12 @@ def test_reports_end_with_infinite_values_and_skip_nan(spark):
     assert [r.o for r in n.where("t = 'u'").collect()] == [0.0]
     h = A.histogram(spark.createDataFrame([(0.0,), (math.nan,), (9.0,), (math.inf,), (-math.inf,)], "v double"), "v", 0.0, 10.0, 2)
     assert [r.n for r in h.orderBy("bin_start").collect()] == [2, 2]
+
+
+def test_keys_in_steps_are_made_once_a_row(spark):
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(ODD)], "v double, k int").repartition(2)
+    x = R.with_order_key(df, "v", "key")
+    assert x.where(F.col("key") != R.order_key(F.col("v"))).count() == 0 and x.columns == ["v", "k", "key"]
+    bins = spark.range(5).select(F.col("id").alias("b"))
+    plan = x.withColumn("b", F.shiftright("key", 48)).join(bins, "b").groupBy("b").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("log2(") == 1  # in one expression, or repeated in the join's filter, it stands there many times
