@@ -11,7 +11,7 @@ from hourloom.functions import columns as C
 from hourloom.operators import relational as Rel
 from hourloom.plans.registry import register
 from hourloom.plans.standins import REG_SQL, registrations
-from hourloom.session import checkpoint_dir
+from hourloom.session import checkpoint_dir, materialize
 from hourloom.sources import sinks
 from hourloom.sources import tables as T
 
@@ -369,11 +369,13 @@ def j4_j17_tenant_keyed_chain(spark, sf):
     (tenant, id). Stand-in: tenant = order priority; a tenant has the parts and suppliers that its lines name."""
     o = T.read_table(spark, sf, "orders").select(F.col("o_orderpriority").alias("con"), "o_orderkey", "o_custkey")
     line = T.read_table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
-    line = line.join(o.select("con", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
+    # written once: the dimensions and the chain read it, and the lookups look at the dimensions' sizes
+    line = materialize(line.join(o.select("con", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"))
     part = line.select("con", F.col("l_partkey").alias("p_partkey")).distinct().join(
         T.read_table(spark, sf, "part").where("p_size > 25").select("p_partkey"), "p_partkey")
     supp = line.select("con", F.col("l_suppkey").alias("s_suppkey")).distinct().join(
         T.read_table(spark, sf, "supplier").where("s_acctbal > 0").select("s_suppkey"), "s_suppkey")
+    part, supp = materialize(part), materialize(supp)
     df = Rel.lookup(line, o.withColumnRenamed("con", "oc"), ["con", "l_orderkey"], ["oc", "o_orderkey"])
     df = Rel.lookup(df, part.select(F.col("con").alias("pc"), "p_partkey", F.lit(1).alias("has_part")),
                     ["con", "l_partkey"], ["pc", "p_partkey"])

@@ -138,3 +138,10 @@ def test_a_damaged_source_leaves_the_others(spark, tmp_path):
     assert told["d"].error == "connection refused" and told["b"].error and told["a"].error is None
     nothing, report = stage_sources(spark, {"d": refused})
     assert nothing is None and report.count() == 1
+
+
+def test_tenant_chain_joins_lines_to_orders_once(spark):
+    """The dimensions made of the lines read what was written, not the join of lines and orders again."""
+    df = load_all()[0]["j4_j17_tenant_keyed_chain"](spark, SF001)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey") > 0 and plan.count("o_orderpriority") <= 3 and plan.count("Join") == 3
