@@ -1,8 +1,8 @@
 """Text vectors of task descriptions: TF-IDF (X3) and truncated SVD.
 
-Everything stays in long form ``(doc, term, weight)`` as DataFrame aggregations: tokenising is a
-JVM regex, n-grams are array expressions, document frequencies and the vocabulary are grouped
-aggregates plus a top-k. The SVD is a randomised range finder over scans of the documents, with a tree
+Results are in long form ``(doc, term, weight)``: tokenising is a JVM regex, tasks count words and
+bigrams of Arrow batches in numpy, document frequencies and the vocabulary are grouped aggregates of
+these counts plus a top-k. The SVD is a randomised range finder over scans of the documents, with a tree
 of small QR factorisations; the driver holds a basis bounded by the vocabulary.
 """
 
@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 # Fixed values (vectorizer settings of the reference): word tokens of ≥ 2 word characters after
 # lower-casing, uni- and bigrams (NGRAM_MAX), min document frequency 2, 500 features, NULL text → "onbekend",
@@ -30,6 +31,8 @@ VEC_PREFIX = "oms_vec_"
 OVERSAMPLE, KRYLOV_STEPS = 10, 7
 #: Bytes of the largest basis, and values of one slice of products within a task.
 BASIS_BYTES, SLICE_VALUES = 512 << 20, 4 << 20
+#: Bytes of tokens that a task counts at a time, and second words of bigrams sent to the tasks.
+PIECE_BYTES, SECOND_WORDS = 16 << 20, 100_000
 #: Nodes of the upper level of the tree of QR factorisations.
 TREE_WIDTH = 64
 
@@ -46,31 +49,83 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(4 * slots, key) if few else df
 
 
-def terms(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> DataFrame:
-    """Per document the array of its terms: unigrams followed by bigrams (``a b``).
-
-    Bigrams pair the token array with itself shifted by one (``zip_with`` over two slices of
-    length n-1), which keeps the whole step inside one projection evaluated once per document."""
+def tokens(df: DataFrame, doc: str, text: str, null_text: str = NULL_TEXT) -> DataFrame:
+    """Per document its lower-case word tokens in order, joined by one space (no token holds one)."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(F.col(text), F.lit(null_text))),
                                 F.lit(TOKEN_PATTERN), F.lit(0))
-    d = df.select(doc, toks.alias("__t"))
-    m = F.greatest(F.size("__t") - F.lit(1), F.lit(0))
-    bigrams = F.zip_with(F.slice("__t", 1, m), F.slice("__t", 2, m),
-                         lambda a, b: F.concat(a, F.lit(" "), b))
-    return d.select(doc, F.concat(F.col("__t"), bigrams).alias("terms"))
-
-
-def corpus_stats(t: DataFrame) -> DataFrame:
-    """(term, df, total_tf) from per-document term arrays in ONE aggregation keyed by the term:
-    each document contributes its terms tagged 0 (occurrences) and its distinct terms tagged 1
-    (document frequency); partial aggregation per task, one shuffle, no join."""
-    tagged = F.concat(F.transform("terms", lambda x: F.struct(x.alias("term"), F.lit(0).alias("d"))),
-                      F.transform(F.array_distinct("terms"),
-                                  lambda x: F.struct(x.alias("term"), F.lit(1).alias("d"))))
-    e = t.select(F.explode_outer(tagged).alias("e")).where(F.col("e").isNotNull())\
-        .select("e.term", "e.d")
-    return e.groupBy("term").agg(F.sum(F.lit(1) - F.col("d")).alias("total_tf"),
-                                 F.sum("d").alias("df"))
+    return df.select(doc, F.array_join(toks, " ").alias("tokens"))
+
+
+def _pieces(batch: pa.RecordBatch):
+    """Slices of a batch (doc, tokens) with about ``PIECE_BYTES`` of tokens: (slice, row of each token,
+    code of each token, words of the codes). Rows without a token have none."""
+    size = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size.astype(np.int64))
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE_BYTES, side="right")))
+        part = batch.slice(a, b - a)
+        lists = pc.split_pattern(part.column(1), " ")
+        row = np.repeat(np.arange(b - a), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        real = size[a:b][row] > 0                   # an empty text splits into one empty string
+        yield part, row[real], code[real], coded.dictionary
+        a = b
+
+
+def _counts(row: np.ndarray, code: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of the codes 0..n-1 and in how many rows each is."""
+    return np.bincount(code, minlength=n), np.bincount(np.unique(row * n + code) % n, minlength=n)
+
+
+def _count_batch(term: pa.Array, tf: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+    some = np.flatnonzero(tf)
+    return pa.RecordBatch.from_arrays([term.take(pa.array(some)), pa.array(tf[some]), pa.array(df[some])], ["term", "tf", "df"])
+
+
+def _word_counts(batches):
+    for batch in batches:
+        for _, row, code, words in _pieces(batch):
+            yield _count_batch(words, *_counts(row, code, len(words)))
+
+
+def _pair_counts(batches, first: list[str], second: list[str] | None):
+    """Counts of the bigrams whose first word is in ``first`` and whose second is in ``second`` (None: any)."""
+    firsts, seconds = pa.array(first, pa.string()), None if second is None else pa.array(second, pa.string())
+    for batch in batches:
+        for _, row, code, words in _pieces(batch):
+            is_first = pc.is_in(words, value_set=firsts).to_numpy(zero_copy_only=False)
+            met = (row[1:] == row[:-1]) & is_first[code[:-1]]
+            if seconds is not None:
+                met &= pc.is_in(words, value_set=seconds).to_numpy(zero_copy_only=False)[code[1:]]
+            pair, place = np.unique(code[:-1][met] * len(words) + code[1:][met], return_inverse=True)
+            term = pc.binary_join_element_wise(words.take(pa.array(pair // max(1, len(words)))),
+                                               words.take(pa.array(pair % max(1, len(words)))), " ")
+            yield _count_batch(term, *_counts(row[1:][met], place, len(pair)))
+
+
+def corpus_stats(t: DataFrame, min_df: int = MIN_DF, max_features: int = MAX_FEATURES) -> DataFrame:
+    """(term, total_tf, df) of all words and of every bigram that can be among the ``max_features`` terms
+    of the vocabulary, from the documents' tokens; a task counts by piece, Spark adds up by term.
+
+    A bigram is in no more documents and no more often than either of its words, and comes after its first
+    word among equals. So its first word is one of the ``max_features`` first words of the vocabulary's
+    order, and its second is as frequent as the last of these; other bigrams are not counted."""
+    from hourloom.session import materialize
+
+    def added(run):
+        return t.mapInArrow(run, "term string, tf long, df long").groupBy("term").agg(
+            F.sum("tf").alias("total_tf"), F.sum("df").alias("df"))
+
+    words = materialize(added(_word_counts))
+    able = words.where(F.col("df") >= min_df)
+    top = able.orderBy(F.col("total_tf").desc(), F.col("term")).limit(max_features).collect()
+    first = [r["term"] for r in top]
+    least = top[-1]["total_tf"] if len(top) == max_features and top else 0
+    second = [r["term"] for r in able.where(F.col("total_tf") >= least).select("term").limit(SECOND_WORDS + 1).collect()]
+    second = second if len(second) <= SECOND_WORDS else None    # many equals: any second word is counted
+    return words.unionByName(added(lambda batches: _pair_counts(batches, first, second)))
 
 
 def vocabulary(st: DataFrame, n_docs: int, min_df: int = MIN_DF,
@@ -87,25 +142,74 @@ def vocabulary(st: DataFrame, n_docs: int, min_df: int = MIN_DF,
         + F.lit(1.0))
 
 
+def _hits(batches, terms: list[str], doc: str):
+    """Per document and piece the vocabulary's terms in it, as ``idx << 32 | occurrences``."""
+    parts = [x.split(" ") for x in terms]
+    known = sorted({w for x in parts for w in x})
+    place = {w: i for i, w in enumerate(known)}
+    alone = np.full(len(known) + 1, -1)             # the last stands for words of no term
+    pairs = []
+    for i, x in enumerate(parts):
+        if len(x) == 1:
+            alone[place[x[0]]] = i
+        else:
+            pairs.append((place[x[0]] * len(known) + place[x[1]], i))
+    pair_key, pair_idx = np.array(sorted(pairs), np.int64).reshape(-1, 2).T
+    n, values = len(terms), pa.array(known, pa.string())
+    for batch in batches:
+        for part, row, code, words in _pieces(batch):
+            ids = part.column(0).dictionary_encode(null_encoding="encode")     # an id may repeat
+            row_id = ids.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            at = pc.fill_null(pc.index_in(words, value_set=values), len(known)).to_numpy(zero_copy_only=False)[code]
+            found = alone[at]
+            keys = [row_id[row[found >= 0]] * n + found[found >= 0]]
+            if len(pair_key):
+                met = (row[1:] == row[:-1]) & (at[:-1] < len(known)) & (at[1:] < len(known))
+                key = at[:-1][met].astype(np.int64) * len(known) + at[1:][met]
+                near = np.minimum(np.searchsorted(pair_key, key), len(pair_key) - 1)
+                same = pair_key[near] == key
+                keys.append(row_id[row[1:][met][same]] * n + pair_idx[near[same]])
+            key, tf = np.unique(np.concatenate(keys), return_counts=True)
+            some, begin = np.unique(key // n, return_index=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(key)), pa.int32()), pa.array((key % n) << 32 | tf))
+            yield pa.RecordBatch.from_arrays([ids.dictionary.take(pa.array(some)), lists], [doc, "hits"])
+
+
+def _weighted(batches, terms: list[str], idf: np.ndarray, doc: str):
+    """The long form (doc, term, idx, tfidf) of documents' hits."""
+    names, n = pa.array(terms, pa.string()), len(terms)
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1000):
+            part = batch.slice(a, 1000)
+            hits = part.column(1)
+            row = np.repeat(np.arange(len(hits)), pc.list_value_length(hits).to_numpy(zero_copy_only=False))
+            hit = hits.flatten().to_numpy(zero_copy_only=False)
+            key, place = np.unique(row * n + (hit >> 32), return_inverse=True)
+            w = np.bincount(place, weights=hit & 0xFFFFFFFF, minlength=len(key)) * idf[key % n]
+            norm = np.sqrt(np.bincount(key // n, weights=w * w, minlength=len(hits)))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(key // n)), names.take(pa.array(key % n)),
+                                              pa.array((key % n).astype(np.int32)), pa.array(w / norm[key // n])],
+                                             [doc, "term", "idx", "tfidf"])
+
+
 def tfidf(df: DataFrame, doc: str, text: str, min_df: int = MIN_DF,
           max_features: int = MAX_FEATURES) -> tuple[DataFrame, DataFrame]:
     """L2-normalised TF-IDF in long form ``(doc, term, idx, tfidf)`` plus the vocabulary.
 
-    Only vocabulary hits are counted per document: the exploded terms meet the broadcast
-    vocabulary (≤ ``max_features`` rows), then ``(doc, idx)`` integer keys are counted (partial
-    aggregation first) and the per-document norm is a window partitioned by document."""
-    from pyspark.sql import Window
+    Tasks look up words and neighbours in the vocabulary (≤ ``max_features`` rows) and send one
+    array of counts a document; rows that share an id are one document, whose norm is its own."""
     from hourloom.session import materialize
-    t = materialize(terms(spread(df, doc), doc, text))   # texts are read and tokenised once
+    t = materialize(tokens(spread(df, doc), doc, text))   # texts are read and tokenised once
     n_docs = t.count()
-    voc = materialize(vocabulary(corpus_stats(t), n_docs, min_df, max_features))
-    hits = t.select(doc, F.explode_outer("terms").alias("term")).where(F.col("term").isNotNull())\
-        .join(F.broadcast(voc.select("term", "idx", "idf")), "term")
-    tf = hits.groupBy(doc, "idx").agg(F.count(F.lit(1)).alias("tf"), F.first("term").alias("term"),
-                                      F.first("idf").alias("idf"))
-    w = tf.withColumn("__w", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("__w") * F.col("__w")).over(Window.partitionBy(doc)))
-    out = w.select(doc, "term", "idx", (F.col("__w") / norm).alias("tfidf"))
+    voc = materialize(vocabulary(corpus_stats(t, min_df, max_features), n_docs, min_df, max_features))
+    top = voc.orderBy("idx").collect()                     # at most ``max_features`` rows
+    names, idf = [r["term"] for r in top], np.array([r["idf"] for r in top])
+    id_type = t.schema[doc].dataType
+    hits = (t.mapInArrow(lambda batches: _hits(batches, names, doc),
+                         StructType().add(doc, id_type).add("hits", ArrayType(LongType())))
+            .groupBy(doc).agg(F.flatten(F.collect_list("hits")).alias("hits")))
+    out = hits.mapInArrow(lambda batches: _weighted(batches, names, idf, doc),
+                          StructType().add(doc, id_type).add("term", "string").add("idx", "integer").add("tfidf", "double"))
     return out, voc
 
 

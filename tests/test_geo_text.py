@@ -113,6 +113,40 @@ def test_tfidf_top_k_tie_break(spark):
     assert sorted(r.term for r in voc.collect()) == ["aa", "aa bb"]
 
 
+def test_tfidf_of_many_ties_matches_brute_force(spark):
+    rnd = np.random.default_rng(11)
+    for size, most in ((4, 5), (12, 9), (40, 25), (40, 1000)):
+        words = [f"w{i}" for i in range(size)]
+        docs = [" ".join(rnd.choice(words, int(rnd.integers(0, 9)))) for _ in range(30)] + [None, "", "w1"]
+        v, voc = X.tfidf(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), "doc_id", "text", max_features=most)
+        exp, vocab = _brute_tfidf(docs, max_features=most)
+        assert [r.term for r in voc.orderBy("idx").collect()] == vocab
+        got = {(r.doc_id, r.term): r.tfidf for r in v.collect()}
+        assert got.keys() == exp.keys() and all(got[k] == pytest.approx(x, abs=1e-12) for k, x in exp.items())
+
+
+def test_tfidf_of_repeated_and_null_ids_is_one_document_each(spark):
+    rows = [(1, "aa bb"), (1, "aa cc"), (None, "aa bb"), (None, "bb"), (2, "cc")]
+    v, voc = X.tfidf(spark.createDataFrame(rows, "id long, text string").repartition(4), "id", "text")
+    idf = {r.term: r.idf for r in voc.collect()}
+    assert idf.keys() == {"aa", "bb", "cc", "aa bb"}
+    tf = {1: {"aa": 2, "bb": 1, "cc": 1, "aa bb": 1}, None: {"aa": 1, "bb": 2, "aa bb": 1}, 2: {"cc": 1}}
+    exp = {(d, t): n * idf[t] / math.sqrt(sum((m * idf[u]) ** 2 for u, m in c.items())) for d, c in tf.items() for t, n in c.items()}
+    got = {(r.id, r.term): r.tfidf for r in v.collect()}
+    assert got.keys() == exp.keys() and all(got[k] == pytest.approx(x) for k, x in exp.items())
+
+
+def test_only_bigrams_that_can_be_terms_are_counted(spark, monkeypatch):
+    docs = ["often rare1 often rare2", "often often rare3 rare4", "rare5 often again", "again often again"]
+    t = X.tokens(spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string"), "doc_id", "text")
+    st = {r.term: (r.total_tf, r.df) for r in X.corpus_stats(t, 2, 2).collect()}
+    assert {x for x in st if " " in x} == {"often often", "often again", "again often"}    # all eight before
+    assert st["often"] == (6, 4) and st["often again"] == (2, 2) and st["rare1"] == (1, 1)
+    monkeypatch.setattr(X, "SECOND_WORDS", 1)       # second words too many to send: any is counted
+    st = {r.term: (r.total_tf, r.df) for r in X.corpus_stats(t, 2, 2).collect()}
+    assert st["often again"] == (2, 2) and "often rare1" in st and "rare5 often" not in st
+
+
 def test_svd_matches_numpy(spark):
     rnd = np.random.default_rng(3)
     dense = rnd.random((30, 6)) * (rnd.random((30, 6)) > 0.4)
