@@ -14,13 +14,13 @@ over many window partitions by a hash salt (their outputs are NULL anyway), so a
 column never lands in one task.
 
 *Hot keys* — a key holding more than ``skew_rows`` rows, e.g. one employee with a third of all
-registrations — would put that whole history into a single task. For those keys only, the rows are
-range-partitioned on ``(keys, order)`` into contiguous, equally sized chunks (the chunk id is the
-range partition id, materialised with a checkpoint so every later step sees the same chunks), each
-chunk computes local running statistics in parallel, chunk totals are prefix-summed over the
-(small) chunk table, and both parts are combined exactly: counts add, means combine by weight and
-the second moment by Chan's parallel-variance formula around a per-key pivot. The result equals the
-direct window up to floating-point rounding.
+registrations — would put that whole history into a single task. All rows are range-partitioned on the
+order once into contiguous, equally sized chunks (the chunk id is the range partition id, written to the
+shared folder so every later step and key set sees the same chunks). A hot key's rows of a chunk have their
+own running statistics, the totals of (hot key, chunk) are prefix-summed over a small table, and both parts
+are combined exactly: counts add, means combine by weight and the second moment by Chan's parallel-variance
+formula around a per-key pivot. Cold keys of the same key set have one window each in the same pass. The
+result equals the direct window up to floating-point rounding.
 """
 
 from __future__ import annotations
@@ -38,10 +38,11 @@ DEFAULT_SKEW_ROWS = 5_000_000
 _SALT_BUCKETS = 256
 #: Below ``CHUNKS`` chunks their rows follow ``skew_rows``; above, a chunk has ``CHUNK_ROWS`` rows or more.
 CHUNKS, CHUNK_ROWS = 64, 250_000
+CHUNK = "__chunk"
 
 
 def _chunk_count(hot_rows: int, skew_rows: int) -> int:
-    """Range chunks for ``hot_rows`` rows of all hot keys together: two for each ``skew_rows`` rows, but not
+    """Range chunks for ``hot_rows`` rows that are cut together: two for each ``skew_rows`` rows, but not
     so many that tasks and files of a few rows take the time (many keys just above a low bound)."""
     return max(2, min(math.ceil(hot_rows / skew_rows) * 2, max(CHUNKS, math.ceil(hot_rows / CHUNK_ROWS))))
 
@@ -126,16 +127,18 @@ def _direct(df: DataFrame, keys, order, value, names: dict, salt_col: str | None
     return out if salt_col else out.drop(salt)
 
 
-def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> DataFrame:
-    """Exact prior statistics for hot keys via range chunks + prefix over chunk totals."""
-    ch = "__chunk"
-    ranged = materialize(df.repartitionByRange(n_chunks, *[F.col(k) for k in keys],
-                                               *_order_cols(order))
-                         .withColumn(ch, F.spark_partition_id()))
+def _chunked(df: DataFrame, ranged: DataFrame, keys, order, value, names: dict, hot: DataFrame) -> DataFrame:
+    """Exact prior statistics: keys in ``hot`` from windows over their rows of a chunk and a prefix over chunk
+    totals, other keys from one window each. Rows of ``df`` have the chunk that they have in ``ranged``."""
+    ch, cols = "__part", df.columns
+    hot_keys = hot.select(*keys)
+    df = df.join(hot_keys.withColumn("__hot", F.lit(True)), on=keys, how="left").withColumn(
+        ch, F.when(F.col("__hot"), F.col(CHUNK)).otherwise((F.lit(-1) - _null_salt(keys, order)).cast("int"))).drop("__hot")
+    ranged = ranged.join(hot_keys, on=keys, how="left_semi").withColumnRenamed(CHUNK, ch)
     v = known(value) if value else F.lit(None).cast("double")
     base = Window.partitionBy(*keys, ch).orderBy(*_order_cols(order))
     prior = base.rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumns({
+    local = df.withColumns({
         "__n_l": F.count(v).over(prior),
         "__mean_l": F.avg(v).over(prior),
         "__var_l": F.var_samp(v).over(prior),
@@ -159,9 +162,9 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
                             .over(wprev), F.lit(0.0)),
         "__r_p": F.coalesce(F.sum("__rows_c").over(wprev), F.lit(0)),
     }).select(*keys, ch, "__pivot", "__n_p", "__s_p", "__q_p", "__r_p")
-    # one row per (hot key, chunk); Spark broadcasts it by its size or joins on both by shuffle
+    # one row per (hot key, chunk); Spark broadcasts it by its size or joins where the windows put the rows
     j = local.join(cs, on=[*keys, ch], how="left")
-    n_p = F.col("__n_p").cast("double")
+    n_p = F.coalesce(F.col("__n_p"), F.lit(0)).cast("double")
     n_l = F.col("__n_l").cast("double")
     mean_p = F.col("__pivot") + F.col("__s_p") / F.nullif(n_p, F.lit(0.0))
     m2_p = F.col("__q_p") - F.col("__s_p") * F.col("__s_p") / F.nullif(n_p, F.lit(0.0))
@@ -173,30 +176,32 @@ def _chunked(df: DataFrame, keys, order, value, names: dict, n_chunks: int) -> D
     delta = F.col("__mean_l") - mean_p
     m2 = (F.when(n_p == 0, m2_l).when(n_l == 0, m2_p)
           .otherwise(m2_p + m2_l + delta * delta * n_p * n_l / n))
+    valid = ~_any_null(keys)
     exprs = {}
     if "mean" in names:
-        exprs[names["mean"]] = F.when(n > 0, mean)
+        exprs[names["mean"]] = F.when(valid & (n > 0), mean)
     if "std" in names:
-        exprs[names["std"]] = F.when(n >= 2, F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - F.lit(1.0))))
+        exprs[names["std"]] = F.when(valid & (n_p == 0), F.sqrt("__var_l")).when(
+            valid & (n >= 2), F.sqrt(F.greatest(m2, F.lit(0.0)) / (n - F.lit(1.0))))
     if "count" in names:
-        exprs[names["count"]] = (F.col("__n_p") + F.col("__n_l")).cast("long")
+        exprs[names["count"]] = F.when(valid, F.coalesce(F.col("__n_p"), F.lit(0)) + F.col("__n_l")).cast("long")
     if "cumcount" in names:
-        exprs[names["cumcount"]] = (F.col("__r_p") + F.col("__rn_l")).cast("int")
-    helper = ["__n_l", "__mean_l", "__var_l", "__rn_l", ch, "__pivot", "__n_p", "__s_p",
-              "__q_p", "__r_p"]
-    return j.withColumns(exprs).drop(*helper)
+        exprs[names["cumcount"]] = F.when(valid, F.coalesce(F.col("__r_p"), F.lit(0)) + F.col("__rn_l")).cast("int")
+    return j.withColumns(exprs).select(*cols, *names.values())
 
 
 def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str | None,
                 mean: str | None = None, std: str | None = None, count: str | None = None,
                 cumcount: str | None = None, skew_rows: int | None = DEFAULT_SKEW_ROWS,
-                salt_col: str | None = None, hot: DataFrame | None = None) -> DataFrame:
+                salt_col: str | None = None, hot: DataFrame | None = None,
+                ranged: DataFrame | None = None) -> DataFrame:
     """Per row, statistics of ``value`` over the earlier rows of the same key.
 
     ``mean``/``std``/``count`` name the prior expanding mean, sample std (NULL for < 2 values, R11)
     and non-null count (W1-W6); ``cumcount`` names the zero-based occurrence number (W7, W8).
     ``order`` must end in a unique column (R4). ``skew_rows=None`` disables the hot-key path; ``hot``
-    gives keys (with ``__rows``) already found to be above ``skew_rows``.
+    gives keys (with ``__rows``) already found to be above ``skew_rows``, ``ranged`` the rows that ``df`` was
+    made from in range chunks of ``order``, whose chunk ids ``df`` still has.
     """
     names = {k: v for k, v in (("mean", mean), ("std", std), ("count", count),
                                ("cumcount", cumcount)) if v}
@@ -204,22 +209,13 @@ def prior_stats(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     if not skew_rows:
         return _direct(df, keys, order, value, names, salt_col)
     if hot is None:
-        hot, n_hot, hot_rows = find_hot_keys(df, keys, skew_rows)
+        hot, n_hot, _ = find_hot_keys(df, keys, skew_rows)
         if n_hot == 0:
             return _direct(df, keys, order, value, names, salt_col)
-    else:
-        hot_rows = hot.agg(F.sum("__rows")).first()[0]
-        df = materialize(df)               # the two parts are read apart
-    hot_keys = hot.select(*keys)
-    # NULL-key rows never match, so they stay on the cold side (and get NULL outputs there)
-    cold_part = df.join(hot_keys, on=keys, how="left_anti")
-    hot_part = df.join(hot_keys, on=keys, how="left_semi")
-    n_chunks = _chunk_count(hot_rows, skew_rows)
-    out_cold = _direct(cold_part, keys, order, value, names, salt_col)
-    out_hot = _chunked(hot_part, keys, order, value, names, n_chunks)
-    if salt_col:
-        out_hot = out_hot.withColumn(salt_col, F.lit(0))
-    return out_cold.unionByName(out_hot.select(*out_cold.columns))
+    if ranged is not None:
+        return _chunked(df, ranged, keys, order, value, names, hot)
+    ranged = _range_chunks(df, [], order, _chunk_count(df.count(), skew_rows))
+    return _chunked(ranged, ranged, keys, order, value, names, hot).drop(CHUNK)
 
 
 def occurrence_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
@@ -234,7 +230,7 @@ def _range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], n_ch
     materialised so every later step sees the same chunk boundaries."""
     return materialize(df.repartitionByRange(n_chunks, *[F.col(k) for k in keys],
                                              *_order_cols(order))
-                       .withColumn("__chunk", F.spark_partition_id()))
+                       .withColumn(CHUNK, F.spark_partition_id()))
 
 
 def _split_hot(df: DataFrame, keys: Sequence[str], skew_rows: int | None):
@@ -352,7 +348,11 @@ def history_features(df: DataFrame, tenant: str | None, employee: str, client: s
 
     def sk(keys):  # hot-key path only for key sets that have a hot key
         found = hot.get(tuple(keys))
-        return {"skew_rows": skew_rows if found is not None else None, "hot": found}
+        return {"skew_rows": skew_rows if found is not None else None, "hot": found, "ranged": ranged}
+
+    ranged = None
+    if hot:                # all key sets share the order, so also its chunks: cut and written once
+        df = ranged = _range_chunks(df, [], order, _chunk_count(df.count(), skew_rows))
 
     # W4 (tenant, task) first; then the three employee key sets share one salt column, so one
     # hash partitioning on (tenant, employee, salt) serves all of them (a subset of each key set)
@@ -372,7 +372,7 @@ def history_features(df: DataFrame, tenant: str | None, employee: str, client: s
         out = out.withColumn("med_bewerking_gem_tijd", F.col("__speed_mean")).drop("__speed_mean")
     out = prior_stats(out, [*emp, client], order, hours, mean="med_klant_gem_tijd",
                       cumcount="med_klant_bezoeken", **sk([*emp, client]), salt_col=salt)
-    out = out.drop(salt)
+    out = out.drop(salt, CHUNK)
     return out.withColumns({
         "med_klant_ratio": prior_ratio("med_klant_bezoeken", "med_totaal_opdrachten"),
         "med_klant_snelheid": safe_ratio("med_klant_gem_tijd", "med_gem_tijd"),

@@ -131,3 +131,21 @@ def test_chunks_do_not_grow_with_a_low_bound():
     assert H._chunk_count(54_000_000, 300) == 216
     assert H._chunk_count(54_000_000, 5_000_000) == 22
     assert H._chunk_count(1_200, 500) == 6
+
+
+def test_hot_key_sets_share_one_cut_into_chunks(spark, monkeypatch):
+    cuts, cut = [], H._range_chunks
+    monkeypatch.setattr(H, "_range_chunks", lambda *a: cuts.append(a) or cut(*a))
+    staged, stage = [], H.materialize
+    monkeypatch.setattr(H, "materialize", lambda df: staged.append(df) or stage(df))
+    rows = [(i, "t", None if i % 17 == 0 else i % 3 if i % 5 else i, i % 7, "ab"[i % 2] if i % 11 else None,
+             D(2024, 1, 1 + i * 7 % 28), None if i % 13 == 0 else float(i * i % 101)) for i in range(600)]
+    df = spark.createDataFrame(rows, "reg_id long, con string, employee int, client int, task string, d date, h double")
+    args = ("con", "employee", "client", "task", "d", "reg_id", "h")
+    a, b = ({r["reg_id"]: r.asDict() for r in H.history_features(df, *args, skew_rows=n).collect()} for n in (None, 20))
+    assert len(cuts) == 1 and len(staged) == 2      # one cut for each of the four key sets, nine tables written before
+    assert a.keys() == b.keys() and len(b) == 600
+    for i, r in a.items():
+        assert r.keys() == b[i].keys()
+        for c, v in r.items():
+            assert b[i][c] == (pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v), (i, c)
